@@ -75,6 +75,21 @@ def _one_route_per_folder(mapping: DataFrame, folder_col: str, layer_col: str,
             .select(folder_col, layer_col, *[F.col("_route")[c].alias(c) for c in cols]))
 
 
+def route_all(probe: DataFrame, mapping: DataFrame, folder_col: str = "folder",
+              layer: str = "bronze", map_folder_col: str = "folder",
+              layer_col: str = "layer", cols=ROUTE_COLUMNS,
+              max_broadcast_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Every probe row with its route for one layer (route columns NULL when the
+    folder has no route): one left join, one pass over the probe."""
+    layer = check_layer(layer)
+    routes = _one_route_per_folder(mapping.filter(F.col(layer_col) == F.lit(layer)),
+                                   map_folder_col, layer_col, cols)
+    routes = routes.withColumnRenamed(map_folder_col, "_route_folder").drop(layer_col)
+    routes = bounded_broadcast(routes, max_broadcast_rows)
+    joined = probe.join(routes, probe[folder_col] == routes["_route_folder"], "left")
+    return joined.withColumn("_routed", F.col("_route_folder").isNotNull()).drop("_route_folder")
+
+
 def route_sources(probe: DataFrame, mapping: DataFrame, folder_col: str = "folder",
                   layer: str = "bronze", map_folder_col: str = "folder",
                   layer_col: str = "layer", cols=ROUTE_COLUMNS,
@@ -83,17 +98,13 @@ def route_sources(probe: DataFrame, mapping: DataFrame, folder_col: str = "folde
 
     Returns ``(routed, rejects)``: rows with a route carry the route columns;
     rows whose folder has no route for the layer go to ``rejects`` (instead of
-    failing on a missing first row).
+    failing on a missing first row). Both halves come from one join; use
+    :func:`route_all` when one frame with a flag is enough.
     """
-    layer = check_layer(layer)
-    routes = _one_route_per_folder(mapping.filter(F.col(layer_col) == F.lit(layer)),
-                                   map_folder_col, layer_col, cols)
-    routes = routes.withColumnRenamed(map_folder_col, "_route_folder").drop(layer_col)
-    routes = bounded_broadcast(routes, max_broadcast_rows)
-    joined = probe.join(routes, probe[folder_col] == routes["_route_folder"], "left")
-    matched = F.col("_route_folder").isNotNull()
-    routed = joined.filter(matched).drop("_route_folder")
-    rejects = joined.filter(~matched).select(*probe.columns)
+    joined = route_all(probe, mapping, folder_col, layer, map_folder_col, layer_col, cols,
+                       max_broadcast_rows)
+    routed = joined.filter(F.col("_routed")).drop("_routed")
+    rejects = joined.filter(~F.col("_routed")).select(*probe.columns)
     return routed, rejects
 
 

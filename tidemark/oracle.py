@@ -69,6 +69,20 @@ def _fp_part(expr: str) -> str:
     return f"coalesce(CAST({expr} AS VARCHAR), 'null')"
 
 
+PAGE_FILES = """
+  SELECT string_split(regexp_replace(rtrim(url, '/'), '/[^/]*$', ''), '/')[-1] AS folder,
+         'p' || page_id || '_' || regexp_replace(string_split(rtrim(url, '/'), '/')[-1],
+                                                 '[^A-Za-z0-9._-]', '_', 'g') AS name,
+         html
+  FROM pages"""
+
+STAGED_HISTORY = f"""
+WITH f AS ({PAGE_FILES})
+SELECT folder AS source_folder,
+       count(*) FILTER (WHERE NOT contains(name, '.')) AS total_files_processed,
+       CAST(0 AS BIGINT) AS files_failed
+FROM f GROUP BY folder"""
+
 ORACLE_SQL = {
     "staging_plan": f"""
 WITH m AS ({PAGES_MANIFEST})
@@ -243,4 +257,12 @@ SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record,
        {_q(PIPELINE_NAME)} AS _createdByPipelineName, {_q(RUN_ID)} AS _createdByPipelineRunID,
        {AS_OF_SQL} AS _lastModifieddttm
 FROM orders""",
+
+    "history_run": STAGED_HISTORY,
+
+    "move_and_verify": f"""
+WITH f AS ({PAGE_FILES})
+SELECT name, true AS ok, CAST(strlen(html) AS BIGINT) AS bytes, true AS arrived FROM f""",
+
+    "incremental_ingest": STAGED_HISTORY,
 }

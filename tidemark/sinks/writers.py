@@ -40,3 +40,57 @@ def land_json(df: DataFrame, directory: str, api_col: str, symbol_col: str, ts_c
 def write_ndjson(df: DataFrame, directory: str, mode: str = "overwrite") -> None:
     """One JSON document per line, null fields written out."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(directory)
+
+
+FILE_OUTCOME_SCHEMA = "path string, ok boolean, bytes long, error string"
+
+
+def _file_writer(root: str):
+    def run(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        attempt = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0-0"
+        base = root.rstrip("/")
+        uri = "file://" + base if base.startswith("/") else base
+        fs, base_path = pafs.FileSystem.from_uri(uri)
+        for pdf in batches:
+            paths, oks, sizes, errors = [], [], [], []
+            for d, n, content in zip(pdf["_dir"], pdf["_name"], pdf["_content"]):
+                data = content.encode("utf-8") if isinstance(content, str) else bytes(content or b"")
+                target = f"{base_path}/{d}/{n}"
+                paths.append(f"{base}/{d}/{n}")
+                try:
+                    info = fs.get_file_info(target)
+                    if not (info.type == pafs.FileType.File and info.size == len(data)):
+                        fs.create_dir(f"{base_path}/{d}", recursive=True)
+                        tmp = f"{base_path}/{d}/._tmp-{attempt}-{n}"
+                        with fs.open_output_stream(tmp) as out:
+                            out.write(data)
+                        fs.move(tmp, target)
+                    oks.append(True)
+                    sizes.append(len(data))
+                    errors.append(None)
+                except Exception as e:  # reported per file, never fails the job
+                    oks.append(False)
+                    sizes.append(0)
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pd.DataFrame({"path": paths, "ok": oks, "bytes": sizes, "error": errors})
+    return run
+
+
+def land_files(df: DataFrame, root: str, dir_col: str, name_col: str, content_col: str,
+               num_partitions: int | None = None, out_path: str | None = None) -> DataFrame:
+    """Write one file per record at ``<root>/<dir>/<name>`` (text or binary
+    content), from executors; retry-safe (temp name + rename, equal size = done).
+    Returns the outcome table, written once to the shared folder (an action)."""
+    from tidemark.session import materialize, shared_path
+
+    spark = df.sparkSession
+    n = num_partitions or max(1, spark.sparkContext.defaultParallelism * 4)
+    rows = df.select(F.col(dir_col).cast("string").alias("_dir"), F.col(name_col).alias("_name"),
+                     F.col(content_col).alias("_content")).repartition(n, "_dir", "_name")
+    outcomes = rows.mapInPandas(_file_writer(root), FILE_OUTCOME_SCHEMA)
+    return materialize(outcomes, out_path or shared_path(spark, "landed"))

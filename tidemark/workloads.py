@@ -28,11 +28,13 @@ from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.dates import hourly_volume, hourly_volume_by_policy, repair_ancient_dates
 from tidemark.operators.documents import extract_tags, flatten_all, nest_two_levels
 from tidemark.operators.files import plan_copy, plan_disposition
-from tidemark.operators.lookup import (route_first, route_sources, seen_folders,
-                                       unprocessed_folders)
+from tidemark.operators.lookup import route_all, route_first, seen_folders, unprocessed_folders
 from tidemark.plans.staging import history_records, staging_counts as _staging_counts, union_history
 from tidemark.session import shared_path
-from tidemark.sinks.writers import append_bronze, read_bronze, write_ndjson
+from tidemark.plans.imaging import move_and_verify
+from tidemark.plans.staging import read_history, run_staging
+from tidemark.sinks.writers import append_bronze, land_files, read_bronze, write_ndjson
+from tidemark.streaming.incremental import incremental_staging
 from tidemark.sources.files import dirs_with_files as _dirs_with_files, with_path_parts
 from tidemark.sources.readers import load_data, read_documents
 
@@ -103,6 +105,30 @@ def nation_mapping(spark, sf_dir) -> DataFrame:
     )
 
 
+def page_file_names(spark, sf_dir) -> DataFrame:
+    """``folder`` (language segment), a file-system-safe unique ``name`` and the
+    page ``html`` as content, for every page."""
+    p = table(spark, sf_dir, "pages")
+    trimmed = F.regexp_replace("url", "/+$", "")
+    raw = P.last_segment(trimmed)
+    return p.select(
+        P.last_segment(P.parent_dir(trimmed)).alias("folder"),
+        F.concat(F.lit("p"), F.col("page_id"), F.lit("_"),
+                 F.regexp_replace(raw, "[^A-Za-z0-9._-]", "_")).alias("name"),
+        F.col("html").alias("content"))
+
+
+def land_pages(spark, sf_dir, root: str, with_dicomdir: bool = True) -> DataFrame:
+    """Materialize pages as an imaging drop: ``<root>/<folder>/<name>`` plus,
+    optionally, one ``DICOMDIR`` index per folder. Returns the outcomes."""
+    files = page_file_names(spark, sf_dir)
+    if with_dicomdir:
+        index = files.select("folder").distinct().select(
+            "folder", F.lit("DICOMDIR").alias("name"), F.lit("DICM").alias("content"))
+        files = files.unionByName(index)
+    return land_files(files, root, "folder", "name", "content")
+
+
 # --- queries -------------------------------------------------------------------
 
 def q_staging_plan(spark, sf_dir):
@@ -146,8 +172,7 @@ def q_seen_folders(spark, sf_dir):
 def q_route_sources(spark, sf_dir):
     probe = table(spark, sf_dir, "customer").select(
         "c_custkey", F.col("c_nationkey").cast("string").alias("folder"))
-    routed, rejects = route_sources(probe, nation_mapping(spark, sf_dir), "folder", "bronze")
-    return routed.unionByName(rejects, allowMissingColumns=True)
+    return route_all(probe, nation_mapping(spark, sf_dir), "folder", "bronze").drop("_routed")
 
 
 def q_route_first(spark, sf_dir):
@@ -319,6 +344,35 @@ def q_ingest_documents(spark, sf_dir):
     return read_bronze(spark, bronze)
 
 
+def q_history_run(spark, sf_dir):
+    """Two staging runs over the same drop: the second adds nothing."""
+    src, tgt = shared_path(spark, "drop"), shared_path(spark, "ingest")
+    hist = shared_path(spark, "history")
+    land_pages(spark, sf_dir, src)
+    run_staging(spark, src, tgt, hist, as_of=AS_OF)
+    run_staging(spark, src, tgt, hist, as_of=AS_OF)
+    return read_history(spark, hist).select("source_folder", "total_files_processed", "files_failed")
+
+
+def q_move_and_verify(spark, sf_dir):
+    src, dst = shared_path(spark, "raw"), shared_path(spark, "process")
+    land_pages(spark, sf_dir, src, with_dicomdir=False)
+    outcomes, missing = move_and_verify(spark, src, dst)
+    flagged = outcomes.withColumn("name", P.last_segment("new_path")).join(
+        missing.withColumn("_missing", F.lit(True)), "name", "left")
+    return flagged.select("name", "ok", "bytes", F.col("_missing").isNull().alias("arrived"))
+
+
+def q_incremental_ingest(spark, sf_dir):
+    """Streaming staging (available-now trigger) run twice over the same drop."""
+    src, tgt = shared_path(spark, "drop"), shared_path(spark, "ingest")
+    hist, ckpt = shared_path(spark, "history"), shared_path(spark, "stream-ckpt")
+    land_pages(spark, sf_dir, src)
+    incremental_staging(spark, src, tgt, hist, ckpt, as_of=AS_OF)
+    incremental_staging(spark, src, tgt, hist, ckpt, as_of=AS_OF)
+    return read_history(spark, hist).select("source_folder", "total_files_processed", "files_failed")
+
+
 QUERIES = {
     "staging_plan": q_staging_plan,
     "staging_counts": q_staging_counts,
@@ -350,4 +404,7 @@ QUERIES = {
     "nest_documents": q_nest_documents,
     "flatten_documents": q_flatten_documents,
     "ingest_documents": q_ingest_documents,
+    "history_run": q_history_run,
+    "move_and_verify": q_move_and_verify,
+    "incremental_ingest": q_incremental_ingest,
 }
