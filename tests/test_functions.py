@@ -1,0 +1,107 @@
+"""Column functions: paths, classification, text, fingerprints (edge rows of FIXTURES.md)."""
+
+from pyspark.sql import functions as F
+
+from tidemark.functions import paths as P
+from tidemark.functions import text as T
+from tidemark.functions.fingerprint import add_hash_column, row_fingerprint, strict_fingerprint
+
+
+def _one(spark, expr, value, dtype="string"):
+    df = spark.createDataFrame([(value,)], f"v {dtype}")
+    return df.select(expr(F.col("v")).alias("r")).first()["r"]
+
+
+LAKE = "abfss://ws-guid@onelake.example.com/lh-guid/Files/Ingest/stock"
+
+
+def test_last_segment_trailing_slash_and_file(spark):
+    assert _one(spark, P.last_segment, f"{LAKE}/insider-transactions/") == ""
+    assert _one(spark, lambda c: P.last_segment(c, rtrim_slash=True),
+                f"{LAKE}/insider-transactions/") == "insider-transactions"
+    assert _one(spark, P.last_segment, f"{LAKE}/insider-sentiment/TSLA-01-29-2025.json") == \
+        "TSLA-01-29-2025.json"
+    assert _one(spark, P.last_segment, "/input/20250328") == "20250328"
+
+
+def test_nth_segment_short_path_is_null(spark):
+    assert _one(spark, lambda c: P.nth_segment(c, 3), "a/b") is None
+    assert _one(spark, P.lakehouse_id, f"{LAKE}/x") == "lh-guid"
+
+
+def test_regex_group_null_without_match(spark):
+    assert _one(spark, P.workspace_id, "zz") is None
+    assert _one(spark, P.workspace_id, f"{LAKE}/x") == "ws-guid"
+
+
+def test_join_path_trims_right_slashes(spark):
+    assert _one(spark, lambda c: P.join_path("/t//", c), "a.dcm") == "/t/a.dcm"
+
+
+def test_classification_rules(spark):
+    rows = [("IM0001", False), ("DICOMDIR", False), ("dicomdir", False), ("DicomDir", False),
+            ("a.dcm", False), (".dot", False), ("sub", True)]
+    df = spark.createDataFrame(rows, "name string, is_dir boolean")
+    got = {r["name"]: (r["a"], r["n"]) for r in df.select(
+        "name", P.classify_entry("name", "is_dir").alias("a"), P.staged_name("name").alias("n")).collect()}
+    assert got["IM0001"] == ("copy", "IM0001.dcm")
+    assert got["DICOMDIR"][0] == "excluded" and got["dicomdir"][0] == "excluded"
+    assert got["DicomDir"] == ("copy", "DicomDir.dcm")  # exact exclusion list only
+    assert got["a.dcm"][0] == "has_extension" and got[".dot"][0] == "has_extension"
+    assert got["sub"][0] == "directory"
+    copy_all = df.select(P.classify_entry("name", "is_dir", copy_with_extension=True).alias("a"))
+    assert {r["a"] for r in copy_all.collect()} == {"copy", "excluded", "directory"}
+
+
+def test_schema_text_quotes(spark):
+    assert _one(spark, T.prepare_schema_text, "StructField('a', LongType(), True)") == \
+        'StructField("a", LongType(), True)'
+    assert _one(spark, T.restore_schema_text, 'x "y"') == "x 'y'"
+    assert T.prepare_schema_str("it's") == 'it"s'
+
+
+def test_landing_name_known_and_unknown_api(spark):
+    df = spark.createDataFrame(
+        [("stock/insider-sentiment", "TSLA"), ("foo/bar", "TSLA")], "api string, sym string"
+    ).withColumn("ts", F.lit("2025-01-29 10:00:00").cast("timestamp"))
+    names = [r["n"] for r in df.select(T.landing_file_name("api", "sym", "ts").alias("n")).collect()]
+    assert names == ["TSLA-01-29-2025.json", "None-01-29-2025.json"]
+
+
+def test_request_stats_columns(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", 1.5, '{"k": 1}')], "s string, v double, p string")
+    df = df.withColumn("s", F.col("s").cast("timestamp_ntz"))
+    end = T.add_seconds("s", "v")
+    r = df.select(T.elapsed_seconds(F.col("s"), end).alias("e"), T.payload_size("p").alias("b"),
+                  T.request_url("https://h/", F.lit("api"), F.lit("a=1")).alias("u")).first()
+    assert r["e"] == 1.5 and r["b"] == 8 and r["u"] == "https://h/api?a=1"
+
+
+def test_layer_domain():
+    assert T.check_layer("BRONZE") == "bronze"
+    try:
+        T.check_layer("copper")
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("unknown layer accepted")
+
+
+def test_fingerprint_ambiguity_and_strict_form(spark):
+    df = spark.createDataFrame([("a, b", "c"), ("a", "b, c"), (None, "x"), ("null", "x")], "a string, b string")
+    loose = [r["h"] for r in df.select(row_fingerprint(df).alias("h")).collect()]
+    strict = [r["h"] for r in df.select(strict_fingerprint(df).alias("h")).collect()]
+    assert loose[0] == loose[1] and loose[2] == loose[3]
+    assert len(set(strict)) == 4
+
+
+def test_hash_column_replaces_existing(spark):
+    df = spark.createDataFrame([(1, "old")], "id int, hash string")
+    out = add_hash_column(df)
+    assert out.columns == ["id", "hash"]
+    assert out.first()["hash"] != "old" and len(out.first()["hash"]) == 64
+
+
+def test_equal_rows_equal_hash(spark):
+    df = spark.createDataFrame([(1, "x", 2.5), (1, "x", 2.5)], "a int, b string, c double")
+    assert df.select(row_fingerprint(df).alias("h")).distinct().count() == 1

@@ -132,7 +132,8 @@ def read_quarantine(spark, path: str, file_format: str = "parquet"):
     """``(good, bad)`` from a :func:`write_quarantine` table; partition pruning
     means each side reads only its own files."""
     t = spark.read.format(file_format).load(path)
-    return (t.filter(~F.col(BAD_FLAG)).drop(BAD_FLAG), t.filter(F.col(BAD_FLAG)).drop(BAD_FLAG))
+    flag = F.col(BAD_FLAG).cast("boolean")  # partition values are discovered as text
+    return (t.filter(~flag).drop(BAD_FLAG), t.filter(flag).drop(BAD_FLAG))
 
 
 def hourly_volume(df: DataFrame, ts_col: str) -> DataFrame:

@@ -7,8 +7,9 @@ source store to the target store through ``pyarrow.fs`` (local disk, HDFS,
 S3, GCS, ABFS alike). Each transfer is retry-safe: it writes to a temporary
 name and renames, and a target that already exists with the source's size
 counts as done, so a task re-run after a lost executor does no harm.
-Outcomes are written once to the shared checkpoint folder and read back, so
-the side effect never runs twice through lineage re-evaluation.
+The work list and the outcomes are written to the shared checkpoint folder,
+so the side effect never runs twice through lineage re-evaluation and a
+retried task never depends on the (changing) source listing.
 """
 
 from __future__ import annotations
@@ -137,9 +138,13 @@ def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int |
     todo = plan.filter(F.col("new_path").isNotNull())
     if "folder" not in todo.columns:
         todo = todo.withColumn("folder", F.lit(None).cast("string"))
-    todo = todo.select("path", "new_path", "folder").repartition(n, "new_path")
-    outcomes = todo.mapInPandas(_runner(mode), OUTCOME_SCHEMA)
-    return materialize(outcomes, out_path or shared_path(spark, "outcomes"))
+    # The work list is written first: a retried task (lost executor) re-reads
+    # this table, never the source listing, whose files may already be moved.
+    out = out_path or shared_path(spark, "outcomes")
+    work = materialize(todo.select("path", "new_path", "folder").repartition(n, "new_path"),
+                       out.rstrip("/") + "__work")
+    outcomes = work.mapInPandas(_runner(mode), OUTCOME_SCHEMA)
+    return materialize(outcomes, out)
 
 
 def counts_per_folder(outcomes: DataFrame) -> DataFrame:

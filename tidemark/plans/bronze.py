@@ -23,7 +23,7 @@ from tidemark.operators.dates import any_ancient, repair_ancient_dates
 from tidemark.operators.files import FAILED, PROCESSED, execute_transfers, plan_disposition
 from tidemark.operators.lookup import route_sources, schema_exists
 from tidemark.operators.registry import read_registry, registry_insert
-from tidemark.session import shared_path
+from tidemark.session import materialize, shared_path
 from tidemark.sinks.writers import append_bronze
 from tidemark.sources.files import dirs_with_files, file_manifest
 from tidemark.sources.readers import load_data
@@ -47,7 +47,8 @@ def run_bronze_job(spark: SparkSession, landing_root: str, mapping: DataFrame,
                    run_id: str = "run", as_of: _dt.datetime | None = None) -> DataFrame:
     """Load every routed landing folder. Returns one status row per folder
     (routed or rejected)."""
-    manifest = file_manifest(spark, landing_root)
+    # snapshot of the listing: later stages move files, the snapshot stays readable
+    manifest = materialize(file_manifest(spark, landing_root), shared_path(spark, "bronze-manifest"))
     dirs = dirs_with_files(manifest).withColumn("folder", P.last_segment(F.col("directory")))
     routed, rejects = route_sources(dirs, mapping, "folder", layer)
     results = []

@@ -31,6 +31,8 @@ def get_session(master: str | None = None, app: str = "tidemark",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # nesting (collect_list) keeps hash aggregation for many keys per task
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
