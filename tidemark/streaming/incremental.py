@@ -26,11 +26,21 @@ BINARY_FILE_SCHEMA = StructType([
 ])
 
 
+LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
 def incremental_staging(spark: SparkSession, source_dir: str, target_dir: str, history_path: str,
                         checkpoint: str | None = None, fmt: str = "parquet",
                         layout: str = "nested", as_of: _dt.datetime | None = None,
-                        max_files_per_trigger: int | None = None):
-    """Stage every file that arrived since the last run; returns the finished query."""
+                        max_files_per_trigger: int | None = None,
+                        listing_parallelism: int | None = None):
+    """Stage every file that arrived since the last run; returns the finished query.
+
+    Each micro-batch names its new files one by one; above a few dozen paths
+    Spark stats them in a distributed listing job with one task per path (up
+    to 10,000). ``listing_parallelism`` (default: the cluster's default
+    parallelism) bounds that job's task count for this query only.
+    """
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
@@ -43,8 +53,14 @@ def incremental_staging(spark: SparkSession, source_dir: str, target_dir: str, h
                     manifest=manifest,
                     work_dir=shared_path(batch.sparkSession, "stream-batch", str(epoch)))
 
-    query = (listing.writeStream.foreachBatch(each_batch)
-             .option("checkpointLocation", checkpoint or shared_path(spark, "stream-checkpoint"))
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    previous = spark.conf.get(LISTING_PARALLELISM)
+    spark.conf.set(LISTING_PARALLELISM,
+                   str(listing_parallelism or spark.sparkContext.defaultParallelism))
+    try:  # held until the run ends: the stream copies the conf on its own thread
+        query = (listing.writeStream.foreachBatch(each_batch)
+                 .option("checkpointLocation", checkpoint or shared_path(spark, "stream-checkpoint"))
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    finally:
+        spark.conf.set(LISTING_PARALLELISM, previous)
     return query
