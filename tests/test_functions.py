@@ -12,7 +12,7 @@ def _one(spark, expr, value, dtype="string"):
     return df.select(expr(F.col("v")).alias("r")).first()["r"]
 
 
-LAKE = "abfss://ws-guid@onelake.example.com/lh-guid/Files/Ingest/stock"
+LAKE = "abfss://ws-guid@lake.example.com/lh-guid/Files/Ingest/stock"
 
 
 def test_last_segment_trailing_slash_and_file(spark):
