@@ -6,7 +6,8 @@ become one giant row in one task, so :func:`nest` splits such keys into
 numbered parts: counts per key are pre-aggregated (map-side partial
 aggregation, key columns only), keys over ``max_items`` get
 ``ceil(n / max_items)`` parts and their items are spread over the parts by a
-hash of the item. Every item is kept; nothing is capped or sampled.
+hash of the item; the rows are then shuffled by (key, part), so a hot key's
+parts land in different tasks. Every item is kept; nothing is capped or sampled.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.lookup import bounded_broadcast
+from tidemark.session import materialize, shared_path
 
 PART_COL = "part"
 DEFAULT_MAX_ITEMS = 10_000
@@ -44,21 +46,27 @@ def nest(child: DataFrame, key_cols, item_cols, items_name: str, max_items: int
     """
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     item_cols = list(item_cols)
+    spark = child.sparkSession
     counts = child.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
     heavy = (counts.filter(F.col("_n") > F.lit(max_items))
              .select(*key_cols, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("_parts")))
-    # Heavy keys are at most rows / max_items; broadcast only when proven small.
-    heavy = bounded_broadcast(heavy)
+    # Heavy keys (at most rows / max_items) are computed once and written to the
+    # shared folder; the size check and the join both read that small table.
+    heavy = bounded_broadcast(materialize(heavy, shared_path(spark, "heavy-keys")))
     item = F.struct(*[F.col(c) for c in item_cols])
     tagged = child.join(heavy, key_cols, "left").withColumn(
         PART_COL,
         F.when(F.col("_parts").isNull(), F.lit(0))
         .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in item_cols]), F.col("_parts")).cast("int")),
-    )
+    ).drop("_parts")
     items = F.collect_list(item)
     if sort_items:
         items = F.sort_array(items)
-    return tagged.groupBy(*key_cols, PART_COL).agg(items.alias(items_name))
+    # Shuffle the compact rows once by (key, part) and build each list in one
+    # place: a map-side partial collect_list cannot shrink anything, it only
+    # serializes per-task list buffers through the shuffle.
+    clustered = tagged.repartition(*[F.col(c) for c in key_cols], F.col(PART_COL))
+    return clustered.groupBy(*key_cols, PART_COL).agg(items.alias(items_name))
 
 
 def nest_two_levels(parent: DataFrame, child: DataFrame, parent_key: str, child_fk: str,
