@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import paths as P
-from tidemark.session import materialize, shared_path
+from tidemark.session import default_parallelism, materialize, shared_path
 
 OUTCOME_SCHEMA = "path string, new_path string, folder string, ok boolean, bytes long, error string"
 
@@ -134,7 +134,7 @@ def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int |
     if mode not in ("copy", "move"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = plan.sparkSession
-    n = num_partitions or max(1, spark.sparkContext.defaultParallelism * 4)
+    n = num_partitions or max(1, default_parallelism(spark) * 4)
     todo = plan.filter(F.col("new_path").isNotNull())
     if "folder" not in todo.columns:
         todo = todo.withColumn("folder", F.lit(None).cast("string"))

@@ -4,10 +4,10 @@ find landing directories -> route each through the mapping table -> load ->
 fingerprint -> repair ancient dates -> append with schema merge -> move the
 landed files to processed/ or failed/ -> register the schema.
 
-Each routed folder is a different target table with its own schema, so the
-job runs one Spark load per routed folder (a bounded list: one entry per
-mapping row); all per-file work (listing, disposition, moves) stays on
-executors.
+Each target table has its own schema and path, so the job runs one Spark
+load per target table (a list bounded by the mapping table, one read over all
+of the table's landing directories); all per-file work (listing,
+disposition, moves) stays on executors and unrouted folders stay a DataFrame.
 """
 
 from __future__ import annotations
@@ -46,46 +46,57 @@ def run_bronze_job(spark: SparkSession, landing_root: str, mapping: DataFrame,
                    registry_path: str | None = None, pipeline_name: str = "bronze",
                    run_id: str = "run", as_of: _dt.datetime | None = None) -> DataFrame:
     """Load every routed landing folder. Returns one status row per folder
-    (routed or rejected)."""
+    (routed folders: processed / failed; folders without a route: unrouted)."""
     # snapshot of the listing: later stages move files, the snapshot stays readable
     manifest = materialize(file_manifest(spark, landing_root), shared_path(spark, "bronze-manifest"))
     dirs = dirs_with_files(manifest).withColumn("folder", P.last_segment(F.col("directory")))
     routed, rejects = route_sources(dirs, mapping, "folder", layer)
+    # One load per target table (all its directories in one read); the list of
+    # routed directories is bounded by the mapping table, never by the data.
+    targets: dict = {}
+    for r in routed.collect():
+        key = (r["table"], r["full_target_path"], r["source_file_path"],
+               r["processed_file_path"], r["failed_file_path"])
+        targets.setdefault(key, []).append((r["directory"], r["folder"]))
     results = []
-    for r in routed.collect():  # one entry per target table
+    for (table, target, source, processed, failed), members in targets.items():
+        directories = [d for d, _ in members]
         status, error = PROCESSED, None
         try:
-            df = prepare_bronze(load_data(spark, r["directory"], file_format, options),
+            df = prepare_bronze(load_data(spark, directories, file_format, options),
                                 date_cols, policy, cutoff)
-            append_bronze(df, r["full_target_path"])
+            append_bronze(df, target)
             if registry_path:
-                _register(spark, registry_path, r, df, layer, pipeline_name, run_id, as_of)
+                _register(spark, registry_path, table, target, source, df, layer,
+                          pipeline_name, run_id, as_of)
         except Exception as e:  # route the files to failed/, then report
             status, error = FAILED, f"{type(e).__name__}: {e}"
-        files = (manifest.filter(P.parent_dir(F.col("path")) == F.lit(r["directory"]))
+        files = (manifest.filter(P.parent_dir(F.col("path")).isin(directories))
                  .withColumn("status", F.lit(status)))
-        moved = execute_transfers(
-            plan_disposition(files, "status", r["processed_file_path"], r["failed_file_path"]),
-            "move", out_path=shared_path(spark, "disposition"))
-        n_ok = moved.filter("ok").count()
-        results.append((r["folder"], r["table"], status, error, n_ok))
-    for r in rejects.collect():
-        results.append((r["folder"], None, "unrouted", None, 0))
-    return spark.createDataFrame(
-        results, "folder string, table string, status string, error string, files_moved long")
+        moved = execute_transfers(plan_disposition(files, "status", processed, failed), "move",
+                                  out_path=shared_path(spark, "disposition"))
+        per_dir = {row["d"]: row["n"] for row in moved.filter("ok").groupBy(
+            P.parent_dir(F.col("path")).alias("d")).count().withColumnRenamed("count", "n").collect()}
+        for directory, folder in members:
+            results.append((folder, table, status, error, int(per_dir.get(directory, 0))))
+    schema = "folder string, table string, status string, error string, files_moved long"
+    unrouted = rejects.select(
+        "folder", F.lit(None).cast("string").alias("table"), F.lit("unrouted").alias("status"),
+        F.lit(None).cast("string").alias("error"), F.lit(0).cast("long").alias("files_moved"))
+    return spark.createDataFrame(results, schema).unionByName(unrouted)
 
 
-def _register(spark, registry_path, route, df, layer, pipeline_name, run_id, as_of):
+def _register(spark, registry_path, table, target, source, df, layer, pipeline_name, run_id, as_of):
     text = prepare_schema_str(df.schema)
-    cand = spark.createDataFrame([(route["table"], text)], "tableName string, schemaDefinition string")
+    cand = spark.createDataFrame([(table, text)], "tableName string, schemaDefinition string")
     try:
         known = schema_exists(cand, read_registry(spark, registry_path)).count() > 0
-    except Exception:
+    except Exception:  # no registry table yet
         known = False
     if not known:
         registry_insert(spark, registry_path, [{
-            "tableName": route["table"], "layer": layer, "fullTablePath": route["full_target_path"],
-            "namespace": layer, "schemaDefinition": text, "tableSource": route["source_file_path"],
+            "tableName": table, "layer": layer, "fullTablePath": target,
+            "namespace": layer, "schemaDefinition": text, "tableSource": source,
         }], pipeline_name, run_id, as_of)
 
 

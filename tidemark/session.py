@@ -41,13 +41,26 @@ def get_session(master: str | None = None, app: str = "tidemark",
     return spark
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (falls back to the shuffle partition count
+    where no SparkContext is exposed)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session; only when it is unset (local runs, tests) a
     private directory is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext exposed (remote session): conf only
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        return (base or tempfile.mkdtemp(prefix="tidemark-ckpt-")).rstrip("/")
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if base:
         if sc.getCheckpointDir() is None:

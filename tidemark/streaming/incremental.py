@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from tidemark.plans.staging import run_staging
-from tidemark.session import shared_path
+from tidemark.session import default_parallelism, shared_path
 from tidemark.sources.files import with_path_parts
 
 BINARY_FILE_SCHEMA = StructType([
@@ -55,7 +55,7 @@ def incremental_staging(spark: SparkSession, source_dir: str, target_dir: str, h
 
     previous = spark.conf.get(LISTING_PARALLELISM)
     spark.conf.set(LISTING_PARALLELISM,
-                   str(listing_parallelism or spark.sparkContext.defaultParallelism))
+                   str(listing_parallelism or default_parallelism(spark)))
     try:  # held until the run ends: the stream copies the conf on its own thread
         query = (listing.writeStream.foreachBatch(each_batch)
                  .option("checkpointLocation", checkpoint or shared_path(spark, "stream-checkpoint"))

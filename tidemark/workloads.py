@@ -138,8 +138,10 @@ def q_staging_plan(spark, sf_dir):
 
 def q_staging_counts(spark, sf_dir):
     manifest = lineitem_manifest(spark, sf_dir)
-    history = manifest.filter(F.col("folder") < F.lit(MANIFEST_HISTORY_CUTOFF.replace("-", ""))) \
-        .select(F.col("folder").alias("source_folder")).distinct()
+    # the day folders shipped before the cutoff were staged by earlier runs
+    history = (table(spark, sf_dir, "lineitem")
+               .filter(F.col("l_shipdate") < F.lit(MANIFEST_HISTORY_CUTOFF).cast("timestamp_ntz"))
+               .select(F.date_format("l_shipdate", "yyyyMMdd").alias("source_folder")).distinct())
     todo = unprocessed_folders(manifest, history, "folder", "source_folder")
     return _staging_counts(plan_copy(todo, TARGET_DIR, "nested"))
 
