@@ -57,6 +57,24 @@ def unprocessed_folders(folders: DataFrame, history: DataFrame, folder_col: str
     return folders.join(keys, folders[folder_col] == keys["_done_key"], "left_anti")
 
 
+def rows_of_unprocessed_folders(rows: DataFrame, history: DataFrame, folder_col: str = "folder",
+                                hist_col: str = "source_folder",
+                                max_broadcast_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Rows (files) whose folder is not yet in the history, for many rows per folder.
+
+    The rows are first reduced to their distinct folders (map-side partial
+    aggregation), those folders are anti-joined with the history, and the rows
+    are semi-joined back to the new folders, broadcast when their count is
+    proven small. A large history therefore never meets the file-level rows,
+    and a folder holding a third of all files never concentrates in one
+    shuffle partition.
+    """
+    folders = rows.select(F.col(folder_col).alias("_new_folder")).distinct()
+    new = unprocessed_folders(folders, history, "_new_folder", hist_col, max_broadcast_rows)
+    new = bounded_broadcast(new, max_broadcast_rows)
+    return rows.join(new, rows[folder_col].eqNullSafe(new["_new_folder"]), "left_semi")
+
+
 def seen_folders(folders: DataFrame, history: DataFrame, folder_col: str = "folder",
                  hist_col: str = "source_folder", flag_col: str = "processed",
                  max_broadcast_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:

@@ -6,8 +6,9 @@ run is a handful of jobs regardless of the number of folders or files:
 
 1. manifest (distributed listing, or a supplied table) restricted to
    ``<source>/<folder>/<file>``;
-2. left anti join against the folders the history counts as done (size-checked
-   broadcast of the distinct history keys);
+2. distinct folders (partial aggregation) anti-joined with the folders the
+   history counts as done, then the files semi-joined to the new folders
+   (size-checked broadcasts on both small sides);
 3. classification + target path (one Project), written once as the run's plan;
 4. copies on executors (``mapInPandas``), outcomes written once;
 5. per-folder counts (partial aggregation) appended to the history.
@@ -27,7 +28,7 @@ from tidemark.functions import paths as P
 from tidemark.functions.text import clock
 from tidemark.operators.audit import stable_id
 from tidemark.operators.files import counts_per_folder, execute_transfers, plan_copy
-from tidemark.operators.lookup import unprocessed_folders
+from tidemark.operators.lookup import rows_of_unprocessed_folders
 from tidemark.session import materialize, shared_path
 from tidemark.sinks.writers import create_table
 from tidemark.sources.files import file_manifest, folder_files
@@ -98,7 +99,7 @@ def stage_plan(manifest: DataFrame, history: DataFrame, source_dir: str, target_
                copy_with_extension: bool = False) -> DataFrame:
     """Lazy plan of one run: files of new folders, classified, with targets."""
     files = folder_files(manifest, source_dir)
-    todo = unprocessed_folders(files, history, "folder", "source_folder")
+    todo = rows_of_unprocessed_folders(files, history, "folder", "source_folder")
     return plan_copy(todo, target_dir, layout, exclude, copy_with_extension)
 
 

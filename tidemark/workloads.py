@@ -28,7 +28,8 @@ from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.dates import hourly_volume, hourly_volume_by_policy, repair_ancient_dates
 from tidemark.operators.documents import extract_tags, flatten_all, nest_two_levels
 from tidemark.operators.files import plan_copy, plan_disposition
-from tidemark.operators.lookup import route_all, route_first, seen_folders, unprocessed_folders
+from tidemark.operators.lookup import (route_all, route_first, rows_of_unprocessed_folders,
+                                       seen_folders, unprocessed_folders)
 from tidemark.plans.staging import history_records, staging_counts as _staging_counts, union_history
 from tidemark.session import shared_path
 from tidemark.plans.imaging import move_and_verify
@@ -142,7 +143,7 @@ def q_staging_counts(spark, sf_dir):
     history = (table(spark, sf_dir, "lineitem")
                .filter(F.col("l_shipdate") < F.lit(MANIFEST_HISTORY_CUTOFF).cast("timestamp_ntz"))
                .select(F.date_format("l_shipdate", "yyyyMMdd").alias("source_folder")).distinct())
-    todo = unprocessed_folders(manifest, history, "folder", "source_folder")
+    todo = rows_of_unprocessed_folders(manifest, history, "folder", "source_folder")
     return _staging_counts(plan_copy(todo, TARGET_DIR, "nested"))
 
 
