@@ -10,7 +10,8 @@ from __future__ import annotations
 from tidemark.functions.paths import EXCLUDED_NAMES, IMAGING_SUFFIX, WORKSPACE_PATTERN
 from tidemark.functions.text import LAYERS
 from tidemark.workloads import (AS_OF, API_BASE, DATE_CUTOFF, EVENTS_HISTORY_CUTOFF,
-                                MANIFEST_HISTORY_CUTOFF, PIPELINE_NAME, ROUTE_PROBE_FOLDER, RUN_ID,
+                                MANIFEST_HISTORY_CUTOFF, PIPELINE_NAME, ROUTE_PROBE_FOLDER,
+                                ROUTE_PROBE_LAYER, RUN_ID,
                                 SOURCE_DIR, STAND_IN_APIS, TARGET_DIR)
 
 
@@ -137,9 +138,13 @@ SELECT c.c_custkey, c.folder, r."table", r.source_file_path, r.full_target_path,
 FROM c LEFT JOIN r ON c.folder = r.folder""",
 
     "route_first": f"""
-WITH {NATION_MAPPING}
-SELECT "table", source_file_path, full_target_path, processed_file_path, failed_file_path
-FROM mp WHERE folder = {_q(ROUTE_PROBE_FOLDER)} AND layer = 'bronze' LIMIT 1""",
+SELECT lower(c.c_mktsegment) AS "table", 'Files/Ingest/' || c.c_name AS source_file_path,
+       'Tables/' || lower(c.c_mktsegment) AS full_target_path,
+       'Files/Processed/' || c.c_name AS processed_file_path,
+       'Files/Failed/' || c.c_name AS failed_file_path
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE c.c_name = {_q(ROUTE_PROBE_FOLDER)} AND {LAYER_LIST}[n.n_regionkey + 1] = {_q(ROUTE_PROBE_LAYER)}
+LIMIT 1""",
 
     "row_fingerprint": f"""
 SELECT *, sha256('{{' || {_fp_part('c_custkey')} || ', ' || {_fp_part('c_name')} || ', '
@@ -148,10 +153,13 @@ SELECT *, sha256('{{' || {_fp_part('c_custkey')} || ', ' || {_fp_part('c_name')}
 FROM customer""",
 
     "strict_fingerprint": """
-SELECT *, sha256('{"n_nationkey":' || coalesce(CAST(n_nationkey AS VARCHAR), 'null')
-                 || ',"n_name":' || coalesce(CAST(to_json(n_name) AS VARCHAR), 'null')
-                 || ',"n_regionkey":' || coalesce(CAST(n_regionkey AS VARCHAR), 'null') || '}') AS hash
-FROM nation""",
+SELECT *, sha256('{"c_custkey":' || coalesce(CAST(c_custkey AS VARCHAR), 'null')
+                 || ',"c_name":' || coalesce(CAST(to_json(c_name) AS VARCHAR), 'null')
+                 || ',"c_nationkey":' || coalesce(CAST(c_nationkey AS VARCHAR), 'null')
+                 || ',"c_acctbal":' || coalesce(CAST(c_acctbal AS VARCHAR), 'null')
+                 || ',"c_mktsegment":' || coalesce(CAST(to_json(c_mktsegment) AS VARCHAR), 'null')
+                 || '}') AS hash
+FROM customer""",
 
     "dates_sentinel": f"""
 SELECT {ORDER_COLS.format(d=_date_case("TIMESTAMP '1900-01-01 00:00:00'"))} FROM orders""",

@@ -12,6 +12,7 @@ tables stand in for the objects of an ingestion run:
   documents whose children are ``lineitem`` rows;
 * ``customer`` x ``nation`` is routing (``n_regionkey`` plays the layer).
 
+
 Column names and types of each query equal those of its oracle SQL.
 """
 
@@ -51,7 +52,8 @@ PIPELINE_NAME = "imaging_ingestion"
 RUN_ID = "run-0001"
 API_BASE = "https://api.example.com/v1/"
 STAND_IN_APIS = ("click", "view", "purchase")
-ROUTE_PROBE_FOLDER = "10"
+ROUTE_PROBE_FOLDER = "Customer#000000002"
+ROUTE_PROBE_LAYER = "silver"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -178,8 +180,25 @@ def q_route_sources(spark, sf_dir):
     return route_all(probe, nation_mapping(spark, sf_dir), "folder", "bronze").drop("_routed")
 
 
+def customer_mapping(spark, sf_dir) -> DataFrame:
+    """A routing table that grows with the data: one route per customer folder,
+    the layer taken from the customer's nation's region."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    seg = F.lower(F.col("c_mktsegment"))
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
+        F.col("c_name").alias("folder"),
+        F.get(F.array(*[F.lit(x) for x in T.LAYERS]), F.col("n_regionkey")).alias("layer"),
+        seg.alias("table"),
+        F.concat(F.lit("Files/Ingest/"), F.col("c_name")).alias("source_file_path"),
+        F.concat(F.lit("Tables/"), seg).alias("full_target_path"),
+        F.concat(F.lit("Files/Processed/"), F.col("c_name")).alias("processed_file_path"),
+        F.concat(F.lit("Files/Failed/"), F.col("c_name")).alias("failed_file_path"),
+    )
+
+
 def q_route_first(spark, sf_dir):
-    return route_first(nation_mapping(spark, sf_dir), ROUTE_PROBE_FOLDER, "bronze")
+    return route_first(customer_mapping(spark, sf_dir), ROUTE_PROBE_FOLDER, ROUTE_PROBE_LAYER)
 
 
 def q_row_fingerprint(spark, sf_dir):
@@ -187,8 +206,8 @@ def q_row_fingerprint(spark, sf_dir):
 
 
 def q_strict_fingerprint(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    return n.withColumn("hash", strict_fingerprint(n))
+    c = table(spark, sf_dir, "customer")
+    return c.withColumn("hash", strict_fingerprint(c))
 
 
 def _orders(spark, sf_dir):
