@@ -45,6 +45,15 @@ def test_bounded_broadcast_counts_at_most_bound_plus_one(spark):
     assert bounded_broadcast(df, 10) is not df
 
 
+def test_rows_of_unprocessed_folders_both_paths(spark):
+    from tidemark.operators.lookup import rows_of_unprocessed_folders
+    files = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "folder string, f int")
+    hist = _history(spark, [("a", 2, 0), ("c", 1, 1)])
+    small = rows_of_unprocessed_folders(files, hist)
+    large = rows_of_unprocessed_folders(files, hist, max_broadcast_rows=0)
+    assert sorted(r["f"] for r in small.collect()) == sorted(r["f"] for r in large.collect()) == [3, 4]
+
+
 def test_seen_folders_flag(spark):
     folders = spark.createDataFrame([("a",), ("b",)], "folder string")
     got = {r["folder"]: r["processed"] for r in seen_folders(folders, _history(spark, [("a", 1, 0)])).collect()}

@@ -62,15 +62,18 @@ def rows_of_unprocessed_folders(rows: DataFrame, history: DataFrame, folder_col:
                                 max_broadcast_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Rows (files) whose folder is not yet in the history, for many rows per folder.
 
-    The rows are first reduced to their distinct folders (map-side partial
-    aggregation), those folders are anti-joined with the history, and the rows
-    are semi-joined back to the new folders, broadcast when their count is
-    proven small. A large history therefore never meets the file-level rows,
-    and a folder holding a third of all files never concentrates in one
-    shuffle partition.
+    Within the bound, the history keys are broadcast and the anti join is a
+    map-side hash lookup on the file rows: no shuffle at all, so a folder
+    holding a third of all files costs nothing extra. Beyond it, the rows are
+    first reduced to their distinct folders (partial aggregation), only those
+    meet the large history in a shuffle join, and the rows are semi-joined
+    back to the new folders (broadcast when that list is proven small).
     """
+    keys = processed_keys(history, hist_col)
+    if within_rows(keys, max_broadcast_rows):
+        return rows.join(F.broadcast(keys), rows[folder_col] == keys["_done_key"], "left_anti")
     folders = rows.select(F.col(folder_col).alias("_new_folder")).distinct()
-    new = unprocessed_folders(folders, history, "_new_folder", hist_col, max_broadcast_rows)
+    new = folders.join(keys, folders["_new_folder"] == keys["_done_key"], "left_anti")
     new = bounded_broadcast(new, max_broadcast_rows)
     return rows.join(new, rows[folder_col].eqNullSafe(new["_new_folder"]), "left_semi")
 

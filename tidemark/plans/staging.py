@@ -6,9 +6,9 @@ run is a handful of jobs regardless of the number of folders or files:
 
 1. manifest (distributed listing, or a supplied table) restricted to
    ``<source>/<folder>/<file>``;
-2. distinct folders (partial aggregation) anti-joined with the folders the
-   history counts as done, then the files semi-joined to the new folders
-   (size-checked broadcasts on both small sides);
+2. anti join against the folders the history counts as done: a broadcast
+   hash lookup on the file rows when the history keys are proven small,
+   else distinct folders first, then the files semi-joined back;
 3. classification + target path (one Project), written once as the run's plan;
 4. copies on executors (``mapInPandas``), outcomes written once;
 5. per-folder counts (partial aggregation) appended to the history.
