@@ -97,3 +97,10 @@ def test_properties(spark, values):
         assert s.day == v.day or (v.month == 2 and v.day == 29 and s.day == 28)
     good, bad = repair_ancient_dates(df, ["d"], "quarantine")
     assert good.count() + bad.count() == len(values)
+
+
+def test_ancient_report_counts_per_column(spark):
+    from tidemark.plans.bronze import ancient_report
+    df = _df(spark).withColumn("e", F.col("d"))
+    r = ancient_report(df, ["d", "e"]).first()
+    assert (r["d"], r["e"], r["any"]) == (2, 2, 2)

@@ -84,3 +84,23 @@ def test_extract_tags(spark):
     out = extract_tags(df, "t", "k int, m string", {"k_text": "$.k"}).collect()
     assert (out[0]["k"], out[0]["m"], out[0]["k_text"]) == (5, "x", "5")
     assert out[1]["k"] is None and out[1]["k_text"] is None
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+def _key(t):
+    return tuple((x is None, x if x is not None else 0) for x in t)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 5))),
+                min_size=0, max_size=40),
+       st.integers(1, 4))
+def test_flatten_of_nest_is_identity_as_multiset(spark, rows, max_items):
+    df = spark.createDataFrame(rows, "k int, a int, b int")
+    docs = nest(df, ["k"], ["a", "b"], "items", max_items=max_items)
+    back = flatten_all(docs, ["items"]).drop("part")
+    got = sorted((tuple(r) for r in back.select("k", "a", "b").collect()), key=_key)
+    assert got == sorted(rows, key=_key)
+    assert {r["k"] for r in docs.select("k").collect()} == {k for k, _, _ in rows}

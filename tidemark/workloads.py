@@ -42,7 +42,6 @@ from tidemark.sources.readers import load_data, read_documents
 
 # Parameters of the stand-in runs
 TARGET_DIR = "/lake/Files/Ingest/Imaging/DICOM"
-LANDING_ROOT = "/landing"
 SOURCE_DIR = "/lake/Files/External/Imaging/DICOM/input"
 DATE_CUTOFF = "1997-01-01"          # orders: dates before it are "ancient"
 EVENTS_HISTORY_CUTOFF = "2024-01-15"  # events: days before it were processed earlier
