@@ -43,6 +43,9 @@ def test_bounded_broadcast_counts_at_most_bound_plus_one(spark):
     df = spark.range(10)
     assert bounded_broadcast(df, 9) is df
     assert bounded_broadcast(df, 10) is not df
+    wide = spark.range(10).selectExpr("repeat('x', 1000) AS s")
+    assert bounded_broadcast(wide, 10, max_bytes=5_000) is wide  # few rows, too many bytes
+    assert bounded_broadcast(wide, 10, max_bytes=50_000) is not wide
 
 
 def test_rows_of_unprocessed_folders_both_paths(spark):

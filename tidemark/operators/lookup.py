@@ -15,22 +15,31 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.text import check_layer
 
-# Largest small side broadcast without question; above it the plan stays a
-# shuffle join. 2M narrow key rows is a few tens of MB per executor.
+# Largest small side that is broadcast; above either bound the plan stays a
+# shuffle join. Both are checked on the actual rows, not on estimates.
 BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_BYTE_LIMIT = 64 * 1024 * 1024
 
 ROUTE_COLUMNS = ("table", "source_file_path", "full_target_path", "processed_file_path", "failed_file_path")
 
 
-def within_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows (LIMIT pushdown), so the check is bounded itself."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def within_rows(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (and, if given, at most
+    ``max_bytes`` bytes, measured as the rows' JSON text). One job that reads at
+    most ``max_rows + 1`` rows (LIMIT pushdown), so the check is bounded itself."""
+    head = df.limit(max_rows + 1)
+    if max_bytes is None:
+        return head.count() <= max_rows
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    r = head.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if within_rows(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT,
+                      max_bytes: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
+    """``broadcast(df)`` when its row count and byte size are proven within the
+    bounds, else ``df`` unchanged (the join then stays a shuffle join)."""
+    return F.broadcast(df) if within_rows(df, max_rows, max_bytes) else df
 
 
 def processed_keys(history: DataFrame, hist_col: str = "source_folder") -> DataFrame:
@@ -70,7 +79,7 @@ def rows_of_unprocessed_folders(rows: DataFrame, history: DataFrame, folder_col:
     back to the new folders (broadcast when that list is proven small).
     """
     keys = processed_keys(history, hist_col)
-    if within_rows(keys, max_broadcast_rows):
+    if within_rows(keys, max_broadcast_rows, BROADCAST_BYTE_LIMIT):
         return rows.join(F.broadcast(keys), rows[folder_col] == keys["_done_key"], "left_anti")
     folders = rows.select(F.col(folder_col).alias("_new_folder")).distinct()
     new = folders.join(keys, folders["_new_folder"] == keys["_done_key"], "left_anti")
