@@ -71,9 +71,15 @@ def test_imaging_job_stages_and_resume(spark, scratch):
         [(1, 1, '{"rows": 512, "cols": 512}'), (1, 2, '{"rows": 256, "cols": 256}'),
          (2, 1, '{"rows": 128, "cols": 64}')], "study_fk long, n int, tags string")
     work = os.path.join(scratch, "run")
+    raw, process = os.path.join(scratch, "raw"), os.path.join(scratch, "process")
+    os.makedirs(raw)
+    for n in ("IM1", "IM2"):
+        with open(os.path.join(raw, n), "w") as f:
+            f.write("x")
     bronze, silver = run_imaging_job(spark, studies, instances, "study", "study_fk", "patient", work,
                                      "imaging", "r1", AS_OF, tags_col="tags",
-                                     tag_schema="rows int, cols int")
+                                     tag_schema="rows int, cols int", raw_dir=raw, process_dir=process)
+    assert sorted(os.listdir(process)) == ["IM1", "IM2"] and os.listdir(raw) == []
     assert bronze.count() == 2 and "_createdByPipelineRunID" in bronze.columns
     rows = sorted((r["patient"], r["study"], r["n"], r["rows"]) for r in silver.collect())
     assert rows == [(100, 1, 1, 512), (100, 1, 2, 256), (100, 2, 1, 128), (200, 3, None, None)]

@@ -13,17 +13,16 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions import paths as P
 from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.documents import extract_tags, flatten_all, nest_two_levels
 from tidemark.operators.files import execute_transfers, verify_arrived
-from tidemark.session import local_fs_path
+from tidemark.session import local_fs_path, materialize
 from tidemark.sinks.writers import append_bronze, read_bronze, write_ndjson
 from tidemark.sources.files import file_manifest, with_path_parts
 from tidemark.sources.readers import read_documents
-from tidemark.functions import paths as P
-from pyspark.sql import functions as F
 
 
 def _done(path: str) -> bool:
@@ -53,9 +52,20 @@ def move_and_verify(spark: SparkSession, source_dir: str, target_dir: str,
 def run_imaging_job(spark: SparkSession, parent: DataFrame, child: DataFrame, parent_key: str,
                     child_fk: str, doc_key: str, work_dir: str, pipeline_name: str, run_id: str,
                     as_of: _dt.datetime | None = None, tags_col: str | None = None,
-                    tag_schema=None, child_items: str = "items", parent_items: str = "entries"):
-    """Compose C22 -> N1 -> K8 -> N2 -> N3. Returns ``(bronze_docs, silver_rows)``."""
+                    tag_schema=None, child_items: str = "items", parent_items: str = "entries",
+                    raw_dir: str | None = None, process_dir: str | None = None):
+    """Compose K9 -> C22 -> N1 -> K8 -> N2 -> N3. Returns ``(bronze_docs, silver_rows)``.
+
+    With ``raw_dir`` and ``process_dir``, the raw files are first moved and
+    verified (K9); a missing file stops the run before any table is written.
+    """
     work = work_dir.rstrip("/")
+    if raw_dir and process_dir and not _done(f"{work}/raw_movement"):
+        outcomes, missing = move_and_verify(spark, raw_dir, process_dir, f"{work}/raw_outcomes")
+        n_missing = missing.count()
+        if n_missing:
+            raise RuntimeError(f"{n_missing} raw files did not arrive in {process_dir}")
+        materialize(outcomes, f"{work}/raw_movement")
     if tags_col:
         child = stage(spark, f"{work}/tags", lambda: extract_tags(child, tags_col, tag_schema).drop(tags_col))
     docs = stage(spark, f"{work}/documents",
