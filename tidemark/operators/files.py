@@ -122,28 +122,35 @@ def _runner(mode: str):
     return run
 
 
+# Transfers per task when the task count is derived from the work list.
+FILES_PER_TASK = 256
+
+
 def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int | None = None,
                       out_path: str | None = None) -> DataFrame:
     """Run the copies (or moves) of every planned row with a ``new_path``.
 
-    Hash-partitioned by target path into ``num_partitions`` tasks (default:
-    4 x default parallelism) so many small rows are spread over the cluster;
-    a user-set partition count is never coalesced away by AQE. The outcome
-    table is written to the shared folder and returned (this is an action).
+    The work list (paths only) is written to the shared folder first, so a
+    retried task (lost executor) re-reads it and never the source listing,
+    whose files may already have moved. Its row count then sizes the task
+    count: ``ceil(rows / FILES_PER_TASK)``, at most 4 x default parallelism,
+    unless ``num_partitions`` is given; rows are hash-spread by target path,
+    so a folder holding a third of the files is spread over all tasks. The
+    row size says nothing about the work (bytes copied), so this is a fixed
+    repartition that AQE never coalesces. The outcome table is written to the
+    shared folder and returned (this is an action).
     """
     if mode not in ("copy", "move"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = plan.sparkSession
-    n = num_partitions or max(1, default_parallelism(spark) * 4)
     todo = plan.filter(F.col("new_path").isNotNull())
     if "folder" not in todo.columns:
         todo = todo.withColumn("folder", F.lit(None).cast("string"))
-    # The work list is written first: a retried task (lost executor) re-reads
-    # this table, never the source listing, whose files may already be moved.
     out = out_path or shared_path(spark, "outcomes")
-    work = materialize(todo.select("path", "new_path", "folder").repartition(n, "new_path"),
-                       out.rstrip("/") + "__work")
-    outcomes = work.mapInPandas(_runner(mode), OUTCOME_SCHEMA)
+    work = materialize(todo.select("path", "new_path", "folder"), out.rstrip("/") + "__work")
+    n = num_partitions or max(1, min(default_parallelism(spark) * 4,
+                                     -(-work.count() // FILES_PER_TASK)))
+    outcomes = work.repartition(n, "new_path").mapInPandas(_runner(mode), OUTCOME_SCHEMA)
     return materialize(outcomes, out)
 
 

@@ -86,11 +86,15 @@ def land_files(df: DataFrame, root: str, dir_col: str, name_col: str, content_co
     """Write one file per record at ``<root>/<dir>/<name>`` (text or binary
     content), from executors; retry-safe (temp name + rename, equal size = done).
     Returns the outcome table, written once to the shared folder (an action)."""
-    from tidemark.session import default_parallelism, materialize, shared_path
+    from tidemark.session import materialize, shared_path
 
     spark = df.sparkSession
-    n = num_partitions or max(1, default_parallelism(spark) * 4)
     rows = df.select(F.col(dir_col).cast("string").alias("_dir"), F.col(name_col).alias("_name"),
-                     F.col(content_col).alias("_content")).repartition(n, "_dir", "_name")
+                     F.col(content_col).alias("_content"))
+    # Rows carry the file contents, so bytes measure the work: let AQE size
+    # the tasks (rebalance splits large and merges small partitions), unless
+    # a task count is given.
+    rows = (rows.repartition(num_partitions, "_dir", "_name") if num_partitions
+            else rows.hint("rebalance", "_dir", "_name"))
     outcomes = rows.mapInPandas(_file_writer(root), FILE_OUTCOME_SCHEMA)
     return materialize(outcomes, out_path or shared_path(spark, "landed"))
