@@ -105,3 +105,19 @@ def test_hash_column_replaces_existing(spark):
 def test_equal_rows_equal_hash(spark):
     df = spark.createDataFrame([(1, "x", 2.5), (1, "x", 2.5)], "a int, b string, c double")
     assert df.select(row_fingerprint(df).alias("h")).distinct().count() == 1
+
+
+def test_epoch_and_ids(spark):
+    from tidemark.operators.audit import stable_id
+    df = spark.createDataFrame([(1_700_000_000.25, "a")], "e double, f string")
+    r = df.select(T.epoch_to_utc("e").alias("t"), stable_id("/src", F.col("f")).alias("i"),
+                  stable_id("/src", F.lit("b")).alias("j")).first()
+    assert r["t"].isoformat().startswith("2023-11-14T22:13:20.25")
+    assert len(r["i"]) == 64 and r["i"] != r["j"]
+
+
+def test_schema_text_roundtrip():
+    from pyspark.sql.types import LongType, StructField, StructType
+    st = StructType([StructField("id", LongType(), True)])
+    assert T.schema_text(st) == str(st)
+    assert "'" not in T.prepare_schema_str(st)

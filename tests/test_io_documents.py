@@ -104,3 +104,18 @@ def test_flatten_of_nest_is_identity_as_multiset(spark, rows, max_items):
     got = sorted((tuple(r) for r in back.select("k", "a", "b").collect()), key=_key)
     assert got == sorted(rows, key=_key)
     assert {r["k"] for r in docs.select("k").collect()} == {k for k, _, _ in rows}
+
+
+def test_create_table_fails_when_present_and_read_table(spark, scratch):
+    from tidemark.sinks.writers import create_table
+    from tidemark.sources.readers import read_table
+    path = f"{scratch}/t"
+    df = spark.createDataFrame([(1,)], "a int")
+    create_table(df, path)
+    try:
+        create_table(df, path)
+    except Exception:
+        pass
+    else:
+        raise AssertionError("second create succeeded")
+    assert read_table(spark, path).count() == 1

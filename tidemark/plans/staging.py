@@ -122,6 +122,8 @@ def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_p
     history = read_history(spark, history_path, fmt)
     plan = materialize(stage_plan(manifest, history, source_dir, target_dir, layout),
                        f"{work}/plan")
+    if plan.isEmpty():  # nothing new: no transfers, nothing to log
+        return spark.createDataFrame([], HISTORY_SCHEMA)
     outcomes = execute_transfers(plan, "copy", num_partitions, f"{work}/outcomes")
     # every new folder gets a row, also one where nothing needed copying
     folders = plan.select("folder").distinct()
