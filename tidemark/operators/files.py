@@ -89,12 +89,20 @@ def _transfer(src: str, dst: str, mode: str, attempt: str):
         return True, src_info.size, None  # done by an earlier attempt
     parent = dst_path.rsplit("/", 1)[0]
     fs.create_dir(parent, recursive=True)
-    if mode == "move":
-        fs.move(src_path, dst_path)
-    else:
-        tmp = f"{parent}/._tmp-{attempt}-{dst_path.rsplit('/', 1)[-1]}"
-        fs.copy_file(src_path, tmp)
-        fs.move(tmp, dst_path)
+    try:
+        if mode == "move":
+            fs.move(src_path, dst_path)
+        else:
+            tmp = f"{parent}/._tmp-{attempt}-{dst_path.rsplit('/', 1)[-1]}"
+            fs.copy_file(src_path, tmp)
+            fs.move(tmp, dst_path)
+    except OSError:
+        # A concurrent attempt (speculation, retry) may have placed the same
+        # file first; an equal-size target means the transfer is done.
+        done = fs.get_file_info(dst_path)
+        if done.type == pafs.FileType.File and done.size == src_info.size:
+            return True, src_info.size, None
+        raise
     return True, src_info.size, None
 
 
