@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import paths as P
-from tidemark.session import default_parallelism, materialize, shared_path
+from tidemark.session import default_parallelism, fs_uri, materialize, shared_path
 
 OUTCOME_SCHEMA = "path string, new_path string, folder string, ok boolean, bytes long, error string"
 
@@ -63,20 +63,12 @@ def plan_disposition(manifest: DataFrame, status_col: str, processed_dir, failed
     return manifest.withColumn("new_path", P.join_path(base, F.col("name")))
 
 
-def _uri(p: str) -> str:
-    if p.startswith("file:") and not p.startswith("file://"):
-        return "file://" + p[len("file:"):]
-    if p.startswith("/"):
-        return "file://" + p
-    return p
-
-
 def _transfer(src: str, dst: str, mode: str, attempt: str):
     """Copy or move one file, idempotently. Returns (ok, bytes, error)."""
     import pyarrow.fs as pafs
 
-    fs, src_path = pafs.FileSystem.from_uri(_uri(src))
-    _, dst_path = pafs.FileSystem.from_uri(_uri(dst))
+    fs, src_path = pafs.FileSystem.from_uri(fs_uri(src))
+    _, dst_path = pafs.FileSystem.from_uri(fs_uri(dst))
     src_info = fs.get_file_info(src_path)
     dst_info = fs.get_file_info(dst_path)
     if src_info.type == pafs.FileType.NotFound:

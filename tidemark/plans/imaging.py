@@ -11,7 +11,6 @@ resumes from the last finished table instead of starting over.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,14 +18,14 @@ from tidemark.functions import paths as P
 from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.documents import extract_tags, flatten_all, nest_two_levels
 from tidemark.operators.files import execute_transfers, verify_arrived
-from tidemark.session import local_fs_path, materialize
+from tidemark.session import materialize, path_exists, touch
 from tidemark.sinks.writers import append_bronze, read_bronze, write_ndjson
 from tidemark.sources.files import file_manifest, with_path_parts
 from tidemark.sources.readers import read_documents
 
 
 def _done(path: str) -> bool:
-    return os.path.exists(os.path.join(local_fs_path(path), "_SUCCESS"))
+    return path_exists(path.rstrip("/") + "/_SUCCESS")
 
 
 def stage(spark: SparkSession, path: str, build, fmt: str = "parquet") -> DataFrame:
@@ -78,7 +77,7 @@ def run_imaging_job(spark: SparkSession, parent: DataFrame, child: DataFrame, pa
     if not _done(bronze_path):
         loaded = read_documents(spark, ndjson, docs.schema)
         append_bronze(add_audit_columns(loaded, pipeline_name, run_id, as_of), bronze_path)
-        open(os.path.join(local_fs_path(bronze_path), "_SUCCESS"), "a").close()
+        touch(bronze_path + "/_SUCCESS")
     bronze = read_bronze(spark, bronze_path)
     silver = stage(spark, f"{work}/silver",
                    lambda: flatten_all(bronze.filter(F.col("_corrupt_record").isNull())

@@ -104,5 +104,33 @@ def local_fs_path(uri: str) -> str:
     return uri
 
 
+def fs_uri(path: str) -> str:
+    """A URI ``pyarrow.fs`` resolves: bare absolute paths and ``file:/x`` become
+    ``file:///x``; other schemes (hdfs, s3, gs, abfs) pass through."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    if path.startswith("/"):
+        return "file://" + path
+    return path
+
+
+def path_exists(path: str) -> bool:
+    """Whether a file or directory exists, on any store ``pyarrow.fs`` supports."""
+    import pyarrow.fs as pafs
+
+    fs, p = pafs.FileSystem.from_uri(fs_uri(path))
+    return fs.get_file_info(p).type != pafs.FileType.NotFound
+
+
+def touch(path: str) -> None:
+    """Create an empty marker file (parents included)."""
+    import pyarrow.fs as pafs
+
+    fs, p = pafs.FileSystem.from_uri(fs_uri(path))
+    fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(p):
+        pass
+
+
 def ensure_dir(path: str) -> None:
     os.makedirs(local_fs_path(path), exist_ok=True)
