@@ -31,14 +31,14 @@ from tidemark.operators.documents import extract_tags, flatten_all, nest_two_lev
 from tidemark.operators.files import plan_copy, plan_disposition
 from tidemark.operators.lookup import (route_all, route_first, rows_of_unprocessed_folders,
                                        seen_folders, unprocessed_folders)
-from tidemark.plans.staging import history_records, staging_counts as _staging_counts, union_history
-from tidemark.session import shared_path
 from tidemark.plans.imaging import move_and_verify
-from tidemark.plans.staging import read_history, run_staging
+from tidemark.plans.staging import (history_records, read_history, run_staging,
+                                    staging_counts as _staging_counts, union_history)
+from tidemark.session import shared_path
 from tidemark.sinks.writers import append_bronze, land_files, read_bronze, write_ndjson
-from tidemark.streaming.incremental import incremental_staging
 from tidemark.sources.files import dirs_with_files as _dirs_with_files, with_path_parts
 from tidemark.sources.readers import load_data, read_documents
+from tidemark.streaming.incremental import incremental_staging
 
 # Parameters of the stand-in runs
 TARGET_DIR = "/lake/Files/Ingest/Imaging/DICOM"
