@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from tidemark.functions.paths import EXCLUDED_NAMES, IMAGING_SUFFIX, WORKSPACE_PATTERN
 from tidemark.functions.text import LAYERS
+from tidemark.operators.documents import DEFAULT_MAX_ITEMS
 from tidemark.workloads import (AS_OF, API_BASE, DATE_CUTOFF, EVENTS_HISTORY_CUTOFF,
                                 MANIFEST_HISTORY_CUTOFF, PIPELINE_NAME, ROUTE_PROBE_FOLDER,
                                 ROUTE_PROBE_LAYER, RUN_ID,
@@ -254,6 +255,13 @@ SELECT o.o_custkey, count(DISTINCT o.o_orderkey) AS n_orders, count(l.l_orderkey
 FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 GROUP BY o.o_custkey""",
 
+    "nest_hot_keys": f"""
+SELECT l_returnflag,
+       CASE WHEN count(*) > {DEFAULT_MAX_ITEMS}
+            THEN CAST(ceil(count(*) / {DEFAULT_MAX_ITEMS}.0) AS BIGINT) ELSE CAST(1 AS BIGINT) END AS n_docs,
+       count(*) AS n_items, round(sum(l_quantity), 2) AS sum_qty, true AS parts_bounded
+FROM lineitem GROUP BY l_returnflag""",
+
     "flatten_documents": """
 SELECT o.o_custkey, o.o_orderkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority,
        l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity, l.l_extendedprice, l.l_discount,

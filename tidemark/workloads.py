@@ -27,7 +27,8 @@ from tidemark.functions import text as T
 from tidemark.functions.fingerprint import add_hash_column, strict_fingerprint
 from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.dates import hourly_volume, hourly_volume_by_policy, repair_ancient_dates
-from tidemark.operators.documents import extract_tags, flatten_all, nest_two_levels
+from tidemark.operators.documents import (DEFAULT_MAX_ITEMS, extract_tags, flatten_all, nest,
+                                          nest_two_levels)
 from tidemark.operators.files import plan_copy, plan_disposition
 from tidemark.operators.lookup import (route_all, route_first, rows_of_unprocessed_folders,
                                        seen_folders, unprocessed_folders)
@@ -346,6 +347,21 @@ def q_nest_documents(spark, sf_dir):
         F.round(F.sum("q"), 2).alias("sum_qty"))
 
 
+def q_nest_hot_keys(spark, sf_dir):
+    """Nest all line items under their return flag: three keys, each holding a
+    third of the table. Each key is split into ceil(n / max_items) documents;
+    every item is kept and no document grows past twice the bound."""
+    li = table(spark, sf_dir, "lineitem")
+    docs = nest(li, ["l_returnflag"], [c for c in li.columns if c != "l_returnflag"], "items")
+    qty = F.aggregate("items", F.lit(0.0), lambda acc, x: acc + x["l_quantity"])
+    return docs.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.sum(F.size("items")).cast("long").alias("n_items"),
+        F.round(F.sum(qty), 2).alias("sum_qty"),
+        (F.max(F.size("items")) <= F.lit(2 * DEFAULT_MAX_ITEMS)).alias("parts_bounded"),
+    )
+
+
 def q_flatten_documents(spark, sf_dir):
     docs = _order_documents(spark, sf_dir)
     path = shared_path(spark, "documents-ndjson")
@@ -423,6 +439,7 @@ QUERIES = {
     "audit_columns": q_audit_columns,
     "tag_extract": q_tag_extract,
     "nest_documents": q_nest_documents,
+    "nest_hot_keys": q_nest_hot_keys,
     "flatten_documents": q_flatten_documents,
     "ingest_documents": q_ingest_documents,
     "history_run": q_history_run,
