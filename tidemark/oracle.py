@@ -107,6 +107,19 @@ SELECT folder,
        count(*) FILTER (WHERE name NOT IN {EXCL} AND contains(name, '.')) AS has_extension
 FROM todo GROUP BY folder""",
 
+    "staging_hot_folders": f"""
+WITH li AS (SELECT l_returnflag AS folder,
+                   'IM' || l_orderkey || '_' || l_linenumber
+                   || CASE WHEN l_linestatus = 'F' THEN '.dcm' ELSE '' END AS name
+            FROM lineitem),
+m AS (SELECT folder, name FROM li UNION ALL SELECT DISTINCT folder, 'DICOMDIR' AS name FROM li),
+todo AS (SELECT * FROM m WHERE folder <> 'A' OR folder IS NULL)
+SELECT folder,
+       count(*) FILTER (WHERE name NOT IN {EXCL} AND NOT contains(name, '.')) AS to_copy,
+       count(*) FILTER (WHERE name IN {EXCL}) AS excluded,
+       count(*) FILTER (WHERE name NOT IN {EXCL} AND contains(name, '.')) AS has_extension
+FROM todo GROUP BY folder""",
+
     "dirs_with_files": """
 SELECT DISTINCT regexp_replace(url, '/[^/]*$', '') AS directory FROM pages WHERE url NOT LIKE '%/'""",
 

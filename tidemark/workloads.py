@@ -149,6 +149,22 @@ def q_staging_counts(spark, sf_dir):
     return _staging_counts(plan_copy(todo, TARGET_DIR, "nested"))
 
 
+def q_staging_hot_folders(spark, sf_dir):
+    """Staging counts when each folder holds a third of all files: line items
+    filed under their return flag (``.dcm`` already for closed lines), one
+    ``DICOMDIR`` per folder; folder ``A`` was staged by an earlier run."""
+    li = table(spark, sf_dir, "lineitem")
+    name = F.concat(F.lit("IM"), F.col("l_orderkey"), F.lit("_"), F.col("l_linenumber"),
+                    F.when(F.col("l_linestatus") == "F", F.lit(".dcm")).otherwise(F.lit("")))
+    images = li.select(F.col("l_returnflag").alias("folder"), name.alias("name"))
+    files = images.unionByName(
+        images.select("folder").distinct().withColumn("name", F.lit("DICOMDIR")))
+    history = li.filter(F.col("l_returnflag") == "A").select(
+        F.col("l_returnflag").alias("source_folder")).distinct()
+    todo = rows_of_unprocessed_folders(files, history, "folder", "source_folder")
+    return _staging_counts(plan_copy(todo, TARGET_DIR, "nested"))
+
+
 def q_dirs_with_files(spark, sf_dir):
     return _dirs_with_files(pages_manifest(spark, sf_dir))
 
@@ -413,6 +429,7 @@ def q_incremental_ingest(spark, sf_dir):
 QUERIES = {
     "staging_plan": q_staging_plan,
     "staging_counts": q_staging_counts,
+    "staging_hot_folders": q_staging_hot_folders,
     "dirs_with_files": q_dirs_with_files,
     "path_parts": q_path_parts,
     "unprocessed_folders": q_unprocessed_folders,
