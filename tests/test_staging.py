@@ -135,3 +135,14 @@ def test_streaming_incremental_second_run_adds_nothing(spark, scratch):
     incremental_staging(spark, src, tgt, hist, ck, as_of=AS_OF)
     assert sorted(r["source_folder"] for r in read_history(spark, hist).collect()) == \
         ["20250328", "20250401", "20250402"]
+
+
+def test_streaming_folder_split_across_batches_is_copied_whole(spark, scratch):
+    src, tgt, hist, ck = (os.path.join(scratch, x) for x in ("src", "tgt", "hist", "ckpt"))
+    _drop(src)
+    incremental_staging(spark, src, tgt, hist, ck, as_of=AS_OF, max_files_per_trigger=2)
+    assert sorted(os.listdir(os.path.join(tgt, "20250328"))) == ["IM0001.dcm", "IM0002.dcm"]
+    assert sorted(os.listdir(os.path.join(tgt, "20250401"))) == ["DicomDir.dcm", "IM0001.dcm"]
+    per_folder = {r["source_folder"]: r["n"] for r in read_history(spark, hist)
+                  .groupBy("source_folder").agg(F.sum("total_files_processed").alias("n")).collect()}
+    assert per_folder == {"20250328": 2, "20250401": 2}

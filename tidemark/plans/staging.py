@@ -115,11 +115,16 @@ def staging_counts(plan: DataFrame) -> DataFrame:
 def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_path: str,
                 fmt: str = "parquet", layout: str = "nested", as_of: _dt.datetime | None = None,
                 manifest: DataFrame | None = None, num_partitions: int | None = None,
-                work_dir: str | None = None) -> DataFrame:
-    """H3: one incremental run. Returns the history rows it appended."""
+                work_dir: str | None = None, history: DataFrame | None = None) -> DataFrame:
+    """H3: one incremental run. Returns the history rows it appended.
+
+    ``history`` overrides the table read from ``history_path`` for the "already
+    processed" test (the streaming run passes the snapshot taken at its start);
+    new rows are always appended to ``history_path``.
+    """
     work = work_dir or shared_path(spark, "staging")
     manifest = manifest if manifest is not None else file_manifest(spark, source_dir)
-    history = read_history(spark, history_path, fmt)
+    history = history if history is not None else read_history(spark, history_path, fmt)
     plan = materialize(stage_plan(manifest, history, source_dir, target_dir, layout),
                        f"{work}/plan")
     if plan.isEmpty():  # nothing new: no transfers, nothing to log
