@@ -146,3 +146,18 @@ def test_streaming_folder_split_across_batches_is_copied_whole(spark, scratch):
     per_folder = {r["source_folder"]: r["n"] for r in read_history(spark, hist)
                   .groupBy("source_folder").agg(F.sum("total_files_processed").alias("n")).collect()}
     assert per_folder == {"20250328": 2, "20250401": 2}
+
+
+def test_colliding_targets_are_reported_not_transferred(spark, scratch):
+    src = os.path.join(scratch, "in")
+    for d in ("a", "b"):
+        os.makedirs(os.path.join(src, d))
+        with open(os.path.join(src, d, "x.json"), "w") as f:
+            f.write(d)  # same name, same size, different content
+    m = materialize(file_manifest(spark, src), os.path.join(scratch, "m"))
+    plan = plan_disposition(m.withColumn("status", F.lit("processed")), "status",
+                            os.path.join(scratch, "done"), os.path.join(scratch, "failed"))
+    out = execute_transfers(plan, "move")
+    assert out.filter("ok").count() == 0 and out.count() == 2
+    assert sorted(os.listdir(os.path.join(src, "a")) + os.listdir(os.path.join(src, "b"))) == \
+        ["x.json", "x.json"]

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import paths as P
+from tidemark.operators.lookup import bounded_broadcast
 from tidemark.session import default_parallelism, fs_uri, materialize, shared_path
 
 OUTCOME_SCHEMA = "path string, new_path string, folder string, ok boolean, bytes long, error string"
@@ -148,10 +149,21 @@ def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int |
         todo = todo.withColumn("folder", F.lit(None).cast("string"))
     out = out_path or shared_path(spark, "outcomes")
     work = materialize(todo.select("path", "new_path", "folder"), out.rstrip("/") + "__work")
+    # Two different sources for one target would make "an equal-size target
+    # means done" unsafe: such rows are reported as failed, neither is moved.
+    # Claims are counted with a partial aggregate; the (normally empty) set of
+    # contested targets is broadcast when proven small.
+    contested = bounded_broadcast(
+        work.groupBy("new_path").agg(F.count(F.lit(1)).alias("_claims"))
+        .filter(F.col("_claims") > 1).select("new_path"))
     n = num_partitions or max(1, min(default_parallelism(spark) * 4,
                                      -(-work.count() // FILES_PER_TASK)))
-    outcomes = work.repartition(n, "new_path").mapInPandas(_runner(mode), OUTCOME_SCHEMA)
-    return materialize(outcomes, out)
+    clear = work.join(contested, "new_path", "left_anti")
+    outcomes = clear.repartition(n, "new_path").mapInPandas(_runner(mode), OUTCOME_SCHEMA)
+    collided = work.join(contested, "new_path", "left_semi").select(
+        "path", "new_path", "folder", F.lit(False).alias("ok"), F.lit(0).cast("long").alias("bytes"),
+        F.lit("target claimed by more than one source").alias("error"))
+    return materialize(outcomes.unionByName(collided), out)
 
 
 def counts_per_folder(outcomes: DataFrame) -> DataFrame:
