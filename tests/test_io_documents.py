@@ -119,3 +119,11 @@ def test_create_table_fails_when_present_and_read_table(spark, scratch):
     else:
         raise AssertionError("second create succeeded")
     assert read_table(spark, path).count() == 1
+
+
+def test_create_history_as_managed_table(spark):
+    import uuid
+    from tidemark.plans.staging import HISTORY_SCHEMA, create_history
+    name = f"hist_{uuid.uuid4().hex[:8]}"
+    create_history(spark, name=name)
+    assert spark.table(name).schema == HISTORY_SCHEMA and spark.table(name).count() == 0

@@ -35,7 +35,7 @@ def registry_rows(spark: SparkSession, entries, pipeline_name: str, run_id: str,
     """Registry rows for a list of entries (dicts with the first nine registry
     fields; ``schemaDefinition`` may be a StructType). Ids are consecutive from
     ``first_id`` in the given order; the stamp is UTC now unless injected."""
-    stamp = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    stamp = as_of or _dt.datetime.now(_dt.timezone.utc)  # aware: stored as this UTC instant
     rows = []
     for i, e in enumerate(entries):
         schema_def = e.get("schemaDefinition")

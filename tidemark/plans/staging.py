@@ -46,9 +46,11 @@ HISTORY_SCHEMA = StructType([
 ])
 
 
-def create_history(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
-    """H1: an empty history table (fails if one exists)."""
-    create_table(spark.createDataFrame([], HISTORY_SCHEMA), path, fmt)
+def create_history(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
+                   name: str | None = None) -> None:
+    """H1: an empty history table at ``path`` or as managed table ``name``
+    (fails if one exists)."""
+    create_table(spark.createDataFrame([], HISTORY_SCHEMA), path, fmt, name)
 
 
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

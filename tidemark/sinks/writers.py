@@ -24,9 +24,17 @@ def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return spark.read.format(fmt).option("mergeSchema", "true").load(path)
 
 
-def create_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Create a table; fails when one already exists at ``path``."""
-    df.write.format(fmt).mode("errorifexists").save(path)
+def create_table(df: DataFrame, path: str | None = None, fmt: str = "parquet",
+                 name: str | None = None) -> None:
+    """Create a table at ``path``, or a managed table called ``name`` in the
+    session catalog; fails when it already exists."""
+    w = df.write.format(fmt).mode("errorifexists")
+    if name:
+        w.saveAsTable(name)
+    elif path:
+        w.save(path)
+    else:
+        raise ValueError("create_table needs a path or a table name")
 
 
 def land_json(df: DataFrame, directory: str, api_col: str, symbol_col: str, ts_col: str,
