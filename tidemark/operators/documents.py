@@ -36,23 +36,37 @@ def extract_tags(df: DataFrame, json_col: str, schema: StructType | str | None =
     return out
 
 
+def heavy_keys(counts: DataFrame, key_cols, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+    """Keys with more than ``max_items`` items and their part count
+    ``ceil(n / max_items)``, from per-key counts (``key_cols..., _n``).
+
+    At most rows / max_items keys; computed once, written to the shared folder,
+    and broadcast only when proven small (every later use reads that table).
+    """
+    spark = counts.sparkSession
+    heavy = (counts.filter(F.col("_n") > F.lit(max_items))
+             .select(*key_cols, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("_parts")))
+    return bounded_broadcast(materialize(heavy, shared_path(spark, "heavy-keys")))
+
+
 def nest(child: DataFrame, key_cols, item_cols, items_name: str, max_items: int = DEFAULT_MAX_ITEMS,
-         sort_items: bool = True) -> DataFrame:
+         sort_items: bool = True, counts: DataFrame | None = None,
+         heavy: DataFrame | None = None) -> DataFrame:
     """One row per key (per part of a heavy key) with an array of item structs.
 
     Output: ``key_cols..., part, <items_name>``. ``part`` is 0 for ordinary
     keys; a key with more than ``max_items`` items is split over
     ``ceil(n / max_items)`` parts (hash-spread, about ``max_items`` each).
+    Per-key item counts (``counts``: ``key_cols..., _n``) or the heavy-key
+    table itself (``heavy``, from :func:`heavy_keys`) may be passed when the
+    caller knows them more cheaply than a count over ``child``.
     """
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     item_cols = list(item_cols)
-    spark = child.sparkSession
-    counts = child.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = (counts.filter(F.col("_n") > F.lit(max_items))
-             .select(*key_cols, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("_parts")))
-    # Heavy keys (at most rows / max_items) are computed once and written to the
-    # shared folder; the size check and the join both read that small table.
-    heavy = bounded_broadcast(materialize(heavy, shared_path(spark, "heavy-keys")))
+    if heavy is None:
+        if counts is None:
+            counts = child.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+        heavy = heavy_keys(counts, key_cols, max_items)
     item = F.struct(*[F.col(c) for c in item_cols])
     tagged = child.join(heavy, key_cols, "left").withColumn(
         PART_COL,
@@ -76,17 +90,26 @@ def nest_two_levels(parent: DataFrame, child: DataFrame, parent_key: str, child_
 
     ``child`` rows are nested under their parent (by ``child_fk`` =
     ``parent_key``); parents keep an empty array when they have no children;
-    parents are then nested under ``doc_key``.
+    parents are then nested under ``doc_key``. The outer level's item counts
+    come from the parent table and the (small) inner heavy-key table — a
+    parent split into k parts is k items — so the children are read once.
     """
     child_cols = [c for c in child.columns if c != child_fk]
-    inner = nest(child, [child_fk], child_cols, child_items, max_items).drop(PART_COL)
+    inner_counts = child.groupBy(child_fk).agg(F.count(F.lit(1)).alias("_n"))
+    inner_heavy = heavy_keys(inner_counts, [child_fk], max_items)
+    inner = nest(child, [child_fk], child_cols, child_items, max_items,
+                 heavy=inner_heavy).drop(PART_COL)
     # An empty (not NULL) array for parents without children, so the shape is uniform.
     with_children = parent.join(inner, parent[parent_key] == inner[child_fk], "left").drop(child_fk)
     elem_type = inner.schema[child_items].dataType
     with_children = with_children.withColumn(
         child_items, F.coalesce(F.col(child_items), F.array().cast(elem_type)))
+    parts = inner_heavy.withColumnRenamed(child_fk, "_pk")
+    outer_counts = (parent.join(parts, parent[parent_key] == parts["_pk"], "left")
+                    .groupBy(doc_key)
+                    .agg(F.sum(F.coalesce(F.col("_parts"), F.lit(1))).cast("long").alias("_n")))
     parent_cols = [c for c in with_children.columns if c != doc_key]
-    return nest(with_children, [doc_key], parent_cols, parent_items, max_items)
+    return nest(with_children, [doc_key], parent_cols, parent_items, max_items, counts=outer_counts)
 
 
 def flatten(docs: DataFrame, array_col: str, keep=None) -> DataFrame:
