@@ -161,3 +161,13 @@ def test_colliding_targets_are_reported_not_transferred(spark, scratch):
     assert out.filter("ok").count() == 0 and out.count() == 2
     assert sorted(os.listdir(os.path.join(src, "a")) + os.listdir(os.path.join(src, "b"))) == \
         ["x.json", "x.json"]
+
+
+def test_resumed_unit_of_work_logs_once(spark, scratch):
+    src, tgt, hist = (os.path.join(scratch, x) for x in ("src", "tgt", "hist"))
+    _drop(src)
+    work = os.path.join(scratch, "work", "batch-7")
+    first = run_staging(spark, src, tgt, hist, as_of=AS_OF, work_dir=work, resume=True)
+    again = run_staging(spark, src, tgt, hist, as_of=AS_OF, work_dir=work, resume=True)
+    assert first.count() == again.count() == 2
+    assert read_history(spark, hist).count() == 2

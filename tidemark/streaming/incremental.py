@@ -56,19 +56,23 @@ def incremental_staging(spark: SparkSession, source_dir: str, target_dir: str, h
     # off by the history rows its own first batch appends.
     done_before = materialize(read_history(spark, history_path, fmt),
                               shared_path(spark, "stream-history-snapshot"))
+    checkpoint = (checkpoint or shared_path(spark, "stream-checkpoint")).rstrip("/")
 
     def each_batch(batch: DataFrame, epoch: int) -> None:
+        # A batch retried after a failure reruns under the same epoch: its work
+        # folder is fixed (inside the stream's checkpoint), copies are
+        # idempotent, and records already written are logged only once.
         manifest = with_path_parts(batch)
         run_staging(batch.sparkSession, source_dir, target_dir, history_path, fmt, layout, as_of,
                     manifest=manifest, history=done_before,
-                    work_dir=shared_path(batch.sparkSession, "stream-batch", str(epoch)))
+                    work_dir=f"{checkpoint}/tidemark-batches/{epoch}", resume=True)
 
     previous = spark.conf.get(LISTING_PARALLELISM)
     spark.conf.set(LISTING_PARALLELISM,
                    str(listing_parallelism or default_parallelism(spark)))
     try:  # held until the run ends: the stream copies the conf on its own thread
         query = (listing.writeStream.foreachBatch(each_batch)
-                 .option("checkpointLocation", checkpoint or shared_path(spark, "stream-checkpoint"))
+                 .option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
