@@ -64,14 +64,34 @@ def plan_disposition(manifest: DataFrame, status_col: str, processed_dir, failed
     return manifest.withColumn("new_path", P.join_path(base, F.col("name")))
 
 
-def _transfer(src: str, dst: str, mode: str, attempt: str):
+class _Resolver:
+    """Resolves URIs to (filesystem, path), one filesystem client per parent
+    directory per task: on object stores a client per file would redo the
+    connection and credential setup for every file."""
+
+    def __init__(self):
+        self._parents = {}
+
+    def __call__(self, uri: str):
+        import pyarrow.fs as pafs
+
+        full = fs_uri(uri)
+        parent, _, name = full.rpartition("/")
+        if parent not in self._parents:
+            fs, path = pafs.FileSystem.from_uri(full)
+            self._parents[parent] = (fs, path.rpartition("/")[0])
+        fs, parent_path = self._parents[parent]
+        return fs, f"{parent_path}/{name}"
+
+
+def _transfer(src: str, dst: str, mode: str, attempt: str, resolve=None):
     """Copy or move one file, idempotently. Returns (ok, bytes, error)."""
     import pyarrow.fs as pafs
 
-    fs, src_path = pafs.FileSystem.from_uri(fs_uri(src))
-    _, dst_path = pafs.FileSystem.from_uri(fs_uri(dst))
-    src_info = fs.get_file_info(src_path)
-    dst_info = fs.get_file_info(dst_path)
+    resolve = resolve or _Resolver()
+    fs, src_path = resolve(src)
+    _, dst_path = resolve(dst)
+    src_info, dst_info = fs.get_file_info([src_path, dst_path])
     if src_info.type == pafs.FileType.NotFound:
         if mode == "move" and dst_info.type == pafs.FileType.File:
             return True, dst_info.size, None  # moved by an earlier attempt
@@ -106,11 +126,12 @@ def _runner(mode: str):
 
         ctx = TaskContext.get()
         attempt = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0-0"
+        resolve = _Resolver()
         for pdf in batches:
             oks, sizes, errors = [], [], []
             for src, dst in zip(pdf["path"], pdf["new_path"]):
                 try:
-                    ok, size, err = _transfer(src, dst, mode, attempt)
+                    ok, size, err = _transfer(src, dst, mode, attempt, resolve)
                 except Exception as e:  # one bad file never fails the whole job
                     ok, size, err = False, 0, f"{type(e).__name__}: {e}"
                 oks.append(ok)

@@ -29,7 +29,7 @@ from tidemark.functions.text import clock
 from tidemark.operators.audit import stable_id
 from tidemark.operators.files import counts_per_folder, execute_transfers, plan_copy
 from tidemark.operators.lookup import rows_of_unprocessed_folders
-from tidemark.session import materialize, path_exists, shared_path
+from tidemark.session import materialize, path_exists, shared_path, touch
 from tidemark.sinks.writers import create_table
 from tidemark.sources.files import file_manifest, folder_files
 
@@ -114,17 +114,6 @@ def staging_counts(plan: DataFrame) -> DataFrame:
     )
 
 
-def log_new_records(records: DataFrame, history_path: str, fmt: str = "parquet") -> None:
-    """Append only the records not already in the history (null-safe match on
-    every column): re-logging the same written records is a no-op."""
-    existing = read_history(spark=records.sparkSession, path=history_path, fmt=fmt)
-    cond = None
-    for f in HISTORY_SCHEMA.fields:
-        c = records[f.name].eqNullSafe(existing[f.name])
-        cond = c if cond is None else cond & c
-    log_folders(records.join(existing, cond, "left_anti"), history_path, fmt)
-
-
 def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_path: str,
                 fmt: str = "parquet", layout: str = "nested", as_of: _dt.datetime | None = None,
                 manifest: DataFrame | None = None, num_partitions: int | None = None,
@@ -135,13 +124,14 @@ def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_p
     ``history`` overrides the table read from ``history_path`` for the "already
     processed" test (the streaming run passes the snapshot taken at its start);
     new rows are always appended to ``history_path``. With ``resume`` and a
-    fixed ``work_dir``, a rerun of the same unit of work (a retried micro-batch)
-    reuses the records it already wrote and appends only those not yet logged.
+    fixed ``work_dir`` (one per unit of work, e.g. a micro-batch epoch), a rerun
+    reuses the records it already wrote and appends them only if this unit's
+    "logged" marker is absent; the marker is written right after the append.
     """
     work = work_dir or shared_path(spark, "staging")
     if resume and path_exists(f"{work}/records/_SUCCESS"):
         records = spark.read.parquet(f"{work}/records")
-        log_new_records(records, history_path, fmt)
+        _log_once(records, history_path, fmt, f"{work}/logged")
         return records
     manifest = manifest if manifest is not None else file_manifest(spark, source_dir)
     history = history if history is not None else read_history(spark, history_path, fmt)
@@ -156,7 +146,17 @@ def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_p
         0, ["total_files_processed", "files_failed"])
     records = materialize(history_records(counts, source_dir, target_dir, as_of), f"{work}/records")
     if resume:
-        log_new_records(records, history_path, fmt)
+        _log_once(records, history_path, fmt, f"{work}/logged")
     else:
         log_folders(records, history_path, fmt)
     return records
+
+
+def _log_once(records: DataFrame, history_path: str, fmt: str, marker_dir: str) -> None:
+    """Append this unit's records unless its marker says they were appended.
+    Keyed by the unit of work, never by row content: two units may log equal rows."""
+    marker = f"{marker_dir}/_SUCCESS"
+    if path_exists(marker):
+        return
+    log_folders(records, history_path, fmt)
+    touch(marker)

@@ -61,7 +61,7 @@ def incremental_staging(spark: SparkSession, source_dir: str, target_dir: str, h
     def each_batch(batch: DataFrame, epoch: int) -> None:
         # A batch retried after a failure reruns under the same epoch: its work
         # folder is fixed (inside the stream's checkpoint), copies are
-        # idempotent, and records already written are logged only once.
+        # idempotent, and its records are appended unless already marked logged.
         manifest = with_path_parts(batch)
         run_staging(batch.sparkSession, source_dir, target_dir, history_path, fmt, layout, as_of,
                     manifest=manifest, history=done_before,
