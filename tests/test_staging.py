@@ -171,3 +171,15 @@ def test_resumed_unit_of_work_logs_once(spark, scratch):
     again = run_staging(spark, src, tgt, hist, as_of=AS_OF, work_dir=work, resume=True)
     assert first.count() == again.count() == 2
     assert read_history(spark, hist).count() == 2
+
+
+def test_names_with_spaces_percent_and_hash(spark, scratch):
+    src, tgt, hist = (os.path.join(scratch, x) for x in ("src", "tgt", "hist"))
+    os.makedirs(os.path.join(src, "2025 03 28"))
+    for n in ("IM 0001", "IM%41", "IM#1"):
+        with open(os.path.join(src, "2025 03 28", n), "w") as f:
+            f.write("x")
+    rec = run_staging(spark, src, tgt, hist, as_of=AS_OF).collect()
+    assert [(r["source_folder"], r["total_files_processed"], r["files_failed"]) for r in rec] == \
+        [("2025 03 28", 3, 0)]
+    assert sorted(os.listdir(os.path.join(tgt, "2025 03 28"))) == ["IM 0001.dcm", "IM#1.dcm", "IM%41.dcm"]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import paths as P
 from tidemark.operators.lookup import bounded_broadcast
-from tidemark.session import default_parallelism, fs_uri, materialize, shared_path
+from tidemark.session import default_parallelism, materialize, resolve_path, shared_path
 
 OUTCOME_SCHEMA = "path string, new_path string, folder string, ok boolean, bytes long, error string"
 
@@ -73,12 +73,9 @@ class _Resolver:
         self._parents = {}
 
     def __call__(self, uri: str):
-        import pyarrow.fs as pafs
-
-        full = fs_uri(uri)
-        parent, _, name = full.rpartition("/")
+        parent, _, name = uri.rpartition("/")
         if parent not in self._parents:
-            fs, path = pafs.FileSystem.from_uri(full)
+            fs, path = resolve_path(uri)
             self._parents[parent] = (fs, path.rpartition("/")[0])
         fs, parent_path = self._parents[parent]
         return fs, f"{parent_path}/{name}"

@@ -96,37 +96,43 @@ def materialize(df: DataFrame, path: str | None = None, name: str = "stage") ->
 
 
 def local_fs_path(uri: str) -> str:
-    """``file:/x`` or ``file:///x`` → ``/x``; other strings unchanged."""
+    """``file:/x``, ``file:///x`` or ``file://localhost/x`` → ``/x``; other strings unchanged."""
     if uri.startswith("file://"):
-        return uri[len("file://"):] if uri.startswith("file:///") else uri[len("file:"):]
+        rest = uri[len("file://"):]
+        return rest if rest.startswith("/") else "/" + rest.partition("/")[2]
     if uri.startswith("file:"):
         return uri[len("file:"):]
     return uri
 
 
-def fs_uri(path: str) -> str:
-    """A URI ``pyarrow.fs`` resolves: bare absolute paths and ``file:/x`` become
-    ``file:///x``; other schemes (hdfs, s3, gs, abfs) pass through."""
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    if path.startswith("/"):
-        return "file://" + path
-    return path
+def resolve_path(path: str):
+    """``(pyarrow filesystem, path within it)`` for a local path, a ``file:``
+    URI or a store URI (hdfs, s3, gs, abfs ...). Paths are taken literally:
+    Spark reports file paths unencoded, so spaces, ``%`` or ``#`` in names are
+    data, not URI syntax; remote paths are percent-encoded before parsing."""
+    import pyarrow.fs as pafs
+    from urllib.parse import quote
+
+    if path.startswith("/") or path.startswith("file:"):
+        return pafs.LocalFileSystem(), local_fs_path(path)
+    scheme, sep, rest = path.partition("://")
+    if not sep:
+        return pafs.LocalFileSystem(), os.path.abspath(path)
+    netloc, _, inner = rest.partition("/")
+    return pafs.FileSystem.from_uri(f"{scheme}://{netloc}/{quote(inner, safe='/')}")
 
 
 def path_exists(path: str) -> bool:
     """Whether a file or directory exists, on any store ``pyarrow.fs`` supports."""
     import pyarrow.fs as pafs
 
-    fs, p = pafs.FileSystem.from_uri(fs_uri(path))
+    fs, p = resolve_path(path)
     return fs.get_file_info(p).type != pafs.FileType.NotFound
 
 
 def touch(path: str) -> None:
     """Create an empty marker file (parents included)."""
-    import pyarrow.fs as pafs
-
-    fs, p = pafs.FileSystem.from_uri(fs_uri(path))
+    fs, p = resolve_path(path)
     fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
     with fs.open_output_stream(p):
         pass

@@ -59,12 +59,12 @@ def _file_writer(root: str):
         import pyarrow.fs as pafs
         from pyspark import TaskContext
 
-        from tidemark.session import fs_uri
+        from tidemark.session import resolve_path
 
         ctx = TaskContext.get()
         attempt = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0-0"
         base = root.rstrip("/")
-        fs, base_path = pafs.FileSystem.from_uri(fs_uri(base))
+        fs, base_path = resolve_path(base)
         for pdf in batches:
             paths, oks, sizes, errors = [], [], [], []
             for d, n, content in zip(pdf["_dir"], pdf["_name"], pdf["_content"]):
