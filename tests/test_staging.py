@@ -59,7 +59,7 @@ def test_staging_run_copies_logs_and_reruns_as_noop(spark, scratch):
     assert second.count() == 0
     h = read_history(spark, hist)
     assert h.count() == 2 and h.select("id").distinct().count() == 2
-    assert h.filter(F.col("processed_dttm") == F.lit("2025-03-28 12:00:00").cast("timestamp")).count() == 2
+    assert h.filter(F.col("processed_dttm") == F.lit("2025-03-28 12:00:00").cast("timestamp_ntz")).count() == 2
 
 
 def test_logged_folder_not_selected(spark, scratch):

@@ -108,7 +108,11 @@ def epoch_to_utc(epoch_seconds) -> Column:
 # --- clock (C10) -----------------------------------------------------------
 
 def clock(as_of: _dt.datetime | None = None) -> Column:
-    """``current_timestamp()``, or a fixed instant when one is injected (tests, reruns)."""
+    """Now as UTC wall-clock time (``TIMESTAMP_NTZ``), or a fixed UTC time when
+    one is injected (tests, reruns). Zone-free, so a stamp reads back the same
+    whatever the session or client time zone."""
     if as_of is None:
-        return F.current_timestamp()
-    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+        return F.convert_timezone(F.lit("UTC"), F.localtimestamp())
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

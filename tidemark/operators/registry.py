@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tidemark.functions.text import check_layer, prepare_schema_str
 
@@ -24,7 +24,7 @@ REGISTRY_COLUMNS = (
 REGISTRY_SCHEMA = StructType(
     [StructField("id", LongType(), True)]
     + [StructField(c, StringType(), True) for c in REGISTRY_COLUMNS[:-1]]
-    + [StructField("_lastModifieddttm", TimestampType(), True)]
+    + [StructField("_lastModifieddttm", TimestampNTZType(), True)]  # UTC wall-clock time
 )
 
 FIRST_COLUMNS = ("id", "tableName", "layer", "namespace", "schemaDefinition")
@@ -35,7 +35,9 @@ def registry_rows(spark: SparkSession, entries, pipeline_name: str, run_id: str,
     """Registry rows for a list of entries (dicts with the first nine registry
     fields; ``schemaDefinition`` may be a StructType). Ids are consecutive from
     ``first_id`` in the given order; the stamp is UTC now unless injected."""
-    stamp = as_of or _dt.datetime.now(_dt.timezone.utc)  # aware: stored as this UTC instant
+    stamp = as_of or _dt.datetime.now(_dt.timezone.utc)
+    if stamp.tzinfo is not None:  # stored as UTC wall-clock time
+        stamp = stamp.astimezone(_dt.timezone.utc).replace(tzinfo=None)
     rows = []
     for i, e in enumerate(entries):
         schema_def = e.get("schemaDefinition")

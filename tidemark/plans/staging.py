@@ -22,7 +22,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tidemark.functions import paths as P
 from tidemark.functions.text import clock
@@ -40,7 +40,7 @@ HISTORY_SCHEMA = StructType([
     StructField("target_dir", StringType(), True),
     StructField("source_folder", StringType(), True),
     StructField("total_files_processed", LongType(), True),
-    StructField("processed_dttm", TimestampType(), True),
+    StructField("processed_dttm", TimestampNTZType(), True),  # UTC wall-clock time
     # ours: failed copies, so an incomplete folder is retried
     StructField("files_failed", LongType(), True),
 ])
