@@ -36,7 +36,8 @@ def _as_time(df: DataFrame, c: str, fmt: str | None) -> Column:
     compared as text: ``'01/02/2024' < '1900-01-01'`` is true as text)."""
     dtype = _dtype(df, c)
     if isinstance(dtype, StringType):
-        return F.try_to_timestamp(F.col(c), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col(c))
+        parsed = F.try_to_timestamp(F.col(c), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col(c))
+        return parsed.cast("timestamp_ntz")  # the wall time written in the text, zone-free
     if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
         return F.col(c)
     raise TypeError(f"column {c!r} has type {dtype.simpleString()}, not a date, timestamp or text")
@@ -55,7 +56,7 @@ def ancient(df: DataFrame, c: str, cutoff: str = DEFAULT_CUTOFF, fmt: str | None
 
 def t_type(df: DataFrame, c: str):
     dtype = _dtype(df, c)
-    return TimestampType() if isinstance(dtype, StringType) else dtype
+    return TimestampNTZType() if isinstance(dtype, StringType) else dtype
 
 
 def any_ancient(df: DataFrame, cols, cutoff: str = DEFAULT_CUTOFF, fmt: str | None = None) -> Column:
@@ -103,7 +104,8 @@ def repair_ancient_dates(df: DataFrame, cols, policy: str = "sentinel",
     drop       rows with any ancient value are removed
 
     NULL dates pass through untouched under every policy. Text columns are
-    parsed to timestamps; unparseable text counts as ancient. Returns a
+    parsed to zone-free timestamps (TIMESTAMP_NTZ); unparseable text counts as
+    ancient. Returns a
     DataFrame, or a ``(good, bad)`` pair for ``quarantine``.
     """
     if policy not in POLICIES:
