@@ -4,7 +4,7 @@ The plan (which file goes where) is a DataFrame built from a manifest with
 built-in column expressions. The effect (copy or move) runs on executors in
 ``mapInPandas``: only paths travel through Spark, bytes go straight from the
 source store to the target store through ``pyarrow.fs`` (local disk, HDFS,
-S3, GCS, ABFS alike). Each transfer is retry-safe: it writes to a temporary
+S3, GCS and other object stores alike). Each transfer is retry-safe: it writes to a temporary
 name and renames, and a target that already exists with the source's size
 counts as done, so a task re-run after a lost executor does no harm.
 The work list and the outcomes are written to the shared checkpoint folder,

@@ -107,7 +107,7 @@ def local_fs_path(uri: str) -> str:
 
 def resolve_path(path: str):
     """``(pyarrow filesystem, path within it)`` for a local path, a ``file:``
-    URI or a store URI (hdfs, s3, gs, abfs ...). Paths are taken literally:
+    URI or a store URI (hdfs, s3, gs, ...). Paths are taken literally:
     Spark reports file paths unencoded, so spaces, ``%`` or ``#`` in names are
     data, not URI syntax; remote paths are percent-encoded before parsing."""
     import pyarrow.fs as pafs
