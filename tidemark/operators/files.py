@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import paths as P
 from tidemark.operators.lookup import bounded_broadcast
-from tidemark.session import default_parallelism, materialize, resolve_path, shared_path
+from tidemark.session import (default_parallelism, materialize, resolve_path, shared_path,
+                              ship_package)
 
 OUTCOME_SCHEMA = "path string, new_path string, folder string, ok boolean, bytes long, error string"
 
@@ -177,6 +178,7 @@ def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int |
     n = num_partitions or max(1, min(default_parallelism(spark) * 4,
                                      -(-work.count() // FILES_PER_TASK)))
     clear = work.join(contested, "new_path", "left_anti")
+    ship_package(spark)
     outcomes = clear.repartition(n, "new_path").mapInPandas(_runner(mode), OUTCOME_SCHEMA)
     collided = work.join(contested, "new_path", "left_semi").select(
         "path", "new_path", "folder", F.lit(False).alias("ok"), F.lit(0).cast("long").alias("bytes"),

@@ -105,6 +105,41 @@ def local_fs_path(uri: str) -> str:
     return uri
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor-side Python (once per
+    application): zip it and add it with ``addPyFile``, the programmatic form
+    of ``--py-files``. Needed by the stages that run Python on executors
+    (file landing and transfers); a cluster image with the package installed
+    makes it a harmless no-op."""
+    import zipfile
+
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # no SparkContext exposed (remote session)
+        app = "remote"
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    folder = local_fs_path(root) if root.startswith(("/", "file:")) else tempfile.mkdtemp()
+    os.makedirs(folder, exist_ok=True)
+    archive = os.path.join(folder, f"tidemark-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    try:
+        spark.sparkContext.addPyFile(archive)
+    except Exception:
+        spark.addArtifacts(archive, pyfile=True)
+    _SHIPPED.add(app)
+
+
 def resolve_path(path: str):
     """``(pyarrow filesystem, path within it)`` for a local path, a ``file:``
     URI or a store URI (hdfs, s3, gs, ...). Paths are taken literally:

@@ -95,9 +95,10 @@ def land_files(df: DataFrame, root: str, dir_col: str, name_col: str, content_co
     """Write one file per record at ``<root>/<dir>/<name>`` (text or binary
     content), from executors; retry-safe (temp name + rename, equal size = done).
     Returns the outcome table, written once to the shared folder (an action)."""
-    from tidemark.session import materialize, shared_path
+    from tidemark.session import materialize, shared_path, ship_package
 
     spark = df.sparkSession
+    ship_package(spark)
     rows = df.select(F.col(dir_col).cast("string").alias("_dir"), F.col(name_col).alias("_name"),
                      F.col(content_col).alias("_content"))
     # Rows carry the file contents, so bytes measure the work: let AQE size
