@@ -69,3 +69,24 @@ def test_filters_pushed_and_columns_pruned(spark):
     assert "PushedFilters" in plan or "DataFilters" in plan
     plan = queries()["unprocessed_folders"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan and "BroadcastHashJoin" in plan
+
+
+def test_effect_query_runs_from_another_working_directory(tmp_path):
+    """Executor-side Python must import the package even when the driver's
+    working directory is elsewhere (it ships itself before Python stages)."""
+    import os
+    import subprocess
+    import sys as _sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "s.sparkContext.setLogLevel('ERROR')\n"
+        "from __spark_entry__ import queries\n"
+        "print('ROWS', queries()['move_and_verify'](s, %r).filter('ok and arrived').count())\n"
+    ) % (repo, SF_SMALL)
+    out = subprocess.run([_sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS 50" in out.stdout, out.stderr[-2000:]
