@@ -5,8 +5,20 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SF_SMALL
+from tidemark.oracle import ORACLE_SQL
+from tidemark.workloads import QUERIES
+
+
+
+def queries():
+    return QUERIES
+
+
+def oracle_sql():
+    return ORACLE_SQL
+
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
