@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from tidemark.llm.common import table
+from tidemark.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from tidemark.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 
 LLM_QUERIES = {
+    "op7_benchmark_decontamination": lambda spark, d: op7_benchmark_decontamination(
+        table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_exact_dedup": lambda spark, d: op10_exact_dedup(table(spark, d, "documents")),
 }
 
 LLM_SQL = {
+    "op7_benchmark_decontamination": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
