@@ -22,6 +22,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HOT_SHARE = 1000
 
 
+#: bounds of an Arrow batch
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,6 +35,16 @@ def key_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def python_stage(spark: SparkSession) -> None:
+    """Ready the session for a stage with Python on the executors: the package
+    is shipped, and an Arrow batch is bounded by rows and by bytes, so very
+    long texts cannot swell a worker."""
+    ship_package(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") or 0) != BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)
