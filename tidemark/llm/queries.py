@@ -5,8 +5,12 @@ from __future__ import annotations
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from tidemark.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from tidemark.llm.packing import op1_best_fit_packing
+from tidemark.llm.shards import op5_sharding
 
 LLM_QUERIES = {
+    "op1_best_fit_packing": lambda spark, d: op1_best_fit_packing(table(spark, d, "documents")),
+    "op5_sharding": lambda spark, d: op5_sharding(table(spark, d, "documents")),
     "op7_benchmark_decontamination": lambda spark, d: op7_benchmark_decontamination(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_exact_dedup": lambda spark, d: op10_exact_dedup(table(spark, d, "documents")),
