@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from tidemark.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from tidemark.llm.language import op9_language_id
 from tidemark.llm.packing import op1_best_fit_packing
 from tidemark.llm.shards import op5_sharding
 from tidemark.llm.simhash import op8_simhash_near_dedup
@@ -15,6 +16,7 @@ LLM_QUERIES = {
     "op7_benchmark_decontamination": lambda spark, d: op7_benchmark_decontamination(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op8_simhash_near_dedup": lambda spark, d: op8_simhash_near_dedup(table(spark, d, "documents")),
+    "op9_language_id": lambda spark, d: op9_language_id(table(spark, d, "documents")),
     "op10_exact_dedup": lambda spark, d: op10_exact_dedup(table(spark, d, "documents")),
 }
 
