@@ -8,14 +8,18 @@ from tidemark.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from tidemark.llm.language import op9_language_id
 from tidemark.llm.packing import op1_best_fit_packing
 from tidemark.llm.quality import op3_quality_classifier
+from tidemark.llm.secrets import op4_secret_scan
 from tidemark.llm.shards import op5_sharding
 from tidemark.llm.simhash import op8_simhash_near_dedup
+from tidemark.llm.token_counts import op6_token_counts
 
 LLM_QUERIES = {
     "op1_best_fit_packing": lambda spark, d: op1_best_fit_packing(table(spark, d, "documents")),
     "op3_quality_classifier": lambda spark, d: op3_quality_classifier(
         table(spark, d, "documents"), table(spark, d, "labels")),
+    "op4_secret_scan": lambda spark, d: op4_secret_scan(table(spark, d, "documents")),
     "op5_sharding": lambda spark, d: op5_sharding(table(spark, d, "documents")),
+    "op6_token_counts": lambda spark, d: op6_token_counts(table(spark, d, "documents")),
     "op7_benchmark_decontamination": lambda spark, d: op7_benchmark_decontamination(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op8_simhash_near_dedup": lambda spark, d: op8_simhash_near_dedup(table(spark, d, "documents")),
