@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from tidemark.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from tidemark.llm.language import op9_language_id
 from tidemark.llm.packing import op1_best_fit_packing
+from tidemark.llm.pii import op2_pii
 from tidemark.llm.quality import op3_quality_classifier
 from tidemark.llm.secrets import op4_secret_scan
 from tidemark.llm.shards import op5_sharding
@@ -15,6 +17,7 @@ from tidemark.llm.token_counts import op6_token_counts
 
 LLM_QUERIES = {
     "op1_best_fit_packing": lambda spark, d: op1_best_fit_packing(table(spark, d, "documents")),
+    "op2_pii": lambda spark, d: op2_pii(table(spark, d, "documents")),
     "op3_quality_classifier": lambda spark, d: op3_quality_classifier(
         table(spark, d, "documents"), table(spark, d, "labels")),
     "op4_secret_scan": lambda spark, d: op4_secret_scan(table(spark, d, "documents")),
@@ -27,6 +30,8 @@ LLM_QUERIES = {
     "op10_exact_dedup": lambda spark, d: op10_exact_dedup(table(spark, d, "documents")),
 }
 
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+
 LLM_SQL = {
     "op7_benchmark_decontamination": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
