@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import join_groups
 from tidemark.session import materialize
 
-#: rows that a ranking bucket holds on average
-BUCKET_ROWS = 20_000
+#: rows that a ranking bucket holds on average, and the number of buckets from
+#: which on they hold more (bucket counts are summed in one small window)
+BUCKET_ROWS, MANY_BUCKETS = 1_000, 50_000
 #: largest value of the shuffle hash, exclusive
 _HASH_RANGE = 1 << 40
 
@@ -67,10 +68,11 @@ def interleave(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: s
     rows = materialize(rows, name="shard-rows")
     per_source = rows.groupBy("__source").agg(F.count(F.lit(1)).alias("__rows"))
     total = rows.count()
-    buckets = max(1, -(-total // BUCKET_ROWS))
+    per_bucket = max(BUCKET_ROWS, -(-total // MANY_BUCKETS))
+    buckets = max(1, -(-total // per_bucket))
     order = [F.col("__h"), F.col("doc_id"), F.col("text_crc32"), F.col("__copy")]
     sized = join_groups(rows, per_source, ["__source"], "__rows", total, ["__h"]).withColumn(
-        "__bucket", F.floor(F.col("__h") * F.ceil(F.col("__rows") / F.lit(BUCKET_ROWS)) / F.lit(_HASH_RANGE)))
+        "__bucket", F.floor(F.col("__h") * F.ceil(F.col("__rows") / F.lit(per_bucket)) / F.lit(_HASH_RANGE)))
     ranked = _ranked(sized, ["__source"], "__bucket", order, "__rank")
     # fractional rank as an exact ratio: (2 rank + 1) / (2 rows)
     fraction = (F.col("__rank") * 2 + 1) / (F.col("__rows") * 2)
