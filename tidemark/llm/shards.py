@@ -1,9 +1,11 @@
 """Sharding by proportional stratified interleaving.
 
 Rows are ranked in seeded-shuffled order within their source, placed by
-fractional rank ``(rank - 1/2) / rows of the source`` and cut into shards of
+fractional rank ``(rank + phase) / rows of the source`` and cut into shards of
 equal row counts, so that any stretch, and thus every shard, has the
-mixture of the whole. Law: ``rows`` (counts at most one apart).
+mixture of the whole. The phase, from 0 to 1, is hashed from the source, so
+that many sources of a few rows do not all meet at one place. Law: ``rows``
+(counts at most one apart).
 
 Ranks are exact without a global sort: rows are dealt to many small buckets
 (by the leading bits of the shuffle hash, then by the fraction), ranked
@@ -74,8 +76,8 @@ def interleave(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: s
     sized = join_groups(rows, per_source, ["__source"], "__rows", total, ["__h"]).withColumn(
         "__bucket", F.floor(F.col("__h") * F.ceil(F.col("__rows") / F.lit(per_bucket)) / F.lit(_HASH_RANGE)))
     ranked = _ranked(sized, ["__source"], "__bucket", order, "__rank")
-    # fractional rank as an exact ratio: (2 rank + 1) / (2 rows)
-    fraction = (F.col("__rank") * 2 + 1) / (F.col("__rows") * 2)
+    phase = (F.pmod(F.xxhash64(F.lit(seed), F.col("__source")), F.lit(1 << 20)) + 0.5) / float(1 << 20)
+    fraction = (F.col("__rank") + phase) / F.col("__rows")
     placed = ranked.withColumn("__fraction", fraction).withColumn(
         "__slice", F.least(F.floor(F.col("__fraction") * buckets), F.lit(buckets - 1)).cast("bigint"))
     placed = materialize(placed.drop("__bucket"), name="shard-fractions")
