@@ -1,0 +1,56 @@
+"""Awkward documents shared by the tests of the training-data operators."""
+
+import os
+import random
+
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, n_hit string, "
+          "score string, fp string, shard string, sequence_id string, tile string, v string, spans string, `a.b` string")
+
+
+def rows():
+    r = random.Random(4)
+    words = ["the", "river", "stone", "Über", "été", "niño", "walks", "over", "12", "x-ray", "said,", "HOUSE"]
+    long = " ".join(r.choice(words) for _ in range(60_000))
+    shared = " ".join(f"alpha{i}" for i in range(14))
+    texts = [
+        (1, "Hello world"), (2, "Hello   world\n"), (3, None), (4, ""), (5, " \t\n"), (None, "Hello world"),
+        (6, "Hello world"), (6, "Hello world"), (7, long), (8, long + " end"), (9, "!!! ??? 123"),
+        (10, f"Before. {shared.upper()} after"), (11, "one two"), (12, "One  two"), (13, "été à la plage, ça va"),
+        (None, None), (14, "mail bob@example.com or +1 (212) 555-0100, card 4111 1111 1111 1111 at 10.0.0.1"),
+        (15, 'api_key = "abcdEFGH1234ijkl"\npwd = k\nk = "Zx91!kkQ22pq"'), (16, "  "), (17, "a" * 5000),
+        (18, "😀 漢字 text"), (7, "another text under the same id"),
+    ]
+    return [(i, t, ["en", "de", None][k % 3], ["s1", None, "s1", "s2"][k % 4], -1, *["x"] * 10)
+            for k, (i, t) in enumerate(texts)]
+
+
+def documents(spark):
+    return spark.createDataFrame(rows(), SCHEMA).repartition(3)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def whole(spark, sf, name):
+    return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
+
+
+def texts(spark, sf=SF):
+    return {r.doc_id: r.text for r in whole(spark, sf, "documents").select("doc_id", "text").collect()}
+
+
+def multiset(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def with_copies(spark, n=400):
+    """Documents of the smallest table plus one text held by most rows."""
+    d = whole(spark, SF, "documents")
+    hot = spark.range(10_000, 10_000 + n).select(
+        F.col("id").alias("doc_id"), F.lit("the same hot text again and again in every row of it").alias("text"),
+        F.lit("en").alias("lang"), F.lit("src0").alias("source"), F.lit(52).cast("bigint").alias("n_chars"))
+    return d.unionByName(hot)

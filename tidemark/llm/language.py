@@ -235,7 +235,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     python_stage(spark)
     answers = ("lang_pred", "score", "rejected")
     names = [c for c in (keep or docs.columns) if c not in answers]
-    source = docs.select(F.col(text_col).alias("__text"), *[F.col(f"`{c}`") for c in names])
+    # any column name goes through Python under a plain one
+    source = docs.select(F.col(text_col).alias("__text"), *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(names)])
     schema = T.StructType([*source.schema.fields[1:], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     shared = spark.sparkContext.broadcast(model)  # DIMS x centroids, bounded by MAX_LANGUAGES
@@ -248,7 +249,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
                 [*batch.columns[1:], pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_())], schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*names, *answers)
 
 
 def train_on_fold(docs: DataFrame) -> Model:

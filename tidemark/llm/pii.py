@@ -169,10 +169,9 @@ def labelled_windows(texts: list[str], rng: np.random.Generator, windows: int =
         tags = np.zeros(WINDOW, np.int64)
         part = text[start:start + WINDOW]
         tags[:len(part)] = _tags(len(part), whole)
-        # a span that begins before the window goes on inside it
-        for k, s, e in spans:
+        for k, s, e in spans:  # a span that begins before the window goes on inside it
             if s < start < e:
-                tags[0] = 0 if e - start < 1 else 1 + 2 * KINDS.index(k)
+                tags[0] = 2 + 2 * KINDS.index(k)
         x.append(cut(encode(part), np.zeros(1, np.int64))[0])
         y.append(tags)
 

@@ -13,6 +13,7 @@ WINDOW, STRIDE = 96, 48
 HIDDEN = 20
 _PAD, _SPACE, _LETTER, _OTHER = 0, 1, 2, 3
 _NEVER = -1e4
+_VETO = 25.0
 
 
 def encode(text: str) -> np.ndarray:
@@ -93,7 +94,7 @@ class Tagger:
         tr = np.exp(self.transitions()).astype(np.float64)
         ee = np.exp(e - e.max(2, keepdims=True)).astype(np.float64)
         alpha, scale = np.empty((steps, n, k)), np.empty((steps, n))
-        a = ee[:, 0] * self.first
+        a = ee[:, 0]  # a window may begin inside a span
         for s in range(steps):
             if s:
                 a = (alpha[s - 1] @ tr) * ee[:, s]
@@ -164,7 +165,7 @@ class Tagger:
         n, steps, k = e.shape
         tr = self.transitions().astype(np.float32)
         forward = np.empty((steps, n, k), np.float32)
-        forward[0] = e[:, 0] + np.where(self.first, 0, _NEVER)
+        forward[0] = e[:, 0]
         for s in range(1, steps):
             forward[s] = (forward[s - 1][:, :, None] + tr).max(1) + e[:, s]
         back = np.zeros((n, k), np.float32)
@@ -173,7 +174,8 @@ class Tagger:
             out[:, s] = forward[s] + back
             if s:
                 back = (tr[None] + (e[:, s] + back)[:, None, :]).max(2)
-        return out - out.max(2, keepdims=True)
+        # bounded, so that no window can veto the others where they overlap
+        return np.maximum(out - out.max(2, keepdims=True), -_VETO)
 
     def reconcile(self, starts: np.ndarray, scores: np.ndarray, n: int) -> list[tuple[str, int, int]]:
         """Spans of one stretch of overlapping windows (positions relative to
