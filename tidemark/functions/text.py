@@ -112,7 +112,7 @@ def clock(as_of: _dt.datetime | None = None) -> Column:
     one is injected (tests, reruns). Zone-free, so a stamp reads back the same
     whatever the session or client time zone."""
     if as_of is None:
-        return F.convert_timezone(F.lit("UTC"), F.localtimestamp())
+        return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     if as_of.tzinfo is not None:
         as_of = as_of.astimezone(_dt.timezone.utc).replace(tzinfo=None)
     return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

@@ -4,9 +4,11 @@ The plan (which file goes where) is a DataFrame built from a manifest with
 built-in column expressions. The effect (copy or move) runs on executors in
 ``mapInPandas``: only paths travel through Spark, bytes go straight from the
 source store to the target store through ``pyarrow.fs`` (local disk, HDFS,
-S3, GCS and other object stores alike). Each transfer is retry-safe: it writes to a temporary
-name and renames, and a target that already exists with the source's size
-counts as done, so a task re-run after a lost executor does no harm.
+S3, GCS and other object stores alike; the two may differ). Each transfer is
+retry-safe and lossless: it writes to a temporary name and renames; a target
+that exists counts as done only when its bytes equal the source's, and any
+other existing target is refused, overwritten or kept beside the new file, as
+the caller says. A refused transfer leaves both files as they were.
 The work list and the outcomes are written to the shared checkpoint folder,
 so the side effect never runs twice through lineage re-evaluation and a
 retried task never depends on the (changing) source listing.
@@ -14,14 +16,16 @@ retried task never depends on the (changing) source listing.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import paths as P
 from tidemark.operators.lookup import bounded_broadcast
-from tidemark.session import (default_parallelism, materialize, resolve_path, shared_path,
-                              ship_package)
+from tidemark.session import TEMP_PREFIX, materialize, resolve_path, shared_path, ship_package
 
-OUTCOME_SCHEMA = "path string, new_path string, folder string, ok boolean, bytes long, error string"
+OUTCOME_SCHEMA = "path string, new_path string, folder string, ok boolean, bytes long, checksum string, error string"
 
 PROCESSED = "processed"
 FAILED = "failed"
@@ -72,6 +76,7 @@ class _Resolver:
 
     def __init__(self):
         self._parents = {}
+        self._made = set()
 
     def __call__(self, uri: str):
         parent, _, name = uri.rpartition("/")
@@ -81,107 +86,166 @@ class _Resolver:
         fs, parent_path = self._parents[parent]
         return fs, f"{parent_path}/{name}"
 
+    def make_parent(self, fs, path: str) -> str:
+        """The parent directory of ``path``, created once a task."""
+        parent = path.rsplit("/", 1)[0]
+        if (id(fs), parent) not in self._made:
+            fs.create_dir(parent, recursive=True)
+            self._made.add((id(fs), parent))
+        return parent
+
+
+_CHUNK = 1 << 20
+
+
+def _checksum(fs, path: str) -> str:
+    """SHA-256 of a file's bytes, read in chunks."""
+    digest = hashlib.sha256()
+    with fs.open_input_stream(path) as f:
+        while chunk := f.read(_CHUNK):
+            digest.update(chunk)
+    return digest.hexdigest()
+
+
+def _place(src_fs, src: str, dst_fs, dst: str, parent: str) -> str:
+    """Copy through a temporary name; returns the checksum of what was written.
+    The temporary file never stays behind."""
+    digest = hashlib.sha256()
+    tmp = f"{parent}/{TEMP_PREFIX}{uuid.uuid4().hex}"
+    try:
+        with src_fs.open_input_stream(src) as f, dst_fs.open_output_stream(tmp) as out:
+            while chunk := f.read(_CHUNK):
+                digest.update(chunk)
+                out.write(chunk)
+        dst_fs.move(tmp, dst)
+    except BaseException:
+        import pyarrow.fs as pafs
+
+        if dst_fs.get_file_info(tmp).type == pafs.FileType.File:
+            dst_fs.delete_file(tmp)
+        raise
+    return digest.hexdigest()
+
 
-def _transfer(src: str, dst: str, mode: str, attempt: str, resolve=None):
-    """Copy or move one file, idempotently. Returns (ok, bytes, error)."""
+def _transfer(src: str, dst: str, mode: str, on_exists: str, length, resolve=None, verify: bool = False):
+    """Copy or move one file, idempotently and without loss. Returns
+    ``(ok, target, bytes, checksum, error)``; the checksum is known for copies,
+    compared files and, with ``verify``, for moves."""
     import pyarrow.fs as pafs
 
     resolve = resolve or _Resolver()
-    fs, src_path = resolve(src)
-    _, dst_path = resolve(dst)
-    src_info, dst_info = fs.get_file_info([src_path, dst_path])
-    if src_info.type == pafs.FileType.NotFound:
-        if mode == "move" and dst_info.type == pafs.FileType.File:
-            return True, dst_info.size, None  # moved by an earlier attempt
-        return False, 0, f"source not found: {src}"
-    if dst_info.type == pafs.FileType.File and dst_info.size == src_info.size:
-        if mode == "move":
-            fs.delete_file(src_path)
-        return True, src_info.size, None  # done by an earlier attempt
-    parent = dst_path.rsplit("/", 1)[0]
-    fs.create_dir(parent, recursive=True)
-    try:
+    src_fs, src_path = resolve(src)
+    dst_fs, dst_path = resolve(dst)
+    source, target = src_fs.get_file_info([src_path])[0], dst_fs.get_file_info([dst_path])[0]
+    if source.type == pafs.FileType.NotFound:
+        # the work list saw the source, and a move onto a foreign file is
+        # refused with the source in place: gone means moved by an earlier attempt
+        if mode == "move" and target.type == pafs.FileType.File and (length is None or target.size == length):
+            return True, dst, target.size, _checksum(dst_fs, dst_path) if verify else None, None
+        return False, dst, 0, None, f"source not found: {src}"
+    if target.type != pafs.FileType.NotFound:
+        if target.type != pafs.FileType.File:
+            return False, dst, 0, None, "target is not a file"
+        have = _checksum(dst_fs, dst_path)
+        if target.size == source.size and have == _checksum(src_fs, src_path):
+            if mode == "move":
+                src_fs.delete_file(src_path)
+            return True, dst, source.size, have, None  # the same bytes are there already
+        if on_exists == "error":
+            return False, dst, 0, None, "target exists with other content"
+        if on_exists == "keep_both":
+            mark = _checksum(src_fs, src_path)[:16]
+            stem, dot, suffix = dst.rpartition("/")[2].partition(".")
+            dst = f"{dst.rpartition('/')[0]}/{stem}~{mark}{dot}{suffix}"
+            return _transfer(src, dst, mode, "error", length, resolve, verify)
+    parent = resolve.make_parent(dst_fs, dst_path)
+    if mode == "move" and src_fs.equals(dst_fs):
+        src_fs.move(src_path, dst_path)
+        done = _checksum(dst_fs, dst_path) if verify else None
+    else:
+        done = _place(src_fs, src_path, dst_fs, dst_path, parent)
         if mode == "move":
-            fs.move(src_path, dst_path)
-        else:
-            tmp = f"{parent}/._tmp-{attempt}-{dst_path.rsplit('/', 1)[-1]}"
-            fs.copy_file(src_path, tmp)
-            fs.move(tmp, dst_path)
-    except OSError:
-        # A concurrent attempt (speculation, retry) may have placed the same
-        # file first; an equal-size target means the transfer is done.
-        done = fs.get_file_info(dst_path)
-        if done.type == pafs.FileType.File and done.size == src_info.size:
-            return True, src_info.size, None
-        raise
-    return True, src_info.size, None
+            if _checksum(dst_fs, dst_path) != done:
+                return False, dst, 0, None, "the target's bytes differ after the copy"
+            src_fs.delete_file(src_path)
+    return True, dst, source.size, done, None
 
 
-def _runner(mode: str):
+def _runner(mode: str, on_exists: str, verify: bool):
     def run(batches):
         import pandas as pd
-        from pyspark import TaskContext
 
-        ctx = TaskContext.get()
-        attempt = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0-0"
         resolve = _Resolver()
         for pdf in batches:
-            oks, sizes, errors = [], [], []
-            for src, dst in zip(pdf["path"], pdf["new_path"]):
+            results = []
+            for src, dst, length in zip(pdf["path"], pdf["new_path"], pdf["length"]):
+                size = None if pd.isna(length) else int(length)
                 try:
-                    ok, size, err = _transfer(src, dst, mode, attempt, resolve)
+                    results.append(_transfer(src, dst, mode, on_exists, size, resolve, verify))
                 except Exception as e:  # one bad file never fails the whole job
-                    ok, size, err = False, 0, f"{type(e).__name__}: {e}"
-                oks.append(ok)
-                sizes.append(size)
-                errors.append(err)
+                    results.append((False, dst, 0, None, f"{type(e).__name__}: {e}"))
+            ok, target, size, checksum, error = zip(*results) if results else ((),) * 5
             yield pd.DataFrame({
-                "path": pdf["path"], "new_path": pdf["new_path"], "folder": pdf["folder"],
-                "ok": oks, "bytes": sizes, "error": errors,
+                "path": pdf["path"], "new_path": list(target), "folder": pdf["folder"],
+                "ok": list(ok), "bytes": list(size), "checksum": list(checksum), "error": list(error),
             })
     return run
 
 
-# Transfers per task when the task count is derived from the work list.
+# Work of one transfer task, when the task count is derived from the work list.
 FILES_PER_TASK = 256
+BYTES_PER_TASK = 1 << 30
+ON_EXISTS = ("error", "overwrite", "keep_both")
 
 
 def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int | None = None,
-                      out_path: str | None = None) -> DataFrame:
+                      out_path: str | None = None, on_exists: str = "error",
+                      verify: bool = False) -> DataFrame:
     """Run the copies (or moves) of every planned row with a ``new_path``.
 
     The work list (paths only) is written to the shared folder first, so a
     retried task (lost executor) re-reads it and never the source listing,
-    whose files may already have moved. Its row count then sizes the task
-    count: ``ceil(rows / FILES_PER_TASK)``, at most 4 x default parallelism,
-    unless ``num_partitions`` is given; rows are hash-spread by target path,
-    so a folder holding a third of the files is spread over all tasks. The
-    row size says nothing about the work (bytes copied), so this is a fixed
-    repartition that AQE never coalesces. The outcome table is written to the
-    shared folder and returned (this is an action).
+    whose files may already have moved. Its rows and bytes (``length``, where
+    the plan has it) size the task count, unless ``num_partitions`` is given;
+    rows are hash-spread by target path, so a folder holding a third of the
+    files is spread over all tasks. The row size says nothing about the work
+    (bytes copied), so this is a fixed repartition that AQE never coalesces.
+
+    ``on_exists`` says what happens to a target that holds other bytes:
+    ``error`` (refused, both files stay), ``overwrite``, or ``keep_both`` (the
+    new file gets its checksum into its name; ``new_path`` tells). ``verify``
+    also checksums renamed files. The outcome table is written to the shared
+    folder and returned (this is an action).
     """
     if mode not in ("copy", "move"):
         raise ValueError(f"unknown mode {mode!r}")
+    if on_exists not in ON_EXISTS:
+        raise ValueError(f"unknown policy {on_exists!r}; expected one of {ON_EXISTS}")
     spark = plan.sparkSession
     todo = plan.filter(F.col("new_path").isNotNull())
-    if "folder" not in todo.columns:
-        todo = todo.withColumn("folder", F.lit(None).cast("string"))
+    for name, kind in (("folder", "string"), ("length", "long")):
+        if name not in todo.columns:
+            todo = todo.withColumn(name, F.lit(None).cast(kind))
     out = out_path or shared_path(spark, "outcomes")
-    work = materialize(todo.select("path", "new_path", "folder"), out.rstrip("/") + "__work")
-    # Two different sources for one target would make "an equal-size target
-    # means done" unsafe: such rows are reported as failed, neither is moved.
-    # Claims are counted with a partial aggregate; the (normally empty) set of
-    # contested targets is broadcast when proven small.
-    contested = bounded_broadcast(
-        work.groupBy("new_path").agg(F.count(F.lit(1)).alias("_claims"))
-        .filter(F.col("_claims") > 1).select("new_path"))
-    n = num_partitions or max(1, min(default_parallelism(spark) * 4,
-                                     -(-work.count() // FILES_PER_TASK)))
-    clear = work.join(contested, "new_path", "left_anti")
+    work = materialize(todo.select("path", "new_path", "folder", F.col("length").cast("long").alias("length")),
+                       out.rstrip("/") + "__work")
+    # Two sources for one target: such rows are reported as failed, neither is
+    # moved. Claims are counted once, with a partial aggregate; the contested
+    # targets are normally none, and then no join is needed.
+    contested = materialize(work.groupBy("new_path").agg(F.count(F.lit(1)).alias("_claims"))
+                            .filter(F.col("_claims") > 1).select("new_path"), out.rstrip("/") + "__contested")
+    size = work.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).first()
+    n = num_partitions or max(1, -(-size["n"] // FILES_PER_TASK), -(-(size["b"] or 0) // BYTES_PER_TASK))
     ship_package(spark)
-    outcomes = clear.repartition(n, "new_path").mapInPandas(_runner(mode), OUTCOME_SCHEMA)
+    run = _runner(mode, on_exists, verify)
+    if contested.isEmpty():
+        return materialize(work.repartition(n, "new_path").mapInPandas(run, OUTCOME_SCHEMA), out)
+    contested = bounded_broadcast(contested)
+    clear = work.join(contested, "new_path", "left_anti")
+    outcomes = clear.repartition(n, "new_path").mapInPandas(run, OUTCOME_SCHEMA)
     collided = work.join(contested, "new_path", "left_semi").select(
         "path", "new_path", "folder", F.lit(False).alias("ok"), F.lit(0).cast("long").alias("bytes"),
+        F.lit(None).cast("string").alias("checksum"),
         F.lit("target claimed by more than one source").alias("error"))
     return materialize(outcomes.unionByName(collided), out)
 
@@ -195,5 +259,10 @@ def counts_per_folder(outcomes: DataFrame) -> DataFrame:
 
 
 def verify_arrived(expected: DataFrame, arrived: DataFrame, key: str = "name") -> DataFrame:
-    """Expected names missing from the arrived listing (must be empty)."""
+    """Expected rows missing from the arrived listing (must be empty): same
+    ``key`` and, where both sides know it, the same length."""
+    if "length" in expected.columns and "length" in arrived.columns:
+        have = arrived.select(F.col(key).alias("_key"), F.col("length").alias("_length"))
+        return expected.join(have, (F.col(key) == F.col("_key")) & F.col("length").eqNullSafe(F.col("_length")),
+                             "left_anti").select(key)
     return expected.select(key).join(arrived.select(key), key, "left_anti")

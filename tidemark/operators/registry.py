@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tidemark.functions.text import check_layer, prepare_schema_str
+from tidemark.session import path_exists
 
 # Fixed values that must equal the reference's behaviour: registry columns, in insert order
 REGISTRY_COLUMNS = (
@@ -60,11 +61,9 @@ def next_id(registry: DataFrame) -> int:
 
 def registry_insert(spark: SparkSession, path: str, entries, pipeline_name: str, run_id: str,
                     as_of: _dt.datetime | None = None, fmt: str = "parquet") -> DataFrame:
-    """Append entries to the registry table at ``path`` (created on first use)."""
-    try:
-        first = next_id(read_registry(spark, path, fmt))
-    except Exception:  # table does not exist yet
-        first = 1
+    """Append entries to the registry table at ``path`` (created on first use;
+    one that cannot be read is an error, or ids would start again)."""
+    first = next_id(read_registry(spark, path, fmt)) if path_exists(path) else 1
     rows = registry_rows(spark, entries, pipeline_name, run_id, as_of, first)
     rows.write.mode("append").format(fmt).save(path)
     return rows

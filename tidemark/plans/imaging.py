@@ -18,9 +18,9 @@ from tidemark.functions import paths as P
 from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.documents import extract_tags, flatten_all, nest_two_levels
 from tidemark.operators.files import execute_transfers, verify_arrived
-from tidemark.session import materialize, path_exists, touch
+from tidemark.session import materialize, path_exists, qualify, shared_path, touch
 from tidemark.sinks.writers import append_bronze, read_bronze, write_ndjson
-from tidemark.sources.files import file_manifest, with_path_parts
+from tidemark.sources.files import list_tree, relative_parts
 from tidemark.sources.readers import read_documents
 
 
@@ -37,15 +37,27 @@ def stage(spark: SparkSession, path: str, build, fmt: str = "parquet") -> DataFr
 
 
 def move_and_verify(spark: SparkSession, source_dir: str, target_dir: str,
-                    out_path: str | None = None):
-    """K9: move every file of ``source_dir`` into ``target_dir`` (same relative
-    name) and list the target afterwards. Returns ``(outcomes, missing)``;
-    ``missing`` (expected names that did not arrive) must be empty."""
-    manifest = file_manifest(spark, source_dir)
-    plan = manifest.withColumn("new_path", P.join_path(target_dir, F.col("name")))
-    outcomes = execute_transfers(plan, "move", out_path=out_path)
-    arrived = with_path_parts(file_manifest(spark, target_dir))
-    return outcomes, verify_arrived(outcomes.withColumn("name", P.last_segment("new_path")), arrived)
+                    out_path: str | None = None, on_exists: str = "error"):
+    """K9: move every file of ``source_dir`` (all names and sizes) to the same
+    relative path under ``target_dir``, checksum what arrived and list the
+    target afterwards. Returns ``(outcomes, missing)``; ``missing`` (relative
+    paths that did not arrive with the source's length, refused ones included)
+    must be empty."""
+    out = (out_path or shared_path(spark, "movement")).rstrip("/")
+    source, target = qualify(spark, source_dir), qualify(spark, target_dir)
+    listing = relative_parts(list_tree(spark, source), source).filter(~F.col("is_dir"))
+    manifest = materialize(listing, out + "__listing")
+    plan = manifest.withColumn("new_path", P.join_path(target, F.col("rel")))
+    outcomes = execute_transfers(plan, "move", out_path=out, on_exists=on_exists, verify=True)
+    if not path_exists(target):  # nothing was placed
+        return outcomes, manifest.select("rel")
+    arrived = relative_parts(list_tree(spark, target), target).filter(~F.col("is_dir"))
+    placed = relative_parts(outcomes.select("path", "new_path"), target, "new_path").select(
+        "path", F.col("rel").alias("_placed"))
+    expected = manifest.join(placed, "path").select("rel", F.coalesce("_placed", "rel").alias("_placed"), "length")
+    refused = outcomes.filter(~F.col("ok")).select("path").join(manifest, "path").select("rel")
+    lost = verify_arrived(expected.select(F.col("_placed").alias("rel"), "length"), arrived, "rel")
+    return outcomes, lost.union(refused).distinct()
 
 
 def run_imaging_job(spark: SparkSession, parent: DataFrame, child: DataFrame, parent_key: str,

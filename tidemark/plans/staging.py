@@ -28,10 +28,10 @@ from tidemark.functions import paths as P
 from tidemark.functions.text import clock
 from tidemark.operators.audit import stable_id
 from tidemark.operators.files import counts_per_folder, execute_transfers, plan_copy
-from tidemark.operators.lookup import rows_of_unprocessed_folders
-from tidemark.session import materialize, path_exists, shared_path, touch
+from tidemark.operators.lookup import rows_of_unprocessed_folders, unprocessed_folders
+from tidemark.session import materialize, path_exists, qualify, shared_path, touch
 from tidemark.sinks.writers import create_table
-from tidemark.sources.files import file_manifest, folder_files
+from tidemark.sources.files import folder_files, folders_of, list_tree, require_inside
 
 # Fixed values that must equal the reference's behaviour: history table columns
 HISTORY_SCHEMA = StructType([
@@ -40,7 +40,8 @@ HISTORY_SCHEMA = StructType([
     StructField("target_dir", StringType(), True),
     StructField("source_folder", StringType(), True),
     StructField("total_files_processed", LongType(), True),
-    StructField("processed_dttm", TimestampNTZType(), True),  # UTC wall-clock time
+    # zone-free UTC wall-clock time, where the original has an instant
+    StructField("processed_dttm", TimestampNTZType(), True),
     # ours: failed copies, so an incomplete folder is retried
     StructField("files_failed", LongType(), True),
 ])
@@ -55,11 +56,12 @@ def create_history(spark: SparkSession, path: str | None = None, fmt: str = "par
 
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The history with its declared schema; an absent table reads as empty.
-    Rows written before ``files_failed`` existed read it as NULL."""
-    try:
-        return spark.read.format(fmt).schema(HISTORY_SCHEMA).load(path)
-    except Exception:  # no table yet
+    Any other fault (unknown format, corrupt files) is raised: a history that
+    cannot be read must not look empty, or everything is staged again. Rows
+    written before ``files_failed`` existed read it as NULL."""
+    if not path_exists(path):
         return spark.createDataFrame([], HISTORY_SCHEMA)
+    return spark.read.format(fmt).schema(HISTORY_SCHEMA).load(path)
 
 
 def history_records(counts: DataFrame, source_dir: str, target_dir: str,
@@ -118,7 +120,7 @@ def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_p
                 fmt: str = "parquet", layout: str = "nested", as_of: _dt.datetime | None = None,
                 manifest: DataFrame | None = None, num_partitions: int | None = None,
                 work_dir: str | None = None, history: DataFrame | None = None,
-                resume: bool = False) -> DataFrame:
+                resume: bool = False, on_exists: str = "error") -> DataFrame:
     """H3: one incremental run. Returns the history rows it appended.
 
     ``history`` overrides the table read from ``history_path`` for the "already
@@ -129,19 +131,26 @@ def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_p
     "logged" marker is absent; the marker is written right after the append.
     """
     work = work_dir or shared_path(spark, "staging")
+    source_dir, target_dir = qualify(spark, source_dir), qualify(spark, target_dir)
     if resume and path_exists(f"{work}/records/_SUCCESS"):
         records = spark.read.parquet(f"{work}/records")
         _log_once(records, history_path, fmt, f"{work}/logged")
         return records
-    manifest = manifest if manifest is not None else file_manifest(spark, source_dir)
+    listed = manifest is None
+    if listed:  # written once: the plan and the folder list see the same tree
+        manifest = materialize(list_tree(spark, source_dir), f"{work}/listing")
     history = history if history is not None else read_history(spark, history_path, fmt)
     plan = materialize(stage_plan(manifest, history, source_dir, target_dir, layout),
                        f"{work}/plan")
-    if plan.isEmpty():  # nothing new: no transfers, nothing to log
-        return spark.createDataFrame([], HISTORY_SCHEMA)
-    outcomes = execute_transfers(plan, "copy", num_partitions, f"{work}/outcomes")
-    # every new folder gets a row, also one where nothing needed copying
+    # every new folder gets a row, also one where nothing needed copying or lies
     folders = plan.select("folder").distinct()
+    if listed:
+        folders = folders.union(unprocessed_folders(folders_of(manifest, source_dir), history)).distinct()
+        folders = materialize(folders, f"{work}/folders")
+    if folders.isEmpty():  # nothing new: no transfers, nothing to log
+        require_inside(manifest, source_dir)
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+    outcomes = execute_transfers(plan, "copy", num_partitions, f"{work}/outcomes", on_exists)
     counts = folders.join(counts_per_folder(outcomes), "folder", "left").fillna(
         0, ["total_files_processed", "files_failed"])
     records = materialize(history_records(counts, source_dir, target_dir, as_of), f"{work}/records")

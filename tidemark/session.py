@@ -13,6 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: names of files under way; listings leave them out
+TEMP_PREFIX = "._tidemark-tmp-"
+
+
 def get_session(master: str | None = None, app: str = "tidemark",
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Session with the settings this library is tuned for.
@@ -53,8 +57,9 @@ def default_parallelism(spark: SparkSession) -> int:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a
-    private directory is created and registered as the checkpoint dir.
+    Read from the session; only when it is unset on a local master (tests) a
+    private directory is created and registered as the checkpoint dir. On any
+    other master an unset folder is an error: executors could not see it.
     """
     try:
         sc = spark.sparkContext
@@ -69,6 +74,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
@@ -157,21 +164,28 @@ def resolve_path(path: str):
     return pafs.FileSystem.from_uri(f"{scheme}://{netloc}/{quote(inner, safe='/')}")
 
 
-def path_exists(path: str) -> bool:
-    """Whether a file or directory exists, on any store ``pyarrow.fs`` supports."""
-    import pyarrow.fs as pafs
+def qualify(spark: SparkSession, path: str) -> str:
+    """The path with its store spelled out, as the session's file systems
+    resolve it: scheme-less and relative paths get the default store, doubled
+    and trailing slashes go. Executors then never guess a store."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(hadoop).toString()
 
-    fs, p = resolve_path(path)
-    return fs.get_file_info(p).type != pafs.FileType.NotFound
 
+def _hadoop(path: str):
+    spark = SparkSession.active()
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop
 
-def touch(path: str) -> None:
-    """Create an empty marker file (parents included)."""
-    fs, p = resolve_path(path)
-    fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
-    with fs.open_output_stream(p):
-        pass
+
+def path_exists(path: str) -> bool:
+    """Whether a file or directory exists, in the store Spark resolves."""
+    fs, p = _hadoop(path)
+    return bool(fs.exists(p))
 
 
-def ensure_dir(path: str) -> None:
-    os.makedirs(local_fs_path(path), exist_ok=True)
+def touch(path: str) -> None:
+    """Create an empty marker file (parents included), in the store Spark resolves."""
+    fs, p = _hadoop(path)
+    fs.create(p, True).close()

@@ -53,52 +53,77 @@ def write_ndjson(df: DataFrame, directory: str, mode: str = "overwrite") -> None
 FILE_OUTCOME_SCHEMA = "path string, ok boolean, bytes long, error string"
 
 
-def _file_writer(root: str):
+def _file_writer(root: str, overwrite: bool):
     def run(batches):
+        import uuid
+
         import pandas as pd
         import pyarrow.fs as pafs
-        from pyspark import TaskContext
 
-        from tidemark.session import resolve_path
+        from tidemark.session import TEMP_PREFIX, resolve_path
 
-        ctx = TaskContext.get()
-        attempt = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0-0"
         base = root.rstrip("/")
         fs, base_path = resolve_path(base)
+        made = set()
+
+        def put(folder: str, name: str, data: bytes) -> str | None:
+            target = f"{base_path}/{folder}/{name}"
+            info = fs.get_file_info(target)
+            if info.type != pafs.FileType.NotFound:
+                if info.type != pafs.FileType.File:
+                    return "target is not a file"
+                if info.size == len(data):
+                    with fs.open_input_stream(target) as f:
+                        if f.read() == data:
+                            return None  # the same bytes are there already
+                if not overwrite:
+                    return "target exists with other content"
+            if folder not in made:
+                fs.create_dir(f"{base_path}/{folder}", recursive=True)
+                made.add(folder)
+            tmp = f"{base_path}/{folder}/{TEMP_PREFIX}{uuid.uuid4().hex}"
+            try:
+                with fs.open_output_stream(tmp) as out:
+                    out.write(data)
+                fs.move(tmp, target)
+            finally:
+                if fs.get_file_info(tmp).type == pafs.FileType.File:
+                    fs.delete_file(tmp)
+            return None
+
         for pdf in batches:
             paths, oks, sizes, errors = [], [], [], []
             for d, n, content in zip(pdf["_dir"], pdf["_name"], pdf["_content"]):
                 data = content.encode("utf-8") if isinstance(content, str) else bytes(content or b"")
-                target = f"{base_path}/{d}/{n}"
                 paths.append(f"{base}/{d}/{n}")
                 try:
-                    info = fs.get_file_info(target)
-                    if not (info.type == pafs.FileType.File and info.size == len(data)):
-                        fs.create_dir(f"{base_path}/{d}", recursive=True)
-                        tmp = f"{base_path}/{d}/._tmp-{attempt}-{n}"
-                        with fs.open_output_stream(tmp) as out:
-                            out.write(data)
-                        fs.move(tmp, target)
-                    oks.append(True)
-                    sizes.append(len(data))
-                    errors.append(None)
+                    error = put(d, n, data)
                 except Exception as e:  # reported per file, never fails the job
-                    oks.append(False)
-                    sizes.append(0)
-                    errors.append(f"{type(e).__name__}: {e}")
+                    error = f"{type(e).__name__}: {e}"
+                oks.append(error is None)
+                sizes.append(len(data) if error is None else 0)
+                errors.append(error)
             yield pd.DataFrame({"path": paths, "ok": oks, "bytes": sizes, "error": errors})
     return run
 
 
+# An Arrow batch of file contents handed to Python holds at most this much.
+LAND_BATCH_BYTES = 32 << 20
+
+
 def land_files(df: DataFrame, root: str, dir_col: str, name_col: str, content_col: str,
-               num_partitions: int | None = None, out_path: str | None = None) -> DataFrame:
+               num_partitions: int | None = None, out_path: str | None = None,
+               overwrite: bool = False) -> DataFrame:
     """Write one file per record at ``<root>/<dir>/<name>`` (text or binary
-    content), from executors; retry-safe (temp name + rename, equal size = done).
+    content), from executors; retry-safe (temporary name and rename; equal
+    bytes count as done, other content is refused unless ``overwrite``).
     Returns the outcome table, written once to the shared folder (an action)."""
-    from tidemark.session import materialize, shared_path, ship_package
+    from tidemark.session import materialize, qualify, shared_path, ship_package
 
     spark = df.sparkSession
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(LAND_BATCH_BYTES))
+    root = qualify(spark, root)
     rows = df.select(F.col(dir_col).cast("string").alias("_dir"), F.col(name_col).alias("_name"),
                      F.col(content_col).alias("_content"))
     # Rows carry the file contents, so bytes measure the work: let AQE size
@@ -106,5 +131,5 @@ def land_files(df: DataFrame, root: str, dir_col: str, name_col: str, content_co
     # a task count is given.
     rows = (rows.repartition(num_partitions, "_dir", "_name") if num_partitions
             else rows.hint("rebalance", "_dir", "_name"))
-    outcomes = rows.mapInPandas(_file_writer(root), FILE_OUTCOME_SCHEMA)
+    outcomes = rows.mapInPandas(_file_writer(root, overwrite), FILE_OUTCOME_SCHEMA)
     return materialize(outcomes, out_path or shared_path(spark, "landed"))

@@ -11,17 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import paths as P
+from tidemark.session import TEMP_PREFIX, default_parallelism, qualify, resolve_path, ship_package
 
 MANIFEST_COLUMNS = ("path", "name", "folder", "is_dir", "length", "modificationTime")
 
 
 def file_manifest(spark: SparkSession, root: str, recursive: bool = True,
                   glob: str | None = None) -> DataFrame:
-    """Every file under ``root``.
-
-    Note the listing skips names starting with ``_`` or ``.`` and zero-byte
-    files; supply a manifest table when those must be seen.
-    """
+    """Visible, non-empty files under ``root``, as Spark's readers see them:
+    the listing skips names starting with ``_`` or ``.`` and zero-byte files.
+    :func:`list_tree` sees everything."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -29,6 +28,60 @@ def file_manifest(spark: SparkSession, root: str, recursive: bool = True,
     return with_path_parts(listing)
 
 
+LISTING_SCHEMA = "path string, length long, modificationTime timestamp, is_dir boolean"
+
+
+def list_tree(spark: SparkSession, root: str, num_partitions: int | None = None) -> DataFrame:
+    """Every file and directory under ``root``: zero-byte, ``_`` and ``.`` names
+    and empty directories too. Only files under way (temporary names of this
+    library) are left out.
+
+    The driver lists the root's own entries; each directory among them is
+    walked by a task, so a tree of many folders is listed in parallel and no
+    listing but the first level passes through the driver.
+    """
+    import pyarrow.fs as pafs
+
+    base = qualify(spark, root)
+    fs, top = resolve_path(base)
+    first = fs.get_file_info(pafs.FileSelector(top, allow_not_found=False))
+    files = [(f"{base}/{i.base_name}", i.size, i.mtime, False) for i in first
+             if i.type == pafs.FileType.File and not i.base_name.startswith(TEMP_PREFIX)]
+    folders = [(f"{base}/{i.base_name}", None, i.mtime, True) for i in first if i.type == pafs.FileType.Directory]
+    here = spark.createDataFrame(files + folders, LISTING_SCHEMA)
+    if not folders:
+        return with_path_parts(here)
+    ship_package(spark)
+
+    def walk(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            for path in pdf["path"]:
+                fs, inner = resolve_path(path)
+                stack = [(path, inner)]
+                while stack:
+                    uri, folder = stack.pop()
+                    rows = []
+                    for i in fs.get_file_info(pafs.FileSelector(folder)):
+                        if i.type == pafs.FileType.Directory:
+                            stack.append((f"{uri}/{i.base_name}", i.path))
+                            rows.append((f"{uri}/{i.base_name}", None, i.mtime, True))
+                        elif i.type == pafs.FileType.File and not i.base_name.startswith(TEMP_PREFIX):
+                            rows.append((f"{uri}/{i.base_name}", i.size, i.mtime, False))
+                    if rows:
+                        out = pd.DataFrame(rows, columns=["path", "length", "modificationTime", "is_dir"])
+                        out["length"] = out["length"].astype("Int64")
+                        out["modificationTime"] = pd.to_datetime(out["modificationTime"], utc=True)
+                        yield out
+
+    tasks = num_partitions or max(1, min(len(folders), 4 * default_parallelism(spark)))
+    below = (spark.createDataFrame([(p,) for p, *_ in folders], "path string").repartition(tasks)
+             .mapInPandas(walk, LISTING_SCHEMA))
+    return with_path_parts(here.unionByName(below))
+
+
 def with_path_parts(df: DataFrame, path_col: str = "path", is_dir=None) -> DataFrame:
     """Add ``name`` (last segment), ``folder`` (name of the parent directory)
     and ``is_dir`` (given, or: the path ends with ``/``) to a table of paths."""
@@ -44,18 +97,28 @@ def with_path_parts(df: DataFrame, path_col: str = "path", is_dir=None) -> DataF
     })
 
 
-def _strip_scheme(path: str) -> str:
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+def _store(path: str) -> tuple[str, str]:
+    """``(store, path within it)`` of a qualified path."""
+    scheme, _, rest = path.partition(":")
+    if rest.startswith("//"):
+        host, slash, inner = rest[2:].partition("/")
+        return f"{scheme}://{host}" if host else f"{scheme}:", slash + inner
+    return f"{scheme}:", rest
 
 
 def relative_parts(df: DataFrame, root: str, path_col: str = "path") -> DataFrame:
-    """``rel`` (path below ``root``, NULL outside it) and ``depth`` (its segment count)."""
-    prefix = _strip_scheme(root).rstrip("/") + "/"
-    local = F.regexp_replace(F.col(path_col), "^file:(//)?", "")
+    """``rel`` (path below ``root``, NULL outside it) and ``depth`` (its segment count).
+
+    Both sides are compared in qualified form: any spelling of the root
+    (scheme-less, relative, doubled slashes) and of the listed paths matches;
+    a listed path without a store lies in the root's.
+    """
+    store, inside = _store(qualify(df.sparkSession, root))
+    prefix = store + inside.rstrip("/") + "/"
+    p = F.col(path_col)
+    scheme = F.regexp_extract(p, "^([A-Za-z][A-Za-z0-9+.-]*:(?://[^/]+)?)", 1)
+    body = F.regexp_replace(p.substr(F.length(scheme) + 1, F.length(p)), "/{2,}", "/")
+    local = F.concat(F.when(scheme == "", F.lit(store)).otherwise(scheme), body)
     rel = F.when(local.startswith(prefix), local.substr(F.lit(len(prefix) + 1), F.length(local)))
     return df.withColumn("rel", rel).withColumn("depth", F.size(F.split(F.col("rel"), "/")))
 
@@ -67,6 +130,21 @@ def folder_files(manifest: DataFrame, root: str) -> DataFrame:
             .filter(~F.col("is_dir")).drop("rel", "depth"))
 
 
+def folders_of(manifest: DataFrame, root: str) -> DataFrame:
+    """Names of the immediate sub-folders of ``root`` that the manifest lists
+    as directories, with or without files (column ``folder``)."""
+    return (relative_parts(manifest, root).filter((F.col("depth") == 1) & F.col("is_dir"))
+            .select(F.col("name").alias("folder")).distinct())
+
+
+def require_inside(manifest: DataFrame, root: str) -> None:
+    """Raise when the manifest has files but none lies under ``root``: the root
+    is then spelled for another store or tree, and staging would find nothing."""
+    placed = relative_parts(manifest, root)
+    if placed.filter(F.col("rel").isNotNull()).isEmpty() and not manifest.isEmpty():
+        raise ValueError(f"no listed file lies under {root!r}")
+
+
 def dirs_with_files(manifest: DataFrame, path_col: str = "path") -> DataFrame:
     """Directories that directly contain at least one file (set semantics)."""
     files = manifest.filter(~F.col("is_dir")) if "is_dir" in manifest.columns else manifest

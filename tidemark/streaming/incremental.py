@@ -4,7 +4,10 @@ The file stream source remembers which files it has delivered in its
 checkpoint, so a second run over the same tree delivers nothing; each
 micro-batch goes through the same plan / copy / log steps as a batch run
 (``foreachBatch``), and ``trigger(availableNow=True)`` processes whatever has
-arrived, then stops: an incremental batch job with exactly-once bookkeeping.
+arrived, then stops: an incremental batch job. Records are appended at least
+once; a crash between the append and its marker repeats one batch's rows.
+A copy that failed is not delivered again by the file source, so every run
+first retries the failed copies of earlier runs and logs the ones that arrive.
 Folders recorded in the history before a run starts are skipped; a folder
 whose files arrive during a run may be logged in several rows, one per
 micro-batch that carried some of its files.
@@ -13,12 +16,15 @@ micro-batch that carried some of its files.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
-from tidemark.plans.staging import read_history, run_staging
-from tidemark.session import default_parallelism, materialize, shared_path
+from tidemark.operators.files import OUTCOME_SCHEMA, counts_per_folder, execute_transfers
+from tidemark.plans.staging import history_records, log_folders, read_history, run_staging
+from tidemark.session import default_parallelism, materialize, path_exists, qualify, shared_path
 from tidemark.sources.files import with_path_parts
 
 BINARY_FILE_SCHEMA = StructType([
@@ -32,6 +38,34 @@ BINARY_FILE_SCHEMA = StructType([
 LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
+def retry_failed(spark: SparkSession, checkpoint: str, source_dir: str, target_dir: str, history_path: str,
+                 fmt: str = "parquet", as_of: _dt.datetime | None = None) -> None:
+    """Copy again what failed in earlier batches or retries of this stream and
+    log the folders that gained files. Their failed counts are what still fails."""
+    parts = [p for p in (f"{checkpoint}/tidemark-batches", f"{checkpoint}/tidemark-retries") if path_exists(p)]
+    if not parts:
+        return
+    tried = [spark.read.schema(OUTCOME_SCHEMA).parquet(f"{p}/*/outcomes") for p in parts if _any_outcomes(spark, p)]
+    if not tried:
+        return
+    latest = reduce(DataFrame.unionByName, tried).groupBy("path", "new_path", "folder").agg(
+        F.max("ok").alias("ok")).filter(~F.col("ok"))
+    todo = materialize(latest.select("path", "new_path", "folder"), shared_path(spark, "stream-retry"))
+    if todo.isEmpty():
+        return
+    work = f"{checkpoint}/tidemark-retries/{uuid.uuid4().hex[:12]}"
+    counts = counts_per_folder(execute_transfers(todo, "copy", out_path=f"{work}/outcomes"))
+    records = history_records(counts.filter("total_files_processed > 0"), source_dir, target_dir, as_of)
+    log_folders(materialize(records, f"{work}/records"), history_path, fmt)
+
+
+def _any_outcomes(spark: SparkSession, folder: str) -> bool:
+    """Whether any unit of work below ``folder`` wrote its outcomes."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/*/outcomes/_SUCCESS")
+    found = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(hadoop)
+    return found is not None and len(found) > 0
+
+
 def incremental_staging(spark: SparkSession, source_dir: str, target_dir: str, history_path: str,
                         checkpoint: str | None = None, fmt: str = "parquet",
                         layout: str = "nested", as_of: _dt.datetime | None = None,
@@ -56,7 +90,9 @@ def incremental_staging(spark: SparkSession, source_dir: str, target_dir: str, h
     # off by the history rows its own first batch appends.
     done_before = materialize(read_history(spark, history_path, fmt),
                               shared_path(spark, "stream-history-snapshot"))
-    checkpoint = (checkpoint or shared_path(spark, "stream-checkpoint")).rstrip("/")
+    checkpoint = qualify(spark, checkpoint or shared_path(spark, "stream-checkpoint")).rstrip("/")
+    source_dir, target_dir = qualify(spark, source_dir), qualify(spark, target_dir)
+    retry_failed(spark, checkpoint, source_dir, target_dir, history_path, fmt, as_of)
 
     def each_batch(batch: DataFrame, epoch: int) -> None:
         # A batch retried after a failure reruns under the same epoch: its work
