@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators.dates import (hourly_volume, hourly_volume_by_policy, read_quarantine,
-                                      repair_ancient_dates, write_quarantine)
+                                      repair_ancient_dates, split_unparsed, write_quarantine)
 
 ROWS = [(1, dt.datetime(1800, 2, 3, 4, 5, 6)), (2, dt.datetime(1896, 2, 29, 7, 8, 9)),
         (3, dt.datetime(2024, 1, 1)), (4, None)]
@@ -55,16 +55,33 @@ def test_one_pass_quarantine_table(spark, scratch):
     assert sorted(r["id"] for r in bad.collect()) == [1, 2]
 
 
+TEXT_ROWS = [(1, "01/02/2024"), (2, "abc"), (3, "1850-05-05 10:00:00"), (4, None), (5, "2001-02-03 04:05:06")]
+FORMATS = ["yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy"]
+
+
+def _text(spark):
+    return spark.createDataFrame(TEXT_ROWS, "id int, d string")
+
+
 def test_text_dates_are_parsed_not_compared_as_text(spark):
-    df = spark.createDataFrame([(1, "01/02/2024"), (2, "abc"), (3, "1850-05-05 10:00:00"), (4, None)],
-                               "id int, d string")
-    good, bad = repair_ancient_dates(df, ["d"], "quarantine", fmt="MM/dd/yyyy")
-    assert sorted(r["id"] for r in good.collect()) == [1, 4]
-    bad_ids = sorted(r["id"] for r in bad.collect())
-    assert bad_ids == [2, 3]  # unparseable text and (unparsed by this format) text go to quarantine
-    good2, bad2 = repair_ancient_dates(df, ["d"], "quarantine")
-    assert 1 in [r["id"] for r in bad2.collect()]  # '01/02/2024' does not parse by default
-    assert 3 in [r["id"] for r in bad2.collect()]  # 1850 parses and is ancient
+    good, bad = repair_ancient_dates(_text(spark), ["d"], "quarantine", fmt=FORMATS)
+    assert sorted(r["id"] for r in good.collect()) == [1, 4, 5]
+    assert {r["id"]: r["d"] for r in bad.collect()} == {2: "abc", 3: "1850-05-05 10:00:00"}
+    # with one format, what it does not parse is unparsed, not ancient
+    kept = repair_ancient_dates(_text(spark), ["d"], "drop", fmt="MM/dd/yyyy")
+    assert sorted(r["id"] for r in kept.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_unparsed_text_is_kept_by_every_policy(spark):
+    want = {"sentinel": dt.datetime(1900, 1, 1), "null": None, "shift": dt.datetime(1900, 5, 5, 10)}
+    for policy, repaired in want.items():
+        out = repair_ancient_dates(_text(spark), ["d"], policy, fmt=FORMATS)
+        good, rejects = split_unparsed(out, ["d"])
+        assert good.columns == ["id", "d"]
+        assert _by_id(good) == {1: dt.datetime(2024, 1, 2), 3: repaired, 4: None, 5: dt.datetime(2001, 2, 3, 4, 5, 6)}
+        assert [(r["id"], r["d"], r["d_unparsed"]) for r in rejects.collect()] == [(2, None, "abc")]
+    drop = repair_ancient_dates(_text(spark), ["d"], "drop", fmt=FORMATS)
+    assert sorted(r["id"] for r in drop.collect()) == [1, 2, 4, 5]
 
 
 def test_unknown_policy():

@@ -47,7 +47,7 @@ def test_bronze_job_routes_loads_repairs_moves_and_registers(spark, scratch):
     registry = os.path.join(scratch, "registry")
     status = {r["folder"]: (r["status"], r["files_moved"]) for r in run_bronze_job(
         spark, land, mapping, "JSON", date_cols=["filed"], registry_path=registry,
-        pipeline_name="bronze", run_id="r1", as_of=AS_OF).collect()}
+        pipeline_name="bronze", run_id="r1").collect()}  # the default clock
     assert status["insider-sentiment"] == ("processed", 2)
     assert status["financials-reported"] == ("failed", 1)
     assert status["unknown-api"] == ("unrouted", 0)
@@ -64,6 +64,60 @@ def test_bronze_job_routes_loads_repairs_moves_and_registers(spark, scratch):
     assert [(r["tableName"], r["layer"]) for r in reg] == [("sentiment", "bronze")]
 
 
+def _bronze(spark, scratch, land, mapping, **more):
+    return {(r["folder"], r["status"]): (r["files_moved"], r["error"])
+            for r in run_bronze_job(spark, land, mapping, "JSON", **more).collect()}
+
+
+def _one_route(spark, scratch, folder="foo"):
+    return spark.createDataFrame(
+        [(folder, "bronze", folder, "in", os.path.join(scratch, "Tables", folder), os.path.join(scratch, "done"),
+          os.path.join(scratch, "bad"))],
+        "folder string, layer string, table string, source_file_path string, full_target_path string, "
+        "processed_file_path string, failed_file_path string")
+
+
+def test_bronze_refuses_what_it_could_not_move_and_never_loads_twice(spark, scratch):
+    land, table = os.path.join(scratch, "in"), os.path.join(scratch, "Tables", "foo")
+    _write(f"{land}/foo/a.json", [{"v": 1}])
+    _write(f"{land}/z/foo/a.json", [{"v": 2}])  # the same name in another directory of the route
+    mapping = _one_route(spark, scratch)
+    assert set(_bronze(spark, scratch, land, mapping)) == {("foo", "refused")}
+    assert not os.path.exists(table)
+    os.rename(f"{land}/z/foo/a.json", f"{land}/z/foo/b.json")
+    assert set(_bronze(spark, scratch, land, mapping)) == {("foo", "processed")}
+    assert sorted(r["v"] for r in spark.read.parquet(table).collect()) == [1, 2]
+    # the next day's drop has a processed name: refused, source intact, table unchanged
+    _write(f"{land}/foo/a.json", [{"v": 3}])
+    for _ in range(2):
+        assert set(_bronze(spark, scratch, land, mapping)) == {("foo", "refused")}
+    assert os.path.exists(f"{land}/foo/a.json") and spark.read.parquet(table).count() == 2
+    # keeping both loads it once
+    assert set(_bronze(spark, scratch, land, mapping, on_exists="keep_both")) == {("foo", "processed")}
+    assert sorted(r["v"] for r in spark.read.parquet(table).collect()) == [1, 2, 3]
+    assert len(os.listdir(os.path.join(scratch, "done"))) == 3 and os.listdir(f"{land}/foo") == []
+
+
+def test_bronze_registration_fault_does_not_fail_the_load(spark, scratch):
+    land = os.path.join(scratch, "in")
+    _write(f"{land}/foo/a b%1.json", [{"v": 1}])
+    registry = os.path.join(scratch, "registry")
+    os.makedirs(registry)
+    with open(os.path.join(registry, "part-0.parquet"), "w") as f:
+        f.write("not a table")
+    got = _bronze(spark, scratch, land, _one_route(spark, scratch), registry_path=registry)
+    (moved, error), = got.values()
+    assert list(got) == [("foo", "processed")] and moved == 1 and error.startswith("registration")
+    assert os.listdir(os.path.join(scratch, "done")) == ["a b%1.json"]
+
+
+def test_bronze_rejects_a_pair_policy(spark, scratch):
+    import pytest
+
+    with pytest.raises(ValueError):
+        run_bronze_job(spark, scratch, None, policy="quarantine")
+
+
 def test_imaging_job_stages_and_resume(spark, scratch):
     studies = spark.createDataFrame([(1, 100, "CT"), (2, 100, "MR"), (3, 200, "US")],
                                     "study long, patient long, modality string")

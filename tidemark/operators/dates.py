@@ -8,6 +8,8 @@ one write partitioned by a flag) so large inputs are never read twice.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
@@ -20,6 +22,7 @@ DEFAULT_SENTINEL = "1900-01-01 00:00:00"
 POLICIES = ("sentinel", "null", "shift", "quarantine", "drop")
 
 BAD_FLAG = "_ancient"
+UNPARSED_SUFFIX = "_unparsed"
 
 
 def _dtype(df: DataFrame, c: str):
@@ -36,22 +39,30 @@ def _as_time(df: DataFrame, c: str, fmt: str | None) -> Column:
     compared as text: ``'01/02/2024' < '1900-01-01'`` is true as text)."""
     dtype = _dtype(df, c)
     if isinstance(dtype, StringType):
-        parsed = F.try_to_timestamp(F.col(c), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col(c))
-        return parsed.cast("timestamp_ntz")  # the wall time written in the text, zone-free
+        # the first format that parses; the wall time written in the text, zone-free
+        formats = [fmt] if isinstance(fmt, str) or fmt is None else list(fmt)
+        return F.coalesce(*[(F.try_to_timestamp(F.col(c), F.lit(f)) if f else F.try_to_timestamp(F.col(c)))
+                            .cast("timestamp_ntz") for f in formats])
     if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
         return F.col(c)
     raise TypeError(f"column {c!r} has type {dtype.simpleString()}, not a date, timestamp or text")
 
 
 def ancient(df: DataFrame, c: str, cutoff: str = DEFAULT_CUTOFF, fmt: str | None = None) -> Column:
-    """True when the value is before the cutoff, or is text that does not parse.
-    NULL values are never ancient."""
-    t = _as_time(df, c, fmt)
-    cut = _typed(cutoff, t_type(df, c))
-    bad = F.coalesce(t < cut, F.lit(False))
-    if isinstance(_dtype(df, c), StringType):
-        bad = bad | (F.col(c).isNotNull() & t.isNull())
-    return bad
+    """True when the value is before the cutoff. NULL values and text that does
+    not parse are never ancient (see :func:`unparsed`)."""
+    return F.coalesce(_as_time(df, c, fmt) < _typed(cutoff, t_type(df, c)), F.lit(False))
+
+
+def unparsed(df: DataFrame, c: str, fmt=None) -> Column:
+    """True for text that is there but is no date in any of the formats."""
+    if not isinstance(_dtype(df, c), StringType):
+        return F.lit(False)
+    return F.col(c).isNotNull() & _as_time(df, c, fmt).isNull()
+
+
+def any_unparsed(df: DataFrame, cols, fmt=None) -> Column:
+    return reduce(lambda a, b: a | b, [unparsed(df, c, fmt) for c in cols])
 
 
 def t_type(df: DataFrame, c: str):
@@ -104,21 +115,40 @@ def repair_ancient_dates(df: DataFrame, cols, policy: str = "sentinel",
     drop       rows with any ancient value are removed
 
     NULL dates pass through untouched under every policy. Text columns are
-    parsed to zone-free timestamps (TIMESTAMP_NTZ); unparseable text counts as
-    ancient. Returns a
-    DataFrame, or a ``(good, bad)`` pair for ``quarantine``.
+    parsed to zone-free timestamps (TIMESTAMP_NTZ) by the first of the formats
+    in ``fmt`` that fits. Text that does not parse is never taken for ancient
+    and never lost: sentinel, null and shift put it, unchanged, into a column
+    ``<name>_unparsed`` beside the (then NULL) date; drop keeps its row;
+    quarantine sends its row to ``bad``. :func:`split_unparsed` parts such rows
+    off. Returns a DataFrame, or a ``(good, bad)`` pair for ``quarantine``.
     """
     if policy not in POLICIES:
         raise ValueError(f"unknown policy {policy!r}; expected one of {POLICIES}")
     cols = [cols] if isinstance(cols, str) else list(cols)
     if policy in ("quarantine", "drop"):
         bad = any_ancient(df, cols, cutoff, fmt)
-        good_df = df.filter(~bad)
         if policy == "drop":
-            return good_df
-        return good_df, df.filter(bad)
-    return df.withColumns({c: repaired_value(df, c, policy, cutoff, sentinel, target_year, fmt)
-                           for c in cols})
+            return df.filter(~bad)
+        bad = bad | any_unparsed(df, cols, fmt)
+        return df.filter(~bad), df.filter(bad)
+    out = {c: repaired_value(df, c, policy, cutoff, sentinel, target_year, fmt) for c in cols}
+    kept = {f"{c}{UNPARSED_SUFFIX}": F.when(unparsed(df, c, fmt), F.col(c))
+            for c in cols if isinstance(_dtype(df, c), StringType)}
+    return df.withColumns({**out, **kept})
+
+
+def split_unparsed(repaired: DataFrame, cols) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)`` of a repaired frame: rejects have text in any
+    ``<name>_unparsed`` column; good rows lose these columns."""
+    names = [f"{c}{UNPARSED_SUFFIX}" for c in ([cols] if isinstance(cols, str) else cols)]
+    rejected = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
+    return repaired.filter(~rejected).drop(*names), repaired.filter(rejected)
+
+
+def flag_quarantine(df: DataFrame, cols, cutoff: str = DEFAULT_CUTOFF, fmt=None) -> DataFrame:
+    """``df`` with the quarantine flag, in one scan."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    return df.withColumn(BAD_FLAG, any_ancient(df, cols, cutoff, fmt) | any_unparsed(df, cols, fmt))
 
 
 def write_quarantine(df: DataFrame, cols, path: str, cutoff: str = DEFAULT_CUTOFF,
@@ -126,7 +156,7 @@ def write_quarantine(df: DataFrame, cols, path: str, cutoff: str = DEFAULT_CUTOF
                      mode: str = "append") -> None:
     """Quarantine in one pass: one scan, one write partitioned by the flag.
     ``<path>/_ancient=false`` holds the good rows, ``_ancient=true`` the bad."""
-    flagged = df.withColumn(BAD_FLAG, any_ancient(df, cols, cutoff, fmt))
+    flagged = flag_quarantine(df, cols, cutoff, fmt)
     flagged.write.mode(mode).partitionBy(BAD_FLAG).format(file_format).save(path)
 
 
