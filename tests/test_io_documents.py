@@ -60,7 +60,7 @@ def test_nest_flatten_roundtrip_through_ndjson(spark, scratch):
     assert docs.count() == 3
     write_ndjson(docs, f"{scratch}/nd")
     back = read_documents(spark, f"{scratch}/nd", docs.schema).drop("_corrupt_record")
-    flat = flatten_all(back, ["entries", "items"]).drop("part")
+    flat = flatten_all(back, ["entries", "items"]).drop("part", "items_part")
     got = sorted(tuple(r) for r in flat.select("doc", "pk", "p", "n", "q").collect())
     want = sorted(tuple(r) for r in parents.join(children, parents.pk == children.fk, "left")
                   .select("doc", "pk", "p", "n", "q").collect())
@@ -79,6 +79,27 @@ def test_hot_key_is_split_into_parts_without_losing_items(spark):
     assert total == 1001
 
 
+def test_equal_items_and_null_keys_are_split_too(spark):
+    child = spark.range(0, 1000).select(F.lit(7).alias("k"), F.lit(1).alias("v")).unionByName(
+        spark.range(0, 1000).select(F.lit(None).cast("int").alias("k"), F.col("id").cast("int").alias("v")))
+    docs = nest(child, ["k"], ["v"], "items", max_items=100)
+    assert docs.select(F.max(F.size("items"))).first()[0] < 200
+    assert docs.select(F.sum(F.size("items"))).first()[0] == 2000
+    assert {r["k"]: r["n"] for r in docs.groupBy("k").agg(F.count("*").alias("n")).collect()} == {7: 10, None: 10}
+
+
+def test_two_levels_are_bounded_by_leaf_items_and_count_parents_once(spark):
+    parents = spark.range(0, 50).select(F.col("id").alias("pk"), F.lit(1).alias("doc"))
+    children = spark.range(0, 2500).select((F.col("id") % 50).alias("fk"), F.col("id").alias("v"))
+    for bound in (60, 20, 10_000):
+        docs = nest_two_levels(parents, children, "pk", "fk", "doc", "items", "entries", max_items=bound)
+        leaves = F.aggregate("entries", F.lit(0), lambda a, e: a + F.size(e["items"]))
+        whole = F.size(F.filter("entries", lambda e: e["items_part"] == 0))
+        r = docs.agg(F.max(leaves).alias("most"), F.sum(leaves).alias("n"), F.sum(whole).alias("parents")).first()
+        assert r["n"] == 2500 and r["parents"] == 50
+        assert r["most"] < 5 * bound
+
+
 def test_extract_tags(spark):
     df = spark.createDataFrame([('{"k": 5, "m": "x"}',), ("not json",)], "t string")
     out = extract_tags(df, "t", "k int, m string", {"k_text": "$.k"}).collect()

@@ -6,14 +6,17 @@ become one giant row in one task, so :func:`nest` splits such keys into
 numbered parts: counts per key are pre-aggregated (map-side partial
 aggregation, key columns only), keys over ``max_items`` get
 ``ceil(n / max_items)`` parts and their items are spread over the parts by a
-hash of the item; the rows are then shuffled by (key, part), so a hot key's
-parts land in different tasks. Every item is kept; nothing is capped or sampled.
+hash of the item and its copy number (equal items are counted first, then dealt
+out), so a hot key's parts land in different tasks, whatever its items. NULL is
+a key like any other. Every item is kept; nothing is capped or sampled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tidemark.operators.lookup import bounded_broadcast
 from tidemark.session import materialize, shared_path
@@ -67,13 +70,26 @@ def nest(child: DataFrame, key_cols, item_cols, items_name: str, max_items: int
         if counts is None:
             counts = child.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
         heavy = heavy_keys(counts, key_cols, max_items)
-    item = F.struct(*[F.col(c) for c in item_cols])
-    tagged = child.join(heavy, key_cols, "left").withColumn(
-        PART_COL,
-        F.when(F.col("_parts").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in item_cols]), F.col("_parts")).cast("int")),
-    ).drop("_parts")
-    items = F.collect_list(item)
+    tagged = child.select(*key_cols, *item_cols)
+    if heavy.isEmpty():  # the usual case: no join, one scan
+        tagged = tagged.withColumn(PART_COL, F.lit(0))
+    else:
+        named = heavy.select(*[F.col(k).alias(f"_h_{k}") for k in key_cols], "_parts")
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in key_cols])
+        joined = tagged.join(named, same, "left").drop(*[f"_h_{k}" for k in key_cols])
+        light = joined.filter(F.col("_parts").isNull()).drop("_parts").withColumn(PART_COL, F.lit(0))
+        hot = joined.filter(F.col("_parts").isNotNull())
+        plain = [c for c in item_cols if not isinstance(child.schema[c].dataType, (ArrayType, MapType))]
+        if len(plain) == len(item_cols):
+            hot = (hot.groupBy(*key_cols, *item_cols, "_parts").agg(F.count(F.lit(1)).alias("_copies"))
+                   .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))))
+        else:  # items that hold arrays already (documents of documents) are told apart by their other fields
+            hot = hot.withColumn("_copy", F.lit(1))
+        part = F.pmod(F.xxhash64(*plain, F.col("_copy")), F.col("_parts")).cast("int")
+        hot = materialize(hot.withColumn("_slot", part).select(*key_cols, *item_cols, "_slot"),
+                          shared_path(child.sparkSession, "heavy-rows"))
+        tagged = light.unionByName(_number_parts(hot, key_cols).select(*light.columns))
+    items = F.collect_list(F.struct(*[F.col(c) for c in item_cols]))
     if sort_items:
         items = F.sort_array(items)
     # Shuffle the compact rows once by (key, part) and build each list in one
@@ -83,6 +99,18 @@ def nest(child: DataFrame, key_cols, item_cols, items_name: str, max_items: int
     return clustered.groupBy(*key_cols, PART_COL).agg(items.alias(items_name))
 
 
+def _number_parts(hot: DataFrame, key_cols: list[str]) -> DataFrame:
+    """``_slot`` renumbered from 0 without gaps per key, so part 0 always exists
+    (a hash may leave slots empty). The slots are few: rows / max_items."""
+    order = Window.partitionBy(*key_cols).orderBy("_slot")
+    slots = hot.groupBy(*key_cols, "_slot").agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.col(k).alias(f"_s_{k}") for k in key_cols], F.col("_slot").alias("_s"),
+        (F.row_number().over(order) - 1).alias(PART_COL))
+    slots = bounded_broadcast(materialize(slots, shared_path(hot.sparkSession, "heavy-slots")))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in key_cols])
+    return hot.join(slots, same & (F.col("_slot") == F.col("_s")))
+
+
 def nest_two_levels(parent: DataFrame, child: DataFrame, parent_key: str, child_fk: str,
                     doc_key: str, child_items: str, parent_items: str,
                     max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
@@ -90,24 +118,29 @@ def nest_two_levels(parent: DataFrame, child: DataFrame, parent_key: str, child_
 
     ``child`` rows are nested under their parent (by ``child_fk`` =
     ``parent_key``); parents keep an empty array when they have no children;
-    parents are then nested under ``doc_key``. The outer level's item counts
-    come from the parent table and the (small) inner heavy-key table — a
-    parent split into k parts is k items — so the children are read once.
+    parents are then nested under ``doc_key``. A parent with more than
+    ``max_items`` children appears once per part, and its struct says which:
+    ``<child_items>_part`` is 0 in exactly one of them, so counting the zeros
+    counts parents whatever the bound. A document weighs its leaf items, so
+    each of its parts holds about ``max_items`` of them.
     """
+    part_name = f"{child_items}_part"
     child_cols = [c for c in child.columns if c != child_fk]
-    inner_counts = child.groupBy(child_fk).agg(F.count(F.lit(1)).alias("_n"))
-    inner_heavy = heavy_keys(inner_counts, [child_fk], max_items)
+    # children per parent, counted once for both levels (key columns only)
+    inner_counts = materialize(child.groupBy(child_fk).agg(F.count(F.lit(1)).alias("_n")),
+                               shared_path(child.sparkSession, "child-counts"))
     inner = nest(child, [child_fk], child_cols, child_items, max_items,
-                 heavy=inner_heavy).drop(PART_COL)
+                 counts=inner_counts).withColumnRenamed(PART_COL, part_name)
     # An empty (not NULL) array for parents without children, so the shape is uniform.
     with_children = parent.join(inner, parent[parent_key] == inner[child_fk], "left").drop(child_fk)
     elem_type = inner.schema[child_items].dataType
-    with_children = with_children.withColumn(
-        child_items, F.coalesce(F.col(child_items), F.array().cast(elem_type)))
-    parts = inner_heavy.withColumnRenamed(child_fk, "_pk")
-    outer_counts = (parent.join(parts, parent[parent_key] == parts["_pk"], "left")
+    with_children = with_children.withColumns({
+        child_items: F.coalesce(F.col(child_items), F.array().cast(elem_type)),
+        part_name: F.coalesce(F.col(part_name), F.lit(0))})
+    sizes = inner_counts.withColumnRenamed(child_fk, "_pk")
+    outer_counts = (parent.select(parent_key, doc_key).join(sizes, parent[parent_key] == sizes["_pk"], "left")
                     .groupBy(doc_key)
-                    .agg(F.sum(F.coalesce(F.col("_parts"), F.lit(1))).cast("long").alias("_n")))
+                    .agg(F.sum(F.coalesce(F.col("_n"), F.lit(1))).cast("long").alias("_n")))
     parent_cols = [c for c in with_children.columns if c != doc_key]
     return nest(with_children, [doc_key], parent_cols, parent_items, max_items, counts=outer_counts)
 

@@ -7,13 +7,26 @@ DuckDB lists are 1-based (``[-1]`` is the last element).
 
 from __future__ import annotations
 
-from tidemark.functions.paths import EXCLUDED_NAMES, IMAGING_SUFFIX, WORKSPACE_PATTERN
-from tidemark.functions.text import LAYERS
-from tidemark.operators.documents import DEFAULT_MAX_ITEMS
-from tidemark.workloads import (AS_OF, API_BASE, DATE_CUTOFF, EVENTS_HISTORY_CUTOFF,
-                                MANIFEST_HISTORY_CUTOFF, PIPELINE_NAME, ROUTE_PROBE_FOLDER,
-                                ROUTE_PROBE_LAYER, RUN_ID,
-                                SOURCE_DIR, STAND_IN_APIS, TARGET_DIR)
+import datetime as _dt
+
+# The expectations are written out here, apart from the code under test.
+EXCLUDED_NAMES = ('DICOMDIR', 'dicomdir')
+IMAGING_SUFFIX = ".dcm"
+WORKSPACE_PATTERN = "abfss://([^@]+)@"
+LAYERS = ('bronze', 'silver', 'platinum', 'gold')
+DEFAULT_MAX_ITEMS = 10_000
+AS_OF = _dt.datetime(2025, 1, 1)
+API_BASE = "https://api.example.com/v1/"
+DATE_CUTOFF = "1997-01-01"
+EVENTS_HISTORY_CUTOFF = "2024-01-15"
+MANIFEST_HISTORY_CUTOFF = "1995-06-01"
+PIPELINE_NAME = "imaging_ingestion"
+RUN_ID = "run-0001"
+ROUTE_PROBE_FOLDER = "Customer#000000002"
+ROUTE_PROBE_LAYER = "silver"
+SOURCE_DIR = "/lake/Files/External/Imaging/DICOM/input"
+TARGET_DIR = "/lake/Files/Ingest/Imaging/DICOM"
+STAND_IN_APIS = ("click", "view", "purchase")
 
 
 def _q(s: str) -> str:
@@ -85,6 +98,23 @@ SELECT folder AS source_folder,
        CAST(0 AS BIGINT) AS files_failed
 FROM f GROUP BY folder"""
 
+# An order date in four ways of writing, by order key; t is what a reader of dates makes of it.
+TEXT_ORDERS = """
+  SELECT o_orderkey,
+         CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+                             WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y')
+                             WHEN 2 THEN strftime(o_orderdate, '%Y%m%d')
+                             ELSE 'on day ' || dayofyear(o_orderdate) END AS d,
+         CASE o_orderkey % 4 WHEN 0 THEN date_trunc('second', o_orderdate)
+                             WHEN 3 THEN NULL ELSE date_trunc('day', o_orderdate) END AS t
+  FROM orders"""
+
+
+def _text_dates(repaired: str) -> str:
+    return (f"WITH x AS ({TEXT_ORDERS}) SELECT o_orderkey, {repaired} AS d, "
+            "CASE WHEN t IS NULL THEN d END AS d_unparsed FROM x")
+
+
 ORACLE_SQL = {
     "staging_plan": f"""
 WITH m AS ({PAGES_MANIFEST})
@@ -291,7 +321,45 @@ FROM orders""",
 
     "move_and_verify": f"""
 WITH f AS ({PAGE_FILES})
-SELECT name, true AS ok, CAST(strlen(html) AS BIGINT) AS bytes, true AS arrived FROM f""",
+SELECT name, true AS ok, CAST(strlen(html) AS BIGINT) AS bytes, sha256(html) AS checksum, true AS arrived FROM f""",
 
     "incremental_ingest": STAGED_HISTORY,
+
+    "staged_contents": f"""
+WITH f AS ({PAGE_FILES})
+SELECT folder || '/' || name || {_q(IMAGING_SUFFIX)} AS rel, CAST(strlen(html) AS BIGINT) AS length,
+       sha256(html) AS checksum
+FROM f WHERE NOT contains(name, '.')""",
+
+    "audit_now": "SELECT o_orderkey, true AS stamped_now FROM orders",
+
+    "dates_text_sentinel": _text_dates(f"CASE WHEN t < {DATE_CUT} THEN TIMESTAMP '1900-01-01 00:00:00' ELSE t END"),
+    "dates_text_null": _text_dates(f"CASE WHEN t < {DATE_CUT} THEN NULL ELSE t END"),
+    "dates_text_shift": _text_dates(
+        f"CASE WHEN t < {DATE_CUT} THEN t + to_years(1997 - CAST(year(t) AS INTEGER)) ELSE t END"),
+    "dates_text_drop": f"""
+WITH x AS ({TEXT_ORDERS}) SELECT o_orderkey, d FROM x WHERE t IS NULL OR NOT t < {DATE_CUT}""",
+    "dates_text_quarantine": f"""
+WITH x AS ({TEXT_ORDERS}) SELECT o_orderkey, d, (t IS NULL OR t < {DATE_CUT}) AS quarantined FROM x""",
+
+    "nest_small_bound": """
+SELECT o.o_custkey, count(DISTINCT o.o_orderkey) AS n_orders, count(l.l_orderkey) AS n_lines,
+       round(coalesce(sum(l.l_quantity), 0.0), 2) AS sum_qty
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+GROUP BY o.o_custkey""",
+
+    "nest_equal_items": """
+SELECT event_type, count(*) AS n_items, CAST(sum(hour(ts)) AS BIGINT) AS sum_hours, true AS parts_bounded
+FROM events GROUP BY event_type""",
+
+    "bronze_job": """
+SELECT event_type AS "table", count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS sum_ids,
+       count(DISTINCT (event_id, user_id)) AS n_hashes, 'processed' AS first_run, 'refused' AS second_run
+FROM events GROUP BY event_type""",
+
+    "registry_lookup": f"""
+WITH e AS (SELECT event_type AS tableName, ts,
+                  array_to_string(list_sort(json_keys(props)), ',') AS schemaDefinition FROM events)
+SELECT tableName, schemaDefinition, count(*) AS n_events, bool_or(ts < {EV_CUT}) AS registered
+FROM e GROUP BY 1, 2""",
 }

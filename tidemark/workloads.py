@@ -26,18 +26,20 @@ from tidemark.functions import paths as P
 from tidemark.functions import text as T
 from tidemark.functions.fingerprint import add_hash_column, strict_fingerprint
 from tidemark.operators.audit import add_audit_columns
-from tidemark.operators.dates import hourly_volume, hourly_volume_by_policy, repair_ancient_dates
+from tidemark.operators.dates import (flag_quarantine, hourly_volume, hourly_volume_by_policy, read_quarantine,
+                                      repair_ancient_dates, write_quarantine)
 from tidemark.operators.documents import (DEFAULT_MAX_ITEMS, extract_tags, flatten_all, nest,
                                           nest_two_levels)
 from tidemark.operators.files import plan_copy, plan_disposition
 from tidemark.operators.lookup import (route_all, route_first, rows_of_unprocessed_folders,
-                                       seen_folders, unprocessed_folders)
+                                       schema_exists, seen_folders, unprocessed_folders)
+from tidemark.plans.bronze import run_bronze_job
 from tidemark.plans.imaging import move_and_verify
-from tidemark.plans.staging import (history_records, read_history, run_staging,
+from tidemark.plans.staging import (create_history, history_records, read_history, run_staging,
                                     staging_counts as _staging_counts, union_history)
 from tidemark.session import shared_path
 from tidemark.sinks.writers import append_bronze, land_files, read_bronze, write_ndjson
-from tidemark.sources.files import dirs_with_files as _dirs_with_files, with_path_parts
+from tidemark.sources.files import dirs_with_files as _dirs_with_files, relative_parts, with_path_parts
 from tidemark.sources.readers import load_data, read_documents
 from tidemark.streaming.incremental import incremental_staging
 
@@ -243,7 +245,10 @@ def q_dates_shift(spark, sf_dir):
 
 
 def q_dates_quarantine(spark, sf_dir):
-    good, bad = repair_ancient_dates(_orders(spark, sf_dir), ["o_orderdate"], "quarantine", DATE_CUTOFF)
+    """Good and bad rows as the one-pass quarantine table holds them."""
+    path = shared_path(spark, "quarantine")
+    write_quarantine(_orders(spark, sf_dir), ["o_orderdate"], path, DATE_CUTOFF)
+    good, bad = read_quarantine(spark, path)
     return (good.withColumn("quarantined", F.lit(False))
             .unionByName(bad.withColumn("quarantined", F.lit(True))))
 
@@ -357,7 +362,8 @@ def q_nest_documents(spark, sf_dir):
     qty = F.aggregate("orders", F.lit(0.0),
                       lambda acc, o: acc + F.aggregate(o["lines"], F.lit(0.0),
                                                        lambda a, x: a + x["l_quantity"]))
-    per_part = docs.select("o_custkey", F.size("orders").alias("n"), n_lines.alias("m"), qty.alias("q"))
+    whole = F.size(F.filter("orders", lambda o: o["lines_part"] == 0))  # a split order counts once
+    per_part = docs.select("o_custkey", whole.alias("n"), n_lines.alias("m"), qty.alias("q"))
     return per_part.groupBy("o_custkey").agg(
         F.sum("n").cast("long").alias("n_orders"), F.sum("m").cast("long").alias("n_lines"),
         F.round(F.sum("q"), 2).alias("sum_qty"))
@@ -378,13 +384,36 @@ def q_nest_hot_keys(spark, sf_dir):
     )
 
 
+def q_nest_small_bound(spark, sf_dir):
+    """The same customers' documents with a bound of three items: many orders
+    and documents are split, and every count stays what it is."""
+    orders, lines = _orders(spark, sf_dir), table(spark, sf_dir, "lineitem")
+    docs = nest_two_levels(orders, lines, "o_orderkey", "l_orderkey", "o_custkey", "lines", "orders", max_items=3)
+    return docs.groupBy("o_custkey").agg(
+        F.sum(F.size(F.filter("orders", lambda o: o["lines_part"] == 0))).cast("long").alias("n_orders"),
+        F.sum(F.aggregate("orders", F.lit(0), lambda acc, o: acc + F.size(o["lines"]))).cast("long").alias("n_lines"),
+        F.round(F.sum(F.aggregate("orders", F.lit(0.0), lambda acc, o: acc + F.aggregate(
+            o["lines"], F.lit(0.0), lambda a, x: a + x["l_quantity"]))), 2).alias("sum_qty"))
+
+
+def q_nest_equal_items(spark, sf_dir):
+    """Events nested under their type with one field of few values as item:
+    equal items spread over the parts, so no part grows past the bound."""
+    ev = table(spark, sf_dir, "events").select("event_type", F.hour("ts").alias("hour"))
+    docs = nest(ev, ["event_type"], ["hour"], "items", max_items=100)
+    return docs.groupBy("event_type").agg(
+        F.sum(F.size("items")).cast("long").alias("n_items"),
+        F.sum(F.aggregate("items", F.lit(0), lambda a, x: a + x["hour"])).cast("long").alias("sum_hours"),
+        (F.max(F.size("items")) <= 200).alias("parts_bounded"))
+
+
 def q_flatten_documents(spark, sf_dir):
     docs = _order_documents(spark, sf_dir)
     path = shared_path(spark, "documents-ndjson")
     write_ndjson(docs, path)
     loaded = read_documents(spark, path, docs.schema)
     flat = flatten_all(loaded.drop("_corrupt_record"), ["orders", "lines"])
-    return flat.drop("part")
+    return flat.drop("part", "lines_part")
 
 
 def q_ingest_documents(spark, sf_dir):
@@ -401,6 +430,7 @@ def q_history_run(spark, sf_dir):
     """Two staging runs over the same drop: the second adds nothing."""
     src, tgt = shared_path(spark, "drop"), shared_path(spark, "ingest")
     hist = shared_path(spark, "history")
+    create_history(spark, hist)
     land_pages(spark, sf_dir, src)
     run_staging(spark, src, tgt, hist, as_of=AS_OF)
     run_staging(spark, src, tgt, hist, as_of=AS_OF)
@@ -411,9 +441,98 @@ def q_move_and_verify(spark, sf_dir):
     src, dst = shared_path(spark, "raw"), shared_path(spark, "process")
     land_pages(spark, sf_dir, src, with_dicomdir=False)
     outcomes, missing = move_and_verify(spark, src, dst)
-    flagged = outcomes.withColumn("name", P.last_segment("new_path")).join(
-        missing.withColumn("_missing", F.lit(True)), "name", "left")
-    return flagged.select("name", "ok", "bytes", F.col("_missing").isNull().alias("arrived"))
+    placed = relative_parts(outcomes, dst, "new_path")
+    flagged = placed.join(missing.withColumn("_missing", F.lit(True)), "rel", "left")
+    return flagged.select(P.last_segment("new_path").alias("name"), "ok", "bytes", "checksum",
+                          F.col("_missing").isNull().alias("arrived"))
+
+
+def q_staged_contents(spark, sf_dir):
+    """What a staging run placed: path below the target, size and checksum of
+    the bytes that are there afterwards."""
+    src, tgt = shared_path(spark, "drop"), shared_path(spark, "ingest")
+    land_pages(spark, sf_dir, src)
+    run_staging(spark, src, tgt, shared_path(spark, "history"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(tgt)
+    return relative_parts(found, tgt).select("rel", "length", F.sha2("content", 256).alias("checksum"))
+
+
+def q_audit_now(spark, sf_dir):
+    """Audit columns by the real clock: every stamp lies between two looks at
+    the driver's clock (the first before the plan, the second a day later)."""
+    before = _dt.datetime.now(_dt.timezone.utc)
+    stamped = add_audit_columns(_orders(spark, sf_dir).select("o_orderkey"), PIPELINE_NAME, RUN_ID)
+    low, high = T.clock(before), T.clock(before + _dt.timedelta(days=1))
+    stamp = F.col("_lastModifieddttm")
+    return stamped.select("o_orderkey", ((stamp >= low) & (stamp <= high)).alias("stamped_now"))
+
+
+# text dates: by order key, four forms of writing; one of them is no date
+TEXT_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "yyyyMMdd")
+
+
+def text_orders(spark, sf_dir) -> DataFrame:
+    d = F.col("o_orderdate")
+    text = (F.when(F.col("o_orderkey") % 4 == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+            .when(F.col("o_orderkey") % 4 == 1, F.date_format(d, "MM/dd/yyyy"))
+            .when(F.col("o_orderkey") % 4 == 2, F.date_format(d, "yyyyMMdd"))
+            .otherwise(F.concat(F.lit("on day "), F.date_format(d, "D"))))
+    return _orders(spark, sf_dir).select("o_orderkey", text.alias("d"))
+
+
+def _text_policy(policy):
+    def q(spark, sf_dir):
+        return repair_ancient_dates(text_orders(spark, sf_dir), ["d"], policy, DATE_CUTOFF, fmt=TEXT_FORMATS)
+    return q
+
+
+def q_dates_text_quarantine(spark, sf_dir):
+    out = flag_quarantine(text_orders(spark, sf_dir), ["d"], DATE_CUTOFF, TEXT_FORMATS)
+    return out.withColumnRenamed("_ancient", "quarantined")
+
+
+def q_bronze_job(spark, sf_dir):
+    """Events land as one JSON file per type and day and go through the bronze
+    job by a mapping table; then a second drop with a name that is already
+    processed arrives, is refused, and the job runs again: nothing doubles."""
+    root, out = shared_path(spark, "landing"), shared_path(spark, "lake")
+    ev = table(spark, sf_dir, "events")
+    line = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    # one file per type and hash bucket: bounded content per file
+    bucket = F.pmod(F.xxhash64("event_id"), F.lit(8))
+    drop = ev.groupBy(F.col("event_type").alias("d"), F.concat(F.lit("b"), bucket, F.lit(".json")).alias("n")).agg(
+        F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("c"))
+    land_files(drop, root, "d", "n", "c")
+    kinds = ev.select("event_type").distinct()
+    at = lambda part: F.concat(F.lit(f"{out}/{part}/"), F.col("event_type"))
+    kinds.select(F.col("event_type").alias("folder"), F.lit("bronze").alias("layer"), F.col("event_type").alias("table"),
+                 F.lit(root).alias("source_file_path"), at("tables").alias("full_target_path"),
+                 at("processed").alias("processed_file_path"), at("failed").alias("failed_file_path")
+                 ).write.parquet(f"{out}/mapping")
+    mapping = spark.read.parquet(f"{out}/mapping")
+    first = run_bronze_job(spark, root, mapping, registry_path=f"{out}/registry")
+    again = drop.filter(F.col("n") == "b0.json").withColumn("c", F.concat("c", F.lit("\n")))
+    land_files(again, root, "d", "n", "c")
+    second = run_bronze_job(spark, root, mapping, registry_path=f"{out}/registry")
+    status = first.select("table", F.col("status").alias("first_run")).join(
+        second.select("table", F.col("status").alias("second_run")), "table", "left")
+    loaded = read_bronze(spark, f"{out}/tables/*")
+    sums = loaded.groupBy(F.col("event_type").alias("table")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("sum_ids"), F.count_distinct("hash").alias("n_hashes"))
+    return sums.join(status, "table", "left")
+
+
+def q_registry_lookup(spark, sf_dir):
+    """Which definitions (the sorted JSON keys of ``events.props``, per event
+    type) of the whole table are registered by the events before the cutoff."""
+    ev = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("tableName"), "ts",
+        F.array_join(F.sort_array(F.json_object_keys("props")), ",").alias("schemaDefinition"))
+    cut = F.lit(EVENTS_HISTORY_CUTOFF).cast("timestamp_ntz")
+    known = ev.filter(F.col("ts") < cut).select("tableName", "schemaDefinition").distinct()
+    every = ev.groupBy("tableName", "schemaDefinition").agg(F.count(F.lit(1)).alias("n_events"))
+    seen = schema_exists(every, known).select("tableName", "schemaDefinition").withColumn("registered", F.lit(True))
+    return every.join(seen, ["tableName", "schemaDefinition"], "left").fillna(False, ["registered"])
 
 
 def q_incremental_ingest(spark, sf_dir):
@@ -462,4 +581,15 @@ QUERIES = {
     "history_run": q_history_run,
     "move_and_verify": q_move_and_verify,
     "incremental_ingest": q_incremental_ingest,
+    "staged_contents": q_staged_contents,
+    "audit_now": q_audit_now,
+    "dates_text_sentinel": _text_policy("sentinel"),
+    "dates_text_null": _text_policy("null"),
+    "dates_text_shift": _text_policy("shift"),
+    "dates_text_drop": _text_policy("drop"),
+    "dates_text_quarantine": q_dates_text_quarantine,
+    "nest_small_bound": q_nest_small_bound,
+    "nest_equal_items": q_nest_equal_items,
+    "bronze_job": q_bronze_job,
+    "registry_lookup": q_registry_lookup,
 }
