@@ -14,6 +14,7 @@ clustering uses a sample, of at most SAMPLE documents per language.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -182,27 +183,34 @@ def train(labelled: DataFrame) -> Model:
                 if x is not None:
                     lang.append(batch.column(1)[i].as_py())
                     u.append(batch.column(2)[i].as_py())
-                    v.append(np.minimum(x, 0xFFFFFFFF).astype("<u4").tobytes())
+                    at = np.nonzero(x)[0]  # only the columns that occur travel
+                    v.append(np.concatenate([at, np.minimum(x[at], 0xFFFFFFFF)]).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(u, pa.float64()), pa.array(v, pa.binary())],
                                              ["lang", "u", "v"])
 
     picked = rows.where(F.col("lang").isin(list(sizes))).where(F.col("u") < share)
     sample = (picked.mapInArrow(vectors, "lang string, u double, v binary")
               .withColumn("r", F.row_number().over(_by_lang())).where(F.col("r") <= SAMPLE))
-    found: dict[str, list[np.ndarray]] = {}
-    for r in sample.orderBy("lang", "u", "v").select("lang", "v").toLocalIterator():
-        found.setdefault(r.lang, []).append(np.frombuffer(bytes(r.v), "<u4"))
+    ordered = sample.orderBy("lang", "u", "v").select("lang", "v").toLocalIterator()
     centroids, languages = [], []
     floor = np.full(10, 1.0)
-    for lang, xs in found.items():
-        unit = np.array([_unit(x, idf) for x in xs])
+    for lang, rows_of in groupby(ordered, key=lambda r: r.lang):  # one language in memory at a time
+        unit, sizes_of = np.empty((SAMPLE, DIMS), np.float32), []
+        for r in rows_of:
+            pairs = np.frombuffer(bytes(r.v), "<u4").reshape(2, -1)
+            x = np.zeros(DIMS, np.int64)
+            x[pairs[0]] = pairs[1]
+            unit[len(sizes_of)] = _unit(x, idf)
+            sizes_of.append(x.sum())
+        unit = unit[:len(sizes_of)]
         c = _kmeans(unit, CENTROIDS)
-        best = (unit @ c.T).max(1)
-        for x, b in zip(xs, best):
-            k = _length_class(x.sum())
-            floor[k] = min(floor[k], float(b))
+        for n_grams, best in zip(sizes_of, (unit @ c.T).max(1)):
+            k = _length_class(n_grams)
+            floor[k] = min(floor[k], float(best))
         centroids.append(c)
         languages += [lang] * len(c)
+    if not languages:
+        return Model(idf, np.zeros((0, DIMS), np.float32), [], np.zeros(10))
     # a class without training texts borrows from the next shorter or longer one
     seen = [i for i in range(10) if floor[i] < 1.0]
     floor = np.array([min((floor[j] for j in seen if abs(j - i) == min(abs(m - i) for m in seen)), default=0.0)
