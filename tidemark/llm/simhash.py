@@ -29,6 +29,8 @@ RADIUS = 2
 SEED = 42
 #: most fingerprints that one side of a comparison holds
 CHUNK = 4096
+#: key tables of at most this many rows (about 40 bytes each) are broadcast
+BROADCAST_ROWS = 500_000
 #: block counts and how many equally likely tiles they are worth
 BLOCKS = {4: 2_500, 8: 390_000, 16: 600_000_000}
 
@@ -230,15 +232,23 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADI
     """``docs`` with all its columns: of each group the rows of its smallest
     id stay, one of them if they repeat (same defined cases)."""
     groups = near_groups(docs, shingle, radius, id_col, text_col)
-    heads = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy("component_id").agg(F.min(F.struct("__k1", "__k2")).alias("__k"), F.count(F.lit(1)).alias("__c")))
-    heads = materialize(heads.select("__k.__k1", "__k.__k2", "__c"), name="simhash-heads")
+    keys = groups.withColumn("__head", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # one row per content key; a group's head with the smallest key stays
+    keys = materialize(keys.groupBy("component_id", "__k1", "__k2", "__head").agg(F.count(F.lit(1)).alias("__c")),
+                       name="simhash-keys")
+    heads = (keys.where("__head").groupBy("component_id").agg(F.min(F.struct("__k1", "__k2")).alias("__k"))
+             .select(F.col("__k.__k1").alias("__k1"), F.col("__k.__k2").alias("__k2"), F.lit(True).alias("__stays")))
+    judged = keys.join(heads, ["__k1", "__k2"], "left")
+    # only rows that go, or that repeat the one that stays, need another look
+    verdict = materialize(judged.where("__stays IS NULL OR __c > 1")
+                          .select("__k1", "__k2", F.col("__stays").isNotNull().alias("__stays")), name="simhash-verdict")
+    if verdict.count() <= BROADCAST_ROWS:
+        verdict = F.broadcast(verdict)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     keyed = docs.select(whole, F.col(f"`{id_col}`").alias("__id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"))
-    keyed = keyed.select("__row", *row_key(F.col("__id"), F.col("__t")))
-    kept = keyed.join(heads, ["__k1", "__k2"])
-    once = kept.where("__c = 1").select("__row")
-    repeated = kept.where("__c > 1").dropDuplicates(["__k1", "__k2"]).select("__row")
+    keyed = keyed.select("__row", *row_key(F.col("__id"), F.col("__t"))).join(verdict, ["__k1", "__k2"], "left")
+    once = keyed.where("__stays IS NULL").select("__row")
+    repeated = keyed.where("__stays").dropDuplicates(["__k1", "__k2"]).select("__row")
     return once.unionByName(repeated).select("__row.*")
 
 
