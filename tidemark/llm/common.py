@@ -74,12 +74,13 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
                       .select(*keys, F.struct(*values).alias("__hot")))
     rest = groups.where(F.col(size) <= floor).select(
         *[F.col(k).alias(f"__r_{k}") for k in keys], F.struct(*values).alias("__rest"))
+    # a row of a hot group has no partner in the rest: it keeps a NULL key there,
+    # and a second key made from ``spread`` scatters such rows over all tasks
+    cold = F.col("__hot").isNull()
     marked = rows.join(hot, keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot").isNotNull(), F.xxhash64(*spread)))
-    on = [F.when(F.col("__hot").isNull(), F.col(k)) == F.col(f"__r_{k}") for k in keys]
-    # hot rows have a NULL join key: the left join keeps them; the salt spreads them
-    on.append(F.coalesce(F.col("__salt"), F.lit(0)) == F.lit(0) + F.col("__r_salt"))
-    rest = rest.withColumn("__r_salt", F.lit(0).cast("bigint"))
+        "__j", F.when(cold, F.xxhash64(*keys)).otherwise(F.xxhash64(*spread)))
+    rest = rest.withColumn("__rj", F.xxhash64(*[f"__r_{k}" for k in keys]))
+    on = [F.col("__j") == F.col("__rj"), *[F.when(cold, F.col(k)) == F.col(f"__r_{k}") for k in keys]]
     joined = marked.join(rest, on, "left")
     pick = F.coalesce(F.col("__hot"), F.col("__rest"))
     return joined.select(*[F.col(c) for c in rows.columns], *[pick[v].alias(v) for v in values])
