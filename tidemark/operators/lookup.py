@@ -25,13 +25,12 @@ ROUTE_COLUMNS = ("table", "source_file_path", "full_target_path", "processed_fil
 
 def within_rows(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (and, if given, at most
-    ``max_bytes`` bytes, measured as the rows' JSON text). One job that reads at
-    most ``max_rows + 1`` rows (LIMIT pushdown), so the check is bounded itself."""
-    head = df.limit(max_rows + 1)
+    ``max_bytes`` bytes, measured as the rows' JSON text). Counts and sizes are
+    summed per task first, so no task sees more than its own rows."""
     if max_bytes is None:
-        return head.count() <= max_rows
+        return df.count() <= max_rows
     size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    r = head.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
     return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 

@@ -18,7 +18,7 @@ def load_data(spark: SparkSession, file_path, file_format: str, options: dict |
     given, replaces inference (inference costs an extra pass over the data)."""
     fmt = file_format.lower() if isinstance(file_format, str) else None
     if fmt not in LOAD_FORMATS:
-        raise ValueError(f"Unsupported file format: {file_format}")
+        raise ValueError(f"cannot load {file_format!r}: raw files are one of {LOAD_FORMATS}")
     reader = spark.read.options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
