@@ -13,7 +13,7 @@ SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigin
 def rows():
     r = random.Random(4)
     words = ["the", "river", "stone", "Über", "été", "niño", "walks", "over", "12", "x-ray", "said,", "HOUSE"]
-    long = " ".join(r.choice(words) for _ in range(60_000))
+    long = " ".join(r.choice(words) for _ in range(3_000))
     shared = " ".join(f"alpha{i}" for i in range(14))
     texts = [
         (1, "Hello world"), (2, "Hello   world\n"), (3, None), (4, ""), (5, " \t\n"), (None, "Hello world"),

@@ -122,3 +122,12 @@ def test_native_plans(spark, name):
 def test_whole_inputs(spark):
     for name in ("op7_benchmark_decontamination", "op10_exact_dedup", "op5_sharding"):
         assert LLM_QUERIES[name](spark, SF).count() == whole(spark, SF, "documents").count()
+
+
+def test_very_long_text(spark):
+    long = " ".join(f"w{i % 977}" for i in range(60_000))
+    bench = spark.createDataFrame([(1, "w5 w6 w7 w8 w9 w10 w11 w12 w13 w14"), (2, "zz " * 12)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, long), (2, long + " ")], "doc_id bigint, text string")
+    for r in D.op7_benchmark_decontamination(docs, bench).collect():
+        assert (r.n_words, r.n_items) == (60_000, 1) and r.n_hit == 10 * sum(i % 977 == 5 for i in range(60_000))
+    assert {(r.doc_id, r.keep_id, r.kept) for r in E.op10_exact_dedup(docs).collect()} == {(1, 2, False), (2, 2, True)}
