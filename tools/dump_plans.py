@@ -17,11 +17,11 @@ import warnings
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 warnings.filterwarnings("ignore")
 
-EFFECT_QUERIES = {"history_run", "move_and_verify", "incremental_ingest"}
+EFFECT_QUERIES = {"history_run", "move_and_verify", "incremental_ingest", "staged_contents", "bronze_job"}
 
 
 def main(argv):
-    from __spark_entry__ import queries
+    from tidemark.workloads import QUERIES
     from tidemark.session import get_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
@@ -30,7 +30,7 @@ def main(argv):
            f"Generated by `tools/dump_plans.py` at `{sf_dir}` on `local[8]`. Plans as Catalyst",
            "emits them (AQE may still re-plan partition counts at run time). `*(n)` marks a",
            "whole-stage-codegen stage; explicit broadcasts were size-checked before planning.", ""]
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if name in EFFECT_QUERIES:
             continue
         df = fn(spark, sf_dir)
