@@ -103,7 +103,7 @@ class Automaton:
 class Counter:
     """Word and token counts of whole texts, with a bounded word cache."""
 
-    def __init__(self, path: str, cache: int = 600_000):
+    def __init__(self, path: str, cache: int = 300_000):
         self.count = Automaton(*vocabulary(path)).count
         self.limit = cache
         self.known: dict[str, int] = {}

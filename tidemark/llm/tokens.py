@@ -51,7 +51,7 @@ def _merger(whole):
 class TokenIds:
     """``encode(text)``: ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cache: int = 800_000):
+    def __init__(self, path: str, cache: int = 200_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
