@@ -23,7 +23,7 @@ HOT_SHARE = 1000
 
 
 #: bounds of an Arrow batch
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
