@@ -31,7 +31,7 @@ SAMPLE = 600
 MAX_LANGUAGES = 200
 #: rejected: less similar than this share of the least similar training text
 #: of its length class
-SLACK = 0.3
+SLACK = 0.15
 UNKNOWN = "und"
 _BLOCK = 1 << 18
 
