@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 
 import numpy as np
@@ -49,6 +50,33 @@ def test_language_ignores_everything_but_the_text(spark):
     assert a == b
 
 
+def _script(letters, n, seed=5):
+    r = random.Random(seed)
+    words = ["".join(r.choices(letters, k=r.randint(2, 9))) for _ in range(400)]
+    return " ".join(r.choice(words) for _ in range(n // 5))
+
+
+def test_distance_rejection_goes_both_ways(spark):
+    """Held-out texts of every learned language stay; long texts of an
+    unlearned language or script go, one odd training text or not."""
+    from pyspark.sql import functions as F
+
+    docs = whole(spark, MID, "documents").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(10**9 + i, _script("qxzwkv", 3_000, i), "en") for i in range(4)], docs.schema)
+    for train, gone in ((docs.unionByName(odd), None), (docs.where("lang <> 'de'"), "de"), (docs.where("lang <> 'es'"), "es")):
+        model = L.train_on_fold(train)
+        rows = [r for r in docs.where(F.length("text") > 0).collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2 or r.lang == gone]
+        said = {r.doc_id: model.predict(r.text) for r in rows}
+        for lang in {"en", "de", "fr", "es"} - {gone}:
+            mine = [r for r in rows if r.lang == lang]
+            assert len(mine) > 15 and sum(said[r.doc_id][2] for r in mine) <= len(mine) * 0.01, (lang, gone)
+        if gone:
+            far = [r for r in rows if r.lang == gone and len(r.text) > 1_000]
+            assert len(far) > 40 and sum(said[r.doc_id][2] for r in far) >= len(far) * 0.95, gone
+        for letters in ("абвгдежзийклмнопрстуфхцчшщыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"):
+            assert all(model.predict(_script(letters, n))[2] for n in (1_000, 4_000, 20_000, 100_000))
+
+
 def test_counts_in_blocks(monkeypatch):
     text = "Der Über-Fluss, né à  Ñu  123 wörter\n" * 40
     want = L.counts(text)

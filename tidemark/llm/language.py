@@ -4,11 +4,12 @@ A text becomes a unit vector of log-scaled, IDF-weighted counts of the
 letter 1- to 3-grams inside its words (hashed into DIMS columns). Each
 language has several centroids, clustered from its training vectors by
 spherical k-means. The most similar centroid (cosine) names the language; a
-text farther from every centroid than nearly all training texts of its length
-is rejected.
+text much farther from it than nearly all held-out training texts of that
+language and of its length is rejected.
 
-Document frequencies are counted over all training documents; only the
-clustering uses a sample, of at most SAMPLE documents per language.
+Document frequencies are counted over all training documents; the clustering
+uses a sample of at most SAMPLE documents per language, the rejection other
+HELD documents and excerpts of them.
 """
 
 from __future__ import annotations
@@ -26,12 +27,14 @@ from tidemark.llm.common import python_stage
 
 DIMS = 1 << 13
 CENTROIDS = 3
-#: documented bounds of the clustering sample
-SAMPLE = 600
+#: documented bounds of the clustering sample and of the texts outside it
+SAMPLE, HELD = 600, 400
 MAX_LANGUAGES = 200
-#: rejected: less similar than this share of the least similar training text
-#: of its length class
-SLACK = 0.15
+#: rejected: less similar than SLACK times this quantile of the held-out
+#: training texts of the language and length class; a class with fewer than
+#: EVIDENCE of them takes the floor of the next shorter one
+QUANTILE, SLACK, EVIDENCE = 0.05, 0.5, 20
+CLASSES = 10
 UNKNOWN = "und"
 _BLOCK = 1 << 18
 
@@ -100,11 +103,44 @@ def _unit(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 def _length_class(n: float) -> int:
     """Texts of like numbers of grams share a rejection threshold."""
-    return min(9, int(np.log2(max(1.0, n))) // 2)
+    return min(CLASSES - 1, int(np.log2(max(1.0, n))) // 2)
+
+
+def excerpts(text: str) -> Iterator[str]:
+    """Parts from the middle of a text, one for each shorter length class."""
+    size = 4
+    while size < len(text):
+        at = (len(text) - size) // 2
+        yield text[at:at + size]
+        size *= 4
+
+
+def _floors(sizes: list[int], best: np.ndarray) -> np.ndarray:
+    """The floor of each length class from the numbers of grams and the
+    similarities of held-out texts; NaN where no text of the class or of a
+    shorter one tells."""
+    classes = np.array([_length_class(n) for n in sizes], np.int64)
+    out = np.full(CLASSES, np.nan)
+    for k in range(CLASSES):
+        mine = best[classes == k]
+        if len(mine) >= EVIDENCE:
+            out[k] = SLACK * np.quantile(mine, QUANTILE)
+        elif k:  # longer texts are more similar, so the floor holds for them too
+            out[k] = out[k - 1]
+    return out
+
+
+def _filled(floors: np.ndarray) -> np.ndarray:
+    """``floors`` (one row per centroid) without NaN: a class that a language
+    cannot tell takes the least floor of the others; where none can, nothing
+    is rejected by distance."""
+    least = np.where(np.isnan(floors), np.inf, floors).min(0)
+    return np.where(np.isnan(floors), np.where(np.isinf(least), 0.0, least), floors)
 
 
 class Model:
-    """Unit centroids with their languages, IDF weights and thresholds."""
+    """Unit centroids with their languages, IDF weights and, for each centroid
+    and length class, the similarity below which a text is rejected."""
 
     def __init__(self, idf: np.ndarray, centroids: np.ndarray, languages: list[str], floor: np.ndarray):
         self.idf, self.centroids, self.languages, self.floor = idf, centroids, languages, floor
@@ -116,7 +152,7 @@ class Model:
             return UNKNOWN, 0.0, True
         s = self.centroids @ _unit(x, self.idf)
         k = int(s.argmax())
-        return self.languages[k], float(min(1.0, max(0.0, s[k]))), bool(s[k] < self.floor[_length_class(x.sum())])
+        return self.languages[k], float(min(1.0, max(0.0, s[k]))), bool(s[k] < self.floor[k, _length_class(x.sum())])
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -165,64 +201,85 @@ def train(labelled: DataFrame) -> Model:
     left out."""
     rows = labelled.where("text is not null and lang is not null").select(
         "text", F.col("lang").cast("string").alias("lang"),
-        (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u"))
+        (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u"),
+        (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("held")), F.lit(5)) < 2).alias("held"))
     df, n = document_frequencies(rows)
     idf = (np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32)
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
     if not sizes:
-        return Model(idf, np.zeros((0, DIMS), np.float32), [], np.zeros(10))
-    # a share of each language that gives about SAMPLE rows, cut to SAMPLE below
-    share = F.element_at(F.create_map(*[F.lit(v) for k, m in sizes.items() for v in (k, min(1.0, 1.5 * SAMPLE / m))]), F.col("lang"))
+        return Model(idf, np.zeros((0, DIMS), np.float32), [], np.zeros((0, CLASSES)))
+    # a share of each language that gives about SAMPLE and HELD rows, cut below
+    share = F.element_at(F.create_map(*[F.lit(v) for k, m in sizes.items() for v in (k, min(1.0, 1.5 * (SAMPLE + HELD) / m))]), F.col("lang"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, u, v = [], [], []
+            lang, u, held, v = [], [], [], []
             for i in range(batch.num_rows):
-                x = counts(batch.column(0)[i].as_py())
+                text, out = batch.column(0)[i].as_py(), batch.column(3)[i].as_py()
+                x = counts(text)
                 if x is not None:
                     lang.append(batch.column(1)[i].as_py())
                     u.append(batch.column(2)[i].as_py())
-                    at = np.nonzero(x)[0]  # only the columns that occur travel
-                    v.append(np.concatenate([at, np.minimum(x[at], 0xFFFFFFFF)]).astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(u, pa.float64()), pa.array(v, pa.binary())],
-                                             ["lang", "u", "v"])
+                    held.append(out)
+                    parts = [y for e in excerpts(text) if (y := counts(e)) is not None] if out else []
+                    v.append([_packed(y) for y in (x, *parts)])
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(u, pa.float64()), pa.array(held, pa.bool_()),
+                                              pa.array(v, pa.list_(pa.binary()))], ["lang", "u", "held", "v"])
 
     picked = rows.where(F.col("lang").isin(list(sizes))).where(F.col("u") < share)
-    sample = (picked.mapInArrow(vectors, "lang string, u double, v binary")
-              .withColumn("r", F.row_number().over(_by_lang())).where(F.col("r") <= SAMPLE))
-    ordered = sample.orderBy("lang", "u", "v").select("lang", "v").toLocalIterator()
-    centroids, languages = [], []
-    floor = np.full(10, 1.0)
+    sample = (picked.mapInArrow(vectors, "lang string, u double, held boolean, v array<binary>")
+              .withColumn("r", F.row_number().over(_by_lang()))
+              .where(F.col("r") <= F.when(F.col("held"), HELD).otherwise(SAMPLE)))
+    ordered = sample.orderBy("lang", "held", "u", "v").select("lang", "held", "v").toLocalIterator()
+    centroids, languages, floors = [], [], []
     for lang, rows_of in groupby(ordered, key=lambda r: r.lang):  # one language in memory at a time
-        unit, sizes_of = np.empty((SAMPLE, DIMS), np.float32), []
-        for r in rows_of:
-            pairs = np.frombuffer(bytes(r.v), "<u4").reshape(2, -1)
-            x = np.zeros(DIMS, np.int64)
-            x[pairs[0]] = pairs[1]
-            unit[len(sizes_of)] = _unit(x, idf)
-            sizes_of.append(x.sum())
-        unit = unit[:len(sizes_of)]
-        c = _kmeans(unit, CENTROIDS)
-        for n_grams, best in zip(sizes_of, (unit @ c.T).max(1)):
-            k = _length_class(n_grams)
-            floor[k] = min(floor[k], float(best))
+        c, floor = _fit(((r.held, r.v) for r in rows_of), idf)
         centroids.append(c)
         languages += [lang] * len(c)
+        floors += [floor] * len(c)
     if not languages:
-        return Model(idf, np.zeros((0, DIMS), np.float32), [], np.zeros(10))
-    # a class without training texts borrows from the next shorter or longer one
-    seen = [i for i in range(10) if floor[i] < 1.0]
-    floor = np.array([min((floor[j] for j in seen if abs(j - i) == min(abs(m - i) for m in seen)), default=0.0)
-                      for i in range(10)])
-    floor = np.minimum.accumulate(floor[::-1])[::-1] * SLACK  # shorter texts are never held to more
-    return Model(idf, np.concatenate(centroids), languages, floor)
+        return Model(idf, np.zeros((0, DIMS), np.float32), [], np.zeros((0, CLASSES)))
+    return Model(idf, np.concatenate(centroids), languages, _filled(np.array(floors)))
+
+
+def _packed(x: np.ndarray) -> bytes:
+    at = np.nonzero(x)[0]  # only the columns that occur travel
+    return np.concatenate([at, np.minimum(x[at], 0xFFFFFFFF)]).astype("<u4").tobytes()
+
+
+def _unpacked(v: bytes) -> np.ndarray:
+    pairs = np.frombuffer(bytes(v), "<u4").reshape(2, -1)
+    x = np.zeros(DIMS, np.int64)
+    x[pairs[0]] = pairs[1]
+    return x
+
+
+def _fit(rows: Iterator[tuple[bool, list[bytes]]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids and floors of one language from its packed texts, those to
+    cluster before the held-out ones. With held-out texts alone they are
+    clustered, and the floors stay open."""
+    sample, held = [], []
+    for out, v in rows:
+        (held if out else sample).append(v)
+    if not sample:
+        sample, held = held, []
+    unit = np.empty((len(sample), DIMS), np.float32)
+    for i, v in enumerate(sample):
+        unit[i] = _unit(_unpacked(v[0]), idf)
+    c = _kmeans(unit, CENTROIDS)
+    sizes, best = [], []
+    for v in held:
+        for x in map(_unpacked, v):
+            sizes.append(int(x.sum()))
+            best.append(float((c @ _unit(x, idf)).max()))
+    return c, _floors(sizes, np.array(best))
 
 
 def _by_lang():
     from pyspark.sql import Window
 
-    return Window.partitionBy("lang").orderBy("u", "v")
+    return Window.partitionBy("lang", "held").orderBy("u", "v")
 
 
 def fold(doc_id: Column, folds: int) -> Column:
