@@ -177,6 +177,33 @@ def test_lexed_secrets(text, literal):
     assert not base and literal in [text[s:e] for _, s, e in every]
 
 
+@pytest.mark.parametrize("text, literals", [
+    # a chain of ten names, used before they are defined
+    ("password = n9\n" + "".join(f"n{i} = n{i - 1}\n" for i in range(9, 0, -1)) + 'n0 = "Zx91!kkQ22pq"', ["Zx91!kkQ22pq"]),
+    # an operand that is resolved later than the other
+    ('a = "Qw3rTy"\nt = a + b\nb = c\nc = d\nd = "!!8822zzPq"\nsecret = t', ["Qw3rTy", "!!8822zzPq"]),
+    # a name that is used again, on either side
+    ('k = "Zx91!kkQ22pq"\npassword = k\nk = ""', ["Zx91!kkQ22pq"]),
+    ('k = ""\npassword = k\nk = "Zx91!kkQ22pq"', ["Zx91!kkQ22pq"]),
+    ('k = "Zx91!kkQ22pq"\nk = "Other-8Words9"\ntoken = k', ["Zx91!kkQ22pq", "Other-8Words9"]),
+    # over line breaks
+    ('my_pwd = "Zx91!k" + \\\n    "kQ22pq"', ["Zx91!k", "kQ22pq"]),
+    ('my_pwd = (\n    "Zx91!k"\n    "kQ22pq"\n)', ["Zx91!k", "kQ22pq"]),
+    ('my_pwd =\n    "Zx91!k"\n    + "kQ22pq"\nx = 1', ["Zx91!k", "kQ22pq"]),
+    ('+my_pwd = "Zx91!kkQ22pq"\n+token = "Other-8!Words9"', ["Zx91!kkQ22pq", "Other-8!Words9"]),
+])
+def test_constants_reach_names_in_any_order(text, literals):
+    _, every = secrets.find_spans(text)
+    assert [text[s:e] for _, s, e in every] == sorted(literals, key=text.index)
+
+
+def test_doubled_and_circular_constants_end():
+    text = 'a0 = "Zx91!kkQ22pq"\n' + "".join(f"a{i + 1} = a{i} + a{i}\n" for i in range(60)) + "password = a60\nx = y + 1\ny = x\nsecret = x"
+    assert "Zx91!kkQ22pq" in [text[s:e] for _, s, e in secrets.find_spans(text)[1]]
+    deep = "password = n5000\n" + "".join(f"n{i} = n{i - 1}\n" for i in range(5000, 0, -1)) + 'n0 = "Zx91!kkQ22pq"'
+    assert "Zx91!kkQ22pq" in [deep[s:e] for _, s, e in secrets.find_spans(deep)[1]]
+
+
 @pytest.mark.parametrize("text", ["password: changeme", "The token: sometimes words", "note: the password is fine",
                                   'title = "Tr0ub4dor&3xyz"', "password = ${DB_PASSWORD}", 'secret = "<your secret>"'])
 def test_no_secret(text):

@@ -2,10 +2,12 @@
 
 Lines of source or configuration are lexed into name-literal pairs
 (``name = "x"``, ``name: x``, ``name := x``, ``"name" => "x"``, XML-like
-``<name>x</name>``, flags ``--name x``). A name bound to a literal is a
-constant; an assignment of a constant, or of literals joined by ``+``, takes
-the literals over. A literal is scored by the most sensitive name it reaches
-and by its own shape; high scores become spans beside the base patterns'.
+``<name>x</name>``, flags ``--name x``); a binding may go on over line breaks.
+A name bound to a literal is a constant; an assignment of a constant, or of
+literals joined by ``+``, takes the literals over, through any number of names
+in any order. A literal is scored by the most sensitive name that any
+definition of its name reaches, and by its own shape or that of a value it is
+part of; high scores become spans beside the base patterns'.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -80,13 +83,74 @@ def sensitivity(name: str) -> float:
 def strength(value: str) -> float:
     """How much a literal looks like key material: length, mixed classes and
     the entropy of its characters; 0 for placeholders and prose."""
-    if len(value) < MIN_LITERAL or PLACEHOLDERS.match(value) or any(c.isspace() for c in value):
+    return _strength(len(value), Counter(value), value)
+
+
+#: of a joined value its length, its characters' counts and this much of its
+#: beginning are kept, so that long and doubled values cost no more than others
+_HEAD = 64
+
+
+def _strength(n: int, chars: dict[str, int], head: str) -> float:
+    if n < MIN_LITERAL or any(c.isspace() for c in chars):
         return 0.0
-    n = len(value)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-    classes = sum((any(c.islower() for c in value), any(c.isupper() for c in value),
-                   any(c.isdigit() for c in value), any(not c.isalnum() for c in value)))
-    return min(1.0, 0.35 * entropy / 3 + 0.2 * classes + 0.25 * min(1.0, n / 16))
+    # beyond the head, a placeholder only depends on which characters there are
+    if PLACEHOLDERS.match(head if n == len(head) else head + "".join(chars)):
+        return 0.0
+    entropy = -sum(k / n * math.log2(k / n) for k in chars.values())
+    classes = sum((any(c.islower() for c in chars), any(c.isupper() for c in chars),
+                   any(c.isdigit() for c in chars), any(not c.isalnum() for c in chars)))
+    return min(1.0, 0.35 * entropy / 3 + 0.2 * classes + 0.25 * (min(n, 16) / 16))
+
+
+def _joined(parts: list[tuple[int, dict[str, int], str]]) -> tuple[int, dict[str, int], str]:
+    """Length, counts and head of the values of ``parts`` joined."""
+    if len(parts) == 1:
+        return parts[0]
+    n, chars, head = 0, Counter(), ""
+    for m, more, begin in parts:
+        if n == len(head):
+            head = (head + begin)[:max(_HEAD, n)] if n + m > _HEAD else head + begin
+        n += m
+        for c, k in more.items():
+            chars[c] += k
+    if n >> 200:  # doubled over and over: only the shares count
+        chars = {c: max(1, k >> 100) for c, k in chars.items()}
+        n = sum(chars.values())
+    return n, chars, head
+
+
+def _logical_lines(text: str) -> Iterator[tuple[str, int]]:
+    """Lines with their starts; a line goes on where it ends with an operator
+    or an open bracket, the next one begins with a plus or, inside a bracket
+    opened by a binding, with a string."""
+    lines = text.split("\n")
+    i = at = 0
+    while i < len(lines):
+        j, inside = i, False
+        while j + 1 < len(lines):
+            tail, head = lines[j].rstrip(), lines[j + 1].lstrip()
+            inside = inside and ")" not in tail or tail.endswith("(")
+            if not (tail.endswith(("+", "=", ":", "=>", "\\", "(")) or head.startswith("+")
+                    or inside and head.startswith(("\"", "'")) or j > i and not tail):
+                break
+            j += 1
+        chunk = "\n".join(lines[i:j + 1])
+        yield chunk, at
+        at += len(chunk) + 1
+        i = j + 1
+
+
+def _over_breaks(tokens: list, j: int, kinds: tuple[str, ...]) -> int:
+    """The token after line breaks at ``j`` if a value can go on with it: one
+    of ``kinds`` that is not the name of a binding of its own; else ``j``."""
+    k = j
+    while k < len(tokens) and tokens[k][0] == "end" and tokens[k][1].group() == "\n":
+        k += 1
+    if k == j or k >= len(tokens) or tokens[k][0] not in kinds:
+        return j
+    after = k + 1 if tokens[k][0] != "plus" else k + 2
+    return j if after < len(tokens) and tokens[after][0] == "bind" else k
 
 
 def _statements(line: str, at: int) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
@@ -114,6 +178,9 @@ def _statements(line: str, at: int) -> Iterator[tuple[str, list[tuple[str, str,
             # ``name: type = value`` binds the name, not the type
             if j + 1 < len(tokens) and tokens[j][0] == "name" and tokens[j + 1][0] == "bind" and tokens[j + 1][1].group() == "=":
                 j += 2
+            if binds:
+                j = _over_breaks(tokens, j, ("string", "name"))
+            first = j
             while j < len(tokens):
                 k, t = tokens[j]
                 start, end = at + t.start(), at + t.end()
@@ -133,13 +200,23 @@ def _statements(line: str, at: int) -> Iterator[tuple[str, list[tuple[str, str,
                         j += 1
                 else:
                     break
-                if j + 1 < len(tokens) and tokens[j + 1][0] == "plus":
-                    j += 2
-                    continue
                 j += 1
+                n = _over_breaks(tokens, j, ("plus",))
+                if n < len(tokens) and tokens[n][0] == "plus":
+                    j = _over_breaks(tokens, n + 1, ("string", "name", "bare"))
+                    continue
+                # strings side by side in a bracket are one value
+                n = _over_breaks(tokens, j, ("string",))
+                if (k == "string" and binds and n < len(tokens) and tokens[n][0] == "string"
+                        and "(" in line[tokens[i + 1][1].end():tokens[first][1].start()]
+                        and not line[t.end():tokens[n][1].start()].strip()):
+                    j = n
+                    continue
                 break
-            if terms:
+            if terms and not (first > i + 2 and len(terms) == 1 and terms[0][0] == "name" and "\n" in line[m.end():terms[0][2] - at]):
                 yield name, terms
+            elif terms:
+                yield name, [("far", *terms[0][1:])]
             i = max(j - 1, i) if kind == "flag" else max(j, i + 1)
             continue
         i += 1
@@ -147,44 +224,108 @@ def _statements(line: str, at: int) -> Iterator[tuple[str, list[tuple[str, str,
 
 def lexed_spans(text: str) -> list[tuple[str, int, int]]:
     """Literals that reach a sensitive name, as ``assign`` spans."""
-    bound: dict[str, list[tuple[str, int, int]]] = {}
-    best: dict[tuple[int, int], tuple[float, str]] = {}
     pending: list[tuple[str, list[tuple[str, str, int, int]]]] = []
-    at = 0
-    for line in text.split("\n"):
+    for line, at in _logical_lines(text):
         if "=" in line or ":" in line or "--" in line or "</" in line:
             pending += _statements(line, at)
-        at += len(line) + 1
+    defs = _definitions(pending)
+    # the most sensitive name that each name flows into, through all of its uses
+    weights = {name: sensitivity(name) for name, _ in pending}
+    feeds: dict[str, set[str]] = defaultdict(set)
     for name, terms in pending:
-        if all(k == "literal" for k, *_ in terms):
-            bound[name] = [(v, s, e) for _, v, s, e in terms]
-    # constants may be defined after their use and through other constants
-    for _ in range(4):
-        grown = False
-        for name, terms in pending:
-            if any(k == "name" for k, *_ in terms) and name not in bound:
-                got = [x for k, v, s, e in terms for x in ([(v, s, e)] if k == "literal" else bound.get(v, []))]
-                if got:
-                    bound[name] = got
-                    grown = True
-        if not grown:
-            break
-    for name, terms in pending:
-        weight = sensitivity(name)
-        if not weight:
+        feeds[name].update(v for k, v, *_ in terms if k != "literal")
+    work = [name for name, w in weights.items() if w]
+    while work:
+        name = work.pop()
+        for v in feeds.get(name, ()):
+            if weights.get(v, 0.0) < weights[name]:
+                weights[v] = weights[name]
+                work.append(v)
+    best: dict[tuple[int, int], float] = {}
+    scored = []
+    for i, (name, terms) in enumerate(pending):
+        if not weights[name]:
+            continue
+        if len(terms) > 1 or terms[0][0] == "literal":
+            scored.append(i)
+        elif terms[0][0] == "name" and terms[0][1] not in defs and any(c.isdigit() for c in terms[0][1]):
+            # a lone word after a sensitive word is prose unless it has digits;
+            # definitions of a name are scored themselves
+            _, word, s, e = terms[0]
+            power = strength(word)
+            best[s, e] = max(best.get((s, e), 0.0), sensitivity(name) * (0.4 + 0.6 * power) if power else 0.0)
+    order, operands, values = _expanded(pending, defs, scored)
+    score = dict.fromkeys(order, 0.0)
+    for i in scored:
+        power = _strength(*values[i])
+        score[i] = weights[pending[i][0]] * (0.4 + 0.6 * power) if power else 0.0
+    for i in reversed(order):  # a part scores as the best value that it is in
+        for d in operands[i]:
+            score[d] = max(score[d], score[i])
+        for k, _, s, e in pending[i][1]:
+            if k == "literal" and e > s:
+                best[s, e] = max(best.get((s, e), 0.0), score[i])
+    return [("assign", s, e) for (s, e), x in best.items() if x >= THRESHOLD]
+
+
+def _definitions(pending: list) -> dict[str, list[int]]:
+    """For each name, in order, its bindings that a literal reaches."""
+    uses: dict[str, list[int]] = defaultdict(list)
+    for i, (_, terms) in enumerate(pending):
+        for k, v, *_ in terms:
+            if k != "literal":
+                uses[v].append(i)
+    reached = [any(k == "literal" for k, *_ in terms) for _, terms in pending]
+    work, names = [i for i, r in enumerate(reached) if r], set()
+    while work:
+        name = pending[work.pop()][0]
+        if name in names:
             continue
-        parts = [x for k, v, s, e in terms for x in ([(v, s, e)] if k == "literal" else bound.get(v, []))]
-        whole = "".join(v for v, _, _ in parts)
-        # a lone word after a sensitive word is prose, not a secret
-        if len(terms) == 1 and terms[0][0] == "name" and terms[0][1] not in bound:
-            whole, parts = terms[0][1], [tuple(terms[0][1:])]
-            if not any(c.isdigit() for c in whole):
+        names.add(name)
+        for i in uses.get(name, ()):
+            if not reached[i]:
+                reached[i] = True
+                work.append(i)
+    out: dict[str, list[int]] = defaultdict(list)
+    for i, (name, _) in enumerate(pending):
+        if reached[i]:
+            out[name].append(i)
+    return dict(out)
+
+
+def _expanded(pending: list, defs: dict[str, list[int]], roots: list[int]) -> tuple[list[int], dict, dict]:
+    """The bindings that the values of ``roots`` are made of, operands first,
+    with their operands and values. A name stands for its definition in force
+    there, or else for its first one; a definition by itself adds nothing."""
+    order: list[int] = []
+    operands: dict[int, list[int]] = {}
+    values: dict[int, tuple[int, dict[str, int], str]] = {}
+    for root in roots:
+        stack = [] if root in operands else [root]
+        while stack:
+            i = stack[-1]
+            if i not in operands:
+                operands[i] = []
+                for k, v, *_ in pending[i][1]:
+                    if k != "literal" and v in defs:
+                        d = defs[v][max(0, bisect_left(defs[v], i) - 1)]
+                        if d not in operands or d in values:
+                            operands[i].append(d)
+                stack += [d for d in operands[i] if d not in operands]
+                continue
+            stack.pop()
+            if i in values:
                 continue
-        score = weight * (0.4 + 0.6 * strength(whole)) if strength(whole) else 0.0
-        for _, s, e in parts:
-            if e > s and score > best.get((s, e), (0.0, ""))[0]:
-                best[s, e] = (score, name)
-    return [("assign", s, e) for (s, e), (score, _) in best.items() if score >= THRESHOLD]
+            operands[i] = [d for d in operands[i] if d in values]
+            parts, mine = [], set(operands[i])
+            for k, v, *_ in pending[i][1]:
+                if k == "literal":
+                    parts.append((len(v), Counter(v), v))
+                elif v in defs and (d := defs[v][max(0, bisect_left(defs[v], i) - 1)]) in mine:
+                    parts.append(values[d])
+            values[i] = _joined(parts) if parts else (0, {}, "")
+            order.append(i)
+    return order, operands, values
 
 
 def find_spans(text: str) -> tuple[list, list]:
