@@ -145,6 +145,28 @@ def test_windows_agree_with_one_stretch(tagger):
     assert np.allclose(scores.max(2), 0) and scores.shape[:2] == (len(starts), WINDOW)
 
 
+def test_long_stretch_is_decoded_as_one(tagger):
+    """Over 512 windows without a break, with items set over every place near
+    window 512 where a part may end or begin: spans are those of one part."""
+    words = [f"note {i % 89} of the men went on, " for i in range(2_000)]
+    head = "".join(words)
+    for item, cut_at in (("mail 10[.]20[.]30[.]123 now", 16 + 5), ("call 0049 212 555 0147 now", 5 + 14)):
+        for edge in (512 * 48, 508 * 48, 511 * 48 + 96):
+            at = edge - cut_at
+            text = head[:at - 1] + " " + item + " " + head[:9_000]
+            assert not pii.base_spans(text)
+            (got,) = pii.tagged_spans(tagger, [text])
+            (one,) = pii.tagged_spans(tagger, [text], batch=10**6)
+            assert got == one, (item, edge)
+            (_, every), = pii.find_spans(tagger, [text])
+            mine = [(s, e) for _, s, e in every if s < at + len(item) and e > at]
+            assert mine == [(s, e) for _, s, e in one if s < at + len(item) and e > at]
+            if item.startswith("mail"):
+                assert mine == [(at + 5, at + 23)], edge
+    small = head[:6_000] + "mail 10[.]20[.]30[.]123 now " + head[:3_000]
+    assert all(pii.tagged_spans(tagger, [small, head[:500]], batch=b) == pii.tagged_spans(tagger, [small, head[:500]]) for b in (1, 2, 7))
+
+
 def test_tagger_gradients():
     m = Tagger(("a", "b"))
     rng = np.random.default_rng(0)

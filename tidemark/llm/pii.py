@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import key_text, python_stage
-from tidemark.llm.tagger import STRIDE, WINDOW, Tagger, cut, encode, window_starts
+from tidemark.llm.tagger import STRIDE, WINDOW, Stretch, Tagger, cut, encode, window_starts
 
 #: fixed kinds and patterns of the contract
 KINDS = ("email", "ip", "card", "phone")
@@ -223,8 +223,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ta
 
 def tagged_spans(model: Tagger, texts: list[str], batch: int = 512, skip: bool = True) -> list[list[tuple[str, int, int]]]:
     """The tagger's spans of whole texts, valid ones with an anchor only.
-    ``skip=False`` also decodes the windows that cannot hold one."""
-    jobs: list[tuple[int, np.ndarray]] = []
+    ``skip=False`` also decodes the windows that cannot hold one. Windows are
+    scored ``batch`` at a time; a longer stretch is decoded as one all the same."""
+    jobs: list[tuple[int, np.ndarray, bool, bool]] = []
     for i, text in enumerate(texts):
         starts = window_starts(len(text))
         if skip:
@@ -237,11 +238,11 @@ def tagged_spans(model: Tagger, texts: list[str], batch: int = 512, skip: bool =
             chosen = np.arange(len(starts)) if text else np.zeros(0, np.int64)
         if len(chosen):
             for run in np.split(chosen, np.nonzero(np.diff(chosen) > 1)[0] + 1):
-                # a long stretch goes in parts that share four windows
                 for at in range(0, len(run), batch):
-                    jobs.append((i, starts[run[max(0, at - 4):at + batch]]))
+                    jobs.append((i, starts[run[at:at + batch]], not at, at + batch >= len(run)))
     found: list[dict] = [{} for _ in texts]
     codes: dict[int, np.ndarray] = {}
+    stretch = None
     at = 0
     while at < len(jobs):
         end, size = at, 0
@@ -249,21 +250,24 @@ def tagged_spans(model: Tagger, texts: list[str], batch: int = 512, skip: bool =
             size += len(jobs[end][1])
             end += 1
         part = []
-        for i, starts in jobs[at:end]:
+        for i, starts, *_ in jobs[at:end]:
             if i not in codes:
                 codes = {i: encode(texts[i])}
             part.append(cut(codes[i], starts))
         scores = model.max_marginals(np.concatenate(part))
         row = 0
-        for i, starts in jobs[at:end]:
-            for k, s, e in model.reconcile(starts, scores[row:row + len(starts)], len(texts[i])):
+        for i, starts, opens, closes in jobs[at:end]:
+            if opens:
+                stretch = Stretch(model, int(starts[0]), len(texts[i]))
+            stretch.feed(starts, scores[row:row + len(starts)], closes)
+            row += len(starts)
+            for k, s, e in stretch.spans() if closes else ():
                 piece = texts[i][s:e]
                 while e > s and not (piece[-1].isalnum() or piece[-1] in ")]}"):
                     e -= 1
                     piece = texts[i][s:e]
                 if e > s and ANCHOR.search(piece) and valid(k, piece):
                     found[i][k, s, e] = None
-            row += len(starts)
         at = end
     return [list(f) for f in found]
 

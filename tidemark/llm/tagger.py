@@ -178,36 +178,77 @@ class Tagger:
         return np.maximum(out - out.max(2, keepdims=True), -_VETO)
 
     def reconcile(self, starts: np.ndarray, scores: np.ndarray, n: int) -> list[tuple[str, int, int]]:
-        """Spans of one stretch of overlapping windows (positions relative to
-        the first start): scores are averaged, a position counting more the
-        farther it is from a window's edge, and one path is decoded over the
-        whole stretch."""
-        base = int(starts[0])
-        size = min(int(starts[-1]) + WINDOW, n) - base
-        weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
-        total, sums = np.zeros((size + WINDOW, scores.shape[2]), np.float32), np.zeros(size + WINDOW, np.float32)
-        for at, s in zip(starts - base, scores):
-            total[at:at + WINDOW] += weight[:, None] * s
-            sums[at:at + WINDOW] += weight
-        merged = total[:size] / sums[:size, None]
-        hard = np.where(self.allowed, 0, _NEVER).astype(np.float32)
-        best, came = merged[0] + np.where(self.first, 0, _NEVER), np.zeros((size, merged.shape[1]), np.int64)
-        for s in range(1, size):
-            options = best[:, None] + hard
+        """Spans of one stretch of overlapping windows, given at once."""
+        stretch = Stretch(self, int(starts[0]), n)
+        stretch.feed(starts, scores, True)
+        return stretch.spans()
+
+
+class Stretch:
+    """One stretch of overlapping windows, fed in parts: scores are averaged,
+    a position counting more the farther it is from a window's edge, and one
+    path is decoded over the whole stretch, the same for any parts. Between
+    parts only the scores of the last half window, the state of the search and
+    the steps that are still open stay."""
+
+    def __init__(self, tagger: Tagger, base: int, n: int):
+        self.tagger, self.base, self.n = tagger, base, n
+        k = len(tagger.first)
+        self.hard = np.where(tagger.allowed, 0, _NEVER).astype(np.float32)
+        self.weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
+        self.at = 0  # first position without a decided step, relative to the base
+        self.total, self.sums = np.zeros((0, k), np.float32), np.zeros(0, np.float32)
+        self.best: np.ndarray | None = None
+        self.came = np.zeros((0, k), np.int8)
+        self.tags: list[np.ndarray] = []
+
+    def feed(self, starts: np.ndarray, scores: np.ndarray, last: bool) -> None:
+        """The next windows; ``last``: the stretch ends with them."""
+        size = int(starts[-1]) + WINDOW - self.base - self.at
+        total, sums = np.zeros((size, scores.shape[2]), np.float32), np.zeros(size, np.float32)
+        total[:len(self.total)], sums[:len(self.sums)] = self.total, self.sums
+        for at, s in zip(starts - self.base - self.at, scores):
+            total[at:at + WINDOW] += self.weight[:, None] * s
+            sums[at:at + WINDOW] += self.weight
+        # what the next window reaches waits for it
+        ready = (min(int(starts[-1]) + WINDOW, self.n) if last else int(starts[-1]) + STRIDE) - self.base - self.at
+        merged = total[:ready] / sums[:ready, None]
+        self.total, self.sums, self.at = total[ready:], sums[ready:], self.at + ready
+        came = np.zeros((ready, scores.shape[2]), np.int8)
+        for s in range(ready):
+            if self.best is None:
+                self.best = merged[0] + np.where(self.tagger.first, 0, _NEVER)
+                continue
+            options = self.best[:, None] + self.hard
             came[s] = options.argmax(0)
-            best = options.max(0) + merged[s]
-        tags, tag = np.empty(size, np.int64), int(best.argmax())
-        for s in range(size - 1, -1, -1):
-            tags[s] = tag
-            tag = int(came[s, tag])
-        spans, s = [], 0
-        while s < size:
-            if tags[s] and tags[s] % 2:
-                e = s + 1
-                while e < size and tags[e] == tags[s] + 1:
-                    e += 1
-                spans.append((self.kinds[(tags[s] - 1) // 2], base + s, base + e))
-                s = e
-            else:
-                s += 1
-        return spans
+            self.best = options.max(0) + merged[s]
+        self.came = np.concatenate([self.came, came])
+        self._settle(int(self.best.argmax()) if last else None)
+
+    def _settle(self, tag: int | None) -> None:
+        """Tags up to where all paths agree, or all with the last ``tag``."""
+        s = len(self.came) - 1
+        if tag is None:
+            ends = np.arange(self.came.shape[1])
+            while s >= 0 and (ends != ends[0]).any():
+                ends = self.came[s][ends]
+                s -= 1
+            if s < 0:
+                return
+            tag = int(ends[0])
+        tags = np.empty(s + 1, np.int8)
+        self.came, came = self.came[s + 1:], self.came
+        for i in range(s, -1, -1):
+            tags[i] = tag
+            tag = int(came[i, tag])
+        self.tags.append(tags)
+
+    def spans(self) -> list[tuple[str, int, int]]:
+        tags = np.concatenate(self.tags)
+        out = []
+        for s in np.nonzero(tags % 2)[0].tolist():
+            e = s + 1
+            while e < len(tags) and tags[e] == tags[s] + 1:
+                e += 1
+            out.append((self.tagger.kinds[(int(tags[s]) - 1) // 2], self.base + s, self.base + e))
+        return out
