@@ -77,6 +77,20 @@ def test_distance_rejection_goes_both_ways(spark):
             assert all(model.predict(_script(letters, n))[2] for n in (1_000, 4_000, 20_000, 100_000))
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """230 languages, the rarest with one text: all get their name."""
+    letters = [chr(0x4E00 + i) for i in range(230 * 12)]
+    rows = [(i * 10 + j, _script(letters[12 * i:12 * i + 12], 300, j), f"l{i:03}") for i in range(230) for j in range(1 + (i < 200))]
+    model = L.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert set(model.languages) == {f"l{i:03}" for i in range(230)}
+    want = [(lang, False) for _, _, lang in rows]
+    got = model.predict_all([text for _, text, _ in rows])
+    assert [(lang, gone) for lang, _, gone in got] == want
+    monkeypatch.setattr(L, "DENSE", 7)
+    model.held = None
+    assert [(lang, gone) for lang, _, gone in model.predict_all([text for _, text, _ in rows])] == want
+
+
 def test_counts_in_blocks(monkeypatch):
     text = "Der Über-Fluss, né à  Ñu  123 wörter\n" * 40
     want = L.counts(text)

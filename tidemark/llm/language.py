@@ -15,7 +15,6 @@ HELD documents and excerpts of them.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import python_stage
+from tidemark.operators.lookup import bounded_broadcast
 
 DIMS = 1 << 13
 CENTROIDS = 3
 #: documented bounds of the clustering sample and of the texts outside it
 SAMPLE, HELD = 600, 400
-MAX_LANGUAGES = 200
+#: centroids that are dense at a time; the others stay sparse
+DENSE = 600
 #: rejected: less similar than SLACK times this quantile of the held-out
 #: training texts of the language and length class; a class with fewer than
 #: EVIDENCE of them takes the floor of the next shorter one
@@ -140,19 +141,49 @@ def _filled(floors: np.ndarray) -> np.ndarray:
 
 class Model:
     """Unit centroids with their languages, IDF weights and, for each centroid
-    and length class, the similarity below which a text is rejected."""
+    and length class, the similarity below which a text is rejected. The
+    centroids are rows of ``(columns, values)``, as many as there are."""
 
-    def __init__(self, idf: np.ndarray, centroids: np.ndarray, languages: list[str], floor: np.ndarray):
+    def __init__(self, idf: np.ndarray, centroids: list[tuple[np.ndarray, np.ndarray]], languages: list[str], floor: np.ndarray):
         self.idf, self.centroids, self.languages, self.floor = idf, centroids, languages, floor
+        self.held: tuple[int, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "held": None}  # dense blocks do not travel
+
+    def _block(self, at: int) -> np.ndarray:
+        """Centroids ``at`` to ``at + DENSE``, dense; the last block is kept."""
+        if self.held is None or self.held[0] != at:
+            rows = self.centroids[at:at + DENSE]
+            dense = np.zeros((len(rows), DIMS), np.float32)
+            for row, (columns, values) in zip(dense, rows):
+                row[columns] = values
+            self.held = at, dense
+        return self.held[1]
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """``(language, score, rejected)``; no letter: unknown, 0, rejected."""
-        x = counts(text) if text else None
-        if x is None or not self.languages:
-            return UNKNOWN, 0.0, True
-        s = self.centroids @ _unit(x, self.idf)
-        k = int(s.argmax())
-        return self.languages[k], float(min(1.0, max(0.0, s[k]))), bool(s[k] < self.floor[k, _length_class(x.sum())])
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        """:meth:`predict` of several texts, each block of centroids once."""
+        out: list[tuple[str, float, bool]] = []
+        for at in range(0, len(texts), 256):
+            found = [counts(t) if t and self.languages else None for t in texts[at:at + 256]]
+            units = [None if x is None else _unit(x, self.idf) for x in found]
+            best = [(-1.0, 0)] * len(found)
+            for block in range(0, len(self.centroids), DENSE):
+                c = self._block(block)
+                for i, u in enumerate(units):
+                    if u is not None:
+                        s = c @ u
+                        k = int(s.argmax())
+                        if s[k] > best[i][0]:  # equal ones go to the first
+                            best[i] = s[k], block + k
+            for x, (s, k) in zip(found, best):
+                out.append((UNKNOWN, 0.0, True) if x is None else
+                           (self.languages[k], float(min(1.0, max(0.0, s))), bool(s < self.floor[k, _length_class(x.sum())])))
+        return out
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -203,14 +234,14 @@ def train(labelled: DataFrame) -> Model:
         "text", F.col("lang").cast("string").alias("lang"),
         (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u"),
         (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("held")), F.lit(5)) < 2).alias("held"))
+    spark = labelled.sparkSession
     df, n = document_frequencies(rows)
     idf = (np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32)
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not sizes:
-        return Model(idf, np.zeros((0, DIMS), np.float32), [], np.zeros((0, CLASSES)))
-    # a share of each language that gives about SAMPLE and HELD rows, cut below
-    share = F.element_at(F.create_map(*[F.lit(v) for k, m in sizes.items() for v in (k, min(1.0, 1.5 * (SAMPLE + HELD) / m))]), F.col("lang"))
+    # a share of each language that gives about SAMPLE and HELD rows, cut below;
+    # languages that are small enough are taken whole, without a row here
+    many = 1.5 * (SAMPLE + HELD)
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > many).collect()
+    shares = spark.createDataFrame([(r.lang, many / r.n) for r in sizes], "lang string, share double")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,20 +258,36 @@ def train(labelled: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(u, pa.float64()), pa.array(held, pa.bool_()),
                                               pa.array(v, pa.list_(pa.binary()))], ["lang", "u", "held", "v"])
 
-    picked = rows.where(F.col("lang").isin(list(sizes))).where(F.col("u") < share)
+    picked = rows.join(bounded_broadcast(shares), "lang", "left").where(F.col("u") < F.coalesce("share", F.lit(1.0))).select(*rows.columns)
     sample = (picked.mapInArrow(vectors, "lang string, u double, held boolean, v array<binary>")
               .withColumn("r", F.row_number().over(_by_lang()))
               .where(F.col("r") <= F.when(F.col("held"), HELD).otherwise(SAMPLE)))
-    ordered = sample.orderBy("lang", "held", "u", "v").select("lang", "held", "v").toLocalIterator()
-    centroids, languages, floors = [], [], []
-    for lang, rows_of in groupby(ordered, key=lambda r: r.lang):  # one language in memory at a time
-        c, floor = _fit(((r.held, r.v) for r in rows_of), idf)
-        centroids.append(c)
-        languages += [lang] * len(c)
-        floors += [floor] * len(c)
-    if not languages:
-        return Model(idf, np.zeros((0, DIMS), np.float32), [], np.zeros((0, CLASSES)))
-    return Model(idf, np.concatenate(centroids), languages, _filled(np.array(floors)))
+    weights = spark.sparkContext.broadcast(idf)
+
+    def fit(key: tuple, pdf):  # one language in memory at a time, of SAMPLE and HELD rows at most
+        import pandas as pd
+
+        pdf = pdf.sort_values(["held", "r"])
+        c, floor = _fit(zip(pdf["held"], pdf["v"]), weights.value)
+        return pd.DataFrame({"lang": [key[0]] * len(c), "k": range(len(c)), "c": [_sparse(x) for x in c],
+                             "floor": [floor.tolist()] * len(c)})
+
+    fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, k int, c binary, floor array<double>")
+    learned = sorted(fitted.collect(), key=lambda r: (r.lang, r.k))  # CENTROIDS sparse rows a language
+    if not learned:
+        return Model(idf, [], [], np.zeros((0, CLASSES)))
+    floors = _filled(np.array([[np.nan if x is None else x for x in r.floor] for r in learned], float))
+    return Model(idf, [_columns(r.c) for r in learned], [r.lang for r in learned], floors)
+
+
+def _sparse(c: np.ndarray) -> bytes:
+    at = np.nonzero(c)[0]
+    return at.astype("<u4").tobytes() + c[at].astype("<f4").tobytes()
+
+
+def _columns(v: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw, n = bytes(v), len(v) // 8
+    return np.frombuffer(raw, "<u4", n).astype(np.uint16), np.frombuffer(raw, "<f4", n, 4 * n)
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -304,12 +351,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     source = docs.select(F.col(text_col).alias("__text"), *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(names)])
     schema = T.StructType([*source.schema.fields[1:], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    shared = spark.sparkContext.broadcast(model)  # DIMS x centroids, bounded by MAX_LANGUAGES
+    shared = spark.sparkContext.broadcast(model)  # sparse centroids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = shared.value.predict
+        predict = shared.value.predict_all
         for batch in batches:
-            got = [predict(t.as_py()) for t in batch.column(0)]
+            got = predict(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_())], schema.names)
