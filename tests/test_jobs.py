@@ -98,6 +98,32 @@ def test_bronze_refuses_what_it_could_not_move_and_never_loads_twice(spark, scra
     assert len(os.listdir(os.path.join(scratch, "done"))) == 3 and os.listdir(f"{land}/foo") == []
 
 
+def test_bronze_looks_for_claimed_names_without_a_listing(spark, scratch, monkeypatch):
+    import tidemark.plans.bronze as B
+
+    def listed(*_):
+        raise AssertionError("the processed folder was listed")
+
+    monkeypatch.setattr(B, "list_tree", listed, raising=False)
+    land, mapping = os.path.join(scratch, "in"), _one_route(spark, scratch)
+    for name in ("a b%20.json", "other.json"):
+        _write(os.path.join(scratch, "done", name), [{"v": 0}])
+    _write(f"{land}/foo/a b%20.json", [{"v": 1}])
+    assert set(_bronze(spark, scratch, land, mapping)) == {("foo", "refused")}
+    os.rename(f"{land}/foo/a b%20.json", f"{land}/foo/new.json")
+    assert set(_bronze(spark, scratch, land, mapping)) == {("foo", "processed")}
+
+
+def test_landed_event_files_grow_in_number_not_in_size(spark):
+    from tidemark.workloads import event_files
+
+    day = F.expr("timestamp'2024-01-01' + make_dt_interval(cast(id % 3 as int))")
+    for n in (600, 6_000):
+        ev = spark.range(n).select(F.col("id").alias("event_id"), day.alias("ts"), (F.col("id") % 7).alias("user_id"), F.lit("view").alias("event_type"))
+        sizes = [r["k"] for r in event_files(ev, 100).select(F.size(F.split("c", "\n")).alias("k")).collect()]
+        assert sum(sizes) == n and n / 150 <= len(sizes) <= n / 100 + 3 and max(sizes) < 200
+
+
 def test_bronze_registration_fault_does_not_fail_the_load(spark, scratch):
     land = os.path.join(scratch, "in")
     _write(f"{land}/foo/a b%1.json", [{"v": 1}])

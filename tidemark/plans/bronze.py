@@ -25,9 +25,9 @@ from tidemark.operators.dates import any_ancient, repair_ancient_dates
 from tidemark.operators.files import FAILED, PROCESSED, execute_transfers, plan_disposition
 from tidemark.operators.lookup import bounded_broadcast, route_sources, schema_exists
 from tidemark.operators.registry import read_registry, registry_insert
-from tidemark.session import materialize, path_exists, qualify, shared_path
+from tidemark.session import materialize, path_exists, qualify, resolve_path, shared_path, ship_package
 from tidemark.sinks.writers import append_bronze
-from tidemark.sources.files import dirs_with_files, file_manifest, list_tree, relative_parts
+from tidemark.sources.files import dirs_with_files, file_manifest, relative_parts
 from tidemark.sources.readers import load_data
 
 
@@ -135,17 +135,31 @@ def _blocked(spark: SparkSession, files: DataFrame, on_exists: str) -> DataFrame
     claims = place.groupBy("_place").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_place")
     out = place.join(claims, "_place", "left_semi").select("directory")
     if on_exists == "error":
-        # one listing per processed folder of the mapping
+        # one job per processed folder of the mapping; tasks look for the
+        # claimed names alone, whatever else the folder holds
         for r in files.select("processed_file_path").distinct().collect():
             folder = qualify(spark, r[0])
-            if not path_exists(folder):
-                continue
-            have = list_tree(spark, folder).filter(~F.col("is_dir")).select("name").distinct()
-            mine = files.filter(F.col("processed_file_path") == F.lit(r[0]))
-            out = out.union(mine.join(have, "name", "left_semi").select("directory"))
+            if path_exists(folder):
+                mine = files.filter(F.col("processed_file_path") == F.lit(r[0])).select("directory", "name")
+                out = out.union(_taken(spark, mine, folder))
     return out.distinct()
 
 
+def _taken(spark: SparkSession, claims: DataFrame, folder: str) -> DataFrame:
+    """``directory`` of the claims ``directory, name`` whose name is in ``folder``."""
+    ship_package(spark)
+
+    def look(batches):
+        import pyarrow.fs as pafs
+
+        fs, top = resolve_path(folder)
+        for pdf in batches:
+            found = fs.get_file_info([f"{top.rstrip('/')}/{n}" for n in pdf["name"]])
+            yield pdf.loc[[i.type != pafs.FileType.NotFound for i in found], ["directory"]]
+
+    return claims.mapInPandas(look, "directory string")
+
+
 def _load_snapshot(spark: SparkSession, root: str, files: DataFrame, file_format: str, options) -> DataFrame:
     """The rows of exactly the given files. The directories are named by one
     glob per folder name and depth (bounded by the mapping, however many

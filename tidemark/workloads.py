@@ -31,7 +31,8 @@ from tidemark.operators.dates import (flag_quarantine, hourly_volume, hourly_vol
 from tidemark.operators.documents import (DEFAULT_MAX_ITEMS, extract_tags, flatten_all, nest,
                                           nest_two_levels)
 from tidemark.operators.files import plan_copy, plan_disposition
-from tidemark.operators.lookup import (route_all, route_first, rows_of_unprocessed_folders,
+from tidemark.operators.lookup import (
+    bounded_broadcast,route_all, route_first, rows_of_unprocessed_folders,
                                        schema_exists, seen_folders, unprocessed_folders)
 from tidemark.plans.bronze import run_bronze_job
 from tidemark.plans.imaging import move_and_verify
@@ -491,17 +492,32 @@ def q_dates_text_quarantine(spark, sf_dir):
     return out.withColumnRenamed("_ancient", "quarantined")
 
 
+#: about so many events in a landed file
+FILE_EVENTS = 20_000
+
+
+def event_files(ev: DataFrame, rows: int = FILE_EVENTS) -> DataFrame:
+    """Events as JSON files ``d, n, c`` (folder, name, content): one per type,
+    day and hash part, as many parts as keep a file at about ``rows`` events,
+    so the number of files grows with the table and their size does not."""
+    day = F.coalesce(F.date_format("ts", "yyyyMMdd"), F.lit("none"))
+    lines = ev.select(F.col("event_type").alias("d"), day.alias("day"), F.xxhash64("event_id", "user_id", "ts").alias("h"),
+                      F.to_json(F.struct("event_id", "user_id", "event_type")).alias("line"))
+    parts = lines.groupBy("d", "day").agg(F.ceil(F.count(F.lit(1)) / rows).alias("parts")).select(
+        F.col("d").alias("_d"), F.col("day").alias("_day"), "parts")
+    dealt = lines.join(bounded_broadcast(parts), F.col("d").eqNullSafe(F.col("_d")) & (F.col("day") == F.col("_day")))
+    name = F.concat_ws("-", "day", F.pmod("h", "parts").cast("string"))
+    return dealt.groupBy("d", F.concat(name, F.lit(".json")).alias("n")).agg(
+        F.array_join(F.sort_array(F.collect_list("line")), "\n").alias("c"))
+
+
 def q_bronze_job(spark, sf_dir):
-    """Events land as one JSON file per type and day and go through the bronze
+    """Events land as JSON files per type, day and part and go through the bronze
     job by a mapping table; then a second drop with a name that is already
     processed arrives, is refused, and the job runs again: nothing doubles."""
     root, out = shared_path(spark, "landing"), shared_path(spark, "lake")
     ev = table(spark, sf_dir, "events")
-    line = F.to_json(F.struct("event_id", "user_id", "event_type"))
-    # one file per type and hash bucket: bounded content per file
-    bucket = F.pmod(F.xxhash64("event_id"), F.lit(8))
-    drop = ev.groupBy(F.col("event_type").alias("d"), F.concat(F.lit("b"), bucket, F.lit(".json")).alias("n")).agg(
-        F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("c"))
+    drop = event_files(ev)
     land_files(drop, root, "d", "n", "c")
     kinds = ev.select("event_type").distinct()
     at = lambda part: F.concat(F.lit(f"{out}/{part}/"), F.col("event_type"))
@@ -511,7 +527,8 @@ def q_bronze_job(spark, sf_dir):
                  ).write.parquet(f"{out}/mapping")
     mapping = spark.read.parquet(f"{out}/mapping")
     first = run_bronze_job(spark, root, mapping, registry_path=f"{out}/registry")
-    again = drop.filter(F.col("n") == "b0.json").withColumn("c", F.concat("c", F.lit("\n")))
+    taken = drop.groupBy("d").agg(F.min("n").alias("n"))
+    again = drop.join(taken, ["d", "n"], "left_semi").withColumn("c", F.concat("c", F.lit("\n")))
     land_files(again, root, "d", "n", "c")
     second = run_bronze_job(spark, root, mapping, registry_path=f"{out}/registry")
     status = first.select("table", F.col("status").alias("first_run")).join(
