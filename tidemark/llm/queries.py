@@ -14,6 +14,7 @@ from tidemark.llm.secrets import op4_secret_scan
 from tidemark.llm.shards import op5_sharding
 from tidemark.llm.simhash import op8_simhash_near_dedup
 from tidemark.llm.token_counts import op6_token_counts
+from tidemark.llm.vector_codes import OP11_SQL, op11_vector_codes
 
 LLM_QUERIES = {
     "op1_best_fit_packing": lambda spark, d: op1_best_fit_packing(table(spark, d, "documents")),
@@ -28,6 +29,7 @@ LLM_QUERIES = {
     "op8_simhash_near_dedup": lambda spark, d: op8_simhash_near_dedup(table(spark, d, "documents")),
     "op9_language_id": lambda spark, d: op9_language_id(table(spark, d, "documents")),
     "op10_exact_dedup": lambda spark, d: op10_exact_dedup(table(spark, d, "documents")),
+    "op11_vector_codes": lambda spark, d: op11_vector_codes(table(spark, d, "embeddings")),
 }
 
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
@@ -35,4 +37,5 @@ LLM_QUERIES["pipeline"] = corpus_pipeline.run
 LLM_SQL = {
     "op7_benchmark_decontamination": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op11_vector_codes": OP11_SQL,
 }
