@@ -89,8 +89,10 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([checkpoint_root(spark), "tidemark", *leaf])
 
 
-def materialize(df: DataFrame, path: str | None = None, name: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df: DataFrame, path: str | None = None, name: str = "stage",
+                compression: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; ``compression``
+    names another codec than the session's.
 
     Cuts the lineage: side-effecting stages upstream (file copies) never run
     twice, and a lost executor re-reads the written table instead of
@@ -98,7 +100,7 @@ def materialize(df: DataFrame, path: str | None = None, name: str = "stage") ->
     """
     spark = df.sparkSession
     target = path or shared_path(spark, name)
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").parquet(target, compression=compression)
     return spark.read.parquet(target)
 
 
