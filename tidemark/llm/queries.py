@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from tidemark.llm.alignment import op12_alignment
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from tidemark.llm.exact_dedup import OP10_SQL, op10_exact_dedup
@@ -30,6 +31,7 @@ LLM_QUERIES = {
     "op9_language_id": lambda spark, d: op9_language_id(table(spark, d, "documents")),
     "op10_exact_dedup": lambda spark, d: op10_exact_dedup(table(spark, d, "documents")),
     "op11_vector_codes": lambda spark, d: op11_vector_codes(table(spark, d, "embeddings")),
+    "op12_alignment": lambda spark, d: op12_alignment(table(spark, d, "documents")),
 }
 
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
