@@ -15,6 +15,7 @@ from tidemark.llm.secrets import op4_secret_scan
 from tidemark.llm.shards import op5_sharding
 from tidemark.llm.simhash import op8_simhash_near_dedup
 from tidemark.llm.token_counts import op6_token_counts
+from tidemark.llm.token_files import op13_token_files
 from tidemark.llm.vector_codes import OP11_SQL, op11_vector_codes
 
 LLM_QUERIES = {
@@ -32,6 +33,7 @@ LLM_QUERIES = {
     "op10_exact_dedup": lambda spark, d: op10_exact_dedup(table(spark, d, "documents")),
     "op11_vector_codes": lambda spark, d: op11_vector_codes(table(spark, d, "embeddings")),
     "op12_alignment": lambda spark, d: op12_alignment(table(spark, d, "documents")),
+    "op13_token_files": lambda spark, d: op13_token_files(table(spark, d, "documents")),
 }
 
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
