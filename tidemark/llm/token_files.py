@@ -40,7 +40,9 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: ids of a block; a file takes no further document once it holds so many ids or documents
 BLOCK, FILE_IDS, FILE_DOCS = 4096, 1 << 24, 1 << 18
-#: blocks that a sequential reader fetches at once
+#: words whose ids a worker keeps
+WORDS = 500_000
+#: blocks that are packed, or fetched by a sequential reader, at once
 _RUN = 64
 _MAGIC = b"TIDEIDS1"
 _TRAILER = struct.Struct("<3Q2I8s")
@@ -53,6 +55,8 @@ def id_bits(vocabulary: int) -> int:
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
     """The ids in ``bits`` bits each, without gaps, from the lowest bit on."""
+    if bits in (8, 16, 32):  # whole bytes
+        return ids.astype(f"<u{bits // 8}").tobytes()
     groups = np.zeros((-(-len(ids) // 8), 8), np.uint64)
     groups.ravel()[:len(ids)] = ids
     out = np.zeros((len(groups), bits), np.uint8)
@@ -66,6 +70,8 @@ def pack_bits(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack_bits(data: bytes, count: int, bits: int) -> np.ndarray:
     """The first ``count`` ids of :func:`pack_bits`."""
+    if bits in (8, 16, 32):
+        return np.frombuffer(data, f"<u{bits // 8}", count).astype(np.uint32)
     groups = -(-count // 8)
     packed = np.zeros(groups * bits, np.uint8)
     packed[:len(data)] = np.frombuffer(data, np.uint8)[:groups * bits]
@@ -81,6 +87,19 @@ def unpack_bits(data: bytes, count: int, bits: int) -> np.ndarray:
     return out.ravel()[:count]
 
 
+_ENCODERS: dict = {}
+
+
+def _encoder(path: str):
+    """One tokenizer per worker process, with room for more words than the
+    stages that hold pieces in memory can spare."""
+    from tidemark.llm.tokens import TokenIds
+
+    if path not in _ENCODERS:
+        _ENCODERS[path] = TokenIds(path, cache=WORDS)
+    return _ENCODERS[path]
+
+
 class TokenWriter:
     """Writes documents' ids to an open binary file."""
 
@@ -90,32 +109,43 @@ class TokenWriter:
         self.at = self.out.write(_MAGIC) or len(_MAGIC)
         self.offsets: list[int] = []
         self.ids = 0
-        self.rest = np.zeros(0, np.uint32)
+        self.open: list[bytes] = []  # ids not yet packed
+        self.open_ids = 0
         self.docs: tuple[list, list, list] = ([], [], [])
 
     def _write(self, data: bytes) -> None:
         self.out.write(data)
         self.at += len(data)
 
-    def _blocks(self, ids: np.ndarray) -> None:
-        for k in range(0, len(ids), self.block):
-            self.offsets.append(self.at)
-            self._write(pack_bits(ids[k:k + self.block], self.bits))
-
-    def add(self, doc_id, ids: np.ndarray) -> None:
+    def _pack(self, last: bool) -> None:
+        """Packs the whole blocks that are open, and the rest where it is the last."""
+        ids = np.frombuffer(b"".join(self.open), "<u4")
         if len(ids) and int(ids.max()) >= self.vocabulary:
-            raise ValueError(f"an id of document {doc_id!r} is outside the vocabulary of {self.vocabulary}")
-        for column, value in zip(self.docs, (doc_id, self.ids, len(ids))):
+            raise ValueError(f"an id is outside the vocabulary of {self.vocabulary}")
+        whole = len(ids) if last else len(ids) // self.block * self.block
+        # blocks of a multiple of eight ids end on a byte, so many are packed at once
+        step = self.block * (_RUN if self.block % 8 == 0 else 1)
+        for k in range(0, whole, step):
+            part = ids[k:min(k + step, whole)]
+            self.offsets += range(self.at, self.at + len(part) * self.bits // 8 + 1, max(1, self.block * self.bits // 8))[
+                :-(-len(part) // self.block)]
+            self._write(pack_bits(part, self.bits))
+        self.open = [ids[whole:].tobytes()]
+        self.open_ids = len(ids) - whole
+
+    def add(self, doc_id, ids: bytes) -> None:
+        """One document's ids, as little-endian unsigned 32-bit integers."""
+        for column, value in zip(self.docs, (doc_id, self.ids, len(ids) // 4)):
             column.append(value)
-        self.ids += len(ids)
-        ids = np.concatenate([self.rest, ids])
-        whole = len(ids) // self.block * self.block
-        self._blocks(ids[:whole])
-        self.rest = ids[whole:]
+        self.ids += len(ids) // 4
+        self.open.append(ids)
+        self.open_ids += len(ids) // 4
+        if self.open_ids >= _RUN * self.block:
+            self._pack(False)
 
     def close(self) -> None:
         """Writes the last block and the lists behind it; the file stays open."""
-        self._blocks(self.rest)
+        self._pack(True)
         offsets_at = self.at
         self._write(np.array([*self.offsets, self.at], "<u8").tobytes())
         docs_at = self.at
@@ -166,15 +196,15 @@ class TokenReader:
     def checksums(self, docs: pa.Table) -> Iterator[int]:
         """CRC-32 of each document's ids as little-endian unsigned 32-bit
         integers; the file is read once, a run of blocks at a time."""
-        run, low = np.zeros(0, np.uint32), 0
+        run, low = np.zeros(0, "<u4"), 0
         for start, length in zip(docs["start"].to_pylist(), docs["length"].to_pylist()):
             crc, at = 0, start
             while at < start + length:
                 if not low <= at < low + len(run):
                     low = at // self.block * self.block
-                    run = self.read(low, low + _RUN * self.block)
+                    run = self.read(low, low + _RUN * self.block).astype("<u4", copy=False)
                 part = run[at - low:start + length - low]
-                crc = zlib.crc32(part.astype("<u4").tobytes(), crc)
+                crc = zlib.crc32(part, crc)
                 at += len(part)
             yield crc
 
@@ -198,11 +228,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER,
         from pyspark import TaskContext
 
         from tidemark.llm.packing import tokenizer_path
-        from tidemark.llm.tokens import loaded
 
         store, base = resolve_path(root)
         part = TaskContext.get().partitionId()
-        tokens = loaded(tokenizer_path(tokenizer))
+        tokens = _encoder(tokenizer_path(tokenizer))
         vocabulary = tokens.whole.get_vocab_size()
         end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
         made, out, writer, temp = [], None, None, None
@@ -225,7 +254,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER,
                         temp = f"{base}/{TEMP_PREFIX}{uuid.uuid4().hex}"
                         out = store.open_output_stream(temp)
                         writer = TokenWriter(out, vocabulary, batch.column(0).type, block)
-                    writer.add(batch.column(0)[i].as_py(), np.frombuffer(tokens.encode(batch.column(1)[i].as_py()) + end, "<u4"))
+                    writer.add(batch.column(0)[i].as_py(), tokens.encode(batch.column(1)[i].as_py()) + end)
                     if writer.ids >= file_ids or len(writer.docs[0]) >= file_docs:
                         finish()
             if writer is not None:
