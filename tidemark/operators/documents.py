@@ -5,10 +5,10 @@ huge share of the rows (one patient with a third of all studies) must not
 become one giant row in one task, so :func:`nest` splits such keys into
 numbered parts: counts per key are pre-aggregated (map-side partial
 aggregation, key columns only), keys over ``max_items`` get
-``ceil(n / max_items)`` parts and their items are spread over the parts by a
-hash of the item and its copy number (equal items are counted first, then dealt
-out), so a hot key's parts land in different tasks, whatever its items. NULL is
-a key like any other. Every item is kept; nothing is capped or sampled.
+``ceil(n / max_items)`` parts and their items are dealt to the parts by a hash
+of the row's number (equal items spread like any others), so a hot key's parts
+land in different tasks, whatever its items. NULL is a key like any other. Every
+item is kept; nothing is capped or sampled.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import StructType
 
 from tidemark.operators.lookup import bounded_broadcast
 from tidemark.session import materialize, shared_path
@@ -79,13 +79,8 @@ def nest(child: DataFrame, key_cols, item_cols, items_name: str, max_items: int
         joined = tagged.join(named, same, "left").drop(*[f"_h_{k}" for k in key_cols])
         light = joined.filter(F.col("_parts").isNull()).drop("_parts").withColumn(PART_COL, F.lit(0))
         hot = joined.filter(F.col("_parts").isNotNull())
-        plain = [c for c in item_cols if not isinstance(child.schema[c].dataType, (ArrayType, MapType))]
-        if len(plain) == len(item_cols):
-            hot = (hot.groupBy(*key_cols, *item_cols, "_parts").agg(F.count(F.lit(1)).alias("_copies"))
-                   .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))))
-        else:  # items that hold arrays already (documents of documents) are told apart by their other fields
-            hot = hot.withColumn("_copy", F.lit(1))
-        part = F.pmod(F.xxhash64(*plain, F.col("_copy")), F.col("_parts")).cast("int")
+        # the slot is drawn per row, so equal items spread too; it is written at once and never drawn again
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")).cast("int")
         hot = materialize(hot.withColumn("_slot", part).select(*key_cols, *item_cols, "_slot"),
                           shared_path(child.sparkSession, "heavy-rows"))
         tagged = light.unionByName(_number_parts(hot, key_cols).select(*light.columns))
