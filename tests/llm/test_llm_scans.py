@@ -122,6 +122,110 @@ def test_tagger_finds_other_forms(tagger):
     assert seen > 80 and hit / seen > 0.75
 
 
+def _held_out_recall(model, words, n=200):
+    """Exact recall per kind on generated items that no base pattern finds,
+    at random places in prose."""
+    rng, recall = np.random.default_rng(99), {}
+    for kind in pii.KINDS:
+        hit = seen = 0
+        while seen < n:
+            item = pii._item(kind, rng, words)
+            prose = [words[int(rng.integers(len(words)))] for _ in range(24)]
+            cut_at = int(rng.integers(2, 22))
+            head = " ".join(prose[:cut_at]) + " "
+            text = head + item + " " + " ".join(prose[cut_at:])
+            if not pii.base_spans(text):
+                seen += 1
+                hit += (kind, len(head), len(head) + len(item)) in pii.find_spans(model, [text])[0][1]
+        recall[kind] = hit / n
+    return recall
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_held_out_recall_of_every_kind(spark, tagger, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    model = tagger if sf == "sf0.001" else pii.train(docs)
+    prose = [r.text for r in docs.orderBy(docs.doc_id.desc()).limit(100).collect()]
+    words = [w for t in prose for w in (t or "").split()[:200] if not pii.ANCHOR.search(w)]
+    recall = _held_out_recall(model, words)
+    assert all(r >= 0.95 for r in recall.values()), recall
+    lead = "so the men went on to the far side of the town and then "
+    for item, kind in (("4111.1111.1111.1111", "card"), ("bob.smith[at]example.org", "email"), ("bob [ at ] example.org", "email"),
+                       ("bob (AT) example.org", "email"), ("(212) 555-0147", "phone"), ("10[.]20[.]30[.]123", "ip")):
+        found = 0
+        for shift in range(48):
+            text = "x" * shift + " " + lead * 2 + item + " and so on " * 10
+            at = shift + 1 + 2 * len(lead)
+            found += (kind, at, at + len(item)) in pii.tagged_spans(model, [text])[0]
+        assert found >= 45, (item, found)
+
+
+def test_models_of_repeated_ids_and_rows(spark):
+    """One id, or none, for all rows: the sample still holds many texts; a
+    text on most rows is one of them; very long texts take part by a stretch."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    from pyspark.sql import functions as F
+
+    taken = []
+
+    class Kept(Exception):
+        pass
+
+    def keep(texts, rng):
+        taken.append(sorted(texts))
+        raise Kept
+
+    odd = docs.withColumn("doc_id", F.lit(None).cast("bigint"))
+    hot = spark.range(2_000).select(F.lit(5).cast("bigint").alias("doc_id"), F.lit("call 212 555 0199 now").alias("text"))
+    long = spark.createDataFrame([(77, "word " * 30_000 + "x 1 " * 30_000)], docs.schema)
+    old, pii.labelled_windows = pii.labelled_windows, keep
+    try:
+        for d in (docs, odd, docs.unionByName(hot), docs.unionByName(long)):
+            with pytest.raises(Kept):
+                pii.train(d)
+    finally:
+        pii.labelled_windows = old
+    base = set(taken[0])
+    assert len(base) > 50 and len(set(taken[1])) == len(base)
+    assert taken[2].count("call 212 555 0199 now") == 1 and base <= set(taken[2])
+    assert max(map(len, taken[3])) <= pii.EXCERPT
+
+
+@pytest.mark.parametrize("find, line", [
+    (lambda t: secrets.find_spans(t), 'token = "Zx91!kkQ22pq"\npassword = abcDEF1234567\n'),
+    (lambda t: pii.find_spans(Silent(), [t]), "mail bob@example.org or +1 212 555 0199\n")])
+def test_span_dense_texts_take_time_in_proportion(find, line):
+    import time
+
+    def seconds(n):
+        at = time.perf_counter()
+        find(line * n)
+        return time.perf_counter() - at
+
+    seconds(500)
+    assert seconds(24_000) < 24 * max(seconds(3_000), 0.05)  # eight times the text
+
+
+class Silent:
+    """A tagger that finds nothing, so that only base spans are merged."""
+
+    first, kinds, allowed = np.ones(9, bool), pii.KINDS, np.ones((9, 9), bool)
+
+    def max_marginals(self, x):
+        out = np.full((*x.shape, 9), -1.0, np.float32)
+        out[:, :, 0] = 0
+        return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 9))), st.integers(0, 50), st.integers(1, 9))
+def test_taken_is_any_overlap(spans, start, size):
+    from tidemark.llm.common import Taken
+
+    spans = [(s, s + n) for s, n in spans]
+    assert Taken(spans).meets(start, start + size) == any(s < start + size and start < e for s, e in spans)
+
+
 def test_clean_text_gets_no_span(tagger):
     clean = ["Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0.", "In 1984 he paid $45.10 at 10:30.",
              "the GNU General Public License, version 3.", "meet @bob at 5", "Order 12345 and 67890 came 2024-01-15"]

@@ -7,6 +7,9 @@ under its own names first, so extra or clashing columns never matter.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,9 +48,22 @@ def python_stage(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+class Taken:
+    """Whether a span (end exclusive) meets any of the given ones, by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        ordered = sorted(spans)
+        self.starts = [s for s, _ in ordered]
+        self.reach = list(accumulate((e for _, e in ordered), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.reach[before - 1] > start
+
+
 def lower_ascii(text: Column) -> Column:
-    """Lower-case A-Z and nothing else."""
-    return F.translate(text, UPPER, LOWER)
+    """Lower-case A-Z and nothing else (ASCII texts the short way)."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def row_key(doc_id: Column, text: Column) -> list[Column]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import key_text, python_stage
+from tidemark.llm.common import Taken, key_text, python_stage
 from tidemark.llm.tagger import STRIDE, WINDOW, Stretch, Tagger, cut, encode, window_starts
 
 #: fixed kinds and patterns of the contract
@@ -34,10 +34,11 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-ANCHOR = re.compile(r"[0-9@]|[\[({]at[\])}]")
-#: documented bounds of the labelled rows that the tagger learns from
-SAMPLE_DOCS = 300
-TRAIN_WINDOWS = 1_400
+ANCHOR = re.compile(r"(?i)[0-9@]|[\[({] ?at ?[\])}]")
+#: documented bounds of the labelled rows that the tagger learns from: texts,
+#: characters of a text (of a longer one a stretch at a hashed place), windows
+SAMPLE_DOCS, EXCERPT = 300, 20_000
+TRAIN_WINDOWS = 2_800
 
 
 def luhn(digits: str) -> bool:
@@ -111,30 +112,53 @@ def valid(kind: str, s: str) -> bool:
     return 10 <= len(d) <= 15 and any(c in " ().+-/" for c in s)
 
 
+_GROUP_BEFORE, _GROUP_AFTER = re.compile(r"[0-9]{3}[ ./_-]?$"), re.compile(r"[ ./_-]?[0-9]{3}")
+
+
+def _goes_on(text: str, s: int, e: int) -> bool:
+    """Whether a group of digits touches the span: it is part of a longer number."""
+    return bool(_GROUP_BEFORE.search(text[max(0, s - 4):s]) or _GROUP_AFTER.match(text[e:e + 4]))
+
+
 # -- labelled spans -----------------------------------------------------------
 
 _FILLER = ("and", "the", "with", "call", "mail", "from", "note", "order", "see", "of", "und", "de", "la", "que", "le")
 
 
-def _item(kind: str, rng: np.random.Generator) -> str:
+def _item(kind: str, rng: np.random.Generator, words: list[str] = _FILLER) -> str:
+    """An item of the kind in one of many forms; names are random letters or
+    made of ``words``."""
     n = lambda k: "".join(map(str, rng.integers(0, 10, k)))
     pick = lambda *xs: xs[int(rng.integers(len(xs)))]
-    word = lambda a, b: "".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(a, b))))
+
+    def word(a: int, b: int) -> str:
+        known = "".join([c for c in words[int(rng.integers(len(words)))].lower() if "a" <= c <= "z"])[:b + 3]
+        if len(known) >= a and rng.random() < 0.5:
+            return known
+        return "".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(a, b))))
+
     if kind == "email":
         user = word(2, 9) + pick("", "." + word(2, 7), "." + n(2), n(2), "_" + word(2, 5))
-        host = word(3, 9) + pick("", n(1), "." + word(3, 8))
-        top = pick("com", "org", "net", "de", "fr", "es", "io")
-        return pick(f"{user}@{host}.{top}", f"{user}@{host}.example.{top}", f"{user}[at]{host}.{top}",
-                    f"{user}(at){host}(dot){top}", f"{user} @ {host}.{top}", f"{user} [at] {host} [dot] {top}")
+        host = pick(word(3, 9), word(3, 9), "example", "mail") + pick("", "", n(1), "." + word(3, 8), "-" + word(2, 6))
+        top = pick("com", "org", "net", "de", "fr", "es", "io", "co.uk", "edu")
+        left, right = pick("[]", "()", "{}", "[]")
+        at = left + pick("", "", " ") + pick("at", "at", "AT")
+        at += (" " if " " in at else "") + right
+        dot = left + pick("dot", "dot", "DOT") + right
+        return pick(f"{user}@{host}.{top}", f"{user}@{host}.example.{top}", f"{user}{at}{host}.{top}", f"{user}{at}{host}.example.{top}",
+                    f"{user}{at}{host}{dot}{top}", f"{user} @ {host}.{top}", f"{user} {at} {host} {dot} {top}",
+                    f"{user} {at} {host}.{top}", f"{user} {at} {host}.example.{top}")
     if kind == "ip":
         parts = [str(int(x)) for x in rng.integers(0, 256, 4)]
-        if rng.random() < 0.12:
+        if rng.random() < 0.25:
             return ":".join(f"{int(x):x}" for x in rng.integers(256, 65536, 8))
         return pick(".", ".", ".", "[.]", "(.)").join(parts)
     if kind == "card":
-        d = str(int(rng.integers(1, 10))) + n(14)
+        groups = pick((4, 4, 4, 4), (4, 4, 4, 4), (4, 4, 4, 4), (4, 6, 5))
+        d = str(int(rng.integers(1, 10))) + n(sum(groups) - 2)
         d += next(c for c in "0123456789" if luhn(d + c))
-        return pick("", "", " ", "-", ".", "_", "/").join([d[i:i + 4] for i in range(0, 16, 4)])
+        ends = np.cumsum(groups).tolist()
+        return pick("", " ", "-", ".", "_", "/", ".", " ").join([d[s:e] for s, e in zip([0, *ends], ends)])
     a, b, c = n(3), n(3), n(4)
     return pick(f"+{pick('1', '44', '49', '33')} ({a}) {b}-{c}", f"+1 {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}",
                 f"{a}.{b}.{c}", f"+49 {n(2)} {n(7)}", f"00{pick('1', '44', '49')} {a} {b} {c}", f"({a}) {b} {c}")
@@ -192,7 +216,7 @@ def labelled_windows(texts: list[str], rng: np.random.Generator, windows: int =
         for _ in range(int(rng.integers(10, 22))):
             r = rng.random()
             kind = KINDS[int(rng.integers(4))]
-            piece = _item(kind, rng) if r < 0.16 else _decoy(rng) if r < 0.3 else words[int(rng.integers(len(words)))]
+            piece = _item(kind, rng, words) if r < 0.16 else _decoy(rng) if r < 0.3 else words[int(rng.integers(len(words)))]
             if r < 0.16:
                 spans.append((kind, at, at + len(piece)))
                 tail = rng.random()
@@ -205,14 +229,15 @@ def labelled_windows(texts: list[str], rng: np.random.Generator, windows: int =
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tagger:
     """Learns from at most SAMPLE_DOCS texts that hold an anchor (picked by
-    hash) and TRAIN_WINDOWS windows."""
-    t = key_text(docs, id_col, text_col).where(F.col("text").rlike(ANCHOR.pattern))
-    # the longest texts are left to the scan: a few windows of each are used anyway
-    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample"))
-    t = t.where(F.length("text") < 20_000).select(order.alias("u"), "text")
+    the hash of id and text, a repeated row once) and TRAIN_WINDOWS windows."""
+    t = key_text(docs, id_col, text_col)
+    n, u = F.length("text"), F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("sample"))
+    part = F.substring(F.col("text"), F.pmod(u, F.greatest(n - EXCERPT, F.lit(1))).cast("int") + 1, F.lit(EXCERPT))
+    t = t.select(u.alias("u"), F.when(n > EXCERPT, part).otherwise(F.col("text")).alias("text"))
+    t = t.where(F.col("text").rlike(ANCHOR.pattern))
     # only about twice the sample leaves the tasks
-    share = min(1.0, 2 * SAMPLE_DOCS / max(1, t.count()))
-    near = t.where(F.pmod(F.col("u"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    share = min(1.0, 2 * SAMPLE_DOCS / max(1, t.agg(F.approx_count_distinct("u")).first()[0]))
+    near = t.where(F.pmod(F.col("u"), F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates(["u"])
     picked = near.orderBy("u", "text").limit(SAMPLE_DOCS)
     texts = [r.text for r in picked.collect()]  # at most SAMPLE_DOCS texts of bounded length
     rng = np.random.default_rng(11)
@@ -266,7 +291,7 @@ def tagged_spans(model: Tagger, texts: list[str], batch: int = 512, skip: bool =
                 while e > s and not (piece[-1].isalnum() or piece[-1] in ")]}"):
                     e -= 1
                     piece = texts[i][s:e]
-                if e > s and ANCHOR.search(piece) and valid(k, piece):
+                if e > s and ANCHOR.search(piece) and valid(k, piece) and not (k == "phone" and _goes_on(texts[i], s, e)):
                     found[i][k, s, e] = None
         at = end
     return [list(f) for f in found]
@@ -278,10 +303,10 @@ def find_spans(model: Tagger, texts: list[str]) -> list[tuple[list, list]]:
     out = []
     for text, tagged in zip(texts, tagged_spans(model, texts)):
         base = base_spans(text)
-        taken = sorted((s, e) for _, s, e in base)
+        taken = Taken([(s, e) for _, s, e in base])
         added, last = [], -1
         for k, s, e in sorted(tagged, key=_order):
-            if s >= last and not any(a < e and s < b for a, b in taken):
+            if s >= last and not taken.meets(s, e):
                 added.append((k, s, e))
                 last = e
         out.append((base, sorted(base + added, key=_order)))
@@ -298,9 +323,11 @@ def scan(docs: DataFrame, model: Tagger, id_col: str = "doc_id", text_col: str =
 
     Defined cases: NULL and empty texts have no spans (empty string, hash of
     the empty string); repeated rows get equal answers; ids may be NULL;
-    offsets are code points, ends exclusive; an empty table gives an empty
-    result (the tagger then learns from generated items alone); other columns
-    are ignored.
+    spans that start together come by kind, then end, and of tagged spans that
+    overlap the first stays; a text of any length is read whole, in time that
+    grows with its length and spans; offsets are code points, ends exclusive;
+    an empty table gives an empty result (the tagger then learns from
+    generated items alone); other columns, whatever their names, are ignored.
     """
     source = key_text(docs, id_col, text_col)
     spark = docs.sparkSession

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import key_text, python_stage
+from tidemark.llm.common import Taken, key_text, python_stage
 
 #: fixed kinds and patterns of the contract
 KINDS = ("assign", "access", "hex")
@@ -334,9 +334,9 @@ def find_spans(text: str) -> tuple[list, list]:
     base = sorted(base_spans(text), key=order)
     added = []
     if ("=" in text or ":" in text or "--" in text or "</" in text) and _names_any(text):
-        covered = [(s, e) for _, s, e in base]
+        covered = Taken([(s, e) for _, s, e in base])
         # what a base span already holds is not reported twice
-        added = [x for x in lexed_spans(text) if not any(s < x[2] and x[1] < e for s, e in covered)]
+        added = [x for x in lexed_spans(text) if not covered.meets(x[1], x[2])]
     return base, sorted(base + added, key=order)
 
 
@@ -360,8 +360,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Defined cases: NULL and empty texts have no spans (empty string, hash of
     the empty string); repeated rows get equal answers; ids may be NULL;
-    offsets are code points, ends exclusive; an empty table gives an empty
-    result; other columns are ignored.
+    spans that start together come by kind, then end; a text of any length is
+    scanned whole, in time that grows with its length and spans; offsets are
+    code points, ends exclusive; an empty table gives an empty result; other
+    columns, whatever their names, are ignored.
     """
     source = key_text(docs, id_col, text_col)
     python_stage(docs.sparkSession)

@@ -17,9 +17,11 @@ _VETO = 25.0
 
 
 def encode(text: str) -> np.ndarray:
-    """Printable ASCII characters have codes of their own; white space,
-    non-ASCII letters and the rest have one each."""
+    """Printable ASCII marks and letters (in either case) have codes of their
+    own; digits, white space, non-ASCII letters and the rest have one each.
+    Which digits an item has says nothing about where it begins and ends."""
     raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    raw = np.where((raw >= 65) & (raw <= 90), raw + 32, np.where((raw >= 48) & (raw <= 57), 48, raw))
     code = np.where((raw > 32) & (raw < 127), raw - 29, _OTHER).astype(np.int64)
     code[(raw == 32) | ((raw >= 9) & (raw <= 13)) | (raw == 0xA0)] = _SPACE
     code[raw >= 0xAA] = _LETTER
