@@ -11,15 +11,19 @@ run is a handful of jobs regardless of the number of folders or files:
    else distinct folders first, then the files semi-joined back;
 3. classification + target path (one Project), written once as the run's plan;
 4. copies on executors (``mapInPandas``), outcomes written once;
-5. per-folder counts (partial aggregation) appended to the history.
+5. per-folder counts (partial aggregation) logged in the history, as the
+   partition of this unit of work.
 
-The history is append-only; a folder with failed copies is recorded with
-``files_failed > 0`` and is picked up again by the next run.
+A unit only ever writes its own partition of the history; a folder with failed
+copies is recorded with ``files_failed > 0`` and is picked up again by the next
+run.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
@@ -29,8 +33,8 @@ from tidemark.functions.text import clock
 from tidemark.operators.audit import stable_id
 from tidemark.operators.files import counts_per_folder, execute_transfers, plan_copy
 from tidemark.operators.lookup import rows_of_unprocessed_folders, unprocessed_folders
-from tidemark.session import materialize, path_exists, qualify, shared_path, touch
-from tidemark.sinks.writers import create_table
+from tidemark.session import materialize, path_exists, qualify, shared_path
+from tidemark.sinks.writers import UNIT_COL, create_table, read_units, write_unit
 from tidemark.sources.files import folder_files, folders_of, list_tree, require_inside
 
 # Fixed values that must equal the reference's behaviour: history table columns
@@ -47,21 +51,38 @@ HISTORY_SCHEMA = StructType([
 ])
 
 
+#: format name of a history that is a table of the session's catalog
+TABLE = "table"
+
+
 def create_history(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
-                   name: str | None = None) -> None:
+                   name: str | None = None, buckets: int | None = None) -> None:
     """H1: an empty history table at ``path`` or as managed table ``name``
-    (fails if one exists)."""
-    create_table(spark.createDataFrame([], HISTORY_SCHEMA), path, fmt, name)
+    (fails if one exists). With ``buckets`` the named table (at ``path``, if
+    given) has a partition per unit of work and is bucketed and sorted by
+    folder, for use with ``fmt="table"``: a history past the broadcast bound
+    then meets the folders of a run without being shuffled. Choose at least as
+    many buckets as shuffle partitions."""
+    empty = spark.createDataFrame([], HISTORY_SCHEMA)
+    if not buckets:
+        return create_table(empty, path, fmt, name)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in HISTORY_SCHEMA.fields)
+    where = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}, {UNIT_COL} string) USING {fmt} PARTITIONED BY ({UNIT_COL}) "
+              f"CLUSTERED BY (source_folder) SORTED BY (source_folder) INTO {int(buckets)} BUCKETS{where}")
 
 
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The history with its declared schema; an absent table reads as empty.
     Any other fault (unknown format, corrupt files) is raised: a history that
     cannot be read must not look empty, or everything is staged again. Rows
-    written before ``files_failed`` existed read it as NULL."""
+    written before ``files_failed`` existed read it as NULL. With
+    ``fmt="table"``, ``path`` names a table of the catalog."""
+    if fmt == TABLE:
+        return spark.table(path).drop(UNIT_COL)
     if not path_exists(path):
         return spark.createDataFrame([], HISTORY_SCHEMA)
-    return spark.read.format(fmt).schema(HISTORY_SCHEMA).load(path)
+    return read_units(spark, path, HISTORY_SCHEMA, fmt)
 
 
 def history_records(counts: DataFrame, source_dir: str, target_dir: str,
@@ -92,10 +113,15 @@ def union_history(existing: DataFrame, new: DataFrame) -> DataFrame:
     return conform(existing).union(conform(new))
 
 
-def log_folders(records: DataFrame, history_path: str, fmt: str = "parquet") -> None:
-    """Append (never overwrite: a table cannot be rewritten from itself, and an
-    overwrite per folder loses concurrent rows)."""
-    union_history(records.limit(0), records).write.mode("append").format(fmt).save(history_path)
+def log_folders(records: DataFrame, history_path: str, fmt: str = "parquet", unit: str | None = None) -> None:
+    """Log the records of one unit of work (by default a new one). A unit that
+    is logged again replaces its own rows and no others."""
+    rows, unit = union_history(records.limit(0), records), unit or uuid.uuid4().hex[:16]
+    if fmt == TABLE:
+        rows.sparkSession.sql(f"INSERT OVERWRITE TABLE {history_path} PARTITION ({UNIT_COL} = '{unit}') SELECT * FROM {{rows}}",
+                              rows=rows)
+    else:
+        write_unit(rows, history_path, unit, fmt)
 
 
 def stage_plan(manifest: DataFrame, history: DataFrame, source_dir: str, target_dir: str,
@@ -120,21 +146,24 @@ def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_p
                 fmt: str = "parquet", layout: str = "nested", as_of: _dt.datetime | None = None,
                 manifest: DataFrame | None = None, num_partitions: int | None = None,
                 work_dir: str | None = None, history: DataFrame | None = None,
-                resume: bool = False, on_exists: str = "error") -> DataFrame:
-    """H3: one incremental run. Returns the history rows it appended.
+                resume: bool = False, on_exists: str = "error", unit: str | None = None) -> DataFrame:
+    """H3: one incremental run. Returns the history rows it logged.
 
     ``history`` overrides the table read from ``history_path`` for the "already
     processed" test (the streaming run passes the snapshot taken at its start);
-    new rows are always appended to ``history_path``. With ``resume`` and a
-    fixed ``work_dir`` (one per unit of work, e.g. a micro-batch epoch), a rerun
-    reuses the records it already wrote and appends them only if this unit's
-    "logged" marker is absent; the marker is written right after the append.
+    new rows always go to ``history_path``. With ``resume`` and a fixed
+    ``work_dir`` (one per unit of work, e.g. a micro-batch epoch), a rerun
+    reuses the records it already wrote and logs them as the same ``unit``
+    (by default named after ``work_dir``): however often and wherever a run
+    stops, the history holds its rows exactly once.
     """
     work = work_dir or shared_path(spark, "staging")
     source_dir, target_dir = qualify(spark, source_dir), qualify(spark, target_dir)
+    if resume:
+        unit = unit or hashlib.sha256(qualify(spark, work).encode()).hexdigest()[:16]
     if resume and path_exists(f"{work}/records/_SUCCESS"):
         records = spark.read.parquet(f"{work}/records")
-        _log_once(records, history_path, fmt, f"{work}/logged")
+        log_folders(records, history_path, fmt, unit)
         return records
     listed = manifest is None
     if listed:  # written once: the plan and the folder list see the same tree
@@ -149,23 +178,11 @@ def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_p
         folders = materialize(folders, f"{work}/folders")
     if folders.isEmpty():  # nothing new: no transfers, nothing to log
         require_inside(manifest, source_dir)
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+        none = spark.createDataFrame([], HISTORY_SCHEMA)
+        return materialize(none, f"{work}/records") if resume else none
     outcomes = execute_transfers(plan, "copy", num_partitions, f"{work}/outcomes", on_exists)
     counts = folders.join(counts_per_folder(outcomes), "folder", "left").fillna(
         0, ["total_files_processed", "files_failed"])
     records = materialize(history_records(counts, source_dir, target_dir, as_of), f"{work}/records")
-    if resume:
-        _log_once(records, history_path, fmt, f"{work}/logged")
-    else:
-        log_folders(records, history_path, fmt)
+    log_folders(records, history_path, fmt, unit)
     return records
-
-
-def _log_once(records: DataFrame, history_path: str, fmt: str, marker_dir: str) -> None:
-    """Append this unit's records unless its marker says they were appended.
-    Keyed by the unit of work, never by row content: two units may log equal rows."""
-    marker = f"{marker_dir}/_SUCCESS"
-    if path_exists(marker):
-        return
-    log_folders(records, history_path, fmt)
-    touch(marker)

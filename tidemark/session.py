@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,7 +66,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = spark.sparkContext
     except Exception:  # no SparkContext exposed (remote session): conf only
         base = spark.conf.get("spark.checkpoint.dir", None)
-        return (base or tempfile.mkdtemp(prefix="tidemark-ckpt-")).rstrip("/")
+        if not base:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return base.rstrip("/")
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if base:
         if sc.getCheckpointDir() is None:
@@ -86,7 +89,24 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     leaf = list(parts)
     if unique:
         leaf.append(uuid.uuid4().hex[:12])
-    return "/".join([checkpoint_root(spark), "tidemark", *leaf])
+    made = "/".join([checkpoint_root(spark), "tidemark", *leaf])
+    _MADE.add(made)
+    return made
+
+
+_MADE: set = set()
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the intermediate tables that this process has written under the
+    shared checkpoint folder; returns how many. To be called once the results
+    that read them are stored: they are gone afterwards."""
+    gone = 0
+    for path in sorted(_MADE):
+        fs, p = _hadoop(path)
+        gone += bool(fs.exists(p) and fs.delete(p, True))
+    _MADE.clear()
+    return gone
 
 
 def materialize(df: DataFrame, path: str | None = None, name: str = "stage",
@@ -104,6 +124,29 @@ def materialize(df: DataFrame, path: str | None = None, name: str = "stage",
     return spark.read.parquet(target)
 
 
+def materialize_once(df: DataFrame, path: str) -> DataFrame:
+    """What is written at ``path``, if an earlier attempt completed it, else
+    ``df`` written there: a unit of work that runs again sees the same rows."""
+    if path_exists(f"{path}/_SUCCESS"):
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialize(df, path)
+
+
+@contextmanager
+def settings(spark: SparkSession, **values):
+    """SQL settings (dots written as double underscores) for the actions inside
+    the block; the caller's own come back behind it."""
+    names = {k.replace("__", "."): str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def local_fs_path(uri: str) -> str:
     """``file:/x``, ``file:///x`` or ``file://localhost/x`` → ``/x``; other strings unchanged."""
     if uri.startswith("file://"):
@@ -187,6 +230,12 @@ def path_exists(path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def child_names(path: str) -> list[str]:
+    """Names in a directory; none where it does not exist."""
+    fs, p = _hadoop(path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def touch(path: str) -> None:
     """Create an empty marker file (parents included), in the store Spark resolves."""
     fs, p = _hadoop(path)
