@@ -8,10 +8,13 @@ so no file is read) or from any table that carries a ``path`` column.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import paths as P
-from tidemark.session import TEMP_PREFIX, default_parallelism, qualify, resolve_path, ship_package
+from tidemark.session import (TEMP_PREFIX, default_parallelism, materialize, qualify, resolve_path, shared_path,
+                              ship_package)
 
 MANIFEST_COLUMNS = ("path", "name", "folder", "is_dir", "length", "modificationTime")
 
@@ -31,32 +34,25 @@ def file_manifest(spark: SparkSession, root: str, recursive: bool = True,
 LISTING_SCHEMA = "path string, length long, modificationTime timestamp, is_dir boolean"
 
 
-def list_tree(spark: SparkSession, root: str, num_partitions: int | None = None) -> DataFrame:
-    """Every file and directory under ``root``: zero-byte, ``_`` and ``.`` names
-    and empty directories too. Only files under way (temporary names of this
-    library) are left out.
+#: directories that a task lists beyond the ones it was given
+LIST_AHEAD = 64
+_FRONTIER_SCHEMA = LISTING_SCHEMA + ", todo boolean"
 
-    The driver lists the root's own entries; each directory among them is
-    walked by a task, so a tree of many folders is listed in parallel and no
-    listing but the first level passes through the driver.
-    """
-    import pyarrow.fs as pafs
 
-    base = qualify(spark, root)
-    fs, top = resolve_path(base)
-    first = fs.get_file_info(pafs.FileSelector(top, allow_not_found=False))
-    files = [(f"{base}/{i.base_name}", i.size, i.mtime, False) for i in first
-             if i.type == pafs.FileType.File and not i.base_name.startswith(TEMP_PREFIX)]
-    folders = [(f"{base}/{i.base_name}", None, i.mtime, True) for i in first if i.type == pafs.FileType.Directory]
-    here = spark.createDataFrame(files + folders, LISTING_SCHEMA)
-    if not folders:
-        return with_path_parts(here)
-    ship_package(spark)
-
-    def walk(batches):
+def _lister(ahead: int):
+    """Lists the given directories and up to ``ahead`` of what it finds below;
+    directories that it leaves to others come back as ``todo``."""
+    def run(batches):
         import pandas as pd
         import pyarrow.fs as pafs
 
+        def table(rows):
+            out = pd.DataFrame(rows, columns=["path", "length", "modificationTime", "is_dir", "todo"])
+            out["length"] = out["length"].astype("Int64")
+            out["modificationTime"] = pd.to_datetime(out["modificationTime"], utc=True)
+            return out
+
+        left = ahead
         for pdf in batches:
             for path in pdf["path"]:
                 fs, inner = resolve_path(path)
@@ -66,20 +62,42 @@ def list_tree(spark: SparkSession, root: str, num_partitions: int | None = None)
                     rows = []
                     for i in fs.get_file_info(pafs.FileSelector(folder)):
                         if i.type == pafs.FileType.Directory:
-                            stack.append((f"{uri}/{i.base_name}", i.path))
-                            rows.append((f"{uri}/{i.base_name}", None, i.mtime, True))
+                            own = left > 0
+                            left -= own
+                            if own:
+                                stack.append((f"{uri}/{i.base_name}", i.path))
+                            rows.append((f"{uri}/{i.base_name}", None, i.mtime, True, not own))
                         elif i.type == pafs.FileType.File and not i.base_name.startswith(TEMP_PREFIX):
-                            rows.append((f"{uri}/{i.base_name}", i.size, i.mtime, False))
-                    if rows:
-                        out = pd.DataFrame(rows, columns=["path", "length", "modificationTime", "is_dir"])
-                        out["length"] = out["length"].astype("Int64")
-                        out["modificationTime"] = pd.to_datetime(out["modificationTime"], utc=True)
-                        yield out
-
-    tasks = num_partitions or max(1, min(len(folders), 4 * default_parallelism(spark)))
-    below = (spark.createDataFrame([(p,) for p, *_ in folders], "path string").repartition(tasks)
-             .mapInPandas(walk, LISTING_SCHEMA))
-    return with_path_parts(here.unionByName(below))
+                            rows.append((f"{uri}/{i.base_name}", i.size, i.mtime, False, False))
+                    for at in range(0, len(rows), 100_000):  # one directory may hold very many entries
+                        yield table(rows[at:at + 100_000])
+    return run
+
+
+def list_tree(spark: SparkSession, root: str, num_partitions: int | None = None,
+              ahead: int = LIST_AHEAD) -> DataFrame:
+    """Every file and directory under ``root``: zero-byte, ``_`` and ``.`` names
+    and empty directories too. Only files under way (temporary names of this
+    library) are left out.
+
+    The tree is listed in rounds. A round deals the directories not yet listed
+    evenly to tasks; a task lists its share and at most ``ahead`` directories
+    that it comes upon, and hands the others back for the next round. So small
+    trees take one round, and one folder with nearly all sub-folders is spread
+    over all tasks. Each round is written once to the shared folder; the driver
+    sees their number of directories only.
+    """
+    base = qualify(spark, root)
+    ship_package(spark)
+    frontier = spark.createDataFrame([(base,)], "path string")
+    left, rounds = 1, []
+    while left:
+        tasks = num_partitions or max(1, min(left, 4 * default_parallelism(spark)))
+        found = frontier.select("path").repartition(tasks).mapInPandas(_lister(ahead), _FRONTIER_SCHEMA)
+        rounds.append(materialize(found, shared_path(spark, "listing")))
+        frontier = rounds[-1].filter("todo")
+        left = frontier.count()
+    return with_path_parts(reduce(DataFrame.unionByName, rounds).drop("todo"))
 
 
 def with_path_parts(df: DataFrame, path_col: str = "path", is_dir=None) -> DataFrame:
