@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType
 
 
 def packed_text(df: DataFrame, cols=None) -> Column:
@@ -35,3 +36,28 @@ def strict_fingerprint(df: DataFrame, cols=None) -> Column:
 
 def add_strict_hash_column(df: DataFrame, hash_col_name: str = "hash") -> DataFrame:
     return df.withColumn(hash_col_name, strict_fingerprint(df))
+
+
+def canonical(c: Column, kind: DataType) -> Column:
+    """The value in a form in which equal values are equal texts: map entries
+    sorted by key, negative zero as zero, all the way down."""
+    if isinstance(kind, StructType):
+        fields = [canonical(c[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(c.isNotNull(), F.struct(*fields)) if fields else c
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: canonical(x, kind.elementType))
+    if isinstance(kind, MapType):
+        entries = F.transform(F.map_entries(c), lambda e: F.struct(
+            canonical(e["key"], kind.keyType).alias("key"), canonical(e["value"], kind.valueType).alias("value")))
+        return F.sort_array(entries)
+    if isinstance(kind, (FloatType, DoubleType)):
+        return F.when(c == 0, F.lit(0.0).cast(kind)).otherwise(c)
+    return c
+
+
+def canonical_fingerprint(df: DataFrame, cols=None) -> Column:
+    """SHA-256 of the row's canonical JSON (fields in order, NULLs written).
+    Unlike the other two it is defined for nested columns: maps that hold the
+    same entries hash equal whatever their order, in structs and arrays too."""
+    parts = [canonical(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in (cols or df.columns)]
+    return F.sha2(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}), 256)
