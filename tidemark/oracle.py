@@ -115,6 +115,17 @@ def _text_dates(repaired: str) -> str:
             "CASE WHEN t IS NULL THEN d END AS d_unparsed FROM x")
 
 
+# Definitions of the events' tables; the rows of a run in the order of their keys.
+DEFINITIONS = f"""
+  e AS (SELECT event_type || '_' || user_id AS tableName,
+               '{{"' || array_to_string(list_sort(json_keys(props)), ',') || '": "decimal('
+                 || length(json_extract_string(props, '$.k')) || ')"}}' AS schemaDefinition,
+               {LAYER_LIST}[user_id % 4 + 1] AS layer, event_type AS namespace, ts FROM events),
+  k AS (SELECT tableName, schemaDefinition, min(layer) AS layer, min(namespace) AS namespace,
+               bool_or(ts < {EV_CUT}) AS early FROM e GROUP BY 1, 2),
+  r AS (SELECT row_number() OVER (ORDER BY NOT early, tableName, schemaDefinition) AS id, * FROM k)"""
+
+
 ORACLE_SQL = {
     "staging_plan": f"""
 WITH m AS ({PAGES_MANIFEST})
@@ -362,4 +373,76 @@ WITH e AS (SELECT event_type AS tableName, ts,
                   array_to_string(list_sort(json_keys(props)), ',') AS schemaDefinition FROM events)
 SELECT tableName, schemaDefinition, count(*) AS n_events, bool_or(ts < {EV_CUT}) AS registered
 FROM e GROUP BY 1, 2""",
+
+    "history_exactly_once": STAGED_HISTORY,
+
+    "tree_listing": f"""
+WITH f AS ({PAGE_FILES}),
+p AS (SELECT CASE WHEN CAST(regexp_extract(name, '^p([0-9]+)_', 1) AS BIGINT) % 10 = 0 THEN 'few/' || folder
+                  ELSE 'many/d' || CAST(regexp_extract(name, '^p([0-9]+)_', 1) AS BIGINT) // 10 || '/' || folder END AS dir,
+             name, html FROM f)
+SELECT dir || '/' || name AS rel, false AS is_dir, CAST(strlen(html) AS BIGINT) AS length FROM p
+UNION ALL
+SELECT DISTINCT array_to_string(string_split(dir, '/')[1:i], '/') AS rel, true AS is_dir, CAST(NULL AS BIGINT) AS length
+FROM p, unnest(range(1, len(string_split(dir, '/')) + 1)) AS u(i)""",
+
+    "landing_files": f"""
+SELECT event_id, user_id, value, event_type AS api,
+       coalesce(CASE WHEN event_type IN {APIS} THEN 'U' || (user_id % 10) END, 'None')
+         || '-' || strftime(ts, '%m-%d-%Y') || '.json' AS file, true AS bounded
+FROM events""",
+
+    "registry_runs": f"""
+WITH {DEFINITIONS}
+SELECT id, tableName, layer, namespace, schemaDefinition,
+       CASE WHEN early THEN 'run-0001' ELSE 'run-0002' END AS _createdByPipelineRunID,
+       replace(schemaDefinition, '"', '''') AS restored
+FROM r""",
+
+    "registry_first": f"""
+WITH {DEFINITIONS} SELECT id, tableName, layer, namespace, schemaDefinition FROM r WHERE id = 1""",
+
+    "layer_domain": f"""
+WITH c AS (SELECT c_custkey, coalesce({LAYER_LIST}[n_regionkey + 1], lower(c_mktsegment)) AS layer
+           FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, layer, layer IN {_in(LAYERS)} AS valid FROM c""",
+
+    "epoch_to_utc": "SELECT event_id, epoch_us(ts) AS micros FROM events",
+
+    "typed_appends": """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(NULL AS VARCHAR) AS o_orderstatus
+FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR), CAST(floor(o_totalprice) AS DOUBLE), NULL FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL
+SELECT o_orderkey, 'C' || o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 3 = 2""",
+
+    "variant_props": """
+WITH e AS (SELECT event_id, event_id % 5 AS i, json_extract_string(props, '$.k') AS k FROM events)
+SELECT event_id, CASE i WHEN 0 THEN k WHEN 1 THEN 't' || k WHEN 2 THEN '{"v":' || k || '}' END AS k,
+       CASE i WHEN 3 THEN CAST(k AS DOUBLE) + 0.5 END AS other, i = 4 AS broken
+FROM e""",
+
+    "variant_documents": """
+SELECT o.o_custkey, o.o_orderkey, o.o_orderstatus, o.o_totalprice, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_quantity,
+       l.l_returnflag, (SELECT count(*) FROM customer) AS rejects
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
+
+    "late_children": """
+SELECT l_orderkey, count(*) AS n_items, string_agg(CAST(l_linenumber AS VARCHAR), ',' ORDER BY l_linenumber) AS line_numbers,
+       round(sum(l_quantity), 2) AS sum_qty
+FROM lineitem GROUP BY l_orderkey""",
+
+    "bucketed_history": f"""
+SELECT 'C' || o_custkey AS folder, count(*) AS n_orders FROM orders
+GROUP BY o_custkey HAVING NOT bool_or(o_orderdate < {DATE_CUT})""",
+
+    "canonical_fingerprint": """
+WITH l AS (SELECT l_orderkey, string_agg('{"l_linenumber":' || l_linenumber || ',"l_quantity":' || l_quantity
+                  || ',"l_returnflag":"' || l_returnflag || '"}', ',' ORDER BY l_linenumber, l_quantity, l_returnflag) AS lines
+           FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, sha256('{"o_orderkey":' || o_orderkey || ',"lines":[' || lines || '],"tags":[{"key":"priority","value":"'
+         || o_orderpriority || '"},{"key":"status","value":"' || o_orderstatus || '"}]}') AS hash, true AS same
+FROM orders JOIN l ON l_orderkey = o_orderkey""",
 }

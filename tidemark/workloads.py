@@ -19,29 +19,36 @@ Column names and types of each query equal those of its oracle SQL.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import MapType, StringType
 
 from tidemark.functions import paths as P
 from tidemark.functions import text as T
-from tidemark.functions.fingerprint import add_hash_column, strict_fingerprint
+from tidemark.functions.fingerprint import add_hash_column, canonical, canonical_fingerprint, strict_fingerprint
 from tidemark.operators.audit import add_audit_columns
 from tidemark.operators.dates import (flag_quarantine, hourly_volume, hourly_volume_by_policy, read_quarantine,
                                       repair_ancient_dates, write_quarantine)
+from tidemark.operators.doctable import DocumentTable
 from tidemark.operators.documents import (DEFAULT_MAX_ITEMS, extract_tags, flatten_all, nest,
                                           nest_two_levels)
 from tidemark.operators.files import plan_copy, plan_disposition
 from tidemark.operators.lookup import (
-    bounded_broadcast,route_all, route_first, rows_of_unprocessed_folders,
-                                       schema_exists, seen_folders, unprocessed_folders)
+    bounded_broadcast, route_all, route_first, rows_of_unprocessed_folders, schema_exists, seen_folders,
+    unprocessed_folders)
+from tidemark.operators.registry import read_registry, registry_first, registry_merge
 from tidemark.plans.bronze import run_bronze_job
 from tidemark.plans.imaging import move_and_verify
-from tidemark.plans.staging import (create_history, history_records, read_history, run_staging,
+from tidemark.plans.staging import (create_history, history_records, log_folders, read_history, run_staging,
                                     staging_counts as _staging_counts, union_history)
 from tidemark.session import shared_path
-from tidemark.sinks.writers import append_bronze, land_files, read_bronze, write_ndjson
-from tidemark.sources.files import dirs_with_files as _dirs_with_files, relative_parts, with_path_parts
+from tidemark.sinks.writers import append_bronze, land_files, land_rows, read_bronze, write_ndjson
+from tidemark.sources.files import dirs_with_files as _dirs_with_files, list_tree, relative_parts, with_path_parts
 from tidemark.sources.readers import load_data, read_documents
+from tidemark.sources.typed import read_typed
+from tidemark.sources.variants import as_columns, flatten_found, parse_variants, read_variants
 from tidemark.streaming.incremental import incremental_staging
 
 # Parameters of the stand-in runs
@@ -562,6 +569,212 @@ def q_incremental_ingest(spark, sf_dir):
     return read_history(spark, hist).select("source_folder", "total_files_processed", "files_failed")
 
 
+class _Stop(RuntimeError):
+    """The staged crash of :func:`q_history_exactly_once`."""
+
+
+def q_history_exactly_once(spark, sf_dir):
+    """A streaming run of several batches over all pages that dies after its
+    first batch is logged and before the stream commits it, then runs again,
+    and a third time with nothing new: what the history says per folder. A
+    doubled record would double the counts."""
+    src, tgt = shared_path(spark, "drop"), shared_path(spark, "ingest")
+    hist, ckpt = shared_path(spark, "history"), shared_path(spark, "stream-ckpt")
+    outcomes = land_pages(spark, sf_dir, src)
+    files = max(1, -(-outcomes.count() // 3))
+
+    def die(epoch: int) -> None:
+        raise _Stop(f"after batch {epoch}")
+
+    try:
+        incremental_staging(spark, src, tgt, hist, ckpt, as_of=AS_OF, max_files_per_trigger=files, on_logged=die)
+        raise AssertionError("the run was to stop")
+    except StreamingQueryException as e:
+        if "_Stop" not in str(e):
+            raise
+    for _ in range(2):
+        incremental_staging(spark, src, tgt, hist, ckpt, as_of=AS_OF, max_files_per_trigger=files)
+    return read_history(spark, hist).groupBy("source_folder").agg(
+        F.sum("total_files_processed").alias("total_files_processed"), F.sum("files_failed").alias("files_failed"))
+
+
+def q_tree_listing(spark, sf_dir):
+    """Every page as a file of a tree in which one folder holds nearly all
+    sub-folders: all entries that the frontier listing finds."""
+    root = shared_path(spark, "tree")
+    files = page_file_names(spark, sf_dir)
+    page = F.regexp_extract("name", "^p([0-9]+)_", 1).cast("long")
+    folder = F.when(page % 10 == 0, F.concat(F.lit("few/"), "folder")).otherwise(
+        F.concat(F.lit("many/d"), F.floor(page / 10).cast("string"), F.lit("/"), "folder"))
+    land_files(files.withColumn("folder", folder), root, "folder", "name", "content")
+    found = relative_parts(list_tree(spark, root), root)
+    return found.select("rel", "is_dir", "length")
+
+
+#: records of a landed file in the query below: files of unknown APIs hold more
+LANDED_ROWS = 50
+
+
+def q_landing_files(spark, sf_dir):
+    """All events as landing files ``<api>/<symbol>-<date>.json``, read back:
+    the file of every event (parts of a file count as the file), and whether
+    all of its parts are bounded."""
+    root = shared_path(spark, "landing-rows")
+    ev = table(spark, sf_dir, "events")
+    symbol = F.concat(F.lit("U"), F.col("user_id") % 10)
+    rows = ev.select(F.col("event_type").alias("api"),
+                     T.landing_file_name(F.col("event_type"), symbol, F.col("ts"), STAND_IN_APIS).alias("file"),
+                     F.to_json(F.struct("event_id", "user_id", "value")).alias("line"))
+    land_rows(rows, root, "api", "file", "line", LANDED_ROWS)
+    back = spark.read.schema("event_id long, user_id long, value double").option("recursiveFileLookup", "true").json(root)
+    path = F.col("_metadata.file_path")
+    back = back.select("*", P.last_segment(P.parent_dir(path)).alias("api"), P.last_segment(path).alias("part"))
+    back = back.withColumn("file", F.regexp_replace("part", r"\.[0-9]+\.json$", ".json"))
+    sizes = back.groupBy("api", "file", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("api", "file").agg(
+        (F.max("n") <= 2 * LANDED_ROWS).alias("bounded"))
+    return back.join(sizes, ["api", "file"]).select("event_id", "user_id", "value", "api", "file", "bounded")
+
+
+def _event_definitions(ev: DataFrame) -> DataFrame:
+    """A table per event type and user, whose definition names the keys of its
+    JSON payload and the digits of their values."""
+    digits = F.length(F.get_json_object("props", "$.k")).cast("string")
+    keys = F.array_join(F.sort_array(F.json_object_keys("props")), ",")
+    return ev.select(F.concat_ws("_", "event_type", "user_id").alias("tableName"),
+                     F.concat(F.lit("{'"), keys, F.lit("': 'decimal("), digits, F.lit(")'}")).alias("schemaDefinition"),
+                     F.element_at(F.array(*[F.lit(x) for x in T.LAYERS]), (F.col("user_id") % 4 + 1).cast("int")).alias("layer"),
+                     F.col("event_type").alias("namespace"))
+
+
+def event_registry(spark, sf_dir) -> DataFrame:
+    """The registry after two overlapping runs over the events' definitions,
+    the second of which is repeated as after a crash."""
+    path = shared_path(spark, "registry")
+    ev = table(spark, sf_dir, "events")
+    early = ev.filter(F.col("ts") < F.lit(EVENTS_HISTORY_CUTOFF).cast("timestamp_ntz"))
+    registry_merge(_event_definitions(early), path, PIPELINE_NAME, "run-0001", AS_OF, unit="run-0001")
+    for _ in range(2):
+        registry_merge(_event_definitions(ev), path, PIPELINE_NAME, "run-0002", AS_OF, unit="run-0002")
+    return read_registry(spark, path)
+
+
+def q_registry_runs(spark, sf_dir):
+    return event_registry(spark, sf_dir).select(
+        "id", "tableName", "layer", "namespace", "schemaDefinition", "_createdByPipelineRunID",
+        T.restore_schema_text("schemaDefinition").alias("restored"))
+
+
+def q_registry_first(spark, sf_dir):
+    return registry_first(event_registry(spark, sf_dir))
+
+
+def q_layer_domain(spark, sf_dir):
+    """Each customer's layer by its nation's region (the fifth region has none:
+    there the market segment stands, outside the domain)."""
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    layer = F.coalesce(F.get(F.array(*[F.lit(x) for x in T.LAYERS]), F.col("n_regionkey")), F.lower("c_mktsegment"))
+    named = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select("c_custkey", layer.alias("layer"))
+    return named.select("c_custkey", "layer", T.is_valid_layer("layer").alias("valid"))
+
+
+def q_epoch_to_utc(spark, sf_dir):
+    """Event times as epoch seconds and back, as microseconds since the epoch."""
+    ev = table(spark, sf_dir, "events")
+    epoch = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")).cast("double") / 1e6
+    return ev.select("event_id", F.unix_micros(T.epoch_to_utc(epoch)).alias("micros"))
+
+
+def q_typed_appends(spark, sf_dir):
+    """Orders appended in three batches whose types conflict: an integer key,
+    then a long one and prices as whole numbers, then prices and keys as text
+    and a column more. All batches read back as one table."""
+    o = _orders(spark, sf_dir)
+    path = shared_path(spark, "typed-orders")
+    append_bronze(o.select(F.col("o_orderkey").cast("int").alias("o_orderkey"), F.col("o_custkey").cast("int").alias("o_custkey"),
+                           "o_totalprice").filter("o_orderkey % 3 = 0"), path)
+    append_bronze(o.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"),
+                           F.floor("o_totalprice").cast("long").alias("o_totalprice")).filter("o_orderkey % 3 = 1"), path)
+    append_bronze(o.select("o_orderkey", F.concat(F.lit("C"), "o_custkey").alias("o_custkey"), "o_totalprice",
+                           "o_orderstatus").filter("o_orderkey % 3 = 2"), path)
+    return read_typed(spark, path).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+
+
+def mixed_props(spark, sf_dir) -> DataFrame:
+    """Event payloads whose field changes its kind from event to event (a
+    number, text, an object, nothing), and broken ones."""
+    ev = table(spark, sf_dir, "events")
+    k, i = F.get_json_object("props", "$.k"), F.col("event_id") % 5
+    line = (F.when(i == 0, F.col("props")).when(i == 1, F.concat(F.lit('{"k": "t'), k, F.lit('"}')))
+            .when(i == 2, F.concat(F.lit('{"k": {"v": '), k, F.lit('}}')))
+            .when(i == 3, F.concat(F.lit('{"other": '), k, F.lit('.5}'))).otherwise(F.concat(F.lit('{"k": '), k)))
+    return ev.select("event_id", line.alias("line"))
+
+
+def q_variant_props(spark, sf_dir):
+    """Payloads of mixed kinds without a schema; broken lines are rejects."""
+    docs, bad = parse_variants(mixed_props(spark, sf_dir), "line")
+    good = as_columns(docs).withColumn("broken", F.lit(False))
+    none = [F.lit(None).cast(t).alias(c) for c, t in good.dtypes if c not in ("event_id", "broken")]
+    return good.unionByName(bad.select("event_id", *none, F.lit(True).alias("broken"))).select("event_id", "k", "other", "broken")
+
+
+def q_variant_documents(spark, sf_dir):
+    """Nested customer documents, written as lines with broken ones between,
+    read and flattened along the schema that is found in them."""
+    path = shared_path(spark, "documents-variant")
+    write_ndjson(_order_documents(spark, sf_dir), path)
+    broken = table(spark, sf_dir, "customer").select(F.concat(F.lit('{"o_custkey": '), "c_custkey", F.lit(', "orders": [{')))
+    broken.write.mode("append").text(path)
+    docs, bad = read_variants(spark, path)
+    lines = flatten_found(as_columns(docs))["orders.lines"]
+    lost = bad.agg(F.count(F.lit(1)).alias("rejects"))
+    return lines.select("o_custkey", "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"),
+                        "l_linenumber", F.col("l_quantity").cast("double").alias("l_quantity"), "l_returnflag").crossJoin(F.broadcast(lost))
+
+
+def q_late_children(spark, sf_dir):
+    """Line items nested under their orders in two deliveries, the second one
+    a tenth of all; what the table holds per order."""
+    li = table(spark, sf_dir, "lineitem")
+    items = ("l_linenumber", "l_partkey", "l_quantity")
+    docs = DocumentTable(shared_path(spark, "late-orders"), ("l_orderkey",), items, "items", buckets=16)
+    late = (F.col("l_orderkey") + F.col("l_linenumber")) % 10 == 0
+    docs.add(li.where(~late), unit="first")
+    docs.add(li.where(late), unit="second")
+    return docs.read(spark).groupBy("l_orderkey").agg(
+        F.sum(F.size("items")).cast("long").alias("n_items"),
+        F.array_join(F.sort_array(F.flatten(F.collect_list("items.l_linenumber"))), ",").alias("line_numbers"),
+        F.round(F.sum(F.aggregate("items", F.lit(0.0), lambda a, x: a + x["l_quantity"])), 2).alias("sum_qty"))
+
+
+def q_bucketed_history(spark, sf_dir):
+    """Customers whose folder no earlier order logged, by a history table that
+    is bucketed by folder and joined without being shuffled."""
+    o = _orders(spark, sf_dir).select(F.concat(F.lit("C"), "o_custkey").alias("folder"), "o_orderdate")
+    name = f"tidemark_history_{uuid.uuid4().hex[:12]}"
+    create_history(spark, shared_path(spark, "history-table"), name=name,
+                   buckets=max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    counts = o.filter(F.col("o_orderdate") < F.lit(DATE_CUTOFF).cast("timestamp_ntz")).groupBy("folder").agg(
+        F.count(F.lit(1)).alias("total_files_processed"))
+    log_folders(history_records(counts, SOURCE_DIR, TARGET_DIR, AS_OF), name, "table", unit="earlier")
+    folders = o.groupBy("folder").agg(F.count(F.lit(1)).alias("n_orders"))
+    return unprocessed_folders(folders, read_history(spark, name, "table"), max_broadcast_rows=0)
+
+
+def q_canonical_fingerprint(spark, sf_dir):
+    """Orders with their line items (an array of structs) and two maps of equal
+    entries in opposite order: the fingerprints of both, which agree."""
+    o, li = _orders(spark, sf_dir), table(spark, sf_dir, "lineitem")
+    lines = nest(li, ["l_orderkey"], ["l_linenumber", "l_quantity", "l_returnflag"], "lines")
+    pairs = [F.lit("status"), F.col("o_orderstatus"), F.lit("priority"), F.col("o_orderpriority")]
+    docs = o.join(lines.drop("part"), o.o_orderkey == lines.l_orderkey).select(
+        "o_orderkey", "lines", F.create_map(*pairs).alias("tags"), F.create_map(*pairs[2:], *pairs[:2]).alias("turned"))
+    tags = MapType(StringType(), StringType())
+    entries = lambda c: F.sha2(F.to_json(F.struct(canonical(F.col(c), tags).alias("m"))), 256)
+    return docs.select("o_orderkey", canonical_fingerprint(docs, ["o_orderkey", "lines", "tags"]).alias("hash"),
+                       (entries("tags") == entries("turned")).alias("same"))
+
+
 QUERIES = {
     "staging_plan": q_staging_plan,
     "staging_counts": q_staging_counts,
@@ -609,4 +822,17 @@ QUERIES = {
     "nest_equal_items": q_nest_equal_items,
     "bronze_job": q_bronze_job,
     "registry_lookup": q_registry_lookup,
+    "history_exactly_once": q_history_exactly_once,
+    "tree_listing": q_tree_listing,
+    "landing_files": q_landing_files,
+    "registry_runs": q_registry_runs,
+    "registry_first": q_registry_first,
+    "layer_domain": q_layer_domain,
+    "epoch_to_utc": q_epoch_to_utc,
+    "typed_appends": q_typed_appends,
+    "variant_props": q_variant_props,
+    "variant_documents": q_variant_documents,
+    "late_children": q_late_children,
+    "bucketed_history": q_bucketed_history,
+    "canonical_fingerprint": q_canonical_fingerprint,
 }
