@@ -59,6 +59,6 @@ def test_registered():
     import __spark_entry__ as e
 
     names = set(e.queries())
-    assert "pipeline" in names and len([n for n in names if re.match(r"op\d+_", n)]) == 10
+    assert "pipeline" in names and len([n for n in names if re.match(r"op\d+_", n)]) == 13
     assert [n for n, _ in CP.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "benchmark_decontamination",
                                          "best_fit_packing"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from tidemark.llm.alignment import op12_alignment
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
@@ -36,8 +35,6 @@ LLM_QUERIES = {
     "op13_token_files": lambda spark, d: op13_token_files(table(spark, d, "documents")),
 }
 
-LLM_QUERIES["pipeline"] = corpus_pipeline.run
-
 LLM_SQL = {
     "op7_benchmark_decontamination": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
