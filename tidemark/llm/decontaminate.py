@@ -6,23 +6,30 @@ smallest: with k = 5 and w = 6 no shared stretch of 10 words is missed. Test
 fingerprints meet training fingerprints in a join on the hash; a hit is then
 extended to its whole window and compared word by word, so hash collisions
 never count. Items shorter than a window use k = their own length and w = 1.
+
+Every word is hashed once and all window lengths are searched in one pass over
+the texts: a fingerprint carries its length. Windows travel under a number;
+the items that have them come last, to the documents that were hit.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import lower_ascii, row_key
+from tidemark.operators.lookup import BROADCAST_BYTE_LIMIT, within_rows
 from tidemark.session import materialize
 
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: the same words before they are lower-cased
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 GRAM = 5
-#: benchmark tables of at most this many rows are broadcast, larger ones shuffled
+#: tables of at most this many rows, and at most 64 MiB, are broadcast
 BROADCAST_ROWS = 500_000
+#: a key of a larger table is spread over so many tasks
+SALTS = 16
 
 
 def words(text: Column) -> Column:
@@ -34,11 +41,11 @@ def _at(array: Column, i: Column, shift: int) -> Column:
     return F.get(array, i + shift)
 
 
-def gram_hashes(ws: Column, k: int) -> Column:
-    """Hash of each k consecutive words (NULL past the end is never reached:
-    the array is cut to the starts that have k words)."""
-    starts = F.slice(ws, F.lit(1), F.greatest(F.size(ws) - (k - 1), F.lit(0)))
-    return F.transform(starts, lambda x, i: F.xxhash64(x, *[_at(ws, i, j) for j in range(1, k)]))
+def gram_hashes(hashes: Column, k: int) -> Column:
+    """Hash of each k consecutive words, from the words' hashes (NULL past the
+    end is never reached: the array is cut to the starts that have k words)."""
+    starts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - (k - 1), F.lit(0)))
+    return F.transform(starts, lambda x, i: F.xxhash64(F.lit(k), x, *[_at(hashes, i, j) for j in range(1, k)]))
 
 
 def winnow(hashes: Column, w: int) -> Column:
@@ -54,77 +61,108 @@ def shape(length: int) -> tuple[int, int]:
     return (GRAM, length - GRAM + 1) if length >= WINDOW else (length, 1)
 
 
-def _fingerprints(df: DataFrame, length: int) -> DataFrame:
-    """``__m``: the winnowed fingerprint of every window of ``length`` words."""
-    k, w = shape(length)
-    return df.withColumn("__g", gram_hashes(F.col("__w"), k)).withColumn("__m", winnow(F.col("__g"), w)).drop("__g")
+def _fingerprints(df: DataFrame, lengths: list[int], words_col: str = "__w") -> DataFrame:
+    """``__m<n>``: the fingerprint of every window of n words, for each length
+    n. A length of k words alone gets its hash once more, so that fingerprints
+    of different lengths never meet."""
+    df = df.withColumn("__h", F.transform(F.col(words_col), lambda x: F.xxhash64(x)))
+    df = df.withColumns({f"__g{k}": gram_hashes(F.col("__h"), k) for k in sorted({shape(n)[0] for n in lengths})})
+    out = {}
+    for n in lengths:
+        k, w = shape(n)
+        out[f"__m{n}"] = winnow(F.col(f"__g{k}"), w) if n >= WINDOW else F.transform(f"__g{k}", lambda x: F.xxhash64(x))
+    return df.withColumns(out).drop("__h", *[c for c in df.columns if c.startswith("__g")])
 
 
 def _window_text(ws: Column, start: Column, length: int) -> Column:
     return F.array_join(F.slice(ws, start + 1, length), " ")
 
 
-def benchmark_windows(benchmark: DataFrame, length: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``(__m, __text, __items)``: each distinct window of ``length`` words of
-    the items that are searched at this length, with the items that have it."""
-    b = benchmark.select(F.col(id_col).cast("string").alias("__item"),
-                         words(F.coalesce(F.col(text_col), F.lit(""))).alias("__w"))
-    b = b.where((F.size("__w") >= length) if length == WINDOW else (F.size("__w") == length))
-    b = _fingerprints(b, length)
-    b = b.select("__item", F.explode(F.transform("__m", lambda m, i: F.struct(
-        m.alias("m"), _window_text(F.col("__w"), i, length).alias("t")))).alias("__x"))
-    return b.groupBy(F.col("__x.m").alias("__m"), F.col("__x.t").alias("__text")).agg(
-        F.sort_array(F.collect_set("__item")).alias("__items"))
-
-
-def _sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _windows(df: DataFrame, lengths: list[int], keep: Column | None = None) -> Column:
+    """The windows of every length as structs: start, length, fingerprint and
+    text; with ``keep``, an array of fingerprints, only those that it holds."""
+    def found(n: int) -> Column:
+        window = lambda m, i: F.struct(i.alias("s"), F.lit(n).alias("n"), m.alias("m"),
+                                       _window_text(F.col("__w"), i, n).alias("t"))
+        if keep is None:
+            return F.transform(f"__m{n}", window)
+        held = F.transform(f"__m{n}", lambda m, i: F.when(F.array_contains(keep, m), window(m, i)))
+        return F.filter(held, lambda x: x.isNotNull())
+
+    return F.concat(*[found(n) for n in lengths])
+
+
+def benchmark_windows(benchmark: DataFrame, lengths: list[int], id_col: str = "item_id",
+                      text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(__m, __text, __wid)``, each distinct window once, under a number made
+    of its text, and ``(__wid, __item)``, the items that have it."""
+    b = benchmark.select(F.col(id_col).cast("string").alias("__item"), words(F.coalesce(F.col(text_col), F.lit(""))).alias("__w"))
+    # an item is searched at one length: its own, or WINDOW
+    b = b.where(F.size("__w") > 0).withColumn("__n", F.least(F.size("__w"), F.lit(WINDOW)))
+    b = _fingerprints(b, lengths).withColumn("__x", F.explode(F.filter(_windows(b, lengths), lambda x: x["n"] == F.col("__n"))))
+    # equal texts are equal windows: two hashes of one text make its number
+    text = F.col("__x.t")
+    wid = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    pairs = materialize(b.select(F.col("__x.m").alias("__m"), text.alias("__text"), wid.alias("__wid"), "__item").distinct(),
+                        name="bench-windows")
+    return pairs.select("__m", "__text", "__wid").distinct(), pairs.select("__wid", "__item").distinct()
+
+
+def _meet(rows: DataFrame, table: DataFrame, on: list[str], spread: list[str], how: str = "inner") -> DataFrame:
+    """Join with a table that has each key once (or a few times): broadcast
+    where rows and bytes are proven small, else by the key and a salt made of
+    ``spread``, so that the rows of one key go to SALTS tasks."""
+    if within_rows(table, BROADCAST_ROWS, BROADCAST_BYTE_LIMIT):
+        return rows.join(F.broadcast(table), on, how)
+    salted = table.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    return rows.join(salted, [*on, "__salt"], how).drop("__salt")
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``(__k1, __k2, __start, __length, __items)``: every occurrence of a
-    benchmark window in a document, by the document's content key."""
+         item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(__k1, __k2, __start, __length, __wid)``, every occurrence of a
+    benchmark window in a document (by its content key), and ``(__wid,
+    __item)``, the items that have the window."""
     sizes = benchmark.select(F.size(words(F.coalesce(F.col(item_text), F.lit("")))).alias("n"))
-    lengths = [r.n for r in sizes.where(F.col("n") > 0).select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().collect()]
+    lengths = sorted(r.n for r in sizes.where(F.col("n") > 0).select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().collect())
     d = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
-    d = d.select(*row_key(F.col("__id"), F.col("__t")), words(F.col("__t")).alias("__w"))
-    found = []
-    for length in sorted(lengths):  # at most WINDOW of them
-        windows = materialize(benchmark_windows(benchmark, length, item_col, item_text), name="bench-windows")
-        prints = windows.select("__m").distinct()
-        # 1: which documents share which fingerprints (hashes only, no text)
-        marks = _fingerprints(d, length).select("__k1", "__k2", F.explode(F.array_distinct("__m")).alias("__m"))
-        shared = (marks.join(_sized(prints), "__m").groupBy("__k1", "__k2")
-                  .agg(F.collect_set("__m").alias("__hit")))
-        shared = materialize(shared, name="bench-candidates")
-        # 2: extend the hits of those documents to whole windows, word by word
-        near = _fingerprints(d.join(_sized(shared), ["__k1", "__k2"]), length)
-        spots = near.select("__k1", "__k2", F.explode(F.filter(
-            F.transform("__m", lambda m, i: F.when(F.array_contains("__hit", m), F.struct(
-                i.alias("s"), m.alias("m"), _window_text(F.col("__w"), i, length).alias("t")))),
-            lambda x: x.isNotNull())).alias("__x"))
-        spots = spots.select("__k1", "__k2", F.col("__x.s").alias("__start"), F.col("__x.m").alias("__m"),
-                             F.col("__x.t").alias("__text"))
-        found.append(spots.join(_sized(windows), ["__m", "__text"])
-                     .select("__k1", "__k2", "__start", F.lit(length).alias("__length"), "__items"))
-    if not found:
-        empty = d.select("__k1", "__k2", F.lit(0).alias("__start"), F.lit(0).alias("__length"),
-                         F.array(F.lit("")).alias("__items"))
-        return empty.where(F.lit(False))
-    return reduce(DataFrame.unionByName, found)
+    d = d.select(*row_key(F.col("__id"), F.col("__t")), "__t")
+    if not lengths:  # at most WINDOW of them
+        wid = F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).alias("__wid")
+        none = d.where(F.lit(False))
+        return (none.select("__k1", "__k2", F.lit(0).alias("__start"), F.lit(0).alias("__length"), wid),
+                none.select(wid, F.lit("").alias("__item")))
+    windows, items = benchmark_windows(benchmark, lengths, item_col, item_text)
+    # 1: which documents share which fingerprints (hashes only, no text)
+    prints = windows.select("__m").distinct()
+    marked = _fingerprints(d.select("__k1", "__k2", words(F.col("__t")).alias("__w")), lengths)
+    marks = marked.select("__k1", "__k2", F.explode(F.array_distinct(F.concat(*[f"__m{n}" for n in lengths]))).alias("__m"))
+    shared = materialize(_meet(marks, prints, ["__m"], ["__k1", "__k2"]).groupBy("__k1", "__k2")
+                         .agg(F.collect_set("__m").alias("__hit")), name="bench-candidates")
+    # 2: extend the hits of those documents to whole windows, word by word
+    near = _meet(d, shared, ["__k1", "__k2"], ["__k2"])
+    near = _fingerprints(near.select("__k1", "__k2", "__hit", words(F.col("__t")).alias("__w")), lengths)
+    spots = near.select("__k1", "__k2", F.explode(_windows(near, lengths, F.col("__hit"))).alias("__x"))
+    spots = spots.select("__k1", "__k2", F.col("__x.s").alias("__start"), F.col("__x.n").alias("__length"),
+                         F.col("__x.m").alias("__m"), F.col("__x.t").alias("__text"))
+    found = _meet(spots, windows, ["__m", "__text"], ["__k1", "__k2"])
+    return found.select("__k1", "__k2", "__start", "__length", "__wid"), items
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per document content key: ``__n_hit`` words inside a benchmark window
     and ``__items``, the sorted items; only documents with a hit."""
-    h = hits(docs, benchmark, id_col, text_col, item_col, item_text)
-    h = materialize(h, name="bench-hits").groupBy("__k1", "__k2").agg(
-        F.collect_set(F.struct("__start", "__length")).alias("__spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("__items")))).alias("__items"))
+    found, items = hits(docs, benchmark, id_col, text_col, item_col, item_text)
+    found = materialize(found, name="bench-hits")
+    spans = found.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("__start", "__length")).alias("__spans"))
     covered = F.transform("__spans", lambda s: F.sequence(s["__start"], s["__start"] + s["__length"] - 1))
-    return h.select("__k1", "__k2", F.size(F.array_distinct(F.flatten(covered))).cast("bigint").alias("__n_hit"), "__items")
+    counts = spans.select("__k1", "__k2", F.size(F.array_distinct(F.flatten(covered))).cast("bigint").alias("__n_hit"))
+    named = _meet(found.select("__k1", "__k2", "__wid").distinct(), items, ["__wid"], ["__k1", "__k2"])
+    lists = named.select("__k1", "__k2", "__item").distinct().groupBy("__k1", "__k2").agg(
+        F.sort_array(F.collect_list("__item")).alias("__items"))
+    return counts.join(lists, ["__k1", "__k2"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -132,15 +170,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document: ``doc_id, n_words, n_hit, items`` (sorted array).
 
     Defined cases: NULL and wordless texts have no words and no hits; NULL or
-    wordless items are never hit; repeated rows each get their row; a NULL id
-    is kept; empty documents give an empty result, an empty benchmark no hits;
-    other columns are ignored.
+    wordless items are never hit; items that share a window or a text are all
+    hit by it; repeated rows each get their row; a NULL id is kept; a text of
+    any length is searched whole; empty documents give an empty result, an
+    empty benchmark no hits; other columns, whatever their names, are ignored.
     """
     per_doc = materialize(overlaps(docs, benchmark, id_col, text_col, item_col, item_text), name="bench-overlaps")
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
     d = d.select("doc_id", *row_key(F.col("doc_id"), F.col("__t")),
-                 F.size(words(F.col("__t"))).cast("bigint").alias("n_words"))
-    return d.join(_sized(per_doc), ["__k1", "__k2"], "left").select(
+                 F.regexp_count("__t", F.lit(_WORD)).cast("bigint").alias("n_words"))
+    return _meet(d, per_doc, ["__k1", "__k2"], ["__k2"], "left").select(
         "doc_id", "n_words", F.coalesce("__n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce("__items", F.array().cast("array<string>")).alias("items"))
 
@@ -148,11 +187,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all its columns, without documents that hold a benchmark
     window (same defined cases as :func:`contamination`)."""
-    per_doc = materialize(overlaps(docs, benchmark, id_col, text_col).select("__k1", "__k2"), name="bench-dirty")
+    found, _ = hits(docs, benchmark, id_col, text_col)
+    per_doc = materialize(found.select("__k1", "__k2").distinct(), name="bench-dirty")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     d = docs.select(whole, F.col(f"`{id_col}`").alias("__id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"))
     d = d.select("__row", *row_key(F.col("__id"), F.col("__t")))
-    return d.join(_sized(per_doc), ["__k1", "__k2"], "left_anti").select("__row.*")
+    return _meet(d, per_doc, ["__k1", "__k2"], ["__k2"], "left_anti").select("__row.*")
 
 
 def op7_benchmark_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
