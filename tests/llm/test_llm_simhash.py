@@ -89,7 +89,7 @@ def test_tiles_lose_no_link(spark, monkeypatch):
     signed = lambda f: f - (1 << 64) if f >> 63 else f
     df = spark.createDataFrame([(signed(f),) for f in fps], "fp bigint")
     want = _groups(fps)
-    for blocks in (4, 8, 16):
+    for blocks in (4, 8, 10, 12, 16):
         monkeypatch.setattr(H, "_blocks_for", lambda n, b=blocks: b)
         monkeypatch.setattr(H, "CHUNK", 8)  # many chunks a tile
         roots = {r.v: r.root for r in components(H.links(df, len(fps))).collect()}

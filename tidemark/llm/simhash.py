@@ -31,8 +31,9 @@ SEED = 42
 CHUNK = 4096
 #: key tables of at most this many rows (about 40 bytes each) are broadcast
 BROADCAST_ROWS = 500_000
-#: block counts and how many equally likely tiles they are worth
-BLOCKS = {4: 2_500, 8: 390_000, 16: 600_000_000}
+#: block counts and how many equally likely tiles they are worth (by the
+#: binomial distribution of a block's bit count)
+BLOCKS = {4: 2_500, 8: 390_000, 10: 3_500_000, 12: 25_000_000, 16: 600_000_000}
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -79,27 +80,31 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     return source.mapInArrow(scan, schema)
 
 
+def _widths(blocks: int) -> list[int]:
+    """Bits of each block: as equal as they can be, 64 in all."""
+    return [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
+
+
 def tile_of(fp: Column, blocks: int) -> Column:
-    """The population counts of the ``blocks`` bit blocks, five bits each
-    (three for blocks of four bits)."""
-    width, bits = 64 // blocks, _count_bits(blocks)
-    mask = (1 << width) - 1
-    key = F.lit(0).cast("bigint")
-    for i in range(blocks):
-        part = F.shiftrightunsigned(fp, i * width).bitwiseAND(F.lit(mask).cast("bigint"))
+    """The population counts of the ``blocks`` bit blocks side by side, each
+    in as few bits as hold it."""
+    bits, key, low = _count_bits(blocks), F.lit(0).cast("bigint"), 0
+    for i, width in enumerate(_widths(blocks)):
+        part = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
         key = key + F.shiftleft(F.bit_count(part).cast("bigint"), i * bits)
+        low += width
     return key
 
 
 def _count_bits(blocks: int) -> int:
-    return {4: 5, 8: 4, 16: 3}[blocks]
+    return max(_widths(blocks)).bit_length()
 
 
 def near_tiles(blocks: int, radius: int = RADIUS) -> list[int]:
     """Key differences to the tiles within the radius, one of each opposite
     pair, itself first. A difference only ever leads to an existing tile by
     the right route: keys are looked up, never trusted."""
-    bits, width = _count_bits(blocks), 64 // blocks
+    bits, widths = _count_bits(blocks), _widths(blocks)
     out = {0}
 
     def extend(i: int, left: int, delta: int) -> None:
@@ -107,7 +112,8 @@ def near_tiles(blocks: int, radius: int = RADIUS) -> list[int]:
             if delta > 0:
                 out.add(delta)
             return
-        for d in range(-min(left, width), min(left, width) + 1):
+        reach = min(left, widths[i])
+        for d in range(-reach, reach + 1):
             extend(i + 1, left - abs(d), delta + (d << (i * bits)))
 
     extend(0, radius, 0)
@@ -209,8 +215,9 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
 
     Defined cases: NULL and wordless texts have fingerprint 0 and link like any
     other; repeated rows and equal texts share a group; a NULL id takes part
-    but is never the smallest unless all ids of its group are NULL; an empty
-    table gives an empty result; other columns are ignored.
+    but is never the smallest unless all ids of its group are NULL; a bit that
+    is set in exactly half of the hashes is 0; a text of any length is read
+    whole; an empty table gives an empty result; other columns are ignored.
     """
     rows = materialize(fingerprints(docs, shingle, id_col, text_col), name="simhash-rows")
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("__min"), F.count(F.lit(1)).alias("__n")),
