@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ASCII_SPACE, join_groups
+from tidemark.operators.rows import repeat_rows
 from tidemark.session import materialize
 
 PREFIX_CHARS = 64
@@ -88,8 +89,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Defined cases: a NULL text equals the empty text, and both equal any text
     of white space only; a NULL id comes after all others; of repeated rows
-    (same id, equal text, same length) exactly one is kept; an empty table
-    gives an empty result; other columns are ignored.
+    (same id, equal text, same length) exactly one is kept; a text of any length
+    is compared by its hash; an empty table gives an empty result; other columns
+    are ignored.
     """
     narrow, open_keys, total = refine(docs, id_col, text_col)
     sha = F.unhex(F.sha2(F.col("__t"), 256)).alias("sha256")
@@ -103,11 +105,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .withColumn("sha256", F.lit(None).cast("binary")))
         survivors = (_mark(_keyed(docs, id_col, text_col), open_keys, OPEN, total)
                      .where("__n is not null").select("doc_id", "__cp", sha))
-    decided = _decide(survivors, docs, id_col)
-    decided = decided.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__c").cast("int"))))
-    found = decided.select("doc_id", F.col("__best")["doc_id"].alias("keep_id"),
-                           F.col("group_size").cast("bigint").alias("group_size"),
-                           (F.col("__keeper") & (F.col("__i") == 1)).alias("kept"), "sha256")
+    decided = materialize(_decide(survivors, docs, id_col), name="dedup-decided")
+    found = repeat_rows(decided, "__c", "__i").select(
+        "doc_id", F.col("__best")["doc_id"].alias("keep_id"), F.col("group_size").cast("bigint").alias("group_size"),
+        (F.col("__keeper") & (F.col("__i") == 1)).alias("kept"), "sha256")
     alone = settled.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
                            F.lit(True).alias("kept"), "sha256")
     return alone.unionByName(found)

@@ -20,6 +20,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import join_groups
+from tidemark.operators.rows import repeat_rows
 from tidemark.session import materialize
 
 #: rows that a ranking bucket holds on average, and the number of buckets from
@@ -51,8 +52,9 @@ def interleave(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: s
     Defined cases: a NULL text counts as empty; NULL sources form one source
     of their own; repeated rows and equal texts are placed row by row (this
     law deals rows, so a group of copies larger than a shard cannot stay
-    together); with fewer rows than shards some shards stay empty; an empty
-    table gives an empty result; other columns are ignored.
+    together); equal hashes are ranked by id and checksum; a text of any length
+    is one row of its size; with fewer rows than shards some shards stay empty;
+    an empty table gives an empty result; other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
@@ -61,13 +63,11 @@ def interleave(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: s
         (F.octet_length(text) + F.lit(16)).cast("bigint").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.pmod(F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), text), F.lit(_HASH_RANGE)).alias("__h"))
-    # repeated rows collapse to a count and come back with a hash of their own
-    rows = (rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__c"))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__c").cast("int"))))
-            .withColumn("__h", F.when(F.col("__copy") == 1, F.col("__h")).otherwise(
-                F.pmod(F.xxhash64("__h", "__copy"), F.lit(_HASH_RANGE)))).drop("__c"))
+    # repeated rows collapse to a count and come back with a hash of their own;
     # written once: ranks must not be taken from two evaluations of the rows
-    rows = materialize(rows, name="shard-rows")
+    rows = materialize(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__c")), name="shard-rows")
+    rows = repeat_rows(rows, "__c", "__copy").withColumn("__h", F.when(F.col("__copy") == 1, F.col("__h")).otherwise(
+        F.pmod(F.xxhash64("__h", "__copy"), F.lit(_HASH_RANGE))))
     per_source = rows.groupBy("__source").agg(F.count(F.lit(1)).alias("__rows"))
     total = rows.count()
     per_bucket = max(BUCKET_ROWS, -(-total // MANY_BUCKETS))
