@@ -91,6 +91,45 @@ def test_every_language_is_learned(spark, monkeypatch):
     assert [(lang, gone) for lang, _, gone in model.predict_all([text for _, text, _ in rows])] == want
 
 
+def test_no_language_is_lost_to_repeated_ids(spark):
+    """NULL ids, one id for all rows, a text on most rows: all languages are
+    learned and held-out texts keep their names."""
+    from pyspark.sql import functions as F
+
+    docs = whole(spark, MID, "documents").select("doc_id", "text", "lang")
+    for frame in (docs.withColumn("doc_id", F.lit(None).cast("bigint")), docs.withColumn("doc_id", F.lit(7).cast("bigint"))):
+        many = frame.unionByName(frame).unionByName(frame).unionByName(frame)
+        model = L.train(many)
+        assert set(model.languages) == {"en", "de", "fr", "es"}
+        rows = docs.where(F.length("text") > 200).limit(200).collect()
+        assert sum(model.predict(r.text)[0] == r.lang for r in rows) > 0.97 * len(rows)
+    hot = spark.range(6_000).select("id", F.lit("the one text that fills the table").alias("text"), F.lit("xx").alias("lang"))
+    few = docs.limit(40).unionByName(hot.toDF("doc_id", "text", "lang"))
+    assert set(L.train(few).languages) == {"xx", *[r.lang for r in docs.limit(40).collect()]}
+    # a language whose drawn texts have no letter is looked at whole
+    blank = spark.range(4_000).select("id", F.concat(F.col("id").cast("string"), F.lit("!")).alias("text"), F.lit("yy").alias("lang"))
+    one = spark.createDataFrame([(9_999, "abc def", "yy")], "id bigint, text string, lang string")
+    assert L.train(blank.unionByName(one).toDF("doc_id", "text", "lang")).languages == ["yy"]
+
+
+def test_predictions_against_plain_cosine(spark):
+    """Every similarity from dictionaries of grams, one centroid at a time."""
+    docs = whole(spark, "/root/testdata/sf0.001", "documents")
+    model = L.train_on_fold(docs)
+    for r in docs.limit(60).collect():
+        x = L.counts(r.text)
+        if x is None:
+            continue
+        v = {k: math.log1p(int(n)) * float(model.idf[k]) for k, n in enumerate(x) if n}
+        norm = math.sqrt(sum(a * a for a in v.values()))
+        sims = [sum(v.get(int(k), 0.0) * float(w) for k, w in zip(*c)) / norm for c in model.centroids]
+        best = max(range(len(sims)), key=lambda k: sims[k])
+        lang, score, rejected = model.predict(r.text)
+        assert lang == model.languages[best] and math.isclose(score, min(1.0, max(0.0, sims[best])), abs_tol=1e-4)
+        floor = model.floor[best, L._length_class(int(x.sum()))]
+        assert rejected == (sims[best] < floor) or abs(sims[best] - floor) < 1e-4
+
+
 def test_counts_in_blocks(monkeypatch):
     text = "Der Über-Fluss, né à  Ñu  123 wörter\n" * 40
     want = L.counts(text)
@@ -126,6 +165,22 @@ def test_compiled_rules_equal_the_model(spark):
     stats.unpersist()
 
 
+def test_labels_of_one_id_and_very_long_texts(spark):
+    from pyspark.sql import functions as F
+
+    docs, labels = whole(spark, MID, "documents"), whole(spark, MID, "labels")
+    stats = Q.with_statistics(docs.select("doc_id", "text")).cache()
+    hot = spark.range(70_000).select(F.lit(3).cast("bigint").alias("doc_id"), F.lit(1).alias("quality"))
+    model = Q.train(stats, labels.select("doc_id", F.col("quality").cast("int").alias("quality")).unionByName(hot))
+    assert model.rules  # 70,000 labels of one document are one row
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [r for r in Q.score(stats, model).collect() if r.doc_id in known and r.doc_id != 3]
+    assert sum(r.predicted == known[r.doc_id] for r in rows) > 0.95 * len(rows)
+    stats.unpersist()
+    long = spark.createDataFrame([(1, "words of a very long text " * 100_000)], "doc_id bigint, text string")
+    assert 0 <= Q.op3_quality_classifier(long, labels).head().score <= 1
+
+
 def test_paths_are_rules_and_lasso_is_sparse():
     rng = np.random.default_rng(1)
     x = rng.random((600, len(Q.STATISTICS)))

@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import python_stage
+from tidemark.llm.common import python_stage, row_key
 from tidemark.operators.lookup import bounded_broadcast
+from tidemark.session import materialize
 
 DIMS = 1 << 13
 CENTROIDS = 3
@@ -229,19 +230,23 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
 def train(labelled: DataFrame) -> Model:
     """Fits on ``(text, lang, doc_id)`` rows; NULL texts and languages are
-    left out."""
+    left out. The sample is drawn by the hash of id and text, so rows that
+    share an id (or have none) are told apart; a repeated row is drawn once.
+    Every language that has a text with a letter is learned."""
+    known = F.xxhash64(F.col("doc_id").cast("string"), "text")
     rows = labelled.where("text is not null and lang is not null").select(
         "text", F.col("lang").cast("string").alias("lang"),
-        (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u"),
-        (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("held")), F.lit(5)) < 2).alias("held"))
+        (F.pmod(F.xxhash64(known, F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u"),
+        (F.pmod(F.xxhash64(known, F.lit("held")), F.lit(5)) < 2).alias("held"), known.alias("key"))
     spark = labelled.sparkSession
     df, n = document_frequencies(rows)
     idf = (np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32)
     # a share of each language that gives about SAMPLE and HELD rows, cut below;
     # languages that are small enough are taken whole, without a row here
     many = 1.5 * (SAMPLE + HELD)
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > many).collect()
-    shares = spark.createDataFrame([(r.lang, many / r.n) for r in sizes], "lang string, share double")
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("key").alias("n"),
+                                     F.max(F.col("text").rlike(r"\p{L}")).alias("letters")).collect()  # a row per language
+    shares = spark.createDataFrame([(r.lang, many / r.n) for r in sizes if r.n > many], "lang string, share double")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,9 +264,6 @@ def train(labelled: DataFrame) -> Model:
                                               pa.array(v, pa.list_(pa.binary()))], ["lang", "u", "held", "v"])
 
     picked = rows.join(bounded_broadcast(shares), "lang", "left").where(F.col("u") < F.coalesce("share", F.lit(1.0))).select(*rows.columns)
-    sample = (picked.mapInArrow(vectors, "lang string, u double, held boolean, v array<binary>")
-              .withColumn("r", F.row_number().over(_by_lang()))
-              .where(F.col("r") <= F.when(F.col("held"), HELD).otherwise(SAMPLE)))
     weights = spark.sparkContext.broadcast(idf)
 
     def fit(key: tuple, pdf):  # one language in memory at a time, of SAMPLE and HELD rows at most
@@ -272,8 +274,18 @@ def train(labelled: DataFrame) -> Model:
         return pd.DataFrame({"lang": [key[0]] * len(c), "k": range(len(c)), "c": [_sparse(x) for x in c],
                              "floor": [floor.tolist()] * len(c)})
 
-    fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, k int, c binary, floor array<double>")
-    learned = sorted(fitted.collect(), key=lambda r: (r.lang, r.k))  # CENTROIDS sparse rows a language
+    def fitted(texts: DataFrame) -> list:
+        sample = (texts.dropDuplicates(["lang", "key"]).select("text", "lang", "u", "held")
+                  .mapInArrow(vectors, "lang string, u double, held boolean, v array<binary>")
+                  .withColumn("r", F.row_number().over(_by_lang()))
+                  .where(F.col("r") <= F.when(F.col("held"), HELD).otherwise(SAMPLE)))
+        return sample.groupBy("lang").applyInPandas(fit, "lang string, k int, c binary, floor array<double>").collect()
+
+    learned = fitted(picked)  # CENTROIDS sparse rows a language
+    missing = {r.lang for r in sizes if r.letters} - {r.lang for r in learned}
+    if missing:  # none of the drawn texts had a letter: all texts of these languages are looked at
+        learned += fitted(rows.join(bounded_broadcast(spark.createDataFrame([(x,) for x in sorted(missing)], "lang string")), "lang"))
+    learned.sort(key=lambda r: (r.lang, r.k))
     if not learned:
         return Model(idf, [], [], np.zeros((0, CLASSES)))
     floors = _filled(np.array([[np.nan if x is None else x for x in r.floor] for r in learned], float))
@@ -340,8 +352,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
 
     Defined cases: NULL, empty and letterless texts are ``und`` with score 0
     and rejected; equal similarities go to the first centroid; repeated rows
-    get equal answers; an empty table gives an empty result; columns named
-    like the answers are replaced.
+    get equal answers; ids may be NULL or repeat; a text of any length is
+    counted whole, in blocks; an empty table gives an empty result; columns
+    named like the answers are replaced, others kept whatever their names.
     """
     spark = docs.sparkSession
     python_stage(spark)
@@ -377,7 +390,17 @@ def op9_language_id(docs: DataFrame) -> DataFrame:
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
     """``docs`` with all its columns, without the documents that the model
-    trained on their own training fold rejects."""
+    trained on their own training fold rejects. Only texts pass through
+    Python, and only the keys of rejected rows come back; the rows themselves
+    stay where they are.
+
+    Defined cases: as for :func:`identify`; NULL, empty and letterless texts
+    go; rows of equal id and text share their answer.
+    """
+    model = train_on_fold(docs)
+    keyed = docs.select(*row_key(F.col("doc_id"), F.coalesce("text", F.lit(""))), "text")
+    rejected = identify(keyed, model, keep=["__k1", "__k2"]).where("rejected").select("__k1", "__k2")
+    rejected = materialize(rejected.distinct(), name="language-rejected")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    judged = identify(docs.select(whole, "text"), train_on_fold(docs), keep=["__row"])
-    return judged.where("NOT rejected").select("__row.*")
+    rows = docs.select(whole, *row_key(F.col("doc_id"), F.coalesce("text", F.lit(""))))
+    return rows.join(bounded_broadcast(rejected), ["__k1", "__k2"], "left_anti").select("__row.*")

@@ -211,12 +211,14 @@ def fit(x: np.ndarray, y: np.ndarray) -> Ensemble:
 
 def train(stats: DataFrame, labels: DataFrame, label: str = "quality") -> Ensemble:
     """Fits on the labelled rows of ``stats`` (at most SAMPLE, picked by the
-    hash of the id); NULL ids and labels are left out."""
+    hash of id and label, a repeated label once); NULL ids and labels are left
+    out, all labels of an id count."""
     known = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("double").alias("__y")).where(
-        "__id is not null and __y is not null").withColumn("__u", F.xxhash64(F.col("__id").cast("string"), F.lit("sample")))
+        "__id is not null and __y is not null").withColumn(
+        "__u", F.xxhash64(F.col("__id").cast("string"), F.col("__y").cast("string"), F.lit("sample")))
     # only about the sample leaves the tasks
-    share = min(1.0, 1.5 * SAMPLE / max(1, known.count()))
-    near = known.where(F.pmod(F.col("__u"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    share = min(1.0, 1.5 * SAMPLE / max(1, known.agg(F.approx_count_distinct("__u")).first()[0]))
+    near = known.where(F.pmod(F.col("__u"), F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates(["__u"])
     picked = F.broadcast(near.orderBy("__u", "__id").limit(SAMPLE))
     rows = stats.join(picked, stats.doc_id == picked["__id"]).select("__u", "__y", *STATISTICS)
     rows = rows.orderBy("__u", "__y", *STATISTICS).limit(SAMPLE).toPandas()  # at most SAMPLE rows of numbers
@@ -227,9 +229,11 @@ def score(stats: DataFrame, model: Ensemble) -> DataFrame:
     """``doc_id, score, predicted`` from the compiled rules alone.
 
     Defined cases: NULL and wordless texts have statistics 0 and are scored
-    like any other; repeated rows get equal scores; ids may be NULL; an empty
-    table gives an empty result; without usable labels every score is the
-    share of label 1 (one half without any).
+    like any other; repeated rows and equal statistics get equal scores, and a
+    score of exactly one half is label 1; ids may be NULL; statistics cover
+    texts of any length whole; other columns are ignored and don't come back;
+    an empty table gives an empty result; without usable labels every score is
+    the share of label 1 (one half without any).
     """
     s = stats.select("doc_id", model.column().alias("score"))
     return s.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
