@@ -18,12 +18,13 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import paths as P
 from tidemark.operators.lookup import bounded_broadcast
-from tidemark.session import TEMP_PREFIX, materialize, resolve_path, shared_path, ship_package
+from tidemark.session import TEMP_PREFIX, default_parallelism, materialize, resolve_path, shared_path, ship_package
 
 OUTCOME_SCHEMA = "path string, new_path string, folder string, ok boolean, bytes long, checksum string, error string"
 
@@ -192,16 +193,202 @@ def _runner(mode: str, on_exists: str, verify: bool):
     return run
 
 
+# -- large files, by byte ranges -----------------------------------------------
+
+CHUNK_SCHEMA = "path string, new_path string, k long, ok boolean, same boolean, sha256 string, mark string, task int, error string"
+#: how often a chunk is tried in one run
+CHUNK_TRIES = 3
+
+
+def _range_sha(fs, path: str, start: int, size: int, out=None) -> str:
+    """SHA-256 of a byte range, which also goes to ``out``."""
+    digest, left = hashlib.sha256(), size
+    with fs.open_input_file(path) as f:
+        f.seek(start)
+        while left:
+            data = f.read(min(_CHUNK, left))
+            if not data:
+                raise EOFError(f"{path} ends {left} bytes early")
+            digest.update(data)
+            if out is not None:
+                out.write(data)
+            left -= len(data)
+    return digest.hexdigest()
+
+
+def _parts_folder(target: str, mark: str) -> str:
+    return f"{target.rpartition('/')[0]}/{TEMP_PREFIX}parts-{mark}"
+
+
+def _copy_chunk(resolve, src: str, dst: str, length: int, k: int, start: int, size: int, on_exists: str):
+    """One byte range as a part file named by number and checksum, beside the
+    target; ``(ok, same, sha256, mark, error)``. ``mark`` names this state of
+    the source, so parts of an older one are never taken up. A part that is
+    there already is not copied again; where the target exists, its range is
+    compared first."""
+    import pyarrow.fs as pafs
+
+    src_fs, src_path = resolve(src)
+    dst_fs, dst_path = resolve(dst)
+    source, target = src_fs.get_file_info([src_path])[0], dst_fs.get_file_info([dst_path])[0]
+    if source.type != pafs.FileType.File or source.size != length:
+        return False, False, None, "", f"source changed or not found: {src}"
+    mark = hashlib.sha256(f"{src}|{dst}|{length}|{source.mtime_ns}".encode()).hexdigest()[:24]
+    if target.type != pafs.FileType.NotFound and (on_exists == "error" or target.type != pafs.FileType.File):
+        # compared range by range; where any differs the file is refused as a whole
+        if target.type != pafs.FileType.File or target.size != length:
+            return True, False, None, mark, None
+        sha = _range_sha(src_fs, src_path, start, size)
+        return True, sha == _range_sha(dst_fs, dst_path, start, size), sha, mark, None
+    folder = _parts_folder(dst_path, mark)
+    for i in dst_fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+        if i.base_name.startswith(f"{k:08d}-") and i.type == pafs.FileType.File and i.size == size:
+            return True, False, i.base_name[9:], mark, None
+    resolve.make_parent(dst_fs, f"{folder}/x")
+    tmp = f"{folder}/{TEMP_PREFIX}{uuid.uuid4().hex}"
+    try:
+        with dst_fs.open_output_stream(tmp) as out:
+            sha = _range_sha(src_fs, src_path, start, size, out)
+        dst_fs.move(tmp, f"{folder}/{k:08d}-{sha}")
+    except BaseException:
+        if dst_fs.get_file_info(tmp).type == pafs.FileType.File:
+            dst_fs.delete_file(tmp)
+        raise
+    return True, False, sha, mark, None
+
+
+def _chunk_runner(on_exists: str):
+    def run(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+
+        resolve, task = _Resolver(), TaskContext.get().partitionId()
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples(index=False):
+                try:
+                    got = _copy_chunk(resolve, r.path, r.new_path, int(r.length), int(r.k), int(r.start), int(r.size), on_exists)
+                except Exception as e:  # one bad chunk never fails the whole job
+                    got = (False, False, None, "", f"{type(e).__name__}: {e}")
+                ok, same, sha, mark, error = got
+                rows.append((r.path, r.new_path, r.k, ok, same, sha, mark, task, error))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in CHUNK_SCHEMA.split(", ")])
+    return run
+
+
+def _put_together(resolve, src: str, dst: str, length: int, mark: str, shas: list, same: bool, on_exists: str):
+    """The target of a file from its parts: one temporary file, checked part by
+    part, and one rename. The parts go then."""
+    import pyarrow.fs as pafs
+
+    dst_fs, dst_path = resolve(dst)
+    target = dst_fs.get_file_info([dst_path])[0]
+    if same:
+        return True, dst, length, _checksum(dst_fs, dst_path), None
+    if target.type != pafs.FileType.NotFound:
+        if target.type != pafs.FileType.File:
+            return False, dst, 0, None, "target is not a file"
+        if on_exists == "error":
+            return False, dst, 0, None, "target exists with other content"
+    folder, digest = _parts_folder(dst_path, mark), hashlib.sha256()
+    if on_exists == "keep_both" and target.type == pafs.FileType.File:
+        stem, dot, suffix = dst.rpartition("/")[2].partition(".")
+        dst = f"{dst.rpartition('/')[0]}/{stem}~{hashlib.sha256(''.join(shas).encode()).hexdigest()[:16]}{dot}{suffix}"
+        dst_fs, dst_path = resolve(dst)
+    tmp = f"{dst_path.rpartition('/')[0]}/{TEMP_PREFIX}{uuid.uuid4().hex}"
+    try:
+        with dst_fs.open_output_stream(tmp) as out:
+            for k, sha in enumerate(shas):
+                part, own = f"{folder}/{k:08d}-{sha}", hashlib.sha256()
+                with dst_fs.open_input_stream(part) as f:
+                    while data := f.read(_CHUNK):
+                        own.update(data)
+                        digest.update(data)
+                        out.write(data)
+                if own.hexdigest() != sha:
+                    dst_fs.delete_file(part)  # the next run copies it again
+                    raise OSError(f"part {k} of {src} is damaged")
+        dst_fs.move(tmp, dst_path)
+    except BaseException:
+        if dst_fs.get_file_info(tmp).type == pafs.FileType.File:
+            dst_fs.delete_file(tmp)
+        raise
+    dst_fs.delete_dir(folder)
+    return True, dst, length, digest.hexdigest(), None
+
+
+def _together_runner(on_exists: str):
+    def run(batches):
+        import pandas as pd
+
+        resolve = _Resolver()
+        for pdf in batches:
+            results = []
+            for r in pdf.itertuples(index=False):
+                try:
+                    if r.error is not None:
+                        results.append((False, r.new_path, 0, None, r.error))
+                    else:
+                        results.append(_put_together(resolve, r.path, r.new_path, int(r.length), r.mark, list(r.shas), bool(r.same), on_exists))
+                except Exception as e:
+                    results.append((False, r.new_path, 0, None, f"{type(e).__name__}: {e}"))
+            ok, target, size, checksum, error = zip(*results) if results else ((),) * 5
+            yield pd.DataFrame({"path": pdf["path"], "new_path": list(target), "folder": pdf["folder"], "ok": list(ok),
+                                "bytes": list(size), "checksum": list(checksum), "error": list(error)})
+    return run
+
+
+def copy_by_ranges(work: DataFrame, chunk_bytes: int, on_exists: str, out_path: str) -> DataFrame:
+    """Copies of large files: ``path, new_path, folder, length`` rows become one
+    row per byte range, dealt to all tasks. What came of every chunk is written
+    as a ledger (``<out_path>__chunks-<try>``); chunks that failed are tried
+    again, those that succeeded are not, in this run or a later one. A file
+    whose chunks are all there is put together at its target's store and
+    renamed once; of another one the parts wait for the next run.
+
+    Returns the outcome per file (not yet written).
+    """
+    size = F.lit(chunk_bytes).cast("long")
+    chunks = work.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size).cast("long"))))
+    chunks = chunks.withColumn("start", F.col("k") * size).withColumn("size", F.least(size, F.col("length") - F.col("start")))
+    todo = chunks.select("path", "new_path", "length", "k", "start", "size")
+    ledgers = []
+    for attempt in range(CHUNK_TRIES):
+        tasks = max(1, min(todo.count(), 16 * default_parallelism(work.sparkSession)))
+        tried = materialize(todo.repartition(tasks, "new_path", "k").mapInPandas(_chunk_runner(on_exists), CHUNK_SCHEMA),
+                            f"{out_path}__chunks-{attempt}")
+        ledgers.append(tried.filter("ok"))
+        failed = tried.filter(~F.col("ok"))
+        if attempt == CHUNK_TRIES - 1 or failed.isEmpty():
+            ledgers.append(failed)
+            break
+        todo = todo.join(failed.select("path", "new_path", "k"), ["path", "new_path", "k"], "left_semi").select(*todo.columns)
+    ledger = reduce(DataFrame.unionByName, ledgers)
+    files = ledger.groupBy("path", "new_path").agg(  # one row per chunk: length / chunk_bytes
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "sha256"))), lambda x: x["sha256"]).alias("shas"),
+        F.bool_and("same").alias("same"), F.max("mark").alias("mark"), F.min("error").alias("error"),
+        (F.min("mark") != F.max("mark")).alias("changed"))
+    files = files.withColumn("error", F.when(F.col("error").isNull() & F.col("changed"), F.lit("source changed while it was copied"))
+                             .otherwise(F.col("error"))).drop("changed")
+    ready = work.join(files, ["path", "new_path"])
+    return ready.repartition(max(1, min(work.count(), 16 * default_parallelism(work.sparkSession))), "new_path").mapInPandas(
+        _together_runner(on_exists), OUTCOME_SCHEMA)
+
+
 # Work of one transfer task, when the task count is derived from the work list.
 FILES_PER_TASK = 256
 BYTES_PER_TASK = 1 << 30
+#: a copy of a file larger than this goes by byte ranges of this size
+CHUNK_BYTES = 256 << 20
 ON_EXISTS = ("error", "overwrite", "keep_both")
 
 
 def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int | None = None,
                       out_path: str | None = None, on_exists: str = "error",
-                      verify: bool = False) -> DataFrame:
+                      verify: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Run the copies (or moves) of every planned row with a ``new_path``.
+    Copies of files of more than ``chunk_bytes`` (by the plan's ``length``) go
+    by byte ranges: see :func:`copy_by_ranges`.
 
     The work list (paths only) is written to the shared folder first, so a
     retried task (lost executor) re-reads it and never the source listing,
@@ -234,20 +421,27 @@ def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int |
     # targets are normally none, and then no join is needed.
     contested = materialize(work.groupBy("new_path").agg(F.count(F.lit(1)).alias("_claims"))
                             .filter(F.col("_claims") > 1).select("new_path"), out.rstrip("/") + "__contested")
-    size = work.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).first()
+    size = work.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"), F.max("length").alias("most")).first()
     n = num_partitions or max(1, -(-size["n"] // FILES_PER_TASK), -(-(size["b"] or 0) // BYTES_PER_TASK))
     ship_package(spark)
     run = _runner(mode, on_exists, verify)
-    if contested.isEmpty():
-        return materialize(work.repartition(n, "new_path").mapInPandas(run, OUTCOME_SCHEMA), out)
-    contested = bounded_broadcast(contested)
-    clear = work.join(contested, "new_path", "left_anti")
-    outcomes = clear.repartition(n, "new_path").mapInPandas(run, OUTCOME_SCHEMA)
+    clear = work
+    if not contested.isEmpty():
+        contested = bounded_broadcast(contested)
+        clear = work.join(contested, "new_path", "left_anti")
+    outcomes = []
+    large = F.coalesce(F.col("length") > chunk_bytes, F.lit(False))
+    if mode == "copy" and (size["most"] or 0) > chunk_bytes:
+        outcomes.append(copy_by_ranges(clear.filter(large), chunk_bytes, on_exists, out.rstrip("/")))
+        clear = clear.filter(~large)
+    outcomes.append(clear.repartition(n, "new_path").mapInPandas(run, OUTCOME_SCHEMA))
+    if clear is work:
+        return materialize(outcomes[0], out)
     collided = work.join(contested, "new_path", "left_semi").select(
         "path", "new_path", "folder", F.lit(False).alias("ok"), F.lit(0).cast("long").alias("bytes"),
         F.lit(None).cast("string").alias("checksum"),
         F.lit("target claimed by more than one source").alias("error"))
-    return materialize(outcomes.unionByName(collided), out)
+    return materialize(reduce(DataFrame.unionByName, [*outcomes, collided]), out)
 
 
 def counts_per_folder(outcomes: DataFrame) -> DataFrame:

@@ -334,6 +334,12 @@ FROM orders""",
 WITH f AS ({PAGE_FILES})
 SELECT name, true AS ok, CAST(strlen(html) AS BIGINT) AS bytes, sha256(html) AS checksum, true AS arrived FROM f""",
 
+    "ranged_copies": f"""
+WITH f AS ({PAGE_FILES})
+SELECT name, true AS ok, CAST(strlen(html) AS BIGINT) AS bytes, sha256(html) AS checksum, true AS ok_again,
+       sha256(html) AS checksum_again, sha256(html) AS there
+FROM f""",
+
     "incremental_ingest": STAGED_HISTORY,
 
     "staged_contents": f"""

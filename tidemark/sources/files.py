@@ -61,13 +61,15 @@ def _lister(ahead: int):
                     uri, folder = stack.pop()
                     rows = []
                     for i in fs.get_file_info(pafs.FileSelector(folder)):
+                        if i.base_name.startswith(TEMP_PREFIX):
+                            continue
                         if i.type == pafs.FileType.Directory:
                             own = left > 0
                             left -= own
                             if own:
                                 stack.append((f"{uri}/{i.base_name}", i.path))
                             rows.append((f"{uri}/{i.base_name}", None, i.mtime, True, not own))
-                        elif i.type == pafs.FileType.File and not i.base_name.startswith(TEMP_PREFIX):
+                        elif i.type == pafs.FileType.File:
                             rows.append((f"{uri}/{i.base_name}", i.size, i.mtime, False, False))
                     for at in range(0, len(rows), 100_000):  # one directory may hold very many entries
                         yield table(rows[at:at + 100_000])
@@ -77,8 +79,8 @@ def _lister(ahead: int):
 def list_tree(spark: SparkSession, root: str, num_partitions: int | None = None,
               ahead: int = LIST_AHEAD) -> DataFrame:
     """Every file and directory under ``root``: zero-byte, ``_`` and ``.`` names
-    and empty directories too. Only files under way (temporary names of this
-    library) are left out.
+    and empty directories too. Only files under way and their parts (temporary
+    names of this library) are left out.
 
     The tree is listed in rounds. A round deals the directories not yet listed
     evenly to tasks; a task lists its share and at most ``ahead`` directories

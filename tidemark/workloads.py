@@ -34,7 +34,7 @@ from tidemark.operators.dates import (flag_quarantine, hourly_volume, hourly_vol
 from tidemark.operators.doctable import DocumentTable
 from tidemark.operators.documents import (DEFAULT_MAX_ITEMS, extract_tags, flatten_all, nest,
                                           nest_two_levels)
-from tidemark.operators.files import plan_copy, plan_disposition
+from tidemark.operators.files import execute_transfers, plan_copy, plan_disposition
 from tidemark.operators.lookup import (
     bounded_broadcast, route_all, route_first, rows_of_unprocessed_folders, schema_exists, seen_folders,
     unprocessed_folders)
@@ -455,6 +455,26 @@ def q_move_and_verify(spark, sf_dir):
                           F.col("_missing").isNull().alias("arrived"))
 
 
+#: bytes of a range in the query below: every page is several ranges
+RANGE_BYTES = 500
+
+
+def q_ranged_copies(spark, sf_dir):
+    """All pages copied by byte ranges, then copied again (nothing differs):
+    what both runs report and what lies at the target."""
+    src, dst = shared_path(spark, "raw"), shared_path(spark, "ranged")
+    land_pages(spark, sf_dir, src, with_dicomdir=False)
+    files = list_tree(spark, src).filter(~F.col("is_dir"))
+    plan = files.withColumn("new_path", P.join_path(dst, F.col("folder"), F.col("name")))
+    first = execute_transfers(plan, "copy", chunk_bytes=RANGE_BYTES)
+    again = execute_transfers(plan, "copy", chunk_bytes=RANGE_BYTES).select(
+        "path", F.col("ok").alias("ok_again"), F.col("checksum").alias("checksum_again"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(dst)
+    there = found.select(P.last_segment("path").alias("name"), F.sha2("content", 256).alias("there"))
+    out = first.join(again, "path").withColumn("name", P.last_segment("new_path")).join(there, "name", "left")
+    return out.select("name", "ok", "bytes", "checksum", "ok_again", "checksum_again", "there")
+
+
 def q_staged_contents(spark, sf_dir):
     """What a staging run placed: path below the target, size and checksum of
     the bytes that are there afterwards."""
@@ -830,6 +850,7 @@ QUERIES = {
     "layer_domain": q_layer_domain,
     "epoch_to_utc": q_epoch_to_utc,
     "typed_appends": q_typed_appends,
+    "ranged_copies": q_ranged_copies,
     "variant_props": q_variant_props,
     "variant_documents": q_variant_documents,
     "late_children": q_late_children,
