@@ -7,9 +7,9 @@ fingerprints meet training fingerprints in a join on the hash; a hit is then
 extended to its whole window and compared word by word, so hash collisions
 never count. Items shorter than a window use k = their own length and w = 1.
 
-Every word is hashed once and all window lengths are searched in one pass over
-the texts: a fingerprint carries its length. Windows travel under a number;
-the items that have them come last, to the documents that were hit.
+All window lengths are searched in one pass over the texts, which also counts
+the words; fingerprints of different lengths never meet. Windows travel under
+a number; the items that have them come last, to the documents that were hit.
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ from tidemark.operators.lookup import BROADCAST_BYTE_LIMIT, within_rows
 from tidemark.session import materialize
 
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: the same words before they are lower-cased
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 GRAM = 5
 #: tables of at most this many rows, and at most 64 MiB, are broadcast
@@ -41,11 +39,11 @@ def _at(array: Column, i: Column, shift: int) -> Column:
     return F.get(array, i + shift)
 
 
-def gram_hashes(hashes: Column, k: int) -> Column:
-    """Hash of each k consecutive words, from the words' hashes (NULL past the
-    end is never reached: the array is cut to the starts that have k words)."""
-    starts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - (k - 1), F.lit(0)))
-    return F.transform(starts, lambda x, i: F.xxhash64(F.lit(k), x, *[_at(hashes, i, j) for j in range(1, k)]))
+def gram_hashes(ws: Column, k: int) -> Column:
+    """Hash of each k consecutive words (NULL past the end is never reached:
+    the array is cut to the starts that have k words)."""
+    starts = F.slice(ws, F.lit(1), F.greatest(F.size(ws) - (k - 1), F.lit(0)))
+    return F.transform(starts, lambda x, i: F.xxhash64(x, *[_at(ws, i, j) for j in range(1, k)]))
 
 
 def winnow(hashes: Column, w: int) -> Column:
@@ -61,17 +59,20 @@ def shape(length: int) -> tuple[int, int]:
     return (GRAM, length - GRAM + 1) if length >= WINDOW else (length, 1)
 
 
-def _fingerprints(df: DataFrame, lengths: list[int], words_col: str = "__w") -> DataFrame:
+def _marked(k: int):
+    return lambda x: F.xxhash64(F.lit(k), x)
+
+
+def _fingerprints(df: DataFrame, lengths: list[int]) -> DataFrame:
     """``__m<n>``: the fingerprint of every window of n words, for each length
-    n. A length of k words alone gets its hash once more, so that fingerprints
-    of different lengths never meet."""
-    df = df.withColumn("__h", F.transform(F.col(words_col), lambda x: F.xxhash64(x)))
-    df = df.withColumns({f"__g{k}": gram_hashes(F.col("__h"), k) for k in sorted({shape(n)[0] for n in lengths})})
+    n. A length of k words alone gets its hash once more, so that it never
+    meets a gram of a longer window."""
+    df = df.withColumns({f"__g{k}": gram_hashes(F.col("__w"), k) for k in sorted({shape(n)[0] for n in lengths})})
     out = {}
     for n in lengths:
         k, w = shape(n)
-        out[f"__m{n}"] = winnow(F.col(f"__g{k}"), w) if n >= WINDOW else F.transform(f"__g{k}", lambda x: F.xxhash64(x))
-    return df.withColumns(out).drop("__h", *[c for c in df.columns if c.startswith("__g")])
+        out[f"__m{n}"] = winnow(F.col(f"__g{k}"), w) if n >= WINDOW else F.transform(f"__g{k}", _marked(k))
+    return df.withColumns(out).drop(*[c for c in df.columns if c.startswith("__g")])
 
 
 def _window_text(ws: Column, start: Column, length: int) -> Column:
@@ -119,50 +120,70 @@ def _meet(rows: DataFrame, table: DataFrame, on: list[str], spread: list[str], h
     return rows.join(salted, [*on, "__salt"], how).drop("__salt")
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(__k1, __k2, __start, __length, __wid)``, every occurrence of a
-    benchmark window in a document (by its content key), and ``(__wid,
-    __item)``, the items that have the window."""
-    sizes = benchmark.select(F.size(words(F.coalesce(F.col(item_text), F.lit("")))).alias("n"))
-    lengths = sorted(r.n for r in sizes.where(F.col("n") > 0).select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().collect())
-    d = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
-    d = d.select(*row_key(F.col("__id"), F.col("__t")), "__t")
-    if not lengths:  # at most WINDOW of them
-        wid = F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).alias("__wid")
-        none = d.where(F.lit(False))
-        return (none.select("__k1", "__k2", F.lit(0).alias("__start"), F.lit(0).alias("__length"), wid),
-                none.select(wid, F.lit("").alias("__item")))
-    windows, items = benchmark_windows(benchmark, lengths, item_col, item_text)
-    # 1: which documents share which fingerprints (hashes only, no text)
-    prints = windows.select("__m").distinct()
-    marked = _fingerprints(d.select("__k1", "__k2", words(F.col("__t")).alias("__w")), lengths)
-    marks = marked.select("__k1", "__k2", F.explode(F.array_distinct(F.concat(*[f"__m{n}" for n in lengths]))).alias("__m"))
-    shared = materialize(_meet(marks, prints, ["__m"], ["__k1", "__k2"]).groupBy("__k1", "__k2")
-                         .agg(F.collect_set("__m").alias("__hit")), name="bench-candidates")
-    # 2: extend the hits of those documents to whole windows, word by word
-    near = _meet(d, shared, ["__k1", "__k2"], ["__k2"])
-    near = _fingerprints(near.select("__k1", "__k2", "__hit", words(F.col("__t")).alias("__w")), lengths)
-    spots = near.select("__k1", "__k2", F.explode(_windows(near, lengths, F.col("__hit"))).alias("__x"))
-    spots = spots.select("__k1", "__k2", F.col("__x.s").alias("__start"), F.col("__x.n").alias("__length"),
-                         F.col("__x.m").alias("__m"), F.col("__x.t").alias("__text"))
-    found = _meet(spots, windows, ["__m", "__text"], ["__k1", "__k2"])
-    return found.select("__k1", "__k2", "__start", "__length", "__wid"), items
-
-
-def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per document content key: ``__n_hit`` words inside a benchmark window
-    and ``__items``, the sorted items; only documents with a hit."""
-    found, items = hits(docs, benchmark, id_col, text_col, item_col, item_text)
-    found = materialize(found, name="bench-hits")
-    spans = found.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("__start", "__length")).alias("__spans"))
-    covered = F.transform("__spans", lambda s: F.sequence(s["__start"], s["__start"] + s["__length"] - 1))
-    counts = spans.select("__k1", "__k2", F.size(F.array_distinct(F.flatten(covered))).cast("bigint").alias("__n_hit"))
-    named = _meet(found.select("__k1", "__k2", "__wid").distinct(), items, ["__wid"], ["__k1", "__k2"])
-    lists = named.select("__k1", "__k2", "__item").distinct().groupBy("__k1", "__k2").agg(
-        F.sort_array(F.collect_list("__item")).alias("__items"))
-    return counts.join(lists, ["__k1", "__k2"])
+def _every(lengths: list[int]) -> Column:
+    """The distinct fingerprints of all lengths."""
+    parts = [F.col(f"__m{n}") for n in lengths]
+    return F.array_distinct(F.concat(*parts) if len(parts) > 1 else parts[0])
+
+
+class Search:
+    """One search of the documents for the windows of a benchmark.
+
+    ``counts`` (with ``count=True``): ``doc_id, __k1, __k2, n_words`` of every
+    row. ``found``: ``__k1, __k2, __start, __length, __wid``, every occurrence
+    of a window in a document (by its content key). ``items``: ``__wid,
+    __item``, the items that have a window.
+    """
+
+    def __init__(self, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text: str = "text", count: bool = False):
+        sizes = benchmark.select(F.size(words(F.coalesce(F.col(item_text), F.lit("")))).alias("n"))
+        lengths = sorted(r.n for r in sizes.where(F.col("n") > 0).select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().collect())
+        d = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"))
+        d = d.select("doc_id", *row_key(F.col("doc_id"), F.col("__t")), "__t")
+        split = d.select("doc_id", "__k1", "__k2", words(F.col("__t")).alias("__w"))
+        n_words = F.size("__w").cast("bigint").alias("n_words")
+        if not lengths:  # at most WINDOW of them
+            wid = F.struct(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).alias("__wid")
+            none = d.where(F.lit(False))
+            self.counts = split.select("doc_id", "__k1", "__k2", n_words)
+            self.found = none.select("__k1", "__k2", F.lit(0).alias("__start"), F.lit(0).alias("__length"), wid)
+            self.items = none.select(wid, F.lit("").alias("__item"))
+            return
+        windows, self.items = benchmark_windows(benchmark, lengths, item_col, item_text)
+        # 1: which documents share which fingerprints (hashes only, no text);
+        # at place 0 stands a row for the document itself, with its number of words
+        prints = windows.select("__m", F.lit(True).alias("__in")).distinct()
+        marks = _fingerprints(split, lengths)
+        if count:
+            itself = F.array(F.xxhash64("__k1", "__k2"))
+            marks = marks.select("doc_id", "__k1", "__k2", n_words, F.posexplode(F.concat(itself, _every(lengths))).alias("__p", "__m"))
+            kept = _meet(marks, prints, ["__m"], ["__k1", "__k2"], "left").where("__p = 0 OR __in")
+            kept = materialize(kept.select("doc_id", "__k1", "__k2", "n_words", "__p", "__m"), name="bench-marks")
+            self.counts = kept.where("__p = 0").select("doc_id", "__k1", "__k2", "n_words")
+            marks = kept.where("__p > 0")
+        else:
+            marks = _meet(marks.select("__k1", "__k2", F.explode(_every(lengths)).alias("__m")), prints, ["__m"], ["__k1", "__k2"])
+        shared = materialize(marks.groupBy("__k1", "__k2").agg(F.collect_set("__m").alias("__hit")), name="bench-candidates")
+        # 2: extend the hits of those documents to whole windows, word by word
+        near = _meet(d, shared, ["__k1", "__k2"], ["__k2"])
+        near = _fingerprints(near.select("__k1", "__k2", "__hit", words(F.col("__t")).alias("__w")), lengths)
+        spots = near.select("__k1", "__k2", F.explode(_windows(near, lengths, F.col("__hit"))).alias("__x"))
+        spots = spots.select("__k1", "__k2", F.col("__x.s").alias("__start"), F.col("__x.n").alias("__length"),
+                             F.col("__x.m").alias("__m"), F.col("__x.t").alias("__text"))
+        found = _meet(spots, windows, ["__m", "__text"], ["__k1", "__k2"])
+        self.found = materialize(found.select("__k1", "__k2", "__start", "__length", "__wid"), name="bench-hits")
+
+    def overlaps(self) -> DataFrame:
+        """Per document content key: ``__n_hit`` words inside a benchmark
+        window and ``__items``, the sorted items; only documents with a hit."""
+        spans = self.found.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("__start", "__length")).alias("__spans"))
+        covered = F.transform("__spans", lambda s: F.sequence(s["__start"], s["__start"] + s["__length"] - 1))
+        counts = spans.select("__k1", "__k2", F.size(F.array_distinct(F.flatten(covered))).cast("bigint").alias("__n_hit"))
+        named = _meet(self.found.select("__k1", "__k2", "__wid").distinct(), self.items, ["__wid"], ["__k1", "__k2"])
+        lists = named.select("__k1", "__k2", "__item").distinct().groupBy("__k1", "__k2").agg(
+            F.sort_array(F.collect_list("__item")).alias("__items"))
+        return counts.join(lists, ["__k1", "__k2"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -175,11 +196,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     any length is searched whole; empty documents give an empty result, an
     empty benchmark no hits; other columns, whatever their names, are ignored.
     """
-    per_doc = materialize(overlaps(docs, benchmark, id_col, text_col, item_col, item_text), name="bench-overlaps")
-    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("__t"))
-    d = d.select("doc_id", *row_key(F.col("doc_id"), F.col("__t")),
-                 F.regexp_count("__t", F.lit(_WORD)).cast("bigint").alias("n_words"))
-    return _meet(d, per_doc, ["__k1", "__k2"], ["__k2"], "left").select(
+    search = Search(docs, benchmark, id_col, text_col, item_col, item_text, count=True)
+    per_doc = materialize(search.overlaps(), name="bench-overlaps")
+    return _meet(search.counts, per_doc, ["__k1", "__k2"], ["__k2"], "left").select(
         "doc_id", "n_words", F.coalesce("__n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce("__items", F.array().cast("array<string>")).alias("items"))
 
@@ -187,8 +206,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all its columns, without documents that hold a benchmark
     window (same defined cases as :func:`contamination`)."""
-    found, _ = hits(docs, benchmark, id_col, text_col)
-    per_doc = materialize(found.select("__k1", "__k2").distinct(), name="bench-dirty")
+    per_doc = materialize(Search(docs, benchmark, id_col, text_col).found.select("__k1", "__k2").distinct(), name="bench-dirty")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     d = docs.select(whole, F.col(f"`{id_col}`").alias("__id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"))
     d = d.select("__row", *row_key(F.col("__id"), F.col("__t")))
