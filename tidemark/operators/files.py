@@ -385,14 +385,15 @@ ON_EXISTS = ("error", "overwrite", "keep_both")
 
 def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int | None = None,
                       out_path: str | None = None, on_exists: str = "error",
-                      verify: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                      verify: bool = False, chunk_bytes: int = CHUNK_BYTES, stored: bool = False) -> DataFrame:
     """Run the copies (or moves) of every planned row with a ``new_path``.
     Copies of files of more than ``chunk_bytes`` (by the plan's ``length``) go
     by byte ranges: see :func:`copy_by_ranges`.
 
     The work list (paths only) is written to the shared folder first, so a
     retried task (lost executor) re-reads it and never the source listing,
-    whose files may already have moved. Its rows and bytes (``length``, where
+    whose files may already have moved (``stored``: the plan is such a written
+    table already). Its rows and bytes (``length``, where
     the plan has it) size the task count, unless ``num_partitions`` is given;
     rows are hash-spread by target path, so a folder holding a third of the
     files is spread over all tasks. The row size says nothing about the work
@@ -414,34 +415,30 @@ def execute_transfers(plan: DataFrame, mode: str = "copy", num_partitions: int |
         if name not in todo.columns:
             todo = todo.withColumn(name, F.lit(None).cast(kind))
     out = out_path or shared_path(spark, "outcomes")
-    work = materialize(todo.select("path", "new_path", "folder", F.col("length").cast("long").alias("length")),
-                       out.rstrip("/") + "__work")
-    # Two sources for one target: such rows are reported as failed, neither is
-    # moved. Claims are counted once, with a partial aggregate; the contested
-    # targets are normally none, and then no join is needed.
-    contested = materialize(work.groupBy("new_path").agg(F.count(F.lit(1)).alias("_claims"))
-                            .filter(F.col("_claims") > 1).select("new_path"), out.rstrip("/") + "__contested")
-    size = work.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"), F.max("length").alias("most")).first()
+    work = todo.select("path", "new_path", "folder", F.col("length").cast("long").alias("length"))
+    if not stored:
+        work = materialize(work, out.rstrip("/") + "__work")
+    size = work.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"), F.max("length").alias("most"),
+                    F.count_distinct("new_path").alias("targets")).first()
     n = num_partitions or max(1, -(-size["n"] // FILES_PER_TASK), -(-(size["b"] or 0) // BYTES_PER_TASK))
     ship_package(spark)
     run = _runner(mode, on_exists, verify)
-    clear = work
-    if not contested.isEmpty():
+    clear, outcomes = work, []
+    if size["targets"] < size["n"]:
+        # two sources for one target: such rows are reported as failed, neither is moved
+        contested = materialize(work.groupBy("new_path").agg(F.count(F.lit(1)).alias("_claims"))
+                                .filter(F.col("_claims") > 1).select("new_path"), out.rstrip("/") + "__contested")
         contested = bounded_broadcast(contested)
         clear = work.join(contested, "new_path", "left_anti")
-    outcomes = []
+        outcomes.append(work.join(contested, "new_path", "left_semi").select(
+            "path", "new_path", "folder", F.lit(False).alias("ok"), F.lit(0).cast("long").alias("bytes"),
+            F.lit(None).cast("string").alias("checksum"), F.lit("target claimed by more than one source").alias("error")))
     large = F.coalesce(F.col("length") > chunk_bytes, F.lit(False))
     if mode == "copy" and (size["most"] or 0) > chunk_bytes:
         outcomes.append(copy_by_ranges(clear.filter(large), chunk_bytes, on_exists, out.rstrip("/")))
         clear = clear.filter(~large)
     outcomes.append(clear.repartition(n, "new_path").mapInPandas(run, OUTCOME_SCHEMA))
-    if clear is work:
-        return materialize(outcomes[0], out)
-    collided = work.join(contested, "new_path", "left_semi").select(
-        "path", "new_path", "folder", F.lit(False).alias("ok"), F.lit(0).cast("long").alias("bytes"),
-        F.lit(None).cast("string").alias("checksum"),
-        F.lit("target claimed by more than one source").alias("error"))
-    return materialize(reduce(DataFrame.unionByName, [*outcomes, collided]), out)
+    return materialize(reduce(DataFrame.unionByName, outcomes), out)
 
 
 def counts_per_folder(outcomes: DataFrame) -> DataFrame:

@@ -166,8 +166,8 @@ def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_p
         log_folders(records, history_path, fmt, unit)
         return records
     listed = manifest is None
-    if listed:  # written once: the plan and the folder list see the same tree
-        manifest = materialize(list_tree(spark, source_dir), f"{work}/listing")
+    if listed:  # a written table: the plan and the folder list see the same tree
+        manifest = list_tree(spark, source_dir)
     history = history if history is not None else read_history(spark, history_path, fmt)
     plan = materialize(stage_plan(manifest, history, source_dir, target_dir, layout),
                        f"{work}/plan")
@@ -180,7 +180,7 @@ def run_staging(spark: SparkSession, source_dir: str, target_dir: str, history_p
         require_inside(manifest, source_dir)
         none = spark.createDataFrame([], HISTORY_SCHEMA)
         return materialize(none, f"{work}/records") if resume else none
-    outcomes = execute_transfers(plan, "copy", num_partitions, f"{work}/outcomes", on_exists)
+    outcomes = execute_transfers(plan, "copy", num_partitions, f"{work}/outcomes", on_exists, stored=True)
     counts = folders.join(counts_per_folder(outcomes), "folder", "left").fillna(
         0, ["total_files_processed", "files_failed"])
     records = materialize(history_records(counts, source_dir, target_dir, as_of), f"{work}/records")
