@@ -121,3 +121,15 @@ def test_schema_text_roundtrip():
     st = StructType([StructField("id", LongType(), True)])
     assert T.schema_text(st) == str(st)
     assert "'" not in T.prepare_schema_str(st)
+
+
+def test_canonical_fingerprint_of_nested_rows(spark):
+    from tidemark.functions.fingerprint import canonical_fingerprint
+
+    kind = "id int, m map<string,double>, s struct<a:array<map<int,string>>,b:float>, n map<string,map<string,int>>"
+    one = spark.createDataFrame([(1, {"a": 0.0, "b": 2.5}, ([{1: "x", 2: "y"}], 0.0), {"p": {"q": 1, "r": 2}})], kind)
+    two = spark.createDataFrame([(1, {"b": 2.5, "a": -0.0}, ([{2: "y", 1: "x"}], -0.0), {"p": {"r": 2, "q": 1}})], kind)
+    other = spark.createDataFrame([(1, {"b": 2.5, "a": 1.0}, ([{2: "y", 1: "x"}], -0.0), {"p": {"r": 2, "q": 1}})], kind)
+    none = spark.createDataFrame([(1, None, None, None), (1, {}, ([], None), {})], kind)
+    h = lambda df: [r[0] for r in df.select(canonical_fingerprint(df)).collect()]
+    assert h(one) == h(two) != h(other) and len(set(h(none) + h(one))) == 3

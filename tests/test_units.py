@@ -132,6 +132,54 @@ def test_retries_read_what_is_open_and_the_batches_since(spark, scratch, monkeyp
 from tidemark.session import materialize as _materialize  # noqa: E402
 
 
+# -- a history table bucketed by folder -------------------------------------------
+
+def _exchanges(df):
+    """Names of the tables (or else "rows") below each shuffle of the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    out = []
+    for i, line in enumerate(plan):
+        if " Exchange hashpartitioning" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            below = []
+            for later in plan[i + 1:]:
+                if len(later) - len(later.lstrip(" :+-")) <= depth:
+                    break
+                below.append(later)
+            out.append("\n".join(below))
+    return out
+
+
+def test_a_bucketed_history_is_not_shuffled(spark, scratch):
+    from tidemark.operators.lookup import unprocessed_folders
+
+    name = "tidemark_test_bucketed_history"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_history(spark, f"{scratch}/hist", name=name, buckets=16)
+    rows = spark.range(500).select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("source_folder", "files_failed")
+                                     else (F.concat(F.lit("d"), "id") if f.name == "source_folder" else F.lit(0).cast("long")).alias(f.name)
+                                     for f in HISTORY_SCHEMA.fields])
+    for _ in range(2):  # the unit is logged again: nothing doubles
+        log_folders(rows, name, "table", unit="u1")
+    log_folders(rows.limit(1).withColumn("source_folder", F.lit("more")), name, "table", unit="u2")
+    history = read_history(spark, name, "table")
+    assert history.count() == 501 and history.columns == HISTORY_SCHEMA.fieldNames()
+    folders = spark.range(400, 600).select(F.concat(F.lit("d"), "id").alias("folder"))
+    todo = unprocessed_folders(folders, history, max_broadcast_rows=0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert todo.count() == 100
+        below = _exchanges(unprocessed_folders(folders, history, max_broadcast_rows=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert below and not any("Scan parquet" in b for b in below)
+    _put(f"{scratch}/in/d5/IM1"), _put(f"{scratch}/in/new/IM1")
+    run_staging(spark, f"{scratch}/in", f"{scratch}/out", name, fmt="table")
+    assert read_history(spark, name, "table").where("source_folder = 'new'").count() == 1
+    assert not os.path.exists(f"{scratch}/out/d5")
+    spark.sql(f"DROP TABLE {name}")
+
+
 # -- listing --------------------------------------------------------------------
 
 def _tree(root):
