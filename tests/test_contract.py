@@ -23,7 +23,8 @@ def oracle_sql():
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 # writing stages run Python on executors by design; all others must stay JVM-side
-EFFECT_QUERIES = {"history_run", "move_and_verify", "incremental_ingest", "staged_contents", "bronze_job"}
+EFFECT_QUERIES = {"history_run", "move_and_verify", "incremental_ingest", "staged_contents", "bronze_job", "history_exactly_once",
+                  "tree_listing", "ranged_copies", "landing_files", "typed_appends"}
 
 
 def test_entry_runs(spark):
