@@ -17,7 +17,8 @@ import warnings
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 warnings.filterwarnings("ignore")
 
-EFFECT_QUERIES = {"history_run", "move_and_verify", "incremental_ingest", "staged_contents", "bronze_job"}
+EFFECT_QUERIES = {"history_run", "move_and_verify", "incremental_ingest", "staged_contents", "bronze_job", "history_exactly_once",
+                  "tree_listing", "ranged_copies", "landing_files"}
 
 
 def main(argv):
