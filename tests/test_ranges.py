@@ -90,3 +90,31 @@ def test_existing_targets(spark, scratch, policy):
         assert _data(out["b"]["new_path"]) == _data(f"{scratch}/in/b")
     if policy == "error":
         assert out["b"]["error"] == "target exists with other content" and not _parts(scratch)
+
+
+def test_a_finished_file_replaces_what_an_earlier_attempt_left(scratch):
+    import pyarrow.fs as pafs
+
+    from tidemark.session import put_in_place
+
+    class Strict:
+        """A store that refuses to rename onto a file."""
+
+        fs = pafs.LocalFileSystem()
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def move(self, a, b):
+            if os.path.exists(b):
+                raise OSError("exists")
+            self.fs.move(a, b)
+
+    for fs in (pafs.LocalFileSystem(), Strict()):
+        for name, data in (("t", b"old"), ("tmp", b"new")):
+            with open(f"{scratch}/{name}", "wb") as f:
+                f.write(data)
+        put_in_place(fs, f"{scratch}/tmp", f"{scratch}/t")
+        assert _data(f"{scratch}/t") == b"new" and not os.path.exists(f"{scratch}/tmp")
+    with pytest.raises(OSError):
+        put_in_place(Strict(), f"{scratch}/missing", f"{scratch}/nowhere/t")

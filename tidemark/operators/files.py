@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import paths as P
 from tidemark.operators.lookup import bounded_broadcast
-from tidemark.session import TEMP_PREFIX, default_parallelism, materialize, resolve_path, shared_path, ship_package
+from tidemark.session import (TEMP_PREFIX, default_parallelism, materialize, put_in_place, resolve_path, shared_path,
+                              ship_package)
 
 OUTCOME_SCHEMA = "path string, new_path string, folder string, ok boolean, bytes long, checksum string, error string"
 
@@ -308,7 +309,7 @@ def _put_together(resolve, src: str, dst: str, length: int, mark: str, shas: lis
                 if own.hexdigest() != sha:
                     dst_fs.delete_file(part)  # the next run copies it again
                     raise OSError(f"part {k} of {src} is damaged")
-        dst_fs.move(tmp, dst_path)
+        put_in_place(dst_fs, tmp, dst_path)
     except BaseException:
         if dst_fs.get_file_info(tmp).type == pafs.FileType.File:
             dst_fs.delete_file(tmp)

@@ -209,6 +209,21 @@ def resolve_path(path: str):
     return pafs.FileSystem.from_uri(f"{scheme}://{netloc}/{quote(inner, safe='/')}")
 
 
+def put_in_place(fs, temp: str, target: str) -> None:
+    """Rename a finished temporary file onto its target, which an earlier
+    attempt of the same work may have left there (some stores refuse to rename
+    onto a file)."""
+    import pyarrow.fs as pafs
+
+    try:
+        fs.move(temp, target)
+    except OSError:
+        if fs.get_file_info(target).type != pafs.FileType.File:
+            raise
+        fs.delete_file(target)
+        fs.move(temp, target)
+
+
 def qualify(spark: SparkSession, path: str) -> str:
     """The path with its store spelled out, as the session's file systems
     resolve it: scheme-less and relative paths get the default store, doubled

@@ -175,7 +175,7 @@ def _row_writer(root: str, overwrite: bool):
         import pyarrow.fs as pafs
 
         from tidemark.operators.files import _checksum
-        from tidemark.session import TEMP_PREFIX, resolve_path
+        from tidemark.session import TEMP_PREFIX, put_in_place, resolve_path
 
         fs, base = resolve_path(root)
         made, done = set(), []
@@ -216,7 +216,7 @@ def _row_writer(root: str, overwrite: bool):
                         same = info.type == pafs.FileType.File and info.size == size and _checksum(fs, target) == digest.hexdigest()
                         fault = "" if same else "target exists with other content"
                     if fault is None:
-                        fs.move(temp, target)
+                        put_in_place(fs, temp, target)
                     else:
                         fs.delete_file(temp)
             except Exception as e:
