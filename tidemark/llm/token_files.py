@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import key_text, python_stage
-from tidemark.session import TEMP_PREFIX, default_parallelism, materialize, qualify, resolve_path, shared_path
+from tidemark.session import (TEMP_PREFIX, default_parallelism, materialize, put_in_place, qualify, resolve_path,
+                              shared_path)
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -241,7 +242,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER,
             writer.close()
             out.close()
             name = f"part-{part:06d}-{len(made):05d}.ids"
-            store.move(temp, f"{base}/{name}")
+            put_in_place(store, temp, f"{base}/{name}")
             size = store.get_file_info(f"{base}/{name}").size
             made.append((part, len(made), f"{root}/{name}", size, len(writer.docs[0]), writer.ids))
             out = writer = None
