@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -100,6 +101,27 @@ def test_two_levels_are_bounded_by_leaf_items_and_count_parents_once(spark):
         assert r["most"] < 5 * bound
 
 
+def test_small_keys_are_cut_where_they_meet(spark):
+    """Many keys just over the bound: each row is shuffled once, parts are
+    numbered without gaps and hold no more than the bound; a key that no task
+    should hold goes over several tasks in the same call."""
+    child = spark.range(3000).select(F.pmod("id", F.lit(400)).alias("k"), F.col("id").alias("v"))
+    plan = nest(child, ["k"], ["v"], "items", max_items=3).groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1, plan
+    child = child.unionByName(spark.range(12_000).select(F.lit(-1).cast("long").alias("k"), F.col("id").alias("v")))
+    child = child.unionByName(spark.range(7).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("v")))
+    docs = nest(child, ["k"], ["v"], "items", max_items=3)
+    keys = docs.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("part").alias("last"), F.sum(F.size("items")).alias("items"),
+                                 F.max(F.size("items")).alias("most"), F.count_distinct("part").alias("parts")).collect()
+    assert len(keys) == 402
+    for r in keys:
+        assert r["n"] == r["parts"] == r["last"] + 1
+        if r["k"] != -1:
+            assert r["most"] <= 3 and r["n"] == -(-r["items"] // 3)
+    back = docs.select("k", F.explode("items.v").alias("v"))
+    assert back.exceptAll(child).isEmpty() and child.exceptAll(back).isEmpty()
+
+
 def test_extract_tags(spark):
     df = spark.createDataFrame([('{"k": 5, "m": "x"}',), ("not json",)], "t string")
     out = extract_tags(df, "t", "k int, m string", {"k_text": "$.k"}).collect()

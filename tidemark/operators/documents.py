@@ -4,11 +4,13 @@ Nesting is a regroup, so it shuffles; the rest is narrow. A key that owns a
 huge share of the rows (one patient with a third of all studies) must not
 become one giant row in one task, so :func:`nest` splits such keys into
 numbered parts: counts per key are pre-aggregated (map-side partial
-aggregation, key columns only), keys over ``max_items`` get
-``ceil(n / max_items)`` parts and their items are dealt to the parts by a hash
-of the row's number (equal items spread like any others), so a hot key's parts
-land in different tasks, whatever its items. NULL is a key like any other. Every
-item is kept; nothing is capped or sampled.
+aggregation, key columns only), and keys over ``max_items`` get about
+``ceil(n / max_items)`` parts. A key of up to ``TASK_ITEMS`` items is numbered
+and cut where its rows meet anyway, whatever the number of such keys. The items
+of a larger one are dealt to the parts by a hash of the row's number (equal
+items spread like any others), so a hot key's parts land in different tasks,
+whatever its items; there are at most rows / ``TASK_ITEMS`` such keys. NULL is
+a key like any other. Every item is kept; nothing is capped or sampled.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from tidemark.session import materialize, shared_path
 
 PART_COL = "part"
 DEFAULT_MAX_ITEMS = 10_000
+#: A key of more items than this (and than the bound) is spread over tasks.
+TASK_ITEMS = 10_000
 
 
 def extract_tags(df: DataFrame, json_col: str, schema: StructType | str | None = None,
@@ -54,15 +58,18 @@ def heavy_keys(counts: DataFrame, key_cols, max_items: int = DEFAULT_MAX_ITEMS)
 
 def nest(child: DataFrame, key_cols, item_cols, items_name: str, max_items: int = DEFAULT_MAX_ITEMS,
          sort_items: bool = True, counts: DataFrame | None = None,
-         heavy: DataFrame | None = None) -> DataFrame:
+         heavy: DataFrame | None = None, weight=None) -> DataFrame:
     """One row per key (per part of a heavy key) with an array of item structs.
 
     Output: ``key_cols..., part, <items_name>``. ``part`` is 0 for ordinary
-    keys; a key with more than ``max_items`` items is split over
-    ``ceil(n / max_items)`` parts (hash-spread, about ``max_items`` each).
+    keys; a key with more than ``max_items`` items is split over about
+    ``ceil(n / max_items)`` parts, numbered from 0 without gaps (about
+    ``max_items`` items each, never twice as many where the key is no larger
+    than ``TASK_ITEMS``).
     Per-key item counts (``counts``: ``key_cols..., _n``) or the heavy-key
     table itself (``heavy``, from :func:`heavy_keys`) may be passed when the
-    caller knows them more cheaply than a count over ``child``.
+    caller knows them more cheaply than a count over ``child``; ``weight`` is
+    how many items a row of ``child`` counts for in them (default: one).
     """
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     item_cols = list(item_cols)
@@ -70,28 +77,49 @@ def nest(child: DataFrame, key_cols, item_cols, items_name: str, max_items: int
         if counts is None:
             counts = child.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
         heavy = heavy_keys(counts, key_cols, max_items)
-    tagged = child.select(*key_cols, *item_cols)
-    if heavy.isEmpty():  # the usual case: no join, one scan
-        tagged = tagged.withColumn(PART_COL, F.lit(0))
-    else:
-        named = heavy.select(*[F.col(k).alias(f"_h_{k}") for k in key_cols], "_parts")
-        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in key_cols])
-        joined = tagged.join(named, same, "left").drop(*[f"_h_{k}" for k in key_cols])
-        light = joined.filter(F.col("_parts").isNull()).drop("_parts").withColumn(PART_COL, F.lit(0))
-        hot = joined.filter(F.col("_parts").isNotNull())
-        # the slot is drawn per row, so equal items spread too; it is written at once and never drawn again
-        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")).cast("int")
-        hot = materialize(hot.withColumn("_slot", part).select(*key_cols, *item_cols, "_slot"),
-                          shared_path(child.sparkSession, "heavy-rows"))
-        tagged = light.unionByName(_number_parts(hot, key_cols).select(*light.columns))
     items = F.collect_list(F.struct(*[F.col(c) for c in item_cols]))
     if sort_items:
         items = F.sort_array(items)
-    # Shuffle the compact rows once by (key, part) and build each list in one
+    rows = child.select(*key_cols, *item_cols, (F.lit(1) if weight is None else weight).cast("long").alias("_weight"))
+    in_task = (F.col("_parts") - 1) * F.lit(max_items) < F.lit(max(max_items, TASK_ITEMS))
+    cut = not heavy.filter(in_task).isEmpty()
+    giants = heavy.filter(~in_task)
+    if giants.isEmpty():  # the usual case: no join, one scan
+        return _nest_in_tasks(rows, key_cols, item_cols, items, items_name, max_items, cut, sort_items)
+    named = bounded_broadcast(giants.select(*[F.col(k).alias(f"_h_{k}") for k in key_cols], "_parts"))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in key_cols])
+    joined = rows.join(named, same, "left").drop(*[f"_h_{k}" for k in key_cols])
+    light = joined.filter(F.col("_parts").isNull()).drop("_parts")
+    hot = joined.filter(F.col("_parts").isNotNull())
+    # the slot is drawn per row, so equal items spread too; it is written at once and never drawn again
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")).cast("int")
+    hot = materialize(hot.withColumn("_slot", part).select(*key_cols, *item_cols, "_slot"),
+                      shared_path(child.sparkSession, "heavy-rows"))
+    spread = _number_parts(hot, key_cols).repartition(*[F.col(c) for c in key_cols], F.col(PART_COL))
+    return _nest_in_tasks(light, key_cols, item_cols, items, items_name, max_items, cut, sort_items).unionByName(
+        spread.groupBy(*key_cols, PART_COL).agg(items.alias(items_name)))
+
+
+def _nest_in_tasks(rows: DataFrame, key_cols: list[str], item_cols: list[str], items, items_name: str,
+                   max_items: int, cut: bool, sort_items: bool) -> DataFrame:
+    """:func:`nest` of keys that each fit into a task. With ``cut``, a key of
+    more than ``max_items`` items goes over to its next part wherever the rows
+    before make up a multiple of the bound."""
+    # Shuffle the compact rows once by key alone and build each list in one
     # place: a map-side partial collect_list cannot shrink anything, it only
-    # serializes per-task list buffers through the shuffle.
-    clustered = tagged.repartition(*[F.col(c) for c in key_cols], F.col(PART_COL))
-    return clustered.groupBy(*key_cols, PART_COL).agg(items.alias(items_name))
+    # serializes per-task list buffers through the shuffle. The documents stay
+    # partitioned by key, so a join or an aggregate by it moves nothing again.
+    clustered = rows.repartition(*[F.col(c) for c in key_cols])
+    if not cut:
+        docs = clustered.groupBy(*key_cols).agg(items.alias(items_name))
+        return docs.select(*key_cols, F.lit(0).alias(PART_COL), items_name)
+    order = F.xxhash64(*item_cols) if sort_items else F.monotonically_increasing_id()
+    before = Window.partitionBy(*key_cols).orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
+    # no row counts for more than the bound, so no part is left out
+    sum_before = F.coalesce(F.sum(F.least(F.col("_weight"), F.lit(max_items))).over(before), F.lit(0))
+    numbered = clustered.withColumn("_order", order).withColumn(
+        PART_COL, F.floor(sum_before / F.lit(max_items)).cast("int"))
+    return numbered.groupBy(*key_cols, PART_COL).agg(items.alias(items_name))
 
 
 def _number_parts(hot: DataFrame, key_cols: list[str]) -> DataFrame:
@@ -137,7 +165,8 @@ def nest_two_levels(parent: DataFrame, child: DataFrame, parent_key: str, child_
                     .groupBy(doc_key)
                     .agg(F.sum(F.coalesce(F.col("_n"), F.lit(1))).cast("long").alias("_n")))
     parent_cols = [c for c in with_children.columns if c != doc_key]
-    return nest(with_children, [doc_key], parent_cols, parent_items, max_items, counts=outer_counts)
+    return nest(with_children, [doc_key], parent_cols, parent_items, max_items, counts=outer_counts,
+                weight=F.greatest(F.size(child_items), F.lit(1)))
 
 
 def flatten(docs: DataFrame, array_col: str, keep=None) -> DataFrame:
