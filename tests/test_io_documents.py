@@ -101,6 +101,16 @@ def test_two_levels_are_bounded_by_leaf_items_and_count_parents_once(spark):
         assert r["most"] < 5 * bound
 
 
+def test_ndjson_is_written_compressed(spark, scratch):
+    docs = spark.range(2000).select(F.col("id").alias("a_rather_long_name"), F.lit(None).cast("string").alias("nothing"))
+    write_ndjson(docs, f"{scratch}/nd")
+    files = [f for f in os.listdir(f"{scratch}/nd") if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    line = spark.read.text(f"{scratch}/nd").orderBy("value").first()["value"]
+    assert json.loads(line) == {"a_rather_long_name": 0, "nothing": None}
+    assert read_documents(spark, f"{scratch}/nd", docs.schema).drop("_corrupt_record").exceptAll(docs).isEmpty()
+
+
 def test_small_keys_are_cut_where_they_meet(spark):
     """Many keys just over the bound: each row is shuffled once, parts are
     numbered without gaps and hold no more than the bound; a key that no task

@@ -65,9 +65,12 @@ def land_json(df: DataFrame, directory: str, api_col: str, symbol_col: str, ts_c
     out.write.mode(mode).partitionBy(api_col).json(directory)
 
 
-def write_ndjson(df: DataFrame, directory: str, mode: str = "overwrite") -> None:
-    """One JSON document per line, null fields written out."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(directory)
+def write_ndjson(df: DataFrame, directory: str, mode: str = "overwrite", compression: str = "gzip") -> None:
+    """One JSON document per line, null fields written out. The text repeats
+    every field name in every document, so it is written compressed; Spark's
+    readers unpack it by the file names."""
+    (df.write.mode(mode).option("ignoreNullFields", "false").option("compression", compression)
+     .option("zlib.compress.level", "BEST_SPEED").json(directory))
 
 
 FILE_OUTCOME_SCHEMA = "path string, ok boolean, bytes long, error string"
