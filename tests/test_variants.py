@@ -1,6 +1,7 @@
 """Documents without a given schema."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -52,3 +53,18 @@ def test_other_columns_stay(spark):
     df = _lines(spark, {"a": 1}).withColumn("source", F.lit("s"))
     docs, _ = parse_variants(df, "value")
     assert as_columns(docs).collect()[0].asDict() == {"source": "s", "a": 1}
+
+
+def test_broken_lines_beside_compressed_documents(spark, scratch):
+    """Documents and broken lines, as the registered query writes them: both
+    compressed, both read as lines."""
+    from tidemark.sinks.writers import write_ndjson
+
+    docs = spark.range(300).select(F.col("id").alias("a"), F.array(F.struct(F.col("id").alias("b"))).alias("l"))
+    write_ndjson(docs, f"{scratch}/x")
+    spark.range(7).select(F.concat(F.lit('{"a": '), "id", F.lit(', "l": [{'))).write.mode("append").option("compression", "gzip").text(f"{scratch}/x")
+    assert all(f.endswith(".gz") for f in os.listdir(f"{scratch}/x") if f.startswith("part-"))
+    found, bad = read_variants(spark, f"{scratch}/x")
+    rows = flatten_found(as_columns(found))["l"].select("a", "b").collect()
+    assert sorted(map(tuple, rows)) == [(i, i) for i in range(300)]
+    assert sorted(r["line"] for r in bad.collect()) == ['{"a": %d, "l": [{' % i for i in range(7)]

@@ -744,7 +744,7 @@ def q_variant_documents(spark, sf_dir):
     path = shared_path(spark, "documents-variant")
     write_ndjson(_order_documents(spark, sf_dir), path)
     broken = table(spark, sf_dir, "customer").select(F.concat(F.lit('{"o_custkey": '), "c_custkey", F.lit(', "orders": [{')))
-    broken.write.mode("append").text(path)
+    broken.write.mode("append").option("compression", "gzip").text(path)
     docs, bad = read_variants(spark, path)
     lines = flatten_found(as_columns(docs))["orders.lines"]
     lost = bad.agg(F.count(F.lit(1)).alias("rejects"))
