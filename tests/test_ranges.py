@@ -74,6 +74,36 @@ def test_a_failed_chunk_is_taken_up_by_the_next_run(spark, scratch, monkeypatch)
     assert os.listdir(f"{scratch}/out") == ["big"]
 
 
+def test_small_ranges_share_a_part(spark, scratch, monkeypatch):
+    """Ranges far below PART_BYTES: one part file for many of them, a ledger row
+    and a checksum for each; a part that is there is not copied again, and one
+    whose bytes changed is."""
+    monkeypatch.setattr(files, "PART_BYTES", 1000)
+    plan = _plan(spark, scratch, {"a": 7300, "b": 900, "c": 7300})
+    seen = []
+    monkeypatch.setattr(files, "_together_runner", lambda *a, f=files._together_runner: seen.append(_parts(scratch)) or f(*a))
+    path = list_tree(spark, f"{scratch}/in").filter(F.col("path").endswith("/c")).head()["path"]
+    mark = hashlib.sha256(f"{path}|{scratch}/out/c|7300|{os.stat(f'{scratch}/in/c').st_mtime_ns}".encode()).hexdigest()[:24]
+    for k, data in ((0, _data(f"{scratch}/in/c")[:1000]), (2, bytes(1000))):  # the second one is not what its name says
+        shas = [hashlib.sha256(_data(f"{scratch}/in/c")[s:s + 500]).hexdigest() for s in (k * 500, k * 500 + 500)]
+        os.makedirs(f"{scratch}/out/._tidemark-tmp-parts-{mark}", exist_ok=True)
+        with open(f"{scratch}/out/._tidemark-tmp-parts-{mark}/{k:08d}-{hashlib.sha256(''.join(shas).encode()).hexdigest()}", "wb") as f:
+            f.write(data)
+    before = _parts(scratch)
+    out = {r["path"].rpartition("/")[2]: r for r in execute_transfers(plan, "copy", out_path=f"{scratch}/o", chunk_bytes=500).collect()}
+    for name, r in out.items():
+        assert r["ok"] and _data(f"{scratch}/out/{name}") == _data(f"{scratch}/in/{name}")
+        assert r["checksum"] == hashlib.sha256(_data(f"{scratch}/in/{name}")).hexdigest()
+    assert len(seen[0]) == 8 + 1 + 8  # 15, 2 and 15 ranges
+    assert [seen[0][p] == t for p, t in sorted(before.items())] == [True, False]
+    ledger = spark.read.parquet(f"{scratch}/o__chunks-0")
+    assert ledger.count() == ledger.select("path", "k").distinct().count() == 15 + 2 + 15
+    data = _data(f"{scratch}/in/a")
+    assert {r["k"]: r["sha256"] for r in ledger.where("path LIKE '%/a'").collect()} == {
+        k: hashlib.sha256(data[k * 500:k * 500 + 500]).hexdigest() for k in range(15)}
+    assert sorted(os.listdir(f"{scratch}/out")) == ["a", "b", "c"]
+
+
 @pytest.mark.parametrize("policy", files.ON_EXISTS)
 def test_existing_targets(spark, scratch, policy):
     plan = _plan(spark, scratch, {"a": 3 * CHUNK, "b": 3 * CHUNK})

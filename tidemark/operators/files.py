@@ -199,21 +199,22 @@ def _runner(mode: str, on_exists: str, verify: bool):
 CHUNK_SCHEMA = "path string, new_path string, k long, ok boolean, same boolean, sha256 string, mark string, task int, error string"
 #: how often a chunk is tried in one run
 CHUNK_TRIES = 3
+#: Neighbouring chunks of a file share a part up to so many bytes.
+PART_BYTES = 1 << 20
 
 
-def _range_sha(fs, path: str, start: int, size: int, out=None) -> str:
-    """SHA-256 of a byte range, which also goes to ``out``."""
+def _range_sha(f, start: int, size: int, out=None) -> str:
+    """SHA-256 of a byte range of an open file, which also goes to ``out``."""
     digest, left = hashlib.sha256(), size
-    with fs.open_input_file(path) as f:
-        f.seek(start)
-        while left:
-            data = f.read(min(_CHUNK, left))
-            if not data:
-                raise EOFError(f"{path} ends {left} bytes early")
-            digest.update(data)
-            if out is not None:
-                out.write(data)
-            left -= len(data)
+    f.seek(start)
+    while left:
+        data = f.read(min(_CHUNK, left))
+        if not data:
+            raise EOFError(f"the file ends {left} bytes early")
+        digest.update(data)
+        if out is not None:
+            out.write(data)
+        left -= len(data)
     return digest.hexdigest()
 
 
@@ -221,65 +222,90 @@ def _parts_folder(target: str, mark: str) -> str:
     return f"{target.rpartition('/')[0]}/{TEMP_PREFIX}parts-{mark}"
 
 
-def _copy_chunk(resolve, src: str, dst: str, length: int, k: int, start: int, size: int, on_exists: str):
-    """One byte range as a part file named by number and checksum, beside the
-    target; ``(ok, same, sha256, mark, error)``. ``mark`` names this state of
-    the source, so parts of an older one are never taken up. A part that is
-    there already is not copied again; where the target exists, its range is
-    compared first."""
+def _part_path(folder: str, k: int, shas: list) -> str:
+    """A part's file, named by its first chunk and the checksum of its chunk
+    or, where it holds several, of their checksums."""
+    return f"{folder}/{k:08d}-{shas[0] if len(shas) == 1 else hashlib.sha256(''.join(shas).encode()).hexdigest()}"
+
+
+def _copy_part(resolve, src: str, dst: str, length: int, k: int, chunks: list, on_exists: str):
+    """Neighbouring byte ranges ``(start, size)`` of a file, of which chunk
+    ``k`` is the first, as one part file beside the target; of each ``(ok,
+    same, sha256, mark, error)``. ``mark`` names this state of the source, so
+    parts of an older one are never taken up. A part that is there already is
+    not copied again; where the target exists, its ranges are compared first.
+    Creating files is what small ranges cost, so a part holds many of them."""
     import pyarrow.fs as pafs
 
     src_fs, src_path = resolve(src)
     dst_fs, dst_path = resolve(dst)
     source, target = src_fs.get_file_info([src_path])[0], dst_fs.get_file_info([dst_path])[0]
     if source.type != pafs.FileType.File or source.size != length:
-        return False, False, None, "", f"source changed or not found: {src}"
+        return [(False, False, None, "", f"source changed or not found: {src}")] * len(chunks)
     mark = hashlib.sha256(f"{src}|{dst}|{length}|{source.mtime_ns}".encode()).hexdigest()[:24]
     if target.type != pafs.FileType.NotFound and (on_exists == "error" or target.type != pafs.FileType.File):
         # compared range by range; where any differs the file is refused as a whole
         if target.type != pafs.FileType.File or target.size != length:
-            return True, False, None, mark, None
-        sha = _range_sha(src_fs, src_path, start, size)
-        return True, sha == _range_sha(dst_fs, dst_path, start, size), sha, mark, None
+            return [(True, False, None, mark, None)] * len(chunks)
+        with src_fs.open_input_file(src_path) as f, dst_fs.open_input_file(dst_path) as g:
+            shas = [(_range_sha(f, *c), _range_sha(g, *c)) for c in chunks]
+        return [(True, ours == theirs, ours, mark, None) for ours, theirs in shas]
     folder = _parts_folder(dst_path, mark)
     for i in dst_fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
-        if i.base_name.startswith(f"{k:08d}-") and i.type == pafs.FileType.File and i.size == size:
-            return True, False, i.base_name[9:], mark, None
+        if i.base_name.startswith(f"{k:08d}-") and i.type == pafs.FileType.File and i.size == sum([size for _, size in chunks]):
+            shas = [i.base_name[9:]]  # of one chunk: read when the file is put together
+            if len(chunks) > 1:
+                with dst_fs.open_input_file(i.path) as f:
+                    shas = [_range_sha(f, start - chunks[0][0], size) for start, size in chunks]
+            if _part_path(folder, k, shas) == f"{folder}/{i.base_name}":
+                return [(True, False, sha, mark, None) for sha in shas]
     resolve.make_parent(dst_fs, f"{folder}/x")
     tmp = f"{folder}/{TEMP_PREFIX}{uuid.uuid4().hex}"
     try:
-        with dst_fs.open_output_stream(tmp) as out:
-            sha = _range_sha(src_fs, src_path, start, size, out)
-        dst_fs.move(tmp, f"{folder}/{k:08d}-{sha}")
+        with src_fs.open_input_file(src_path) as f, dst_fs.open_output_stream(tmp) as out:
+            shas = [_range_sha(f, *c, out) for c in chunks]
+        dst_fs.move(tmp, _part_path(folder, k, shas))
     except BaseException:
         if dst_fs.get_file_info(tmp).type == pafs.FileType.File:
             dst_fs.delete_file(tmp)
         raise
-    return True, False, sha, mark, None
+    return [(True, False, sha, mark, None) for sha in shas]
+
 
+#: ledger rows that a task passes on at once
+_LEDGER_ROWS = 10_000
 
-def _chunk_runner(on_exists: str):
+
+def _chunk_runner(on_exists: str, chunk_bytes: int):
     def run(batches):
         import pandas as pd
         from pyspark import TaskContext
 
         resolve, task = _Resolver(), TaskContext.get().partitionId()
+        ledger = lambda rows: pd.DataFrame(rows, columns=[c.split()[0] for c in CHUNK_SCHEMA.split(", ")])
+        rows = []
         for pdf in batches:
-            rows = []
             for r in pdf.itertuples(index=False):
+                starts = [(int(r.k) + i) * chunk_bytes for i in range(int(r.n))]
+                chunks = [(start, min(chunk_bytes, int(r.length) - start)) for start in starts]
                 try:
-                    got = _copy_chunk(resolve, r.path, r.new_path, int(r.length), int(r.k), int(r.start), int(r.size), on_exists)
-                except Exception as e:  # one bad chunk never fails the whole job
-                    got = (False, False, None, "", f"{type(e).__name__}: {e}")
-                ok, same, sha, mark, error = got
-                rows.append((r.path, r.new_path, r.k, ok, same, sha, mark, task, error))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in CHUNK_SCHEMA.split(", ")])
+                    got = _copy_part(resolve, r.path, r.new_path, int(r.length), int(r.k), chunks, on_exists)
+                except Exception as e:  # one bad part never fails the whole job
+                    got = [(False, False, None, "", f"{type(e).__name__}: {e}")] * len(chunks)
+                for i, (ok, same, sha, mark, error) in enumerate(got):
+                    rows.append((r.path, r.new_path, int(r.k) + i, ok, same, sha, mark, task, error))
+                if len(rows) >= _LEDGER_ROWS:
+                    yield ledger(rows)
+                    rows = []
+        yield ledger(rows)
     return run
 
 
-def _put_together(resolve, src: str, dst: str, length: int, mark: str, shas: list, same: bool, on_exists: str):
-    """The target of a file from its parts: one temporary file, checked part by
-    part, and one rename. The parts go then."""
+def _put_together(resolve, src: str, dst: str, length: int, mark: str, shas: list, same: bool, on_exists: str,
+                  chunk_bytes: int, per: int):
+    """The target of a file from its parts: one temporary file, checked chunk
+    by chunk, and one rename; a part that is the whole file is checked and
+    renamed. A part holds ``per`` chunks. The parts go then."""
     import pyarrow.fs as pafs
 
     dst_fs, dst_path = resolve(dst)
@@ -296,29 +322,42 @@ def _put_together(resolve, src: str, dst: str, length: int, mark: str, shas: lis
         stem, dot, suffix = dst.rpartition("/")[2].partition(".")
         dst = f"{dst.rpartition('/')[0]}/{stem}~{hashlib.sha256(''.join(shas).encode()).hexdigest()[:16]}{dot}{suffix}"
         dst_fs, dst_path = resolve(dst)
-    tmp = f"{dst_path.rpartition('/')[0]}/{TEMP_PREFIX}{uuid.uuid4().hex}"
-    try:
-        with dst_fs.open_output_stream(tmp) as out:
-            for k, sha in enumerate(shas):
-                part, own = f"{folder}/{k:08d}-{sha}", hashlib.sha256()
-                with dst_fs.open_input_stream(part) as f:
-                    while data := f.read(_CHUNK):
-                        own.update(data)
-                        digest.update(data)
+    parts = [(k, shas[k:k + per]) for k in range(0, len(shas), per)]
+
+    def checked(k, own, out=None):
+        part = _part_path(folder, k, own)
+        with dst_fs.open_input_stream(part) as f:
+            for i, sha in enumerate(own):
+                found, left = hashlib.sha256(), min(chunk_bytes, length - (k + i) * chunk_bytes)
+                while left and (data := f.read(min(_CHUNK, left))):
+                    found.update(data)
+                    digest.update(data)
+                    if out is not None:
                         out.write(data)
-                if own.hexdigest() != sha:
+                    left -= len(data)
+                if found.hexdigest() != sha:
                     dst_fs.delete_file(part)  # the next run copies it again
                     raise OSError(f"part {k} of {src} is damaged")
-        put_in_place(dst_fs, tmp, dst_path)
-    except BaseException:
-        if dst_fs.get_file_info(tmp).type == pafs.FileType.File:
-            dst_fs.delete_file(tmp)
-        raise
+        return part
+
+    if len(parts) == 1:
+        put_in_place(dst_fs, checked(*parts[0]), dst_path)
+    else:
+        tmp = f"{dst_path.rpartition('/')[0]}/{TEMP_PREFIX}{uuid.uuid4().hex}"
+        try:
+            with dst_fs.open_output_stream(tmp) as out:
+                for k, own in parts:
+                    checked(k, own, out)
+            put_in_place(dst_fs, tmp, dst_path)
+        except BaseException:
+            if dst_fs.get_file_info(tmp).type == pafs.FileType.File:
+                dst_fs.delete_file(tmp)
+            raise
     dst_fs.delete_dir(folder)
     return True, dst, length, digest.hexdigest(), None
 
 
-def _together_runner(on_exists: str):
+def _together_runner(on_exists: str, chunk_bytes: int, per: int):
     def run(batches):
         import pandas as pd
 
@@ -330,7 +369,7 @@ def _together_runner(on_exists: str):
                     if r.error is not None:
                         results.append((False, r.new_path, 0, None, r.error))
                     else:
-                        results.append(_put_together(resolve, r.path, r.new_path, int(r.length), r.mark, list(r.shas), bool(r.same), on_exists))
+                        results.append(_put_together(resolve, r.path, r.new_path, int(r.length), r.mark, list(r.shas), bool(r.same), on_exists, chunk_bytes, per))
                 except Exception as e:
                     results.append((False, r.new_path, 0, None, f"{type(e).__name__}: {e}"))
             ok, target, size, checksum, error = zip(*results) if results else ((),) * 5
@@ -341,7 +380,8 @@ def _together_runner(on_exists: str):
 
 def copy_by_ranges(work: DataFrame, chunk_bytes: int, on_exists: str, out_path: str) -> DataFrame:
     """Copies of large files: ``path, new_path, folder, length`` rows become one
-    row per byte range, dealt to all tasks. What came of every chunk is written
+    row per byte range, dealt to all tasks (small neighbours together,
+    as parts of up to ``PART_BYTES``). What came of every chunk is written
     as a ledger (``<out_path>__chunks-<try>``); chunks that failed are tried
     again, those that succeeded are not, in this run or a later one. A file
     whose chunks are all there is put together at its target's store and
@@ -350,13 +390,14 @@ def copy_by_ranges(work: DataFrame, chunk_bytes: int, on_exists: str, out_path:
     Returns the outcome per file (not yet written).
     """
     size = F.lit(chunk_bytes).cast("long")
-    chunks = work.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size).cast("long"))))
-    chunks = chunks.withColumn("start", F.col("k") * size).withColumn("size", F.least(size, F.col("length") - F.col("start")))
-    todo = chunks.select("path", "new_path", "length", "k", "start", "size")
+    per = max(1, PART_BYTES // chunk_bytes)
+    last = F.floor((F.col("length") - 1) / size).cast("long")
+    parts = work.withColumn("_last", last).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(per).cast("long"))))
+    todo = parts.select("path", "new_path", "length", "k", F.least(F.lit(per), F.col("_last") - F.col("k") + 1).alias("n"))
     ledgers = []
     for attempt in range(CHUNK_TRIES):
         tasks = max(1, min(todo.count(), 16 * default_parallelism(work.sparkSession)))
-        tried = materialize(todo.repartition(tasks, "new_path", "k").mapInPandas(_chunk_runner(on_exists), CHUNK_SCHEMA),
+        tried = materialize(todo.repartition(tasks, "new_path", "k").mapInPandas(_chunk_runner(on_exists, chunk_bytes), CHUNK_SCHEMA),
                             f"{out_path}__chunks-{attempt}")
         ledgers.append(tried.filter("ok"))
         failed = tried.filter(~F.col("ok"))
@@ -373,7 +414,7 @@ def copy_by_ranges(work: DataFrame, chunk_bytes: int, on_exists: str, out_path:
                              .otherwise(F.col("error"))).drop("changed")
     ready = work.join(files, ["path", "new_path"])
     return ready.repartition(max(1, min(work.count(), 16 * default_parallelism(work.sparkSession))), "new_path").mapInPandas(
-        _together_runner(on_exists), OUTCOME_SCHEMA)
+        _together_runner(on_exists, chunk_bytes, per), OUTCOME_SCHEMA)
 
 
 # Work of one transfer task, when the task count is derived from the work list.
