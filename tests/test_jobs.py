@@ -179,3 +179,19 @@ def test_land_json_partitions_by_api(spark, scratch):
     back = spark.read.json(os.path.join(scratch, "landing"))
     names = {r["v"]: r["landing_name"] for r in back.collect()}
     assert names == {1: "TSLA-01-29-2025.json", 2: "None-01-29-2025.json"}
+
+
+def test_a_batch_of_small_files_is_read_by_few_tasks(spark, scratch):
+    """Only names and sizes are read, so a task takes far more than 32 files."""
+    from tidemark.streaming.incremental import incremental_staging
+
+    os.makedirs(f"{scratch}/in/20240101")
+    for i in range(200):
+        with open(f"{scratch}/in/20240101/f{i}", "w") as f:
+            f.write(str(i))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    incremental_staging(spark, f"{scratch}/in", f"{scratch}/out", f"{scratch}/hist", f"{scratch}/ckpt")
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    plan = f"{scratch}/ckpt/tidemark-batches/0/plan"
+    assert spark.read.parquet(plan).count() == 200
+    assert len([f for f in os.listdir(plan) if f.startswith("part-")]) <= 4

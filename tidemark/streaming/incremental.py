@@ -40,6 +40,10 @@ BINARY_FILE_SCHEMA = StructType([
 
 
 LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+#: A file weighs so many bytes when files are dealt to the tasks that read a
+#: batch's names and sizes (never contents). Spark's 4 MB makes a task of 32 files.
+OPEN_COST = "spark.sql.files.openCostInBytes"
+OPEN_COST_BYTES = 256 << 10
 
 
 OPEN_SCHEMA = "path string, new_path string, folder string"
@@ -135,9 +139,10 @@ def incremental_staging(spark: SparkSession, source_dir: str, target_dir: str, h
         if on_logged:
             on_logged(epoch)
 
-    previous = spark.conf.get(LISTING_PARALLELISM)
+    previous = {k: spark.conf.get(k) for k in (LISTING_PARALLELISM, OPEN_COST)}
     spark.conf.set(LISTING_PARALLELISM,
                    str(listing_parallelism or default_parallelism(spark)))
+    spark.conf.set(OPEN_COST, str(OPEN_COST_BYTES))
     try:  # held until the run ends: the stream copies the conf on its own thread
         query = (listing.writeStream.foreachBatch(each_batch)
                  .option("checkpointLocation", checkpoint)
@@ -145,5 +150,6 @@ def incremental_staging(spark: SparkSession, source_dir: str, target_dir: str, h
         query.awaitTermination()
         touch(f"{runs}/{run}/_FINISHED")
     finally:
-        spark.conf.set(LISTING_PARALLELISM, previous)
+        for k, v in previous.items():
+            spark.conf.set(k, v)
     return query
