@@ -217,11 +217,11 @@ def _tree_step(fragments: DataFrame, fan: int) -> DataFrame:
 def _long_segments(tokens: DataFrame, longest: int, names: tuple[str, str], fan: int) -> DataFrame:
     """``row, start, a, b``: closed stretches of the texts of more than one
     chunk, which end where the next one starts."""
-    made = materialize(_open_ends(tokens.where(F.col("chunks") > 1), names), name="align-fragments")
+    made = materialize(_open_ends(tokens.where(F.col("chunks") > 1), names), name="align-fragments", compression="zstd")
     closed = [made.where(F.length("a") > 0).select("row", "start", "a", "b")]
     ids = [F.col("pre_a").alias("a"), F.col("pre_b").alias("b")]
     while longest > 1:
-        step = materialize(_tree_step(made, fan), name="align-tree")
+        step = materialize(_tree_step(made, fan), name="align-tree", compression="zstd")
         closed.append(step.where("closed").select("row", F.col("last").alias("start"), *ids))
         made, longest = step.where(~F.col("closed")), -(-longest // fan)
     # a text starts and ends at a cut: the root's prefix is its first group, its suffix is empty
@@ -446,7 +446,7 @@ def align(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TO
         long = materialize(_long_segments(tokens, longest, names, fan), name="align-long", compression="zstd")
         segments = segments.unionAll(long.select("row", F.lit(False).alias("whole"), "a", "b"))
         parts.append(_long_digests(long, names))
-    pairs = materialize(_pair_counts(segments, names), name="align-pairs")
+    pairs = materialize(_pair_counts(segments, names), name="align-pairs", compression="zstd")
     size_b = loaded(*names).size_b
     # one row per id of B: bounded by the vocabulary
     top = pairs.groupBy((F.col("pair") % size_b).alias("b")).agg(F.max("n").alias("highest"))
@@ -454,7 +454,7 @@ def align(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TO
              .select("pair", "n", (F.col("n") == F.col("highest")).alias("best")))
     floor = (pairs.agg(F.sum("n")).first()[0] or 0) / hot_pairs
     hot = pairs.where(F.col("n") >= floor).orderBy("pair").toArrow()  # at most HOT_PAIRS rows
-    counted = materialize(_stretch_counts(segments, hot, names), name="align-counts")
+    counted = materialize(_stretch_counts(segments, hot, names), name="align-counts", compression="zstd")
     rare = counted.select("row", F.explode("cold").alias("c")).select("row", "c.pair", "c.links").join(
         pairs.where(F.col("n") < floor), "pair")
     zero = F.lit(0).cast("bigint")
