@@ -394,14 +394,15 @@ def q_nest_hot_keys(spark, sf_dir):
 
 def q_nest_small_bound(spark, sf_dir):
     """The same customers' documents with a bound of three items: many orders
-    and documents are split, and every count stays what it is."""
+    and documents are split, and every count and sum stays what it is, also
+    where a quantity is NULL, whichever part holds it."""
     orders, lines = _orders(spark, sf_dir), table(spark, sf_dir, "lineitem")
     docs = nest_two_levels(orders, lines, "o_orderkey", "l_orderkey", "o_custkey", "lines", "orders", max_items=3)
     return docs.groupBy("o_custkey").agg(
         F.sum(F.size(F.filter("orders", lambda o: o["lines_part"] == 0))).cast("long").alias("n_orders"),
         F.sum(F.aggregate("orders", F.lit(0), lambda acc, o: acc + F.size(o["lines"]))).cast("long").alias("n_lines"),
         F.round(F.sum(F.aggregate("orders", F.lit(0.0), lambda acc, o: acc + F.aggregate(
-            o["lines"], F.lit(0.0), lambda a, x: a + x["l_quantity"]))), 2).alias("sum_qty"))
+            o["lines"], F.lit(0.0), lambda a, x: a + F.coalesce(x["l_quantity"], F.lit(0.0))))), 2).alias("sum_qty"))
 
 
 def q_nest_equal_items(spark, sf_dir):
