@@ -8,6 +8,7 @@ from functools import reduce
 import numpy as np
 import pytest
 from llm_fixtures import SF, documents, empty, multiset, whole
+from pyspark.sql import functions as F
 
 from tidemark.llm import alignment
 from tidemark.llm.alignment import Fragment, Pair, align, compose, fragment, op12_alignment
@@ -102,6 +103,45 @@ def test_against_plain_version(spark, chunk, fan, hot):
     assert multiset(got.select(*columns)) == Plain()(docs)
 
 
+def test_ids_of_long_texts_are_stored_once(spark, monkeypatch):
+    stored, write = {}, alignment.materialize
+
+    def materialize(df, **how):
+        made = write(df, **how)
+        ids = [c for c in made.columns if c in ("a", "b", "pre_a", "pre_b", "suf_a", "suf_b")]
+        for name in {how["name"]} if ids else ():
+            size = sum(F.octet_length(c) for c in ids)
+            stored[name] = stored.get(name, 0) + (made.agg(F.sum(size)).first()[0] or 0)
+        return made
+
+    monkeypatch.setattr(alignment, "materialize", materialize)
+    r = random.Random(6)
+    words = ["river", "unbelievable", "stone,", "naïveté", "12345", "漢字", "walks\n"]
+    docs = [(i, " ".join(r.choices(words, k=900))) for i in range(3)] + [(9, "short")]
+    got = align(spark.createDataFrame(docs, "doc_id bigint, text string"), chunk=1024)
+    assert multiset(got) == Plain()(docs)
+    assert sum(stored.values()) < 1.2 * stored["align-tokens"]
+
+
+def test_as_many_pairs_as_allowed_are_looked_up(spark, monkeypatch):
+    seen, count = [], alignment._stretch_counts
+
+    def stretch_counts(stretches, hot, names):
+        made = count(stretches, hot, names)
+        seen.append((hot.num_rows, made.agg(F.sum(F.size("cold"))).first()[0]))
+        return made
+
+    monkeypatch.setattr(alignment, "_stretch_counts", stretch_counts)
+    docs = _docs()
+    want, frame = Plain()(docs), spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert multiset(align(frame)) == want
+    (every, cold), = seen
+    assert every > 100 and cold == 0
+    for allowed in (every, every // 2, 3):
+        assert multiset(align(frame, hot_pairs=allowed)) == want
+        assert seen[-1][0] <= allowed and (seen[-1][1] == 0) == (allowed == every)
+
+
 def test_query_against_plain_version(spark):
     docs = whole(spark, SF, "documents").select("doc_id", "text").limit(60)
     assert multiset(op12_alignment(docs)) == Plain()([tuple(r) for r in docs.collect()])

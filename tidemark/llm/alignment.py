@@ -10,12 +10,13 @@ prefix), closed groups, and tokens after its last cut (open suffix). Fragments
 compose: a suffix and the next prefix close into one group, a fragment without
 a cut only lengthens its neighbours' open ends. Composition is associative, so
 the fragments of a very long text meet in a tree of small groups over Spark
-tasks; closed groups stay where they are and only open ends travel.
+tasks; closed groups stay in their chunk, which is stored once, and only open
+ends travel.
 
-Counts of id pairs cover the whole corpus. The frequent pairs (at least a
-HOT_PAIRS-th of all links each, hence at most HOT_PAIRS of them) are looked up
-in the tasks; the links of all other pairs meet their counts in a join, where
-no key is frequent.
+Counts of id pairs cover the whole corpus. The most frequent pairs (at most
+HOT_PAIRS, and all that hold a HOT_PAIRS-th of the links each) are looked up in
+the tasks; the links of all other pairs meet their counts in a join, where no
+key is frequent.
 """
 
 from __future__ import annotations
@@ -168,23 +169,32 @@ _FRAGMENT = "cut boolean, last long, pre_a binary, pre_b binary, suf_a binary, s
 
 
 def _open_ends(long: DataFrame, names: tuple[str, str]) -> DataFrame:
-    """A fragment with its closed groups for every chunk of the long texts."""
+    """The fragment of every chunk of the long texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = loaded(*names)
         for batch in batches:
-            rows = batch.to_pylist()
-            made = [fragment(pair, np.frombuffer(r["a"], pair.kind), np.frombuffer(r["b"], pair.kind), r["base_a"], r["base_b"])
-                    for r in rows]
             yield pa.RecordBatch.from_pylist(
-                [{"row": r["row"], "k": r["chunk"], **f._asdict(), "start": start, "a": a, "b": b}
-                 for r, (f, start, a, b) in zip(rows, made)], schema)
+                [{"row": r["row"], "k": r["chunk"],
+                  **fragment(pair, np.frombuffer(r["a"], pair.kind), np.frombuffer(r["b"], pair.kind),
+                             r["base_a"], r["base_b"])[0]._asdict()} for r in batch.to_pylist()], schema)
 
-    spark_schema = f"row long, k long, {_FRAGMENT}, start long, a binary, b binary"
+    spark_schema = f"row long, k long, {_FRAGMENT}"
     schema = _arrow(spark_schema)
     return long.mapInArrow(run, spark_schema)
 
 
+def _closed(pair: Pair, batch: pa.RecordBatch) -> tuple[list[bytes], list[bytes]]:
+    """A and B ids of every row's closed groups: a chunk of a longer text (its
+    row has the bytes where it begins) goes without its open ends, any other
+    row is closed as it is."""
+    a, b, base_a, base_b = (batch.column(c).to_pylist() for c in ("a", "b", "base_a", "base_b"))
+    for i, base in enumerate(base_a):
+        if base is not None:
+            a[i], b[i] = fragment(pair, np.frombuffer(a[i], pair.kind), np.frombuffer(b[i], pair.kind), base, base_b[i])[2:]
+    return a, b
+
+
 def _arrow(ddl: str) -> pa.Schema:
     kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "string": pa.string()}
     return pa.schema([(n, kinds[k]) for n, k in (c.split() for c in ddl.split(", "))])
@@ -214,12 +224,12 @@ def _tree_step(fragments: DataFrame, fan: int) -> DataFrame:
     return fragments.select(*columns).groupBy("row", F.floor(F.col("k") / fan)).applyInArrow(run, ddl)
 
 
-def _long_segments(tokens: DataFrame, longest: int, names: tuple[str, str], fan: int) -> DataFrame:
-    """``row, start, a, b``: closed stretches of the texts of more than one
-    chunk, which end where the next one starts."""
+def _seams(tokens: DataFrame, longest: int, names: tuple[str, str], fan: int) -> DataFrame:
+    """``row, start, a, b``: the groups of the texts of more than one chunk
+    that no chunk closes by itself, and where they start."""
     made = materialize(_open_ends(tokens.where(F.col("chunks") > 1), names), name="align-fragments", compression="zstd")
-    closed = [made.where(F.length("a") > 0).select("row", "start", "a", "b")]
     ids = [F.col("pre_a").alias("a"), F.col("pre_b").alias("b")]
+    closed = []
     while longest > 1:
         step = materialize(_tree_step(made, fan), name="align-tree", compression="zstd")
         closed.append(step.where("closed").select("row", F.col("last").alias("start"), *ids))
@@ -286,7 +296,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, _ROWS)
 
 
-def _pair_counts(segments: DataFrame, names: tuple[str, str]) -> DataFrame:
+def _pair_counts(stretches: DataFrame, names: tuple[str, str]) -> DataFrame:
     """``pair, n``: links per id pair (``a * size_b + b``) over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +308,7 @@ def _pair_counts(segments: DataFrame, names: tuple[str, str]) -> DataFrame:
         seen: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
         for batch in _slices(batches):
-            got = np.unique(Links(pair, batch.column(0).to_pylist(), batch.column(1).to_pylist()).pairs, return_counts=True)
+            got = np.unique(Links(pair, *_closed(pair, batch)).pairs, return_counts=True)
             seen.append(got)
             held += len(got[0])
             if held > _PAIRS:
@@ -310,20 +320,36 @@ def _pair_counts(segments: DataFrame, names: tuple[str, str]) -> DataFrame:
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], ["pair", "n"])
 
-    made = segments.select("a", "b").mapInArrow(run, "pair long, n long")
+    made = stretches.select("a", "b", "base_a", "base_b").mapInArrow(run, "pair long, n long")
     return made.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
+def _hot_floor(pairs: DataFrame, hot_pairs: int) -> float:
+    """The count from which a pair is looked up in the tasks. At most
+    ``hot_pairs`` pairs have it, and at least all with a ``hot_pairs``-th of
+    the links."""
+    # pairs by eighths of an octave of their count: some hundred rows
+    steps = pairs.groupBy(F.floor(F.log2("n") * 8).alias("step")).agg(
+        F.count("n").alias("pairs"), F.sum("n").alias("links"), F.min("n").alias("least")).collect()
+    floor, held = sum(r.links for r in steps) / hot_pairs, 0
+    for r in sorted(steps, key=lambda r: -r.step):
+        held += r.pairs
+        if held > hot_pairs:
+            break
+        floor = min(floor, r.least)
+    return floor
+
+
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
-def _stretch_counts(segments: DataFrame, hot: pa.Table, names: tuple[str, str]) -> DataFrame:
+def _stretch_counts(stretches: DataFrame, hot: pa.Table, names: tuple[str, str]) -> DataFrame:
     """Counts of every stretch with the frequent pairs looked up; ``cold``
     lists the other pairs with their links in the stretch."""
-    shared = segments.sparkSession.sparkContext.broadcast(  # at most HOT_PAIRS rows
+    shared = stretches.sparkSession.sparkContext.broadcast(  # at most HOT_PAIRS rows
         [hot["pair"].to_numpy(), hot["n"].to_numpy(), hot["best"].to_numpy()])
-    schema = T.StructType([T.StructField("row", T.LongType()), *[T.StructField(c, T.LongType()) for c in _COUNTS],
-                           T.StructField("groups_sha256", T.StringType()),
+    schema = T.StructType([T.StructField("row", T.LongType()), stretches.schema["doc_id"],
+                           *[T.StructField(c, T.LongType()) for c in _COUNTS], T.StructField("groups_sha256", T.BinaryType()),
                            T.StructField("cold", T.ArrayType(T.StructType([T.StructField("pair", T.LongType()),
                                                                            T.StructField("links", T.LongType())])))])
 
@@ -332,7 +358,7 @@ def _stretch_counts(segments: DataFrame, hot: pa.Table, names: tuple[str, str])
         keys, counts, best = shared.value
         space = pair.size_a * pair.size_b
         for batch in _slices(batches):
-            links = Links(pair, batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            links = Links(pair, *_closed(pair, batch))
             place = np.minimum(np.searchsorted(keys, links.pairs), max(0, len(keys) - 1))
             found = keys[place] == links.pairs if len(keys) else np.zeros(len(links.pairs), bool)
             total = np.where(found, counts[place], 0) if len(keys) else found
@@ -343,41 +369,43 @@ def _stretch_counts(segments: DataFrame, hot: pa.Table, names: tuple[str, str])
             ends = np.searchsorted(rare // space, np.arange(batch.num_rows + 1))
             cold = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
                 [pa.array(rare % space), pa.array(times.astype(np.int64))], ["pair", "links"]))
-            digests = [hashlib.sha256(t[:-1]).hexdigest() if whole and len(t) else "" if whole else None
-                       for t, whole in zip(links.texts(), batch.column(1).to_pylist())]
+            digests = [hashlib.sha256(t[:-1]).digest() if whole and len(t) else b"" if whole else None
+                       for t, whole in zip(links.texts(), batch.column("whole").to_pylist())]
             columns = [links.per_stretch(links.to_a), links.per_stretch(links.to_b),
                        links.per_stretch(links.to_link, links.cut), n_links,
                        links.per_stretch(links.to_link, top), links.per_stretch(links.to_link, total)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, pa.int64()) for c in columns], pa.array(digests, pa.string()), cold], schema.names)
+                [batch.column("row"), batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns],
+                 pa.array(digests, pa.binary()), cold], schema.names)
 
-    return segments.select("row", "whole", "a", "b").mapInArrow(run, schema)
+    return stretches.select("row", "doc_id", "whole", "a", "b", "base_a", "base_b").mapInArrow(run, schema)
 
 
 def _long_digests(long: DataFrame, names: tuple[str, str]) -> DataFrame:
     """``row, groups_sha256`` of the texts of several chunks. Their stretches
-    pass in order; the hash goes on from batch to batch."""
-    ddl = "row long, groups_sha256 string"
+    pass in the order of ``start``; the hash goes on from batch to batch."""
+    ddl = "row long, groups_sha256 binary"
     schema = _arrow(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, row, digest = loaded(*names), None, None
         for batch in _slices(batches):
             out = []
-            texts = Links(pair, batch.column(2).to_pylist(), batch.column(3).to_pylist()).texts()
-            for r, text in zip(batch.column(0).to_pylist(), texts):
+            for r, text in zip(batch.column("row").to_pylist(), Links(pair, *_closed(pair, batch)).texts()):
+                if not len(text):  # a chunk that closes no group
+                    continue
                 if r != row:
                     if digest:
-                        out.append({"row": row, "groups_sha256": digest.hexdigest()})
+                        out.append({"row": row, "groups_sha256": digest.digest()})
                     row, digest = r, hashlib.sha256()
                 else:
                     digest.update(b";")
                 digest.update(text[:-1])
             yield pa.RecordBatch.from_pylist(out, schema)
         if digest:
-            yield pa.RecordBatch.from_pylist([{"row": row, "groups_sha256": digest.hexdigest()}], schema)
+            yield pa.RecordBatch.from_pylist([{"row": row, "groups_sha256": digest.digest()}], schema)
 
-    ordered = long.select("row", "start", "a", "b").repartition("row").sortWithinPartitions("row", "start")
+    ordered = long.select("row", "start", "a", "b", "base_a", "base_b").repartition("row").sortWithinPartitions("row", "start")
     return ordered.mapInArrow(run, ddl)
 
 
@@ -439,33 +467,35 @@ def align(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TO
     names = (tokenizer_a, tokenizer_b)
     # tokens are written once: encoding is the dear step, and row numbers must not change
     tokens = materialize(encode_both(docs, *names, chunk, id_col, text_col), name="align-tokens", compression="zstd")
-    segments = tokens.where(F.col("chunks") == 1).select("row", F.lit(True).alias("whole"), "a", "b")
+    inner = F.col("chunks") > 1
+    # the tokens of a chunk end behind its first byte, where the groups that it closes can start
+    stretches = tokens.select("row", "doc_id", (~inner).alias("whole"), (F.col("chunk").cast("bigint") * chunk + 1).alias("start"),
+                              *[F.when(inner, F.col(c)).alias(c) for c in ("base_a", "base_b")], "a", "b")
     longest = tokens.agg(F.max("chunks")).first()[0] or 0
     parts = []
     if longest > 1:
-        long = materialize(_long_segments(tokens, longest, names, fan), name="align-long", compression="zstd")
-        segments = segments.unionAll(long.select("row", F.lit(False).alias("whole"), "a", "b"))
-        parts.append(_long_digests(long, names))
-    pairs = materialize(_pair_counts(segments, names), name="align-pairs", compression="zstd")
+        seams = _seams(tokens, longest, names, fan).withColumn("whole", F.lit(False))
+        stretches = stretches.unionByName(seams, allowMissingColumns=True)
+        parts.append(_long_digests(stretches.where(~F.col("whole")), names))
+    pairs = materialize(_pair_counts(stretches, names), name="align-pairs", compression="zstd")
     size_b = loaded(*names).size_b
     # one row per id of B: bounded by the vocabulary
     top = pairs.groupBy((F.col("pair") % size_b).alias("b")).agg(F.max("n").alias("highest"))
     pairs = (pairs.join(F.broadcast(top), F.col("pair") % size_b == F.col("b"))
              .select("pair", "n", (F.col("n") == F.col("highest")).alias("best")))
-    floor = (pairs.agg(F.sum("n")).first()[0] or 0) / hot_pairs
+    floor = _hot_floor(pairs, hot_pairs)
     hot = pairs.where(F.col("n") >= floor).orderBy("pair").toArrow()  # at most HOT_PAIRS rows
-    counted = materialize(_stretch_counts(segments, hot, names), name="align-counts", compression="zstd")
+    counted = materialize(_stretch_counts(stretches, hot, names), name="align-counts", compression="zstd")
     rare = counted.select("row", F.explode("cold").alias("c")).select("row", "c.pair", "c.links").join(
         pairs.where(F.col("n") < floor), "pair")
     zero = F.lit(0).cast("bigint")
-    parts.append(counted.select("row", *_COUNTS, "groups_sha256"))
+    parts.append(counted.drop("cold"))
     parts.append(rare.select("row", F.when(F.col("best"), F.col("links")).otherwise(zero).alias("n_best"),
                              (F.col("links") * F.col("n")).alias("count_sum")))
-    parts.append(tokens.where(F.col("chunk") == 0).select("row", "doc_id", F.lit(True).alias("known")))
     every = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
     return every.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), *[F.coalesce(F.sum(c), zero).alias(c) for c in _COUNTS],
-        F.max("groups_sha256").alias("groups_sha256")).drop("row")
+        F.lower(F.hex(F.max("groups_sha256"))).alias("groups_sha256")).drop("row")
 
 
 def op12_alignment(docs: DataFrame) -> DataFrame:
